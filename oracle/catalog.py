@@ -17,7 +17,9 @@ def _pipeline(key: str) -> None:
 
 
 # --- pipelines -------------------------------------------------------------------------------
-for _k in ["dim_warehouse", "metric_fill_rate", "report_outbound"]:
+from quayside.catalog import PIPELINE_KEYS  # noqa: E402
+
+for _k in PIPELINE_KEYS:
     _pipeline(_k)
 
 # --- calendar ----------------------------------------------------------------------------------

@@ -51,5 +51,6 @@ def load() -> dict[str, QueryFn]:
 
 # M1-M21 (model name = key)
 PIPELINE_KEYS = [
-    "dim_warehouse", "metric_fill_rate", "report_outbound",
+    "dim_warehouse", "first_reservation_event", "load_reservation_match", "load_gate_out", "dim_yard_trailer",
+    "metric_fill_rate", "report_outbound",
 ]
