@@ -52,5 +52,6 @@ def load() -> dict[str, QueryFn]:
 # M1-M21 (model name = key)
 PIPELINE_KEYS = [
     "dim_warehouse", "first_reservation_event", "load_reservation_match", "load_gate_out", "dim_yard_trailer",
-    "metric_fill_rate", "report_outbound",
+    "units_happy_sad", "units_json_fallback", "units_priority", "units_carton_qc_xd", "units_median_backup",
+    "stg_units_reservation", "metric_fill_rate", "report_outbound",
 ]

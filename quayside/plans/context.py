@@ -85,5 +85,10 @@ class RunContext:
 FIXTURE_AS_OF = dt.datetime(1998, 6, 17, 12, 0, 0)
 
 
+# The fixture events keep the unit count under this JSON path.
+FIXTURE_PARAMS = {"units_json_path": "$.k"}
+
+
 def fixture_context(**kw) -> RunContext:
-    return RunContext(as_of=FIXTURE_AS_OF, **kw)
+    params = {**FIXTURE_PARAMS, **kw.pop("params", {})}
+    return RunContext(as_of=FIXTURE_AS_OF, params=params, **kw)
