@@ -110,10 +110,11 @@ FROM lineitem""",
     "fx_freight_class": """
 SELECT * FROM (VALUES (0::BIGINT, '1'), (1::BIGINT, '2'), (2::BIGINT, NULL::VARCHAR)) AS t(freight_class_id, freight_class_number)""",
     "fx_capacity": """
-SELECT w.s_suppkey AS warehouse_id, d.day AS day_of_unit_capacity, cast(d.day - k.lag * INTERVAL '1' DAY AS DATE) AS upload_date,
+SELECT w.s_suppkey AS warehouse_id, d.day AS day_of_unit_capacity,
+       CASE WHEN k.lag = 28 THEN DATE '2001-12-31' ELSE cast(d.day - k.lag * INTERVAL '1' DAY AS DATE) END AS upload_date,
        20 + (w.s_suppkey * 7 + k.lag) % 50 AS inbound_unit_capacity
 FROM supplier w CROSS JOIN (SELECT DISTINCT cast(o_orderdate AS DATE) AS day FROM orders) d
-CROSS JOIN (VALUES (0), (7), (14), (21)) AS k(lag)
+CROSS JOIN (VALUES (0), (7), (14), (21), (28)) AS k(lag)
 WHERE w.s_suppkey < 10""",
     "fx_yard_sheet": """
 SELECT o_orderkey AS External_Reference,

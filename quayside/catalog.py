@@ -36,7 +36,7 @@ def model_query(key: str, model_name: str | None = None) -> None:
     name = model_name or key
 
     def fn(p: Project) -> DataFrame:
-        return p.ref(name)
+        return p.build(name)
     fn.__doc__ = f"Pipeline {name}."
     query(key)(fn)
 
@@ -53,5 +53,7 @@ def load() -> dict[str, QueryFn]:
 PIPELINE_KEYS = [
     "dim_warehouse", "first_reservation_event", "load_reservation_match", "load_gate_out", "dim_yard_trailer",
     "units_happy_sad", "units_json_fallback", "units_priority", "units_carton_qc_xd", "units_median_backup",
-    "stg_units_reservation", "metric_fill_rate", "report_outbound",
+    "stg_units_reservation", "stg_unit_snapshot", "stg_yard_utilization", "metric_fill_rate",
+    "metric_inbound_trailers", "metric_on_yard_units", "metric_throughput_variance", "metric_yard_utilization",
+    "report_inbound", "report_outbound",
 ]

@@ -86,7 +86,9 @@ FIXTURE_AS_OF = dt.datetime(1998, 6, 17, 12, 0, 0)
 
 
 # The fixture events keep the unit count under this JSON path.
-FIXTURE_PARAMS = {"units_json_path": "$.k"}
+# The yard report keeps uploads from this date on (the reference's cut-off is
+# 2024-01-01, later than every fixture date).
+FIXTURE_PARAMS = {"units_json_path": "$.k", "yard_report_min_date": dt.date(1995, 1, 1)}
 
 
 def fixture_context(**kw) -> RunContext:

@@ -1,21 +1,21 @@
 """Model registry and ``ref()`` resolution.
 
 A model is a function ``(project) -> DataFrame``.  ``Project.ref(name)``
-builds it once per project and hands the same DataFrame to every consumer,
-so one Spark plan that uses a model twice can reuse its exchanges.  With
-``materialize_dir`` set, every ref'd model is written once as parquet under
-that (shared) folder and read back, which cuts lineage between layers the way
-the reference's tables do, and survives executor loss.
+builds an upstream model once per project; by default it is materialised as
+parquet in the session's shared checkpoint folder, which cuts lineage between
+layers the way the reference's tables do.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.plans.context import RunContext, fixture_context
+from quayside.session import checkpoint_dir
 from quayside.sources.registry import Sources
 
 MODELS: dict[str, Callable[["Project"], DataFrame]] = {}
@@ -30,11 +30,13 @@ def model(name: str):
 
 class Project:
     def __init__(self, spark: SparkSession, sources: Sources, ctx: RunContext,
-                 materialize_dir: str | None = None):
+                 materialize: bool = True, materialize_dir: str | None = None):
         self.spark = spark
         self.src = sources
         self.ctx = ctx
-        self.materialize_dir = materialize_dir
+        self.materialize = materialize
+        self._materialize_dir = materialize_dir
+        self.run_id = uuid.uuid4().hex[:12]
         self._built: dict[str, DataFrame] = {}
         # previous versions of incremental targets ({{ this }}), by model name
         self.targets: dict[str, DataFrame] = {}
@@ -46,11 +48,25 @@ class Project:
     def source(self, name: str) -> DataFrame:
         return self.src.get(name)
 
+    @property
+    def materialize_dir(self) -> str:
+        if self._materialize_dir is None:
+            self._materialize_dir = os.path.join(checkpoint_dir(self.spark), "quayside", self.run_id)
+        return self._materialize_dir
+
+    def build(self, name: str) -> DataFrame:
+        """The model as a lazy DataFrame; its upstream models come through ``ref``."""
+        _load_models()
+        return MODELS[name](self)
+
     def ref(self, name: str) -> DataFrame:
+        """An upstream model.  With ``materialize`` it is written once as parquet
+        under the shared checkpoint folder and read back (a table, as in the
+        reference): later plans scan it with column pruning and pushdown
+        instead of recomputing its lineage, and the result survives executor loss."""
         if name not in self._built:
-            _load_models()
-            df = MODELS[name](self)
-            if self.materialize_dir:
+            df = self.build(name)
+            if self.materialize:
                 path = os.path.join(self.materialize_dir, name)
                 df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)

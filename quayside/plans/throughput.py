@@ -1 +1,113 @@
-"""Placeholder."""
+"""M18 ``metric_throughput_variance``: received units vs capacity, daily and week to date.
+
+The reference scans the transaction log twice and the capacity view twice;
+here each is scanned once with a pushed-down date range, and the daily and
+week-to-date figures are conditional sums of one aggregate per warehouse.
+All seven inputs of the final chain of left joins are then one row per
+warehouse.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quayside.functions import calendar as cal
+from quayside.operators import relops as R
+from quayside.plans.project import Project, model
+
+# Freight class labels of the outbound pivot.
+LP, SP_BINS = "Bulk_Picks_LP", "Bulk_Picks_SP_Bins"
+CAPACITY_LAG_DAYS = 14
+
+
+def _sum_if(cond: F.Column, c: str) -> F.Column:
+    return F.sum(F.when(cond, F.col(c)))
+
+
+def received(p: Project, yday: dt.date, wtd: tuple[dt.date, dt.date]) -> DataFrame:
+    log = p.source("tran_log_units")
+    lo, hi = wtd
+    day = F.to_date("log_datetime_local")
+    rows = log.where((F.col("log_datetime_local") >= cal.lit_ntz(dt.datetime.combine(lo, dt.time())))
+                     & (F.col("log_datetime_local") < cal.lit_ntz(dt.datetime.combine(hi + dt.timedelta(days=1), dt.time()))))
+    return rows.groupBy(F.col("warehouse_id").cast("bigint").alias("warehouse_id")).agg(
+        F.sum("inbound_receiving_units").alias("inbound_receiving_units_wtd"),
+        _sum_if(day == cal.lit_date(yday), "inbound_receiving_units").alias("inbound_receiving_units_daily"))
+
+
+def capacity(p: Project, today: dt.date, yday: dt.date, wtd: tuple[dt.date, dt.date]) -> tuple[DataFrame, DataFrame]:
+    cap = p.source("receiving_capacity")
+    lo, hi = wtd
+    # Newest upload per (warehouse, day), ties kept; only the days the sums need
+    in_wtd = cap.where(F.col("day_of_unit_capacity").between(cal.lit_date(lo), cal.lit_date(hi)))
+    latest = R.pick_rank_first(in_wtd, ["warehouse_id", "day_of_unit_capacity"], [F.col("upload_date").desc()])
+    wtd_daily = latest.groupBy(F.col("warehouse_id").cast("bigint").alias("warehouse_id")).agg(
+        F.sum("inbound_unit_capacity").alias("sum_ib_unit_capacity_wtd"),
+        _sum_if(F.col("day_of_unit_capacity") == cal.lit_date(yday), "inbound_unit_capacity").alias("sum_ib_unit_capacity_daily"))
+    # Newest plan uploaded in the Sunday week two weeks before this one, for yesterday
+    lag_week = cal.py_week_start_sunday(today) - dt.timedelta(days=CAPACITY_LAG_DAYS)
+    lag2 = cap.where((F.col("day_of_unit_capacity") == cal.lit_date(yday))
+                     & F.col("upload_date").between(cal.lit_date(lag_week), cal.lit_date(lag_week + dt.timedelta(days=6))))
+    lag2 = R.pick_rank_first(lag2, ["warehouse_id", "day_of_unit_capacity"], [F.col("upload_date").desc()])
+    lag2 = lag2.groupBy(F.col("warehouse_id").cast("bigint").alias("warehouse_id")).agg(
+        F.sum("inbound_unit_capacity").alias("sum_ib_unit_capacity_daily_lag2"))
+    return wtd_daily, lag2
+
+
+def shipped(p: Project, today: dt.date, yday: dt.date) -> DataFrame:
+    """Outbound units per warehouse, yesterday and this week so far."""
+    tl = p.source("tran_log_units_freight")
+    fc = R.bounded_broadcast(p.source("freight_class"))
+    week_start = cal.py_week_start_sunday(today)
+    lo = min(yday, week_start)
+    rows = tl.where((F.col("log_datetime_local") >= cal.lit_ntz(dt.datetime.combine(lo, dt.time())))
+                    & (F.col("log_datetime_local") < cal.lit_ntz(dt.datetime.combine(today + dt.timedelta(days=1), dt.time()))))
+    j = rows.join(fc, "freight_class_id")
+    num = F.col("freight_class_number")
+    label = (F.when(num == "1", SP_BINS).when(num > "1", LP).when(num.isNull(), SP_BINS))
+    # grouped by the finer freight class number first, as written
+    fine = j.groupBy("warehouse_id", F.to_date("log_datetime_local").alias("date"), num).agg(
+        (F.sum("bulk_pick_units") + F.sum("bins_pick_units")).alias("BulkPick_Units"))
+    pivot = (fine.withColumn("Freight_Class", label)
+                 .groupBy("warehouse_id", "date").pivot("Freight_Class", [LP, SP_BINS]).agg(F.sum("BulkPick_Units")))
+    day, week = F.col("date") == cal.lit_date(yday), F.col("date").between(cal.lit_date(week_start), cal.lit_date(today))
+    daily = (pivot.where(day).groupBy("warehouse_id")
+             .agg((F.sum(LP) + F.sum(SP_BINS)).cast("double").alias("ob_fc_total_units_shipped_actuals_day")))
+    weekly = (pivot.where(week).groupBy("warehouse_id")
+              .agg((F.sum(LP) + F.sum(SP_BINS)).cast("double").alias("ob_fc_total_units_shipped_actuals_week")))
+    return (daily.select(F.col("warehouse_id").cast("bigint").alias("warehouse_id"), "ob_fc_total_units_shipped_actuals_day"),
+            weekly.select(F.col("warehouse_id").cast("bigint").alias("warehouse_id"), "ob_fc_total_units_shipped_actuals_week"))
+
+
+@model("metric_throughput_variance")
+def metric_throughput_variance(p: Project) -> DataFrame:
+    today = p.ctx.current_date
+    yday = today - dt.timedelta(days=1)
+    wtd = cal.py_week_to_date_window(yday)  # the week of yesterday
+    a = received(p, yday, wtd)
+    cap, lag2 = capacity(p, today, yday, wtd)
+    daily, weekly = shipped(p, today, yday)
+    j = (a.join(cap, "warehouse_id", "left").join(daily, "warehouse_id", "left")
+          .join(weekly, "warehouse_id", "left").join(lag2, "warehouse_id", "left"))
+    wtd_u, day_u = F.col("inbound_receiving_units_wtd"), F.col("inbound_receiving_units_daily")
+    wtd_c, day_c = F.col("sum_ib_unit_capacity_wtd"), F.col("sum_ib_unit_capacity_daily")
+    out = j.select(
+        cal.lit_date(p.ctx.report_date).alias("report_date"), "warehouse_id",
+        wtd_u.alias("received_units_actual_week_to_date"),
+        day_u.alias("received_units_actual_reporting_daily"),
+        wtd_c.alias("inbound_unit_receiving_capacity_week_to_date"),
+        day_c.alias("inbound_unit_capacity_reporting_daily"),
+        (wtd_u - wtd_c).alias("throughput_variance_week_to_date_num"),
+        F.nullif(wtd_c, F.lit(0)).alias("throughput_variance_week_to_date_denominator"),
+        day_u.alias("throughput_variance_daily_num"),
+        F.nullif(F.col("sum_ib_unit_capacity_daily_lag2"), F.lit(0)).alias("throughput_variance_daily_denominator"),
+        ((wtd_u - wtd_c) / F.nullif(wtd_c, F.lit(0))).alias("throughput_variance_week_to_date"),
+        ((day_u - day_c) / F.nullif(day_c, F.lit(0))).alias("throughput_variance_daily"),
+        "ob_fc_total_units_shipped_actuals_day", "ob_fc_total_units_shipped_actuals_week",
+    )
+    if p.ctx.ci_limit:
+        out = out.limit(p.ctx.ci_limit)
+    return out

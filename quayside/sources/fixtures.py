@@ -39,6 +39,10 @@ def _case(value: Column, pairs: list[tuple], default) -> Column:
     return expr.otherwise(default if isinstance(default, Column) else F.lit(default))
 
 
+# Fixed value: upload date of the capacity stand-in's latest plan (after every order day).
+LATEST_PLAN_UPLOAD = "2001-12-31"
+
+
 class Fixtures:
     """Stand-ins keyed by the names used in FIXTURES.md (``fx_*``)."""
 
@@ -246,17 +250,19 @@ class Fixtures:
         return self.t.spark.createDataFrame(rows, "freight_class_id bigint, freight_class_number string")
 
     def fx_capacity(self) -> DataFrame:
-        """Receiving capacity: warehouses 0..9 × every order day × uploads 0/7/14/21 days earlier."""
+        """Receiving capacity: warehouses 0..9 × every order day × five uploads."""
         o, s = self.t.orders, self.t.supplier
         days = o.select(o.o_orderdate.cast("date").alias("day")).distinct()
         per_wh = days.select("day", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(9).cast("bigint"))).alias("wid"))
         w = s.where(s.s_suppkey < 10).select(s.s_suppkey)
         j = per_wh.join(w, per_wh.wid == w.s_suppkey)
-        j = j.select("s_suppkey", "day", F.explode(F.array(*[F.lit(x) for x in (0, 7, 14, 21)])).alias("lag"))
+        # uploads 0/7/14/21 days before the day, plus the latest plan (lag 28) uploaded on LATEST_PLAN_UPLOAD
+        j = j.select("s_suppkey", "day", F.explode(F.array(*[F.lit(x) for x in (0, 7, 14, 21, 28)])).alias("lag"))
+        upload = F.when(F.col("lag") == 28, F.lit(LATEST_PLAN_UPLOAD).cast("date")).otherwise(F.date_sub("day", F.col("lag")))
         return j.select(
             F.col("s_suppkey").alias("warehouse_id"),
             F.col("day").alias("day_of_unit_capacity"),
-            F.date_sub("day", F.col("lag")).alias("upload_date"),
+            upload.alias("upload_date"),
             (20 + (F.col("s_suppkey") * 7 + F.col("lag")) % 50).alias("inbound_unit_capacity"),
         )
 
