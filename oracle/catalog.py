@@ -29,3 +29,7 @@ oracle("dim_date", MS.calendar_sql(
 oracle("gen_date_range", MS.calendar_sql(
     "(SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), "
     "INTERVAL 1 DAY)) AS DATE) AS d FROM orders)"))
+
+
+# operator entries register themselves on import
+from oracle import operator_sql  # noqa: E402,F401

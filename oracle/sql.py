@@ -31,8 +31,13 @@ def register(name: str, sql: str) -> None:
     FRAGMENTS[name] = sql
 
 
-def render(sql: str) -> str:
-    for k, v in PLACEHOLDERS.items():
+def render(sql: str, as_of: str | None = None) -> str:
+    """Replace placeholders; ``as_of`` ('YYYY-MM-DD HH:MM:SS') renders another run's instant."""
+    values = dict(PLACEHOLDERS)
+    if as_of is not None:
+        values = {k: v.replace(AS_OF_TZ, f"TIMESTAMPTZ '{as_of}+00'").replace(AS_OF, f"TIMESTAMP '{as_of}'")
+                  for k, v in values.items()}
+    for k, v in values.items():
         sql = sql.replace(k, v)
     return sql
 
@@ -42,7 +47,7 @@ def _refs(sql: str) -> list[str]:
     return [n for n in FRAGMENTS if n in words]
 
 
-def build(final_sql: str) -> str:
+def build(final_sql: str, as_of: str | None = None) -> str:
     order: list[str] = []
     seen: set[str] = set()
 
@@ -60,6 +65,6 @@ def build(final_sql: str) -> str:
     for n in _refs(final_sql):
         visit(n)
     if not order:
-        return render(final_sql)
+        return render(final_sql, as_of)
     ctes = ",\n".join(f"{n} AS ({FRAGMENTS[n]}\n)" for n in order)
-    return render(f"WITH {ctes}\n{final_sql}")
+    return render(f"WITH {ctes}\n{final_sql}", as_of)

@@ -25,3 +25,321 @@ def q_dim_date(p: Project) -> DataFrame:
 def q_gen_date_range(p: Project) -> DataFrame:
     """One row per day from the first to the last order date, both ends included."""
     return DD.calendar(DD.date_range_of(p.src.tables.orders, "o_orderdate"), p.ctx.current_timestamp)
+
+
+# --- §2.1 scans, sinks, materialisation -----------------------------------------------------------
+import datetime as dt  # noqa: E402
+import os  # noqa: E402
+
+from quayside.functions import backfill as B  # noqa: E402
+from quayside.functions import calendar as cal  # noqa: E402
+from quayside.functions import scalar as S  # noqa: E402
+from quayside.operators import relops as R  # noqa: E402
+from quayside.operators import sinks  # noqa: E402
+from quayside.plans import dim_warehouse as DW  # noqa: E402
+from quayside.plans import yard_utilization as YU  # noqa: E402
+from quayside.plans.context import RunContext  # noqa: E402
+
+
+def _out_path(p: Project, name: str) -> str:
+    return os.path.join(p.materialize_dir, "sinks", name)
+
+
+@query("scan_source")
+def q_scan_source(p: Project) -> DataFrame:
+    """Declared source scan (the weekly fill-rate fact)."""
+    return p.source("weekly_fill_rate")
+
+
+@query("scan_ref")
+def q_scan_ref(p: Project) -> DataFrame:
+    """Scan of another model's output (materialised warehouse dimension)."""
+    return p.ref("dim_warehouse")
+
+
+@query("scan_external")
+def q_scan_external(p: Project) -> DataFrame:
+    """S3: scan of a table outside the model registry (journeys)."""
+    return p.source("journey")
+
+
+@query("scan_upload_snapshot")
+def q_scan_upload_snapshot(p: Project) -> DataFrame:
+    """Only yesterday's upload of the daily yard sheet."""
+    return p.source("yard_sheet").where(F.col("upload_date") == cal.lit_date(p.ctx.report_date))
+
+
+@query("sink_full_refresh")
+def q_sink_full_refresh(p: Project) -> DataFrame:
+    """Replace the target; written twice, read back once (idempotent)."""
+    path = _out_path(p, "fill_rate_table")
+    df = p.ref("metric_fill_rate")
+    sinks.write_table(df, path)
+    sinks.write_table(df, path)
+    return p.spark.read.parquet(path)
+
+
+@query("sink_cluster_by")
+def q_sink_cluster_by(p: Project) -> DataFrame:
+    """Output clustered (co-partitioned and sorted) by warehouse."""
+    path = _out_path(p, "fill_rate_clustered")
+    sinks.write_table(p.ref("metric_fill_rate"), path, cluster_by=["warehouse_id"])
+    return p.spark.read.parquet(path)
+
+
+@query("sink_insert_overwrite")
+def q_sink_insert_overwrite(p: Project) -> DataFrame:
+    """The previous day's partition survives a run that writes today's."""
+    path = _out_path(p, "fill_rate_partitioned")
+    fr = p.ref("metric_fill_rate")
+    prev = fr.withColumn("report_date", F.date_sub("report_date", 1))
+    sinks.insert_overwrite(prev, path, cluster_by=["warehouse_id"])
+    sinks.insert_overwrite(fr, path, cluster_by=["warehouse_id"])
+    sinks.insert_overwrite(fr, path, cluster_by=["warehouse_id"])
+    return p.spark.read.parquet(path)
+
+
+# Fixed value: an earlier run of the warehouse dimension (European offsets differ then).
+EARLIER_RUN = dt.datetime(1998, 3, 30, 12, 0, 0)
+
+
+def _earlier_project(p: Project) -> Project:
+    ctx = RunContext(as_of=EARLIER_RUN, params=p.ctx.params)
+    return Project(p.spark, p.src, ctx, materialize_dir=os.path.join(p.materialize_dir, "earlier"))
+
+
+@query("incremental_antijoin_target")
+def q_incremental_antijoin_target(p: Project) -> DataFrame:
+    """An incremental run emits only rows whose record hash is not in the target."""
+    target = _earlier_project(p).ref("dim_warehouse")
+    p.targets["dim_warehouse"] = target
+    return p.build("dim_warehouse")
+
+
+@query("sink_merge_upsert")
+def q_sink_merge_upsert(p: Project) -> DataFrame:
+    """Keyed upsert of the incremental rows into the earlier table; matched
+    rows update the listed columns only (creation time and name stay)."""
+    path = _out_path(p, "dim_warehouse_table")
+    earlier = _earlier_project(p).ref("dim_warehouse")
+    sinks.write_table(earlier, path)
+    p.targets["dim_warehouse"] = p.spark.read.parquet(path)
+    updates = p.build("dim_warehouse")
+    return sinks.merge_upsert(p.spark, updates, path, [DW.UNIQUE_KEY], DW.MERGE_UPDATE_COLUMNS)
+
+
+@query("incremental_lookback")
+def q_incremental_lookback(p: Project) -> DataFrame:
+    """An incremental run reads visits created in the last six months only."""
+    start = B.regular_6_month_backfill(p.ctx)
+    q = Project(p.spark, p.src, RunContext(as_of=p.ctx.as_of, params={**p.ctx.params, "visit_lookback_start": start}),
+                materialize_dir=os.path.join(p.materialize_dir, "lookback"))
+    return q.build("dim_yard_trailer")
+
+
+@query("audit_columns")
+def q_audit_columns(p: Project) -> DataFrame:
+    """Creation and modification stamps from the run's as_of."""
+    ts = cal.lit_ntz(p.ctx.current_timestamp)
+    return p.source("facility_type").select("*", ts.alias("dwh_creation_timestamp"), ts.alias("dwh_modified_timestamp"))
+
+
+@query("run_limit")
+def q_run_limit(p: Project) -> DataFrame:
+    """A CI run caps the output rows (the cap is the feature; rows-only check)."""
+    q = Project(p.spark, p.src, RunContext(as_of=p.ctx.as_of, ci_limit=10, params=p.ctx.params),
+                materialize_dir=os.path.join(p.materialize_dir, "ci"))
+    return q.build("metric_fill_rate")
+
+
+@query("view_materialization")
+def q_view_materialization(p: Project) -> DataFrame:
+    """A model published as a temporary view and read by name."""
+    sinks.register_view(p.ref("metric_fill_rate"), "quayside_fill_rate_view")
+    return p.spark.table("quayside_fill_rate_view")
+
+
+# --- §2.2 projections, filters, predicates --------------------------------------------------------
+
+@query("project_alias")
+def q_project_alias(p: Project) -> DataFrame:
+    fr = p.source("weekly_fill_rate")
+    return fr.select(F.col("whid").alias("warehouse_id"), F.col("shipclass").alias("ship_class"),
+                     "cptdatetime", "ShippedOnTime")
+
+
+@query("project_star_plus")
+def q_project_star_plus(p: Project) -> DataFrame:
+    sc = p.source("spot_capacity")
+    return sc.select("*", F.concat(F.col("FCID").cast("string"), F.lit("-"), F.col("Week").cast("string")).alias("identifier"))
+
+
+@query("distinct_rows")
+def q_distinct_rows(p: Project) -> DataFrame:
+    return p.source("yard_sheet").distinct()
+
+
+@query("literal_columns")
+def q_literal_columns(p: Project) -> DataFrame:
+    fr = p.source("weekly_fill_rate")
+    return fr.select("whid", "shipclass", F.lit("daily").alias("cadence"), F.lit("happy_path").alias("qty_path"),
+                     F.lit("310").alias("metric_id"))
+
+
+@query("case_code_override")
+def q_case_code_override(p: Project) -> DataFrame:
+    return DW.warehouse_attributes(p).select("wms_wh_id", "wh_id", "sva_id", "wh")
+
+
+@query("case_in_list")
+def q_case_in_list(p: Project) -> DataFrame:
+    return DW.warehouse_attributes(p).select("wms_wh_id", "wh_id", "region")
+
+
+@query("case_code_minutes")
+def q_case_code_minutes(p: Project) -> DataFrame:
+    return DW.warehouse_attributes(p).select("wms_wh_id", "wh_id", "current_ground_time_in_minutes")
+
+
+@query("case_like_first_match")
+def q_case_like_first_match(p: Project) -> DataFrame:
+    sheet = p.source("yard_sheet")
+    return sheet.select("External_Reference", "upload_date", "WarehouseName",
+                        YU.warehouse_of("WarehouseName").alias("warehouse_id"))
+
+
+@query("case_nested_bucket")
+def q_case_nested_bucket(p: Project) -> DataFrame:
+    from quayside.plans import on_yard as OY
+    snap = p.ref("stg_unit_snapshot")
+    now_local = cal.add_hours(cal.lit_ntz(p.ctx.current_datetime_hq), F.col("time_zone_hours_offset"))
+    return snap.select("inbound_trailer_reservation_id", "arrival_status", "remaining_unload_time_hours",
+                       OY.accountability_bucket(now_local).alias("accountability_bucket"))
+
+
+@query("case_status_compare")
+def q_case_status_compare(p: Project) -> DataFrame:
+    yt = p.ref("dim_yard_trailer")
+    a, s = F.to_date("trailer_arrival_datetime_local"), F.to_date("trailer_scheduled_start_datetime_local")
+    status = F.when(a < s, "arrived_early").when(a == s, "arrived_on_time").when(a > s, "arrived_late")
+    return yt.select("trailer_visit_id", status.alias("arrival_status"))
+
+
+@query("flags_from_compare")
+def q_flags_from_compare(p: Project) -> DataFrame:
+    return p.ref("dim_yard_trailer").select(
+        "trailer_visit_id", "is_arrival_null_and_scheduledstart_before_refresh", "is_arrival_date_equal_scheduled_date",
+        "is_arrival_datetime_before_scheduled_datetime", "is_arrival_date_before_scheduled_date",
+        "is_arrival_date_after_scheduled_date", "is_trailer_unloaded")
+
+
+@query("flag_int")
+def q_flag_int(p: Project) -> DataFrame:
+    from quayside.plans.inbound_trailers import sla_calculation
+    a = sla_calculation(p)
+    return a.select("inbound_reservation_id", "warehouse_id", "sum_trailer_units",
+                    R.flag_int(F.col("unload_diff_arrival") > 72).alias("out_of_arrival_72_hours"),
+                    R.flag_int(F.col("unload_diff_appt") > 1).alias("out_of_appt_1_day"))
+
+
+@query("case_zero_fallback")
+def q_case_zero_fallback(p: Project) -> DataFrame:
+    tv = p.source("truckload_volume")
+    return tv.select("truck_id", S.zero_fallback("loaded_carton_count", "total_cartons").alias("loaded_carton_count"))
+
+
+@query("case_priority")
+def q_case_priority(p: Project) -> DataFrame:
+    up = p.ref("units_happy_sad").unionByName(
+        R.tag(p.ref("units_json_fallback"), path="dbf_path_yard_management"))
+    return up.select("inbound_trailer_reservation_id", "path", "trailer_reservation_units",
+                     F.when(F.col("trailer_reservation_units") == 400, 2).otherwise(1).alias("priority"))
+
+
+@query("case_choose_side")
+def q_case_choose_side(p: Project) -> DataFrame:
+    return p.ref("dim_yard_trailer").select("trailer_visit_id", "site_id", "site_name", "warehouse_id", "warehouse_name")
+
+
+@query("filter_is_true_false")
+def q_filter_is_true_false(p: Project) -> DataFrame:
+    yt = p.ref("dim_yard_trailer")
+    return yt.where(R.is_true("is_trailer_inbound") & R.is_false("is_trailer_cancelled")).select(
+        "trailer_visit_id", "inbound_trailer_reservation_id")
+
+
+@query("filter_not_in")
+def q_filter_not_in(p: Project) -> DataFrame:
+    return p.source("warehouse").where(~F.col("wms_wh_id").isin(DW.TEST_WAREHOUSES)).select("wms_wh_id", "wh_id")
+
+
+@query("filter_in_list")
+def q_filter_in_list(p: Project) -> DataFrame:
+    return p.source("content_detail").where(F.col("ContentType").isin(2, 3)).select("ContentRefID", "ReservationID", "Qty")
+
+
+@query("filter_null")
+def q_filter_null(p: Project) -> DataFrame:
+    v = p.source("trailer_visit_flat")
+    return v.where(F.col("arrival").isNull() & F.col("depart").isNotNull()).select("trailer_visit_id", "depart")
+
+
+@query("filter_equality")
+def q_filter_equality(p: Project) -> DataFrame:
+    fr = p.source("weekly_fill_rate")
+    return fr.where((F.col("performanceexclusions") == 0) & (F.col("OrderType_Performance") == "Standard"))
+
+
+@query("filter_date_between")
+def q_filter_date_between(p: Project) -> DataFrame:
+    lo, hi = cal.py_week_to_date_window(p.ctx.report_date)
+    tl = p.source("tran_log_units")
+    return tl.where(F.to_date("log_datetime_local").between(cal.lit_date(lo), cal.lit_date(hi)))
+
+
+@query("filter_like_any")
+def q_filter_like_any(p: Project) -> DataFrame:
+    from quayside.plans.inbound_trailers import INBOUND_SUBWAREHOUSES
+    r = p.source("reservation")
+    return r.where(R.like_any("subwarehouse", INBOUND_SUBWAREHOUSES)).select("ReservationID", "subwarehouse")
+
+
+@query("filter_inequality")
+def q_filter_inequality(p: Project) -> DataFrame:
+    return p.source("po").where(F.col("SpoId") != F.col("SpoParentSpoId"))
+
+
+@query("compare_string_numeric")
+def q_compare_string_numeric(p: Project) -> DataFrame:
+    fc = p.source("freight_class")
+    n = F.col("freight_class_number")
+    return fc.select("freight_class_id", "freight_class_number", (n > "1").alias("above_one"),
+                     F.when(n == "1", "Bulk_Picks_SP_Bins").when(n > "1", "Bulk_Picks_LP")
+                      .when(n.isNull(), "Bulk_Picks_SP_Bins").alias("Freight_Class"))
+
+
+@query("compare_date_string")
+def q_compare_date_string(p: Project) -> DataFrame:
+    sc = p.source("spot_capacity")
+    return sc.where(F.col("Week") >= F.lit("2000-01-01").cast("date"))
+
+
+@query("filter_asof_on_site")
+def q_filter_asof_on_site(p: Project) -> DataFrame:
+    from quayside.plans.snapshot import on_site
+    return on_site(p.ref("dim_yard_trailer"), p.ctx).select(
+        "trailer_visit_id", "inbound_trailer_reservation_id", "trailer_arrival_datetime_local")
+
+
+@query("arith_offset")
+def q_arith_offset(p: Project) -> DataFrame:
+    sc = p.source("spot_capacity")
+    return sc.select("FCID", "Week", (F.col("Yard_Capacity") + YU.SHARED_CAPACITY_UPLIFT).alias("yard_capacity"),
+                     (F.col("Yard_Capacity") - F.col("FCID")).alias("difference"))
+
+
+@query("filter_numeric_range")
+def q_filter_numeric_range(p: Project) -> DataFrame:
+    snap = p.ref("stg_unit_snapshot")
+    return snap.where(F.col("remaining_unload_time_hours").between(-48, 0) | (F.col("remaining_unload_time_hours") > 48)).select(
+        "inbound_trailer_reservation_id", "remaining_unload_time_hours")
