@@ -39,8 +39,10 @@ FROM orders""",
     "fx_event": """
 SELECT event_id AS EventQueueID, user_id AS ReservationID,
        CASE event_type WHEN 'click' THEN 28 WHEN 'view' THEN 29 ELSE 30 END AS ActionID,
-       ts AS EventDate, ts AS CreatedDate, props AS EventDetail
-FROM events""",
+       o_orderdate + to_seconds(date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) // 10) AS EventDate,
+       o_orderdate + to_seconds(date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) // 10) AS CreatedDate,
+       props AS EventDetail
+FROM events JOIN orders ON user_id = o_orderkey""",
     "fx_event_queue": """
 SELECT event_id AS ID FROM events""",
     "fx_content": """

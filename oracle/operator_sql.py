@@ -116,3 +116,138 @@ oracle("arith_offset", "SELECT FCID, Week, Yard_Capacity + 350 AS yard_capacity,
 oracle("filter_numeric_range", """
 SELECT inbound_trailer_reservation_id, remaining_unload_time_hours FROM om_stg_unit_snapshot
 WHERE remaining_unload_time_hours BETWEEN -48 AND 0 OR remaining_unload_time_hours > 48""")
+
+# --- §2.3 joins -----------------------------------------------------------------------------------
+_SPLIT = "split_part(cd.spoid, '_', 1)"
+_STRIP = "regexp_replace({x}, '^[a-zA-Z_-]+([0-9]+$)', '\\1')"
+oracle("join_inner_equi", """
+SELECT tr.ReservationID, tr.TrailerNumber, ev.EventQueueID, ev.ActionID
+FROM fx_reservation tr JOIN fx_event ev ON tr.ReservationID = ev.ReservationID""")
+oracle("join_left_equi", "SELECT * FROM om_fr_base")
+oracle("join_using", """
+SELECT fr.warehouse_id, fr.cadence, fr.ship_class, fr.fill_rate_mm, w.warehouse_name, w.country_id
+FROM om_metric_fill_rate fr LEFT JOIN om_dim_warehouse w USING (warehouse_id)""")
+oracle("join_left_on_filter", """
+SELECT lm.load_id, jr.shipperGateOutTimestamp FROM fx_load_master lm
+LEFT JOIN fx_journey jr ON lm.load_id = jr.loadId AND jr.shipperGateOutTimestamp IS NOT NULL""")
+oracle("join_left_on_left_filter", f"""
+SELECT cd.ContentRefID, cd.ContentType, {_SPLIT} AS CleanSpoID, slm.slmID FROM fx_content cd
+LEFT JOIN fx_manifest slm ON TRY_CAST({_SPLIT} AS BIGINT) = slm.SlmTruckID AND cd.ContentType IN (2, 3)""")
+oracle("join_inner_on_filter", """
+SELECT sml.truck_id, count(*) AS n_transport_units FROM fx_ship_manifest sml
+JOIN fx_transport_unit tu ON sml.bill_of_lading_number = tu.bill_of_lading_number AND tu.shipment_destination_entity_type = 'Warehouse'
+GROUP BY 1""")
+oracle("join_on_inequality", """
+SELECT spi.SpiID, spi.SpiSpoID, spi.SpiQty, spo.SpoParentSpoId FROM fx_po_item spi
+JOIN fx_po spo ON spi.SpiSpoID = spo.SpoId AND spo.SpoId <> spo.SpoParentSpoId AND spo.SpoType = 3""")
+oracle("join_band_date", "SELECT load_id, reservationID FROM om_load_res_sad WHERE no_duplicates = 1 AND reservationID IS NOT NULL")
+oracle("join_key_regex", f"""
+SELECT lm.tkey, lm.load_id, k.n_reservations, k.first_reservation
+FROM (SELECT load_id, {_STRIP.format(x='trailer_number')} AS tkey FROM fx_load_master) lm
+JOIN (SELECT {_STRIP.format(x='TrailerNumber')} AS tkey, count(*) AS n_reservations, min(ReservationID) AS first_reservation
+      FROM fx_reservation GROUP BY 1) k ON lm.tkey = k.tkey""")
+oracle("join_key_case", f"""
+SELECT s.warehouse_id, s.External_Reference, s.WarehouseName, c.Yard_Capacity
+FROM (SELECT External_Reference, WarehouseName, CAST({_WH_CASE} AS BIGINT) AS warehouse_id FROM fx_yard_sheet
+      WHERE upload_date = {{TODAY}} - 1) s
+LEFT JOIN om_yu_cte2 c ON s.warehouse_id = c.FCID""")
+oracle("join_key_split", f"""
+SELECT cd.ContentRefID, {_SPLIT} AS CleanSpoID, spi.SpiQty FROM fx_content cd
+JOIN fx_po_item spi ON TRY_CAST({_SPLIT} AS BIGINT) = spi.SpiID""")
+oracle("join_key_safe_cast", f"""
+SELECT cd.ContentRefID, cd.spoid, sml.truck_id FROM fx_content cd
+LEFT JOIN fx_ship_manifest sml ON TRY_CAST({_SPLIT} AS BIGINT) = sml.truck_id""")
+oracle("join_multi_key", """
+SELECT cd.ReservationID, cd.ContentRefID, cd.Qty, cd.SpiID FROM fx_reservation_content cr
+JOIN fx_content cd ON cr.ContentRefID = cd.ContentRefID AND cr.ReservationID = cd.ReservationID""")
+oracle("join_anti_left_null", """
+SELECT r.ReservationID, r.subwarehouse FROM fx_reservation r
+LEFT JOIN fx_content cd ON r.ReservationID = cd.ReservationID WHERE cd.ReservationID IS NULL""")
+oracle("join_role_playing", """
+SELECT r.ReservationID, wh.warehouse_name, site.warehouse_name AS site_name, carrier.warehouse_name AS carrier_home
+FROM fx_reservation r
+LEFT JOIN om_dim_warehouse wh ON r.WarehouseID = wh.warehouse_id
+LEFT JOIN om_dim_warehouse site ON r.siteID = site.warehouse_id
+LEFT JOIN om_dim_warehouse carrier ON r.CarrierID % 100 = carrier.warehouse_id""")
+oracle("join_self_partial_key", "SELECT * FROM om_metric_inbound_trailers")
+oracle("join_left_then_inner", "SELECT * FROM om_metric_on_yard_units")
+oracle("join_scalar_max", """
+SELECT warehouse_id, day_of_unit_capacity, inbound_unit_capacity FROM fx_capacity
+WHERE upload_date = (SELECT max(upload_date) FROM fx_capacity)""")
+oracle("join_star_chain", "SELECT * FROM om_metric_throughput_variance")
+from quayside.plans.yard_trailer import VISIT_ARRAYS  # noqa: E402
+oracle("join_lateral_unnest", f"SELECT trailer_visit_id, {', '.join(a for _, a in VISIT_ARRAYS)} FROM om_visit_unnested")
+
+# --- §2.4 aggregations ---------------------------------------------------------------------------------
+_LADDER = """CASE WHEN (trailer_inbound_reservation_units IS NOT NULL OR trailer_inbound_reservation_units % 400 = 0) THEN CAST(trailer_inbound_reservation_units AS DOUBLE)
+           WHEN (trailer_inbound_reservation_units IS NULL OR trailer_inbound_reservation_units % 400 = 0) THEN coalesce(CAST(xd_trailer_reservation_units AS DOUBLE), average_subwarehouse_qty)
+           WHEN trailer_inbound_reservation_units % 400 = 0 THEN CAST(xd_trailer_reservation_units AS DOUBLE)
+           WHEN xd_trailer_reservation_units = 0 THEN average_subwarehouse_qty END"""
+oracle("agg_sum_group", "SELECT warehouse_id, CAST(SUM(inbound_receiving_units) AS BIGINT) AS units FROM fx_tran_log GROUP BY 1")
+oracle("agg_sum_case", f"SELECT subwarehouse, SUM({_LADDER}) AS sum_trailer_units FROM om_stg_units_reservation GROUP BY 1")
+oracle("agg_sum_round", "SELECT SpiSprID, CAST(SUM(ROUND(SpiQty * 0.25, 0)) AS DOUBLE) AS qc_units FROM fx_po_item GROUP BY 1")
+oracle("agg_count_col", "SELECT whid, COUNT(ShippedOnTime) AS n_on_time_known FROM fx_fill_rate GROUP BY 1")
+oracle("agg_count_predicate", """
+SELECT bill_of_lading_number, COUNT(shipment_destination_unloaded_date IS NOT NULL) AS trailer_received_qty,
+       CAST(count_if(shipment_destination_unloaded_date IS NOT NULL) AS BIGINT) AS unloaded_qty
+FROM fx_transport_unit GROUP BY 1""")
+oracle("agg_count_distinct", "SELECT upload_date, WarehouseName, count(DISTINCT External_Reference) AS amount_of_units FROM fx_yard_sheet GROUP BY 1, 2")
+oracle("agg_avg", "SELECT warehouse_id, AVG(inbound_receiving_units) AS avg_units FROM fx_tran_log GROUP BY 1")
+oracle("agg_max_global", "SELECT max(upload_date) AS upload_date FROM fx_capacity")
+oracle("agg_ratio_null_safe", """
+SELECT whid, shipclass, CAST(coalesce(sum(ShippedOnTime), 0) / coalesce(nullif(count(ShippedOnTime), 0), 1) AS DOUBLE) AS fill_rate
+FROM fx_fill_rate GROUP BY 1, 2""")
+oracle("agg_group_as_distinct", "SELECT ReservationID, ContentType FROM fx_content GROUP BY 1, 2")
+oracle("agg_group_ordinal", """
+SELECT warehouse_id, CAST(log_datetime_local AS DATE) AS day, CAST(strftime(CAST(log_datetime_local AS DATE), '%U') AS BIGINT) AS week,
+       CAST(SUM(inbound_receiving_units) AS BIGINT) AS units
+FROM fx_tran_log GROUP BY 1, 2, 3""")
+oracle("agg_group_finer_than_output", "SELECT warehouse_id, date, Freight_Class, CAST(BulkPick_Units AS BIGINT) AS BulkPick_Units FROM om_lpsbreak")
+oracle("agg_pivot", """
+SELECT warehouse_id, date, CAST(Bulk_Picks_LP AS BIGINT) AS Bulk_Picks_LP, CAST(Bulk_Picks_SP_Bins AS BIGINT) AS Bulk_Picks_SP_Bins
+FROM om_lpsbreak2""")
+oracle("agg_sum_plus_sum", """
+SELECT warehouse_id, CAST(SUM(Bulk_Picks_LP) + SUM(Bulk_Picks_SP_Bins) AS BIGINT) AS fc_total_units_shipped_actuals
+FROM om_lpsbreak2 GROUP BY 1""")
+oracle("agg_median_then_avg", """
+SELECT ContentType, CAST(AVG(m) AS DOUBLE) AS median_qty
+FROM (SELECT ContentType, quantile_disc(Qty, 0.5) OVER (PARTITION BY ContentType) AS m FROM fx_content) GROUP BY 1""")
+oracle("agg_on_join_fanout", "SELECT * FROM om_metric_inbound_trailers")
+oracle("agg_lag_capacity", "SELECT warehouse_id, sum_ib_unit_capacity_daily AS sum_ib_unit_capacity_daily_lag2 FROM om_ib_unit_capacity_daily_lag2")
+
+# --- §2.5 windows -----------------------------------------------------------------------------------------
+oracle("win_latest_row", """
+SELECT inbound_trailer_reservation_id, warehouse_id, subwarehouse, trailer_arrival_datetime_local, is_trailer_unloaded
+FROM om_lri WHERE latest_res_id = 1""")
+oracle("win_first_event", """
+SELECT EventQueueID, ReservationID, ActionID, EventDate FROM fx_event
+QUALIFY ROW_NUMBER() OVER (PARTITION BY ReservationID, ActionID ORDER BY EventDate, EventQueueID) = 1""")
+oracle("win_any_row", """
+SELECT trailer_number, load_id, actual_ship_date FROM fx_load_master
+QUALIFY ROW_NUMBER() OVER (PARTITION BY trailer_number ORDER BY load_id) = 1""")
+oracle("win_qualify_one", "SELECT * FROM om_load_gate_out")
+oracle("win_priority_pick", "SELECT * FROM om_units_priority")
+oracle("win_rank_latest_ties", """
+SELECT * FROM fx_capacity QUALIFY RANK() OVER (PARTITION BY warehouse_id, day_of_unit_capacity ORDER BY upload_date DESC) = 1""")
+oracle("win_percentile_disc", """
+SELECT ContentRefID, ReservationID, ContentType, Qty,
+       CAST(quantile_disc(Qty, 0.5) OVER (PARTITION BY ContentType) AS DOUBLE) AS median_qty FROM fx_content""")
+oracle("win_over_grouped", """
+SELECT ReservationID, CAST(SUM(Qty) AS BIGINT) AS qty,
+       ROW_NUMBER() OVER (PARTITION BY ReservationID ORDER BY ReservationID) AS row_num
+FROM fx_content GROUP BY 1""")
+oracle("win_latest_event_json", """
+SELECT inbound_trailer_reservation_id AS ReservationID, CAST(total_quantity AS BIGINT) AS total_quantity
+FROM om_dbf_raw WHERE row_num = 1""")
+
+# --- §2.6 / §2.7 -------------------------------------------------------------------------------------------
+from oracle.models_sql import calendar_sql  # noqa: E402
+oracle("sort_output", calendar_sql(
+    "(SELECT CAST(unnest(generate_series(min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), "
+    "INTERVAL 1 DAY)) AS DATE) AS d FROM orders)") + "\nORDER BY date_actual")
+oracle("topk_per_group", """
+SELECT * FROM fx_capacity QUALIFY ROW_NUMBER() OVER (PARTITION BY warehouse_id, day_of_unit_capacity
+                                                     ORDER BY upload_date DESC, inbound_unit_capacity DESC) = 1""")
+oracle("union_all_paths", "SELECT * FROM om_load_reservation_match")
+oracle("union_all_cadences", "SELECT * FROM om_metric_fill_rate")
+oracle("union_all_metrics", "SELECT * FROM om_report_inbound_cte")

@@ -343,3 +343,376 @@ def q_filter_numeric_range(p: Project) -> DataFrame:
     snap = p.ref("stg_unit_snapshot")
     return snap.where(F.col("remaining_unload_time_hours").between(-48, 0) | (F.col("remaining_unload_time_hours") > 48)).select(
         "inbound_trailer_reservation_id", "remaining_unload_time_hours")
+
+
+# --- §2.3 joins ---------------------------------------------------------------------------------------
+
+@query("join_inner_equi")
+def q_join_inner_equi(p: Project) -> DataFrame:
+    tr = p.source("reservation").select("ReservationID", "TrailerNumber")
+    ev = p.source("reservation_event").select("EventQueueID", "ReservationID", "ActionID")
+    return tr.join(ev, "ReservationID")
+
+
+@query("join_left_equi")
+def q_join_left_equi(p: Project) -> DataFrame:
+    from quayside.plans.fill_rate import fill_rate_base
+    return fill_rate_base(p)
+
+
+@query("join_using")
+def q_join_using(p: Project) -> DataFrame:
+    fr = p.ref("metric_fill_rate").select("warehouse_id", "cadence", "ship_class", "fill_rate_mm")
+    wh = p.ref("dim_warehouse").select("warehouse_id", "warehouse_name", "country_id")
+    return fr.join(R.bounded_broadcast(wh), "warehouse_id", "left")
+
+
+@query("join_left_on_filter")
+def q_join_left_on_filter(p: Project) -> DataFrame:
+    lm = p.source("load_master").select("load_id")
+    jr = p.source("journey")
+    return lm.join(jr, (lm.load_id == jr.loadId) & jr.shipperGateOutTimestamp.isNotNull(), "left").select(
+        "load_id", "shipperGateOutTimestamp")
+
+
+@query("join_left_on_left_filter")
+def q_join_left_on_left_filter(p: Project) -> DataFrame:
+    cd = p.source("content_detail").select("ContentRefID", "ContentType", S.split_first("spoid").alias("CleanSpoID"))
+    slm = p.source("shipping_load_manifest")
+    cond = (cd.CleanSpoID.try_cast("bigint") == slm.SlmTruckID) & cd.ContentType.isin(2, 3)
+    return cd.join(slm, cond, "left").select("ContentRefID", "ContentType", "CleanSpoID", "slmID")
+
+
+@query("join_inner_on_filter")
+def q_join_inner_on_filter(p: Project) -> DataFrame:
+    sml = p.source("shipment_manifest")
+    tu = p.source("transport_unit")
+    cond = (sml.bill_of_lading_number == tu.bill_of_lading_number) & (tu.shipment_destination_entity_type == "Warehouse")
+    return (sml.join(tu, cond).groupBy(sml.truck_id)
+               .agg(F.count(F.lit(1)).alias("n_transport_units")))
+
+
+@query("join_on_inequality")
+def q_join_on_inequality(p: Project) -> DataFrame:
+    spi = p.source("po_item")
+    spo = p.source("po")
+    cond = (spi.SpiSpoID == spo.SpoId) & (spo.SpoId != spo.SpoParentSpoId) & (spo.SpoType == 3)
+    return spi.join(spo, cond).select("SpiID", "SpiSpoID", "SpiQty", "SpoParentSpoId")
+
+
+@query("join_band_date")
+def q_join_band_date(p: Project) -> DataFrame:
+    """J8 (+J9): loads matched to reservation events by normalised trailer number and
+    ship date within ±1 day; the smallest matching reservation per load."""
+    from quayside.plans.yard_trailer import _sad_matches
+    return _sad_matches(p)
+
+
+@query("join_key_regex")
+def q_join_key_regex(p: Project) -> DataFrame:
+    """Loads joined to reservations on the normalised trailer number; the
+    reservation side is reduced to one row per key first (count, smallest id)."""
+    res = (p.source("reservation").groupBy(S.strip_alpha_prefix("TrailerNumber").alias("tkey"))
+           .agg(F.count(F.lit(1)).alias("n_reservations"), F.min("ReservationID").alias("first_reservation")))
+    lm = p.source("load_master").select("load_id", S.strip_alpha_prefix("trailer_number").alias("tkey"))
+    return lm.join(res, "tkey")
+
+
+@query("join_key_case")
+def q_join_key_case(p: Project) -> DataFrame:
+    sheet = (p.source("yard_sheet").where(F.col("upload_date") == cal.lit_date(p.ctx.report_date))
+             .select("External_Reference", "WarehouseName", YU.warehouse_of("WarehouseName").alias("warehouse_id")))
+    today = p.ctx.current_date
+    cap = (p.source("spot_capacity").where((cal.week_number_sunday("Week") == cal.py_week_number_sunday(today))
+                                             & (F.year("Week") == today.year))
+           .select(F.col("FCID").alias("warehouse_id"), "Yard_Capacity"))
+    return sheet.join(R.bounded_broadcast(cap), "warehouse_id", "left")
+
+
+@query("join_key_split")
+def q_join_key_split(p: Project) -> DataFrame:
+    cd = p.source("content_detail").select("ContentRefID", S.split_first("spoid").alias("CleanSpoID"))
+    spi = p.source("po_item").select("SpiID", "SpiQty")
+    return cd.join(spi, cd.CleanSpoID.try_cast("bigint") == spi.SpiID).select("ContentRefID", "CleanSpoID", "SpiQty")
+
+
+@query("join_key_safe_cast")
+def q_join_key_safe_cast(p: Project) -> DataFrame:
+    cd = p.source("content_detail").select("ContentRefID", "spoid", S.split_first("spoid").alias("CleanSpoID"))
+    sml = p.source("shipment_manifest")
+    return cd.join(sml, cd.CleanSpoID.try_cast("bigint") == sml.truck_id, "left").select(
+        "ContentRefID", "spoid", "truck_id")
+
+
+@query("join_multi_key")
+def q_join_multi_key(p: Project) -> DataFrame:
+    cr = p.source("reservation_content")
+    cd = p.source("content_detail").select("ContentRefID", "ReservationID", "Qty", "SpiID")
+    return cr.join(cd, ["ContentRefID", "ReservationID"]).select("ReservationID", "ContentRefID", "Qty", "SpiID")
+
+
+@query("join_anti_left_null")
+def q_join_anti_left_null(p: Project) -> DataFrame:
+    r = p.source("reservation").select("ReservationID", "subwarehouse")
+    cd = p.source("content_detail").select("ReservationID")
+    return R.anti_join(r, cd, "ReservationID")
+
+
+@query("join_role_playing")
+def q_join_role_playing(p: Project) -> DataFrame:
+    dims = R.bounded_broadcast(p.ref("dim_warehouse").select("warehouse_id", "warehouse_name"))
+    r = p.source("reservation").select("ReservationID", "WarehouseID", "siteID", "CarrierID")
+    wh = dims.select(F.col("warehouse_id").alias("wh_id"), F.col("warehouse_name").alias("warehouse_name"))
+    site = dims.select(F.col("warehouse_id").alias("site_wh"), F.col("warehouse_name").alias("site_name"))
+    carrier = dims.select(F.col("warehouse_id").alias("carrier_wh"), F.col("warehouse_name").alias("carrier_home"))
+    return (r.join(wh, r.WarehouseID == wh.wh_id, "left").join(site, r.siteID == site.site_wh, "left")
+             .join(carrier, (r.CarrierID % 100) == carrier.carrier_wh, "left")
+             .select("ReservationID", "warehouse_name", "site_name", "carrier_home"))
+
+
+@query("join_self_partial_key")
+def q_join_self_partial_key(p: Project) -> DataFrame:
+    """The inbound-trailer self join on reservation id, multiplication kept."""
+    return p.build("metric_inbound_trailers")
+
+
+@query("join_left_then_inner")
+def q_join_left_then_inner(p: Project) -> DataFrame:
+    """Left join to capacity followed by an inner join on its column = inner join."""
+    return p.build("metric_on_yard_units")
+
+
+@query("join_scalar_max")
+def q_join_scalar_max(p: Project) -> DataFrame:
+    cap = p.source("receiving_capacity")
+    latest = cap.agg(F.max("upload_date").alias("upload_date"))
+    return cap.join(F.broadcast(latest), "upload_date").select("warehouse_id", "day_of_unit_capacity", "inbound_unit_capacity")
+
+
+@query("join_star_chain")
+def q_join_star_chain(p: Project) -> DataFrame:
+    """Six left joins of per-warehouse aggregates (throughput variance)."""
+    return p.build("metric_throughput_variance")
+
+
+@query("join_lateral_unnest")
+def q_join_lateral_unnest(p: Project) -> DataFrame:
+    from quayside.plans.yard_trailer import VISIT_ARRAYS
+    v = R.explode_all_outer(p.source("trailer_visit"), VISIT_ARRAYS)
+    return v.select("trailer_visit_id", *[alias for _, alias in VISIT_ARRAYS])
+
+
+# --- §2.4 aggregations ---------------------------------------------------------------------------------
+
+@query("agg_sum_group")
+def q_agg_sum_group(p: Project) -> DataFrame:
+    return p.source("tran_log_units").groupBy("warehouse_id").agg(F.sum("inbound_receiving_units").alias("units"))
+
+
+@query("agg_sum_case")
+def q_agg_sum_case(p: Project) -> DataFrame:
+    from quayside.plans.snapshot import unit_ladder
+    ur = p.ref("stg_units_reservation")
+    return ur.groupBy("subwarehouse").agg(F.sum(unit_ladder()).alias("sum_trailer_units"))
+
+
+@query("agg_sum_round")
+def q_agg_sum_round(p: Project) -> DataFrame:
+    spi = p.source("po_item")
+    return spi.groupBy("SpiSprID").agg(F.sum(F.round(F.col("SpiQty") * F.lit(0.25), 0)).cast("double").alias("qc_units"))
+
+
+@query("agg_count_col")
+def q_agg_count_col(p: Project) -> DataFrame:
+    return p.source("weekly_fill_rate").groupBy("whid").agg(F.count("ShippedOnTime").alias("n_on_time_known"))
+
+
+@query("agg_count_predicate")
+def q_agg_count_predicate(p: Project) -> DataFrame:
+    """A5: COUNT(x IS NOT NULL) counts every row; count_if counts the true ones."""
+    tu = p.source("transport_unit")
+    pred = F.col("shipment_destination_unloaded_date").isNotNull()
+    return tu.groupBy("bill_of_lading_number").agg(F.count(pred).alias("trailer_received_qty"),
+                                                  F.count_if(pred).alias("unloaded_qty"))
+
+
+@query("agg_count_distinct")
+def q_agg_count_distinct(p: Project) -> DataFrame:
+    return p.source("yard_sheet").groupBy("upload_date", "WarehouseName").agg(
+        F.count_distinct("External_Reference").alias("amount_of_units"))
+
+
+@query("agg_avg")
+def q_agg_avg(p: Project) -> DataFrame:
+    return p.source("tran_log_units").groupBy("warehouse_id").agg(F.avg("inbound_receiving_units").alias("avg_units"))
+
+
+@query("agg_max_global")
+def q_agg_max_global(p: Project) -> DataFrame:
+    return p.source("receiving_capacity").agg(F.max("upload_date").alias("upload_date"))
+
+
+@query("agg_ratio_null_safe")
+def q_agg_ratio_null_safe(p: Project) -> DataFrame:
+    fr = p.source("weekly_fill_rate")
+    return fr.groupBy("whid", "shipclass").agg(
+        S.null_safe_ratio(F.sum("ShippedOnTime"), F.count("ShippedOnTime")).cast("double").alias("fill_rate"))
+
+
+@query("agg_group_as_distinct")
+def q_agg_group_as_distinct(p: Project) -> DataFrame:
+    return p.source("content_detail").select("ReservationID", "ContentType").distinct()
+
+
+@query("agg_group_ordinal")
+def q_agg_group_ordinal(p: Project) -> DataFrame:
+    tl = p.source("tran_log_units")
+    d = F.to_date("log_datetime_local")
+    return tl.groupBy("warehouse_id", d.alias("day"), cal.week_number_sunday(d).alias("week")).agg(
+        F.sum("inbound_receiving_units").alias("units"))
+
+
+def _freight_fine(p: Project) -> DataFrame:
+    tl = p.source("tran_log_units_freight")
+    fc = R.bounded_broadcast(p.source("freight_class"))
+    num = F.col("freight_class_number")
+    label = F.when(num == "1", "Bulk_Picks_SP_Bins").when(num > "1", "Bulk_Picks_LP").when(num.isNull(), "Bulk_Picks_SP_Bins")
+    fine = tl.join(fc, "freight_class_id").groupBy("warehouse_id", F.to_date("log_datetime_local").alias("date"), num).agg(
+        (F.sum("bulk_pick_units") + F.sum("bins_pick_units")).alias("BulkPick_Units"))
+    return fine.select("warehouse_id", "date", label.alias("Freight_Class"), "BulkPick_Units")
+
+
+@query("agg_group_finer_than_output")
+def q_agg_group_finer_than_output(p: Project) -> DataFrame:
+    return _freight_fine(p)
+
+
+def _freight_pivot(p: Project) -> DataFrame:
+    return (_freight_fine(p).groupBy("warehouse_id", "date")
+            .pivot("Freight_Class", ["Bulk_Picks_LP", "Bulk_Picks_SP_Bins"]).agg(F.sum("BulkPick_Units")))
+
+
+@query("agg_pivot")
+def q_agg_pivot(p: Project) -> DataFrame:
+    return _freight_pivot(p)
+
+
+@query("agg_sum_plus_sum")
+def q_agg_sum_plus_sum(p: Project) -> DataFrame:
+    return _freight_pivot(p).groupBy("warehouse_id").agg(
+        (F.sum("Bulk_Picks_LP") + F.sum("Bulk_Picks_SP_Bins")).alias("fc_total_units_shipped_actuals"))
+
+
+@query("agg_median_then_avg")
+def q_agg_median_then_avg(p: Project) -> DataFrame:
+    """Discrete median per group as a grouped percentile_disc."""
+    return p.source("content_detail").groupBy("ContentType").agg(
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY Qty)").cast("double").alias("median_qty"))
+
+
+@query("agg_on_join_fanout")
+def q_agg_on_join_fanout(p: Project) -> DataFrame:
+    return p.build("metric_inbound_trailers")
+
+
+@query("agg_lag_capacity")
+def q_agg_lag_capacity(p: Project) -> DataFrame:
+    from quayside.plans.throughput import capacity
+    today = p.ctx.current_date
+    yday = today - dt.timedelta(days=1)
+    return capacity(p, today, yday, cal.py_week_to_date_window(yday))[1]
+
+
+# --- §2.5 windows ------------------------------------------------------------------------------------
+
+@query("win_latest_row")
+def q_win_latest_row(p: Project) -> DataFrame:
+    return p.build("latest_inbound_visit")
+
+
+@query("win_first_event")
+def q_win_first_event(p: Project) -> DataFrame:
+    ev = p.source("reservation_event").select("EventQueueID", "ReservationID", "ActionID", "EventDate")
+    return R.pick_first(ev, ["ReservationID", "ActionID"], [F.col("EventDate"), F.col("EventQueueID")])
+
+
+@query("win_any_row")
+def q_win_any_row(p: Project) -> DataFrame:
+    """One row per key where the reference orders by the key itself; a full
+    tie-break (load id) makes the pick fixed."""
+    lm = p.source("load_master").select("trailer_number", "load_id", "actual_ship_date")
+    return R.pick_first(lm, ["trailer_number"], [F.col("load_id")])
+
+
+@query("win_qualify_one")
+def q_win_qualify_one(p: Project) -> DataFrame:
+    return p.build("load_gate_out")
+
+
+@query("win_priority_pick")
+def q_win_priority_pick(p: Project) -> DataFrame:
+    return p.build("units_priority")
+
+
+@query("win_rank_latest_ties")
+def q_win_rank_latest_ties(p: Project) -> DataFrame:
+    cap = p.source("receiving_capacity")
+    return R.pick_rank_first(cap, ["warehouse_id", "day_of_unit_capacity"], [F.col("upload_date").desc()])
+
+
+@query("win_percentile_disc")
+def q_win_percentile_disc(p: Project) -> DataFrame:
+    """Windowed percentile_disc; every row of a partition carries its median."""
+    from pyspark.sql import Window
+    cd = p.source("content_detail").select("ContentRefID", "ReservationID", "ContentType", "Qty")
+    med = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY Qty)").over(Window.partitionBy("ContentType"))
+    return cd.select("ContentRefID", "ReservationID", "ContentType", "Qty", med.cast("double").alias("median_qty"))
+
+
+@query("win_over_grouped")
+def q_win_over_grouped(p: Project) -> DataFrame:
+    """ROW_NUMBER over a GROUP BY result partitioned by its key is always 1."""
+    from pyspark.sql import Window
+    g = p.source("content_detail").groupBy("ReservationID").agg(F.sum("Qty").alias("qty"))
+    return g.withColumn("row_num", F.row_number().over(Window.partitionBy("ReservationID").orderBy("ReservationID")))
+
+
+@query("win_latest_event_json")
+def q_win_latest_event_json(p: Project) -> DataFrame:
+    path = p.ctx.param("units_json_path", "$.reservationDetails.totalQuantity")
+    eq = p.source("event_queue")
+    re_ = p.source("reservation_event")
+    ev = re_.join(eq, re_.EventQueueID == eq.ID)
+    newest = R.pick_first(ev, ["ReservationID"], [F.col("EventDate").desc(), F.col("EventQueueID").desc()])
+    return newest.select("ReservationID", S.json_int("EventDetail", path).alias("total_quantity"))
+
+
+# --- §2.6 sorts, §2.7 set operations ---------------------------------------------------------------------
+
+@query("sort_output")
+def q_sort_output(p: Project) -> DataFrame:
+    return DD.calendar(DD.date_range_of(p.src.tables.orders, "o_orderdate"), p.ctx.current_timestamp).orderBy("date_actual")
+
+
+@query("topk_per_group")
+def q_topk_per_group(p: Project) -> DataFrame:
+    """The top row per group (newest capacity upload per warehouse and day)."""
+    cap = p.source("receiving_capacity")
+    return R.pick_first(cap, ["warehouse_id", "day_of_unit_capacity"],
+                        [F.col("upload_date").desc(), F.col("inbound_unit_capacity").desc()])
+
+
+@query("union_all_paths")
+def q_union_all_paths(p: Project) -> DataFrame:
+    return p.build("load_reservation_match")
+
+
+@query("union_all_cadences")
+def q_union_all_cadences(p: Project) -> DataFrame:
+    return p.build("metric_fill_rate")
+
+
+@query("union_all_metrics")
+def q_union_all_metrics(p: Project) -> DataFrame:
+    from quayside.plans.reporting import inbound_rows
+    return inbound_rows(p)

@@ -41,6 +41,8 @@ def _case(value: Column, pairs: list[tuple], default) -> Column:
 
 # Fixed value: upload date of the capacity stand-in's latest plan (after every order day).
 LATEST_PLAN_UPLOAD = "2001-12-31"
+# Fixed value: start of the driver's event stream.
+EVENT_EPOCH = "2024-01-01 00:00:00"
 
 
 class Fixtures:
@@ -114,13 +116,19 @@ class Fixtures:
         )
 
     def fx_event(self) -> DataFrame:
-        e = self.t.events
-        return e.select(
+        """Reservation events.  Each event is placed after its reservation's order
+        date by its offset into January 2024, compressed tenfold (0-3 days), so
+        events sit next to the reservation they belong to."""
+        e, o = self.t.events, self.t.orders
+        j = e.join(o.select("o_orderkey", "o_orderdate"), e.user_id == o.o_orderkey)
+        offset = F.floor(F.timestamp_diff("SECOND", F.lit(EVENT_EPOCH).cast("timestamp_ntz"), e.ts) / 10)
+        when = F.timestamp_add("SECOND", offset.cast("bigint"), F.col("o_orderdate"))
+        return j.select(
             e.event_id.alias("EventQueueID"),
             e.user_id.alias("ReservationID"),
             _case(e.event_type, [("click", 28), ("view", 29)], 30).alias("ActionID"),
-            e.ts.alias("EventDate"),
-            e.ts.alias("CreatedDate"),
+            when.alias("EventDate"),
+            when.alias("CreatedDate"),
             e.props.alias("EventDetail"),
         )
 
