@@ -251,3 +251,119 @@ SELECT * FROM fx_capacity QUALIFY ROW_NUMBER() OVER (PARTITION BY warehouse_id,
 oracle("union_all_paths", "SELECT * FROM om_load_reservation_match")
 oracle("union_all_cadences", "SELECT * FROM om_metric_fill_rate")
 oracle("union_all_metrics", "SELECT * FROM om_report_inbound_cte")
+
+# --- §2.8 scalar functions ------------------------------------------------------------------------------
+_NY = "timezone('America/New_York', timezone('UTC', {x}))"
+oracle("fn_concat_op", "SELECT wms_wh_id, wh_id || '#' || state || '#' || zip AS joined FROM fx_wh")
+oracle("fn_concat", "SELECT FCID, Week, concat(CAST(FCID AS VARCHAR), '-', CAST(Week AS VARCHAR)) AS identifier FROM fx_spot_capacity")
+oracle("fn_split_first", "SELECT ContentRefID, spoid, split_part(spoid, '_', 1) AS CleanSpoID FROM fx_content")
+oracle("fn_left", "SELECT ContentRefID, left(spoid, 1) AS first_char FROM fx_content")
+oracle("fn_regexp_strip_prefix", f"SELECT ReservationID, TrailerNumber, {_STRIP.format(x='TrailerNumber')} AS trailer_key FROM fx_reservation")
+oracle("fn_like", "SELECT ReservationID, subwarehouse LIKE '%Inbound%' AS is_inbound_sub, subwarehouse LIKE 'VAS' AS is_vas FROM fx_reservation")
+oracle("fn_hash_record", "SELECT warehouse_id, hash_record FROM om_dim_warehouse")
+oracle("fn_surrogate_key", """
+SELECT wms_wh_id, md5(concat(coalesce(CAST(wh_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'), '-',
+  coalesce(CAST(name AS VARCHAR), '_dbt_utils_surrogate_key_null_'), '-', coalesce(CAST(city AS VARCHAR), '_dbt_utils_surrogate_key_null_'), '-',
+  coalesce(CAST(state AS VARCHAR), '_dbt_utils_surrogate_key_null_'), '-', coalesce(CAST(zip AS VARCHAR), '_dbt_utils_surrogate_key_null_'))) AS surrogate_key
+FROM fx_wh""")
+oracle("fn_json_query", "SELECT EventQueueID, CAST(json_extract_string(EventDetail, '$.k') AS BIGINT) AS total_quantity FROM fx_event")
+oracle("fn_ifnull", "SELECT wms_wh_id, coalesce(state, 'N/A') AS warehouse_state FROM fx_wh")
+oracle("fn_coalesce", "SELECT wms_wh_id, coalesce(zip, state, city) AS locality FROM fx_wh")
+oracle("fn_nullif", "SELECT truck_id, nullif(loaded_carton_count, 0) AS loaded FROM fx_truckload")
+oracle("fn_safe_divide", "SELECT truck_id, CASE WHEN loaded_carton_count = 0 THEN NULL ELSE total_cartons / loaded_carton_count END AS ratio FROM fx_truckload")
+oracle("fn_round", "SELECT SpiID, CAST(ROUND(SpiQty * 0.25, 0) AS DOUBLE) AS qc, round(SpiQty / 7, 1) AS per_week FROM fx_po_item")
+oracle("fn_mod", "SELECT ContentRefID, Qty % 400 AS qty_mod FROM fx_content")
+oracle("fn_safe_cast", "SELECT ContentRefID, TRY_CAST(split_part(spoid, '_', 1) AS BIGINT) AS truck_id FROM fx_content")
+oracle("fn_cast", """
+SELECT CAST(whid AS BIGINT) AS warehouse_id, CAST(cptdatetime AS DATE) AS day, CAST(ShippedOnTime AS DOUBLE) AS on_time,
+       CAST(ShippedOnTime AS VARCHAR) AS on_time_s FROM fx_fill_rate""")
+oracle("fn_if", "SELECT warehouse_id, IF(bulk_pick_units > 0, 'bulk', 'bins') AS pick_kind FROM fx_tran_log")
+oracle("fn_current_date", """
+SELECT whid, cptdatetime, date_diff('day', CAST(cptdatetime AS DATE), {TODAY}) AS days_utc,
+       date_diff('day', CAST(cptdatetime AS DATE), {TODAY_NY}) AS days_ny FROM fx_fill_rate""")
+oracle("fn_current_datetime", "SELECT trailer_visit_id, date_diff('hour', arrival, {NOW_NY}) AS hours_ago FROM fx_visit_flat")
+oracle("fn_current_timestamp", "SELECT wh_id, {AS_OF} AS refreshed_at FROM fx_facility_type")
+oracle("fn_datetime_in_zone", f"""
+SELECT trailer_visit_id, {_NY.format(x='arrival')} AS arrival_ny,
+       timezone('Europe/Berlin', timezone('UTC', depart)) AS depart_berlin FROM fx_visit_flat""")
+oracle("fn_local_by_offset", """
+SELECT ev.EventQueueID, ev.EventDate + CAST(dw.time_zone_hours_offset AS BIGINT) * INTERVAL '1' HOUR AS event_local
+FROM fx_event ev JOIN fx_reservation tr ON ev.ReservationID = tr.ReservationID
+LEFT JOIN om_dim_warehouse dw ON tr.WarehouseID = dw.warehouse_id""")
+oracle("fn_zone_offset_hours", """
+SELECT a.wms_wh_id, a.sty_id, a.hours_offset, wh.hours_offset AS hours_offset_old
+FROM om_wh_attr a JOIN fx_wh wh ON a.wms_wh_id = wh.wms_wh_id""")
+oracle("fn_datetime_diff_hour", "SELECT trailer_visit_id, date_diff('hour', arrival, unload_complete) AS hours_to_unload FROM fx_visit_flat")
+oracle("fn_hours_to_days", "SELECT trailer_visit_id, date_diff('hour', arrival, depart) / 24 AS days_on_yard FROM fx_visit_flat")
+oracle("fn_date_add_sub", """
+SELECT whid, CAST(CAST(cptdatetime AS DATE) - 3 AS DATE) AS minus_3d, CAST(CAST(cptdatetime AS DATE) + 7 AS DATE) AS plus_1w,
+       CAST(CAST(cptdatetime AS DATE) - INTERVAL 6 MONTH AS DATE) AS minus_6m, CAST(CAST(cptdatetime AS DATE) - 1 AS DATE) AS minus_1d
+FROM fx_fill_rate""")
+oracle("fn_datetime_add_sub", """
+SELECT trailer_visit_id, arrival - INTERVAL 1 DAY AS arrival_minus_1d, arrival + INTERVAL 4 HOUR AS arrival_plus_4h,
+       arrival + INTERVAL 1 DAY AS arrival_plus_1d FROM fx_visit_flat""")
+oracle("fn_cutoff_time", """
+SELECT trailer_visit_id, CAST(CAST(arrival AS DATE) AS TIMESTAMP) + INTERVAL 4 HOUR AS cutoff_4h,
+       CAST(CAST(arrival AS DATE) AS TIMESTAMP) AS cutoff_0h FROM fx_visit_flat""")
+oracle("fn_date_trunc_week", "SELECT cptdatetime, CAST(CAST(cptdatetime AS DATE) - CAST(dayofweek(cptdatetime) AS INTEGER) AS DATE) AS week_start FROM fx_fill_rate")
+oracle("fn_week_number_sunday", "SELECT cptdatetime, CAST(strftime(cptdatetime, '%U') AS BIGINT) AS week FROM fx_fill_rate")
+oracle("fn_extract_parts", """
+SELECT trailer_visit_id, year(arrival) AS y, day(arrival) AS d, hour(arrival) AS h, dayofweek(arrival) + 1 AS dow FROM fx_visit_flat""")
+oracle("fn_week_to_date_window", """
+SELECT log_datetime_local,
+  CAST(CAST(log_datetime_local AS DATE) - 1 - CAST(dayofweek(CAST(log_datetime_local AS DATE) - 1) AS INTEGER) AS DATE) AS wtd_start,
+  CAST(CAST(log_datetime_local AS DATE) - 1 - CAST(dayofweek(CAST(log_datetime_local AS DATE) - 1) AS INTEGER) - 1 + 7 AS DATE) AS wtd_end
+FROM fx_tran_log""")
+oracle("fn_date_of", "SELECT loadId, CAST(shipperGateOutTimestamp AS DATE) AS gate_out_day FROM fx_journey")
+oracle("fn_timestamp_of", "SELECT loadId, CAST(CAST(shipperGateOutTimestamp AS VARCHAR) AS TIMESTAMP) AS gate_out FROM fx_journey")
+
+# --- §2.11 backfill ------------------------------------------------------------------------------------
+oracle("backfill_window_filter", "SELECT * FROM fx_tran_log WHERE CAST(log_datetime_local AS DATE) BETWEEN DATE '1995-01-01' AND {TODAY}")
+oracle("backfill_lookback_start", "SELECT * FROM fx_tran_log WHERE CAST(log_datetime_local AS DATE) >= {TODAY} - 7")
+
+# --- §2.12 quality -------------------------------------------------------------------------------------
+from quayside.operators import quality as _Q  # noqa: E402
+oracle("dq_not_null", "SELECT * FROM om_metric_throughput_variance WHERE received_units_actual_reporting_daily IS NULL")
+oracle("dq_unique", """
+SELECT inbound_trailer_reservation_id, count(*) AS n_records FROM om_stg_unit_snapshot
+WHERE inbound_trailer_reservation_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1""")
+oracle("dq_accepted_values", """
+SELECT trailer_visit_id, trailer_status FROM om_dim_yard_trailer
+WHERE NOT coalesce(trailer_status IN ('F', 'O'), false)""")
+oracle("dq_compound_unique", """
+SELECT metric_id, metric_name, time_base_date, warehouse_name, country_long, count(*) AS n_records
+FROM om_report_inbound GROUP BY 1, 2, 3, 4, 5 HAVING count(*) > 1""")
+oracle("dq_relationships", """
+SELECT warehouse_id, cadence, ship_class FROM om_metric_fill_rate
+WHERE warehouse_id IS NOT NULL AND warehouse_id NOT IN (SELECT warehouse_id FROM om_dim_warehouse WHERE warehouse_id IS NOT NULL)""")
+
+
+def _check_sql(c) -> str:
+    src = f"om_{c.model}"
+    cols = list(c.columns)
+    if c.kind == "not_null":
+        body = f"SELECT count(*) FROM {src} WHERE {cols[0]} IS NULL"
+    elif c.kind == "unique":
+        body = f"SELECT count(*) FROM (SELECT {cols[0]} FROM {src} WHERE {cols[0]} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+    elif c.kind == "accepted_values":
+        vals = ", ".join(_q(v) for v in c.values)
+        ok = f"{cols[0]} IN ({vals})" + (f" OR {cols[0]} IS NULL" if c.allow_null else "")
+        body = f"SELECT count(*) FROM {src} WHERE NOT coalesce({ok}, false)"
+    elif c.kind == "compound_unique":
+        body = f"SELECT count(*) FROM (SELECT {', '.join(cols)} FROM {src} GROUP BY ALL HAVING count(*) > 1)"
+    else:
+        raise ValueError(c.kind)
+    return (f"SELECT '{c.kind}' AS \"check\", '{c.model}' AS model, '{','.join(cols)}' AS columns, "
+            f"({body}) AS n_violations")
+
+
+oracle("dq_suite", "\nUNION ALL\n".join(_check_sql(c) for c in _Q.MODEL_CHECKS))
+
+# --- §2.13 metric dictionary ---------------------------------------------------------------------------------
+oracle("metric_dictionary_eval", """
+SELECT warehouse_id, ship_class, report_date, 'Daily FR' AS metric_name, fill_rate_mm AS numerator, CAST(1 AS DOUBLE) AS denominator,
+       fill_rate_mm / 1.0 AS metric_value FROM om_metric_fill_rate WHERE cadence = 'daily'
+UNION ALL
+SELECT warehouse_id, ship_class, report_date, 'Weekly FR', fill_rate_mm, CAST(1 AS DOUBLE), fill_rate_mm / 1.0
+FROM om_metric_fill_rate WHERE cadence = 'weekly'""")
+oracle("metric_tall_row", "SELECT * FROM om_report_outbound")

@@ -716,3 +716,296 @@ def q_union_all_cadences(p: Project) -> DataFrame:
 def q_union_all_metrics(p: Project) -> DataFrame:
     from quayside.plans.reporting import inbound_rows
     return inbound_rows(p)
+
+
+# --- §2.8 scalar functions -----------------------------------------------------------------------------
+
+@query("fn_concat_op")
+def q_fn_concat_op(p: Project) -> DataFrame:
+    wh = p.source("warehouse")
+    return wh.select("wms_wh_id", S.concat_op("wh_id", "state", "zip", sep="#").alias("joined"))
+
+
+@query("fn_concat")
+def q_fn_concat(p: Project) -> DataFrame:
+    sc = p.source("spot_capacity")
+    return sc.select("FCID", "Week", F.concat(F.col("FCID").cast("string"), F.lit("-"), F.col("Week").cast("string")).alias("identifier"))
+
+
+@query("fn_split_first")
+def q_fn_split_first(p: Project) -> DataFrame:
+    return p.source("content_detail").select("ContentRefID", "spoid", S.split_first("spoid").alias("CleanSpoID"))
+
+
+@query("fn_left")
+def q_fn_left(p: Project) -> DataFrame:
+    return p.source("content_detail").select("ContentRefID", F.left("spoid", F.lit(1)).alias("first_char"))
+
+
+@query("fn_regexp_strip_prefix")
+def q_fn_regexp_strip_prefix(p: Project) -> DataFrame:
+    return p.source("reservation").select("ReservationID", "TrailerNumber", S.strip_alpha_prefix("TrailerNumber").alias("trailer_key"))
+
+
+@query("fn_like")
+def q_fn_like(p: Project) -> DataFrame:
+    return p.source("reservation").select("ReservationID", F.col("subwarehouse").like("%Inbound%").alias("is_inbound_sub"),
+                                          F.col("subwarehouse").like("VAS").alias("is_vas"))
+
+
+@query("fn_hash_record")
+def q_fn_hash_record(p: Project) -> DataFrame:
+    return p.ref("dim_warehouse").select("warehouse_id", "hash_record")
+
+
+@query("fn_surrogate_key")
+def q_fn_surrogate_key(p: Project) -> DataFrame:
+    wh = p.source("warehouse")
+    return wh.select("wms_wh_id", S.surrogate_key(["wh_id", "name", "city", "state", "zip"]).alias("surrogate_key"))
+
+
+@query("fn_json_query")
+def q_fn_json_query(p: Project) -> DataFrame:
+    ev = p.source("reservation_event")
+    return ev.select("EventQueueID", S.json_int("EventDetail", p.ctx.param("units_json_path", "$.k")).alias("total_quantity"))
+
+
+@query("fn_ifnull")
+def q_fn_ifnull(p: Project) -> DataFrame:
+    return p.source("warehouse").select("wms_wh_id", F.coalesce("state", F.lit("N/A")).alias("warehouse_state"))
+
+
+@query("fn_coalesce")
+def q_fn_coalesce(p: Project) -> DataFrame:
+    return p.source("warehouse").select("wms_wh_id", F.coalesce("zip", "state", "city").alias("locality"))
+
+
+@query("fn_nullif")
+def q_fn_nullif(p: Project) -> DataFrame:
+    return p.source("truckload_volume").select("truck_id", S.nullif("loaded_carton_count", 0).alias("loaded"))
+
+
+@query("fn_safe_divide")
+def q_fn_safe_divide(p: Project) -> DataFrame:
+    tv = p.source("truckload_volume")
+    return tv.select("truck_id", S.safe_divide(F.col("total_cartons"), F.col("loaded_carton_count")).alias("ratio"))
+
+
+@query("fn_round")
+def q_fn_round(p: Project) -> DataFrame:
+    spi = p.source("po_item")
+    return spi.select("SpiID", F.round(F.col("SpiQty") * F.lit(0.25), 0).cast("double").alias("qc"),
+                      F.round(S.safe_divide(F.col("SpiQty"), F.lit(7)), 1).alias("per_week"))
+
+
+@query("fn_mod")
+def q_fn_mod(p: Project) -> DataFrame:
+    return p.source("content_detail").select("ContentRefID", (F.col("Qty") % 400).alias("qty_mod"))
+
+
+@query("fn_safe_cast")
+def q_fn_safe_cast(p: Project) -> DataFrame:
+    cd = p.source("content_detail")
+    return cd.select("ContentRefID", S.split_first("spoid").try_cast("bigint").alias("truck_id"))
+
+
+@query("fn_cast")
+def q_fn_cast(p: Project) -> DataFrame:
+    fr = p.source("weekly_fill_rate")
+    return fr.select(F.col("whid").cast("bigint").alias("warehouse_id"), F.col("cptdatetime").cast("date").alias("day"),
+                     F.col("ShippedOnTime").cast("double").alias("on_time"), F.col("ShippedOnTime").cast("string").alias("on_time_s"))
+
+
+@query("fn_if")
+def q_fn_if(p: Project) -> DataFrame:
+    tl = p.source("tran_log_units")
+    return tl.select("warehouse_id", F.when(F.col("bulk_pick_units") > 0, F.lit("bulk")).otherwise(F.lit("bins")).alias("pick_kind"))
+
+
+def _days_before_today(p: Project, col: str, today) -> DataFrame:
+    return F.datediff(cal.lit_date(today), F.to_date(col))
+
+
+@query("fn_current_date")
+def q_fn_current_date(p: Project) -> DataFrame:
+    fr = p.source("weekly_fill_rate")
+    return fr.select("whid", "cptdatetime", _days_before_today(p, "cptdatetime", p.ctx.current_date).alias("days_utc"),
+                     _days_before_today(p, "cptdatetime", p.ctx.current_date_hq).alias("days_ny"))
+
+
+@query("fn_current_datetime")
+def q_fn_current_datetime(p: Project) -> DataFrame:
+    v = p.source("trailer_visit_flat")
+    return v.select("trailer_visit_id", cal.hour_boundaries(cal.lit_ntz(p.ctx.current_datetime_hq), F.col("arrival")).alias("hours_ago"))
+
+
+@query("fn_current_timestamp")
+def q_fn_current_timestamp(p: Project) -> DataFrame:
+    return p.source("facility_type").select("wh_id", cal.lit_ntz(p.ctx.current_timestamp).alias("refreshed_at"))
+
+
+@query("fn_datetime_in_zone")
+def q_fn_datetime_in_zone(p: Project) -> DataFrame:
+    v = p.source("trailer_visit_flat")
+    return v.select("trailer_visit_id", cal.utc_to_zone("arrival", "America/New_York").alias("arrival_ny"),
+                    cal.utc_to_zone("depart", "Europe/Berlin").alias("depart_berlin"))
+
+
+@query("fn_local_by_offset")
+def q_fn_local_by_offset(p: Project) -> DataFrame:
+    ev = p.source("reservation_event").select("EventQueueID", "ReservationID", "EventDate")
+    tr = p.source("reservation").select("ReservationID", "WarehouseID")
+    dw = R.bounded_broadcast(p.ref("dim_warehouse").select("warehouse_id", "time_zone_hours_offset"))
+    j = ev.join(tr, "ReservationID").join(dw, F.col("WarehouseID") == dw.warehouse_id, "left")
+    return j.select("EventQueueID", cal.add_hours("EventDate", F.col("time_zone_hours_offset")).alias("event_local"))
+
+
+@query("fn_zone_offset_hours")
+def q_fn_zone_offset_hours(p: Project) -> DataFrame:
+    return DW.warehouse_attributes(p).select("wms_wh_id", "sty_id", "hours_offset", "hours_offset_old")
+
+
+@query("fn_datetime_diff_hour")
+def q_fn_datetime_diff_hour(p: Project) -> DataFrame:
+    v = p.source("trailer_visit_flat")
+    return v.select("trailer_visit_id", cal.hour_boundaries("unload_complete", "arrival").alias("hours_to_unload"))
+
+
+@query("fn_hours_to_days")
+def q_fn_hours_to_days(p: Project) -> DataFrame:
+    v = p.source("trailer_visit_flat")
+    return v.select("trailer_visit_id", (cal.hour_boundaries("depart", "arrival") / 24).alias("days_on_yard"))
+
+
+@query("fn_date_add_sub")
+def q_fn_date_add_sub(p: Project) -> DataFrame:
+    fr = p.source("weekly_fill_rate")
+    d = F.to_date("cptdatetime")
+    return fr.select("whid", F.date_sub(d, 3).alias("minus_3d"), F.date_add(d, 7).alias("plus_1w"),
+                     F.add_months(d, -6).alias("minus_6m"), F.date_add(d, -1).alias("minus_1d"))
+
+
+@query("fn_datetime_add_sub")
+def q_fn_datetime_add_sub(p: Project) -> DataFrame:
+    v = p.source("trailer_visit_flat")
+    return v.select("trailer_visit_id", cal.add_days("arrival", -1).alias("arrival_minus_1d"),
+                    cal.add_hours("arrival", 4).alias("arrival_plus_4h"), cal.add_days("arrival", 1).alias("arrival_plus_1d"))
+
+
+@query("fn_cutoff_time")
+def q_fn_cutoff_time(p: Project) -> DataFrame:
+    v = p.source("trailer_visit_flat")
+    return v.select("trailer_visit_id", cal.cutoff(F.to_date("arrival"), 4).alias("cutoff_4h"),
+                    cal.cutoff(F.to_date("arrival"), 0).alias("cutoff_0h"))
+
+
+@query("fn_date_trunc_week")
+def q_fn_date_trunc_week(p: Project) -> DataFrame:
+    return p.source("weekly_fill_rate").select("cptdatetime", cal.week_start_sunday("cptdatetime").alias("week_start"))
+
+
+@query("fn_week_number_sunday")
+def q_fn_week_number_sunday(p: Project) -> DataFrame:
+    return p.source("weekly_fill_rate").select("cptdatetime", cal.week_number_sunday("cptdatetime").alias("week"))
+
+
+@query("fn_extract_parts")
+def q_fn_extract_parts(p: Project) -> DataFrame:
+    v = p.source("trailer_visit_flat")
+    a = F.col("arrival")
+    return v.select("trailer_visit_id", F.year(a).cast("bigint").alias("y"), F.dayofmonth(a).cast("bigint").alias("d"),
+                    F.hour(a).cast("bigint").alias("h"), cal.day_of_week_sunday1(a).cast("bigint").alias("dow"))
+
+
+@query("fn_week_to_date_window")
+def q_fn_week_to_date_window(p: Project) -> DataFrame:
+    tl = p.source("tran_log_units")
+    y = F.date_sub(F.to_date("log_datetime_local"), 1)
+    start = F.date_add(y, 1 - cal.day_of_week_sunday1(y))
+    end = F.date_add(F.date_sub(y, cal.day_of_week_sunday1(y)), 7)
+    return tl.select("log_datetime_local", start.alias("wtd_start"), end.alias("wtd_end"))
+
+
+@query("fn_date_of")
+def q_fn_date_of(p: Project) -> DataFrame:
+    return p.source("journey").select("loadId", F.to_date("shipperGateOutTimestamp").alias("gate_out_day"))
+
+
+@query("fn_timestamp_of")
+def q_fn_timestamp_of(p: Project) -> DataFrame:
+    jr = p.source("journey")
+    return jr.select("loadId", F.col("shipperGateOutTimestamp").cast("string").cast("timestamp_ntz").alias("gate_out"))
+
+
+# --- §2.11 backfill windows --------------------------------------------------------------------------------
+
+@query("backfill_window_filter")
+def q_backfill_window_filter(p: Project) -> DataFrame:
+    """B1: regular run = last 3 months; backfill from 1995 on Saturdays; a Wednesday
+    run takes the backfill bounds because the condition (Saturday) is false."""
+    today = p.ctx.current_date
+    tl = p.source("tran_log_units")
+    cond = today.isoweekday() == 6
+    pred = B.backfill_window(F.to_date("log_datetime_local"), B.regular_6_month_backfill(p.ctx), today,
+                             dt.date(1995, 1, 1), today, cond)
+    return tl.where(pred)
+
+
+@query("backfill_lookback_start")
+def q_backfill_lookback_start(p: Project) -> DataFrame:
+    start = B.regular_14_day_backfill(p.ctx)
+    return p.source("tran_log_units").where(F.to_date("log_datetime_local") >= cal.lit_date(start))
+
+
+# --- §2.12 data-quality checks ----------------------------------------------------------------------------------
+from quayside.operators import quality as Q  # noqa: E402
+
+
+@query("dq_not_null")
+def q_dq_not_null(p: Project) -> DataFrame:
+    return Q.not_null(p.ref("metric_throughput_variance"), "received_units_actual_reporting_daily")
+
+
+@query("dq_unique")
+def q_dq_unique(p: Project) -> DataFrame:
+    return Q.unique(p.ref("stg_unit_snapshot"), "inbound_trailer_reservation_id")
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(p: Project) -> DataFrame:
+    return Q.accepted_values(p.ref("dim_yard_trailer"), "trailer_status", ["F", "O"], allow_null=False).select(
+        "trailer_visit_id", "trailer_status")
+
+
+@query("dq_compound_unique")
+def q_dq_compound_unique(p: Project) -> DataFrame:
+    return Q.compound_unique(p.ref("report_inbound"), ["metric_id", "metric_name", "time_base_date", "warehouse_name", "country_long"])
+
+
+@query("dq_relationships")
+def q_dq_relationships(p: Project) -> DataFrame:
+    return Q.relationships(p.ref("metric_fill_rate"), "warehouse_id", p.ref("dim_warehouse"), "warehouse_id").select(
+        "warehouse_id", "cadence", "ship_class")
+
+
+@query("dq_suite")
+def q_dq_suite(p: Project) -> DataFrame:
+    frames = {c.model: p.ref(c.model) for c in Q.MODEL_CHECKS}
+    return Q.run_suite(Q.MODEL_CHECKS, frames)
+
+
+# --- §2.13 metric dictionary ------------------------------------------------------------------------------------
+from quayside.operators import metrics as M  # noqa: E402
+
+
+@query("metric_dictionary_eval")
+def q_metric_dictionary_eval(p: Project) -> DataFrame:
+    fr = p.ref("metric_fill_rate")
+    daily = M.evaluate(M.DAILY_FILL_RATE, fr.where(F.col("cadence") == "daily"), ["warehouse_id", "ship_class"])
+    weekly = M.evaluate(M.WEEKLY_FILL_RATE, fr.where(F.col("cadence") == "weekly"), ["warehouse_id", "ship_class"])
+    return daily.unionByName(weekly)
+
+
+@query("metric_tall_row")
+def q_metric_tall_row(p: Project) -> DataFrame:
+    return p.build("report_outbound")
