@@ -662,11 +662,16 @@ def q_win_rank_latest_ties(p: Project) -> DataFrame:
 
 @query("win_percentile_disc")
 def q_win_percentile_disc(p: Project) -> DataFrame:
-    """Windowed percentile_disc; every row of a partition carries its median."""
-    from pyspark.sql import Window
+    """``PERCENTILE_DISC(x, 0.5) OVER (PARTITION BY k)`` — every row carries its
+    group's median.  A window would put a whole group into one task (a hot
+    group holds a third of the rows); the grouped percentile aggregates
+    partially per task (value → count maps) and the one-row-per-group result
+    is joined back, broadcast behind a row bound."""
     cd = p.source("content_detail").select("ContentRefID", "ReservationID", "ContentType", "Qty")
-    med = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY Qty)").over(Window.partitionBy("ContentType"))
-    return cd.select("ContentRefID", "ReservationID", "ContentType", "Qty", med.cast("double").alias("median_qty"))
+    med = cd.groupBy("ContentType").agg(
+        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY Qty)").cast("double").alias("median_qty"))
+    return cd.join(R.bounded_broadcast(med), "ContentType", "left").select(
+        "ContentRefID", "ReservationID", "ContentType", "Qty", "median_qty")
 
 
 @query("win_over_grouped")
