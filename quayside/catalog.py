@@ -20,11 +20,23 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 
+_SHARED: dict[tuple[str, str], Project] = {}
+
+
+def shared_project(spark: SparkSession, sf_dir: str) -> Project:
+    """One project per (Spark application, data folder): upstream models are
+    materialised once and reused by every query of the session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SHARED:
+        _SHARED[key] = Project.for_sf_dir(spark, sf_dir, fixture_context())
+    return _SHARED[key]
+
+
 def query(key: str):
     def register(fn: Callable[[Project], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             configure(spark)
-            return fn(Project.for_sf_dir(spark, sf_dir, fixture_context()))
+            return fn(shared_project(spark, sf_dir))
         run.__name__ = f"q_{key}"
         run.__doc__ = fn.__doc__
         QUERIES[key] = run

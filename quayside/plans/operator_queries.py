@@ -30,6 +30,7 @@ def q_gen_date_range(p: Project) -> DataFrame:
 # --- §2.1 scans, sinks, materialisation -----------------------------------------------------------
 import datetime as dt  # noqa: E402
 import os  # noqa: E402
+import uuid  # noqa: E402
 
 from quayside.functions import backfill as B  # noqa: E402
 from quayside.functions import calendar as cal  # noqa: E402
@@ -42,7 +43,7 @@ from quayside.plans.context import RunContext  # noqa: E402
 
 
 def _out_path(p: Project, name: str) -> str:
-    return os.path.join(p.materialize_dir, "sinks", name)
+    return os.path.join(p.materialize_dir, "sinks", name, uuid.uuid4().hex[:8])
 
 
 @query("scan_source")
@@ -105,15 +106,16 @@ EARLIER_RUN = dt.datetime(1998, 3, 30, 12, 0, 0)
 
 def _earlier_project(p: Project) -> Project:
     ctx = RunContext(as_of=EARLIER_RUN, params=p.ctx.params)
-    return Project(p.spark, p.src, ctx, materialize_dir=os.path.join(p.materialize_dir, "earlier"))
+    return Project(p.spark, p.src, ctx, materialize_dir=os.path.join(p.materialize_dir, "earlier", uuid.uuid4().hex[:8]))
 
 
 @query("incremental_antijoin_target")
 def q_incremental_antijoin_target(p: Project) -> DataFrame:
     """An incremental run emits only rows whose record hash is not in the target."""
     target = _earlier_project(p).ref("dim_warehouse")
-    p.targets["dim_warehouse"] = target
-    return p.build("dim_warehouse")
+    run = p.fork()
+    run.targets["dim_warehouse"] = target
+    return run.build("dim_warehouse")
 
 
 @query("sink_merge_upsert")
@@ -123,8 +125,9 @@ def q_sink_merge_upsert(p: Project) -> DataFrame:
     path = _out_path(p, "dim_warehouse_table")
     earlier = _earlier_project(p).ref("dim_warehouse")
     sinks.write_table(earlier, path)
-    p.targets["dim_warehouse"] = p.spark.read.parquet(path)
-    updates = p.build("dim_warehouse")
+    run = p.fork()
+    run.targets["dim_warehouse"] = p.spark.read.parquet(path)
+    updates = run.build("dim_warehouse")
     return sinks.merge_upsert(p.spark, updates, path, [DW.UNIQUE_KEY], DW.MERGE_UPDATE_COLUMNS)
 
 
@@ -133,7 +136,7 @@ def q_incremental_lookback(p: Project) -> DataFrame:
     """An incremental run reads visits created in the last six months only."""
     start = B.regular_6_month_backfill(p.ctx)
     q = Project(p.spark, p.src, RunContext(as_of=p.ctx.as_of, params={**p.ctx.params, "visit_lookback_start": start}),
-                materialize_dir=os.path.join(p.materialize_dir, "lookback"))
+                materialize_dir=os.path.join(p.materialize_dir, "lookback", uuid.uuid4().hex[:8]))
     return q.build("dim_yard_trailer")
 
 
@@ -148,7 +151,7 @@ def q_audit_columns(p: Project) -> DataFrame:
 def q_run_limit(p: Project) -> DataFrame:
     """A CI run caps the output rows (the cap is the feature; rows-only check)."""
     q = Project(p.spark, p.src, RunContext(as_of=p.ctx.as_of, ci_limit=10, params=p.ctx.params),
-                materialize_dir=os.path.join(p.materialize_dir, "ci"))
+                materialize_dir=os.path.join(p.materialize_dir, "ci", uuid.uuid4().hex[:8]))
     return q.build("metric_fill_rate")
 
 

@@ -45,6 +45,14 @@ class Project:
     def for_sf_dir(cls, spark: SparkSession, sf_dir: str, ctx: RunContext | None = None, **kw) -> "Project":
         return cls(spark, Sources(spark, sf_dir), ctx or fixture_context(), **kw)
 
+    def fork(self) -> "Project":
+        """A project that reuses the models built so far but keeps its own
+        incremental targets and later builds (for runs that set ``targets``)."""
+        child = Project(self.spark, self.src, self.ctx, materialize=self.materialize,
+                        materialize_dir=os.path.join(self.materialize_dir, "fork-" + uuid.uuid4().hex[:8]))
+        child._built = dict(self._built)
+        return child
+
     def source(self, name: str) -> DataFrame:
         return self.src.get(name)
 
