@@ -52,7 +52,9 @@ SELECT l_orderkey * 2 + CASE WHEN l_partkey % 10 = 7 THEN 1 ELSE 0 END AS Conten
        l_partkey * 10 AS SpiID, concat('BOL', cast(l_orderkey AS VARCHAR)) AS BolNumber
 FROM lineitem""",
     "fx_reservation_content": """
-SELECT o_orderkey AS ReservationID, o_orderkey * 2 AS ContentRefID FROM orders WHERE o_orderkey % 15 <> 0""",
+SELECT o_orderkey AS ReservationID, o_orderkey * 2 AS ContentRefID FROM orders WHERE o_orderkey % 15 <> 0
+UNION ALL
+SELECT o_orderkey, o_orderkey * 2 + 1 FROM orders WHERE o_orderkey % 15 <> 0 AND o_orderkey % 5 = 0""",
     "fx_load_master": """
 SELECT o_orderkey AS load_id, CASE WHEN o_orderkey % 3 = 0 THEN concat('BOL', cast(o_orderkey AS VARCHAR)) END AS reference_number,
        cast(o_custkey AS VARCHAR) AS trailer_number,
@@ -85,7 +87,7 @@ SELECT o_orderkey AS trailer_visit_id, o_orderdate AS event_created_timestamp,
        [o_orderkey % 3 = 2] AS is_spot_offsite,
        [o_orderkey % 17 = 0] AS is_trailer_lost,
        [o_orderkey] AS trailer_reservation_id,
-       CASE WHEN o_orderkey % 4 = 1 THEN [o_orderkey] ELSE []::BIGINT[] END AS trailer_unload_reservation_id,
+       CASE WHEN o_orderkey % 4 = 1 THEN [o_orderkey - 1] ELSE []::BIGINT[] END AS trailer_unload_reservation_id,
        [o_custkey % 10] AS facility_id,
        CASE WHEN o_orderkey % 11 <> 0 THEN [o_orderdate + ((o_custkey*7+o_orderkey) % 97 - 36) * INTERVAL '1' HOUR] ELSE []::TIMESTAMP[] END AS trailer_arrival_date,
        CASE WHEN o_orderkey % 3 <> 0 THEN [o_orderdate + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 400) * INTERVAL '1' HOUR] ELSE []::TIMESTAMP[] END AS trailer_unload_complete_date,

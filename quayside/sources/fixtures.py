@@ -151,9 +151,12 @@ class Fixtures:
         )
 
     def fx_reservation_content(self) -> DataFrame:
+        """Content references: ``2k`` for most reservations, plus ``2k+1`` for every
+        fifth one, so some reservations hold two references."""
         o = self.t.orders
-        return o.where(o.o_orderkey % 15 != 0).select(
-            o.o_orderkey.alias("ReservationID"), (o.o_orderkey * 2).alias("ContentRefID"))
+        k = o.o_orderkey
+        refs = F.when(k % 5 == 0, F.array(k * 2, k * 2 + 1)).otherwise(F.array(k * 2))
+        return o.where(k % 15 != 0).select(k.alias("ReservationID"), F.explode(refs).alias("ContentRefID"))
 
     # --- loads and journeys -------------------------------------------------------------------
     def fx_load_master(self) -> DataFrame:
@@ -210,7 +213,7 @@ class Fixtures:
             one(k % 3 == 2, B).alias("is_spot_offsite"),
             one(k % 17 == 0, B).alias("is_trailer_lost"),
             one(k, L).alias("trailer_reservation_id"),
-            one(F.when(k % 4 == 1, k), L).alias("trailer_unload_reservation_id"),
+            one(F.when(k % 4 == 1, k - 1), L).alias("trailer_unload_reservation_id"),
             one(c % 10, L).alias("facility_id"),
             one(F.when(k % 11 != 0, _hours(d, base)), TS).alias("trailer_arrival_date"),
             one(F.when(k % 3 != 0, _hours(d, base + k % 400)), TS).alias("trailer_unload_complete_date"),
