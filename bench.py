@@ -32,7 +32,7 @@ DAG_ORDER = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2))))
     # warm-up: JVM, parquet footers, codegen caches
     spark.read.parquet(os.path.join(sf_dir, "lineitem.parquet")).selectExpr("count(*)").collect()
 

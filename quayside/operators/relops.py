@@ -34,8 +34,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     planned by size statistics / AQE (sort-merge or shuffled hash join, with
     skew-join splitting).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True iff ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def anti_join(left: DataFrame, right: DataFrame, on, right_filter: Column | None = None) -> DataFrame:

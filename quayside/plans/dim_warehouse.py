@@ -70,11 +70,11 @@ def _region(wh_id) -> F.Column:
 def warehouse_attributes(p: Project) -> DataFrame:
     """The ``cte_castlegate_warehouse`` relation: one row per warehouse."""
     wh = p.source("warehouse").where(~F.col("wms_wh_id").isin(TEST_WAREHOUSES))
-    site = R.bounded_broadcast(p.source("site").select("WarehouseID", "CampusID"))
-    country = R.bounded_broadcast(p.source("country").select("country_id", "country_long"))
-    supplier = R.bounded_broadcast(p.source("wms_supplier"))
-    store = R.bounded_broadcast(p.source("retail_store").select(
-        F.col("WarehouseID").alias("st_wh"), F.col("IsActive").alias("st_active")))
+    site = p.dimension("site", "WarehouseID", "CampusID", source=True)
+    country = p.dimension("country", "country_id", "country_long", source=True)
+    supplier = p.dimension("wms_supplier", source=True)
+    store = p.dimension("retail_store", F.col("WarehouseID").alias("st_wh"),
+                        F.col("IsActive").alias("st_active"), source=True)
 
     j = (wh.join(site, wh.wms_wh_id == site.WarehouseID, "left")
            .join(country, wh.country_name == country.country_long, "left")

@@ -37,8 +37,8 @@ def fill_rate_base(p: Project) -> DataFrame:
     """``fill_rate_cte``: filtered fact with warehouse and facility type attached."""
     fr = p.source("weekly_fill_rate").where(
         (F.col("performanceexclusions") == 0) & (F.col("OrderType_Performance") == "Standard"))
-    wh = R.bounded_broadcast(p.ref("dim_warehouse").select("warehouse_string_id"))
-    ft = R.bounded_broadcast(p.source("facility_type").select("wh_id", "FacilityType"))
+    wh = p.dimension("dim_warehouse", "warehouse_string_id")
+    ft = p.dimension("facility_type", "wh_id", "FacilityType", source=True)
     j = (fr.join(wh, fr.whid == wh.warehouse_string_id, "left")
            .join(ft, wh.warehouse_string_id == ft.wh_id, "left"))
     return j.select(

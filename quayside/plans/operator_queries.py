@@ -463,7 +463,7 @@ def q_join_anti_left_null(p: Project) -> DataFrame:
 
 @query("join_role_playing")
 def q_join_role_playing(p: Project) -> DataFrame:
-    dims = R.bounded_broadcast(p.ref("dim_warehouse").select("warehouse_id", "warehouse_name"))
+    dims = p.dimension("dim_warehouse", "warehouse_id", "warehouse_name")
     r = p.source("reservation").select("ReservationID", "WarehouseID", "siteID", "CarrierID")
     wh = dims.select(F.col("warehouse_id").alias("wh_id"), F.col("warehouse_name").alias("warehouse_name"))
     site = dims.select(F.col("warehouse_id").alias("site_wh"), F.col("warehouse_name").alias("site_name"))
@@ -577,7 +577,7 @@ def q_agg_group_ordinal(p: Project) -> DataFrame:
 
 def _freight_fine(p: Project) -> DataFrame:
     tl = p.source("tran_log_units_freight")
-    fc = R.bounded_broadcast(p.source("freight_class"))
+    fc = p.dimension("freight_class", source=True)
     num = F.col("freight_class_number")
     label = F.when(num == "1", "Bulk_Picks_SP_Bins").when(num > "1", "Bulk_Picks_LP").when(num.isNull(), "Bulk_Picks_SP_Bins")
     fine = tl.join(fc, "freight_class_id").groupBy("warehouse_id", F.to_date("log_datetime_local").alias("date"), num).agg(
@@ -863,7 +863,7 @@ def q_fn_datetime_in_zone(p: Project) -> DataFrame:
 def q_fn_local_by_offset(p: Project) -> DataFrame:
     ev = p.source("reservation_event").select("EventQueueID", "ReservationID", "EventDate")
     tr = p.source("reservation").select("ReservationID", "WarehouseID")
-    dw = R.bounded_broadcast(p.ref("dim_warehouse").select("warehouse_id", "time_zone_hours_offset"))
+    dw = p.dimension("dim_warehouse", "warehouse_id", "time_zone_hours_offset")
     j = ev.join(tr, "ReservationID").join(dw, F.col("WarehouseID") == dw.warehouse_id, "left")
     return j.select("EventQueueID", cal.add_hours("EventDate", F.col("time_zone_hours_offset")).alias("event_local"))
 

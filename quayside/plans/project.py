@@ -38,6 +38,7 @@ class Project:
         self._materialize_dir = materialize_dir
         self.run_id = uuid.uuid4().hex[:12]
         self._built: dict[str, DataFrame] = {}
+        self._small: dict[tuple[str, str], bool] = {}
         # previous versions of incremental targets ({{ this }}), by model name
         self.targets: dict[str, DataFrame] = {}
 
@@ -51,6 +52,7 @@ class Project:
         child = Project(self.spark, self.src, self.ctx, materialize=self.materialize,
                         materialize_dir=os.path.join(self.materialize_dir, "fork-" + uuid.uuid4().hex[:8]))
         child._built = dict(self._built)
+        child._small = dict(self._small)
         return child
 
     def source(self, name: str) -> DataFrame:
@@ -81,6 +83,19 @@ class Project:
             self._built[name] = df
         return self._built[name]
 
+    def dimension(self, name: str, *cols, source: bool = False, max_rows: int | None = None) -> DataFrame:
+        """A dimension (model or source) for joining, broadcast only if it holds at
+        most ``max_rows`` rows; the bound is checked once per dimension and run."""
+        from pyspark.sql import functions as F
+
+        from quayside.operators import relops as R
+        df = self.source(name) if source else self.ref(name)
+        key = ("source" if source else "ref", name)
+        if key not in self._small:
+            self._small[key] = R.row_count_at_most(df, max_rows or R.DEFAULT_BROADCAST_ROWS)
+        out = df.select(*cols) if cols else df
+        return F.broadcast(out) if self._small[key] else out
+
     def this(self, name: str) -> DataFrame | None:
         """Previous content of an incremental target, if one was registered."""
         return self.targets.get(name)

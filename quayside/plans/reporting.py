@@ -19,8 +19,8 @@ from quayside.plans.project import Project, model
 
 def with_warehouse_country(p: Project, df: DataFrame) -> DataFrame:
     """``LEFT JOIN dim_warehouse USING (warehouse_id) LEFT JOIN country USING (country_id)``."""
-    wh = R.bounded_broadcast(p.ref("dim_warehouse").select("warehouse_id", "warehouse_name", "country_id"))
-    country = R.bounded_broadcast(p.source("country").select("country_id", "country_long"))
+    wh = p.dimension("dim_warehouse", "warehouse_id", "warehouse_name", "country_id")
+    country = p.dimension("country", "country_id", "country_long", source=True)
     return df.join(wh, "warehouse_id", "left").join(country, "country_id", "left")
 
 

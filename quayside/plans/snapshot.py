@@ -54,7 +54,7 @@ def stg_unit_snapshot(p: Project) -> DataFrame:
     ur = p.ref("stg_units_reservation").select(
         RES, F.col("trailer_arrival_datetime_local").alias("ur_arrival"), "trailer_inbound_reservation_units",
         "xd_trailer_reservation_units", "average_subwarehouse_qty", "subwarehouse")
-    dw = R.bounded_broadcast(p.ref("dim_warehouse").select("warehouse_id", "time_zone_hours_offset"))
+    dw = p.dimension("dim_warehouse", "warehouse_id", "time_zone_hours_offset")
     j = yt.join(ur, RES).join(dw, "warehouse_id", "left")
 
     ur_day, sched_day = F.to_date("ur_arrival"), F.to_date("sched")

@@ -60,7 +60,7 @@ def capacity(p: Project, today: dt.date, yday: dt.date, wtd: tuple[dt.date, dt.d
 def shipped(p: Project, today: dt.date, yday: dt.date) -> DataFrame:
     """Outbound units per warehouse, yesterday and this week so far."""
     tl = p.source("tran_log_units_freight")
-    fc = R.bounded_broadcast(p.source("freight_class"))
+    fc = p.dimension("freight_class", source=True)
     week_start = cal.py_week_start_sunday(today)
     lo = min(yday, week_start)
     rows = tl.where((F.col("log_datetime_local") >= cal.lit_ntz(dt.datetime.combine(lo, dt.time())))
