@@ -1017,3 +1017,31 @@ def q_metric_dictionary_eval(p: Project) -> DataFrame:
 @query("metric_tall_row")
 def q_metric_tall_row(p: Project) -> DataFrame:
     return p.build("report_outbound")
+
+
+# --- remaining inventory lines: S8, O1, O3 ---------------------------------------------------------
+
+@query("merge_immutable_cols")
+def q_merge_immutable_cols(p: Project) -> DataFrame:
+    """After the upsert, columns outside the update list keep their first value
+    (creation time, name) while the listed ones move on."""
+    merged = q_sink_merge_upsert(p)
+    return merged.select("warehouse_id", "dwh_creation_timestamp", "warehouse_name",
+                         "dwh_modified_timestamp", "time_zone_hours_offset")
+
+
+@query("sort_in_cte")
+def q_sort_in_cte(p: Project) -> DataFrame:
+    """O1: an ORDER BY inside an intermediate relation has no effect on the
+    result; Catalyst removes the sort below the aggregate."""
+    ordered = _freight_fine(p).orderBy("warehouse_id", "date")
+    return ordered.groupBy("warehouse_id").agg(F.sum("BulkPick_Units").alias("bulk_pick_units"))
+
+
+@query("limit_rows")
+def q_limit_rows(p: Project) -> DataFrame:
+    """O3: LIMIT n as a report feature — the first ten fill-rate rows in grain order
+    (a per-partition top-k, then one merge of at most ten rows per task)."""
+    fr = p.ref("metric_fill_rate")
+    return fr.orderBy(F.col("warehouse_id").asc_nulls_last(), F.col("ship_class").asc_nulls_last(),
+                      F.col("cadence").asc_nulls_last()).limit(10)
