@@ -100,10 +100,10 @@ WHERE subwarehouse LIKE '%Inbound%' OR subwarehouse LIKE '%Receiv%' OR subwareho
    OR subwarehouse LIKE 'SubSatelliteLotRomeoville' OR subwarehouse LIKE '%Rug%'""")
 oracle("filter_inequality", "SELECT * FROM fx_po WHERE SpoId <> SpoParentSpoId")
 oracle("compare_string_numeric", """
-SELECT freight_class_id, freight_class_number, freight_class_number > '1' AS above_one,
-  CASE WHEN freight_class_number = '1' THEN 'Bulk_Picks_SP_Bins' WHEN freight_class_number > '1' THEN 'Bulk_Picks_LP'
-       WHEN freight_class_number IS NULL THEN 'Bulk_Picks_SP_Bins' END AS Freight_Class
-FROM fx_freight_class""")
+SELECT tl.warehouse_id, tl.log_datetime_local, fc.freight_class_number, fc.freight_class_number > '1' AS above_one,
+  CASE WHEN fc.freight_class_number = '1' THEN 'Bulk_Picks_SP_Bins' WHEN fc.freight_class_number > '1' THEN 'Bulk_Picks_LP'
+       WHEN fc.freight_class_number IS NULL THEN 'Bulk_Picks_SP_Bins' END AS Freight_Class
+FROM fx_tran_log tl JOIN fx_freight_class fc ON tl.freight_class_id = fc.freight_class_id""")
 oracle("compare_date_string", "SELECT * FROM fx_spot_capacity WHERE Week >= '2000-01-01'")
 oracle("filter_asof_on_site", """
 SELECT trailer_visit_id, inbound_trailer_reservation_id, trailer_arrival_datetime_local FROM om_dim_yard_trailer

@@ -314,9 +314,11 @@ def q_filter_inequality(p: Project) -> DataFrame:
 
 @query("compare_string_numeric")
 def q_compare_string_numeric(p: Project) -> DataFrame:
-    fc = p.source("freight_class")
+    """Lexicographic compare of numeric strings, per transaction-log row."""
+    tl = p.source("tran_log_units_freight").select("warehouse_id", "log_datetime_local", "freight_class_id")
+    fc = tl.join(p.dimension("freight_class", source=True), "freight_class_id")
     n = F.col("freight_class_number")
-    return fc.select("freight_class_id", "freight_class_number", (n > "1").alias("above_one"),
+    return fc.select("warehouse_id", "log_datetime_local", "freight_class_number", (n > "1").alias("above_one"),
                      F.when(n == "1", "Bulk_Picks_SP_Bins").when(n > "1", "Bulk_Picks_LP")
                       .when(n.isNull(), "Bulk_Picks_SP_Bins").alias("Freight_Class"))
 
