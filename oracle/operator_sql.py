@@ -379,3 +379,8 @@ SELECT warehouse_id, CAST(SUM(BulkPick_Units) AS BIGINT) AS bulk_pick_units
 FROM (SELECT * FROM om_lpsbreak ORDER BY warehouse_id, date) GROUP BY 1""")
 oracle("limit_rows", """
 SELECT * FROM om_metric_fill_rate ORDER BY warehouse_id NULLS LAST, ship_class NULLS LAST, cadence NULLS LAST LIMIT 10""")
+
+# --- backfill range: seven daily runs of the four-branch model, one per as_of ------------------------------
+import datetime as _dt  # noqa: E402
+_runs = [(_dt.datetime(1998, 6, 17, 12) - _dt.timedelta(days=i)).strftime("%Y-%m-%d %H:%M:%S") for i in range(7)]
+oracle("backfill_range", "\nUNION ALL\n".join(f"SELECT * FROM ({build('SELECT * FROM om_metric_fill_rate', as_of=r)})" for r in _runs))

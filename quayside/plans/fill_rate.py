@@ -77,3 +77,43 @@ def metric_fill_rate(p: Project) -> DataFrame:
     if p.ctx.ci_limit:
         out = out.limit(p.ctx.ci_limit)
     return out
+
+
+def fill_rate_for_days(p: Project, first_day: dt.date, last_day: dt.date) -> DataFrame:
+    """Backfill: the fill-rate model for every run day in [first_day, last_day] in one scan.
+
+    A row dated ``d`` belongs to the run of day ``t`` (``t`` = the run's UTC
+    date) when ``d`` lies in one of that run's windows: daily ``t = d+1``,
+    day-before-yesterday ``t = d+2``, last three days ``t ∈ d+1..d+3``, weekly
+    ``t ∈ d..Saturday(d)``.  Each row is tagged with at most twelve
+    (run day, cadence) pairs, kept only inside the requested range, and one
+    aggregate computes every run at once — equal to running the model once
+    per day (each run at the same time of day as ``p.ctx.as_of``).
+    """
+    base = fill_rate_base(p)
+    lo = min(first_day - dt.timedelta(days=3), cal.py_week_start_sunday(first_day))
+    base = base.where((F.col("cptdatetime") >= cal.lit_ntz(dt.datetime.combine(lo, dt.time())))
+                      & (F.col("cptdatetime") < cal.lit_ntz(dt.datetime.combine(last_day + dt.timedelta(days=1), dt.time()))))
+    d = F.to_date("cptdatetime")
+    saturday = F.date_add(cal.week_start_sunday(d), 6)
+
+    def tag(days, cadence):
+        return F.struct(F.date_add(d, days).alias("run_day"), F.lit(cadence).alias("cadence"))
+    weekly = F.transform(F.sequence(d, saturday), lambda t: F.struct(t.alias("run_day"), F.lit("weekly").alias("cadence")))
+    tags = F.concat(F.array(tag(1, "daily"), tag(2, "daybeforeyesterday"),
+                            tag(1, "last3days"), tag(2, "last3days"), tag(3, "last3days")), weekly)
+    tagged = (base.select("warehouse_id", "ship_class", "is_middle_mile", "ShippedOnTime", F.explode(tags).alias("t"))
+                  .where(F.col("t.run_day").between(cal.lit_date(first_day), cal.lit_date(last_day))))
+    agg = tagged.groupBy(
+        F.col("warehouse_id").cast("bigint").alias("warehouse_id"), "ship_class", "is_middle_mile",
+        F.col("t.run_day").alias("run_day"), F.col("t.cadence").alias("cadence"),
+    ).agg(S.null_safe_ratio(F.sum("ShippedOnTime"), F.count("ShippedOnTime")).alias("fill_rate_mm"))
+    tod = p.ctx.as_of - dt.datetime.combine(p.ctx.as_of.date(), dt.time())
+    run_ts = F.timestamp_add("SECOND", F.lit(int(tod.total_seconds())), F.col("run_day").cast("timestamp_ntz"))
+    ny = cal.utc_to_zone(run_ts, p.ctx.hq_zone)
+    return agg.select(
+        "warehouse_id", "ship_class", "is_middle_mile",
+        F.date_sub(F.to_date(ny), 1).alias("report_date"),
+        F.col("fill_rate_mm").cast("double").alias("fill_rate_mm"),
+        ny.alias("refresh_date"), "cadence",
+    )

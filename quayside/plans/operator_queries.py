@@ -1047,3 +1047,12 @@ def q_limit_rows(p: Project) -> DataFrame:
     fr = p.ref("metric_fill_rate")
     return fr.orderBy(F.col("warehouse_id").asc_nulls_last(), F.col("ship_class").asc_nulls_last(),
                       F.col("cadence").asc_nulls_last()).limit(10)
+
+
+@query("backfill_range")
+def q_backfill_range(p: Project) -> DataFrame:
+    """A backfill of the fill-rate model over the seven run days up to as_of,
+    computed in one scan (equal to seven daily runs)."""
+    from quayside.plans.fill_rate import fill_rate_for_days
+    last = p.ctx.current_date
+    return fill_rate_for_days(p, last - dt.timedelta(days=6), last)
