@@ -684,7 +684,7 @@ def q_win_over_grouped(p: Project) -> DataFrame:
     """ROW_NUMBER over a GROUP BY result partitioned by its key is always 1."""
     from pyspark.sql import Window
     g = p.source("content_detail").groupBy("ReservationID").agg(F.sum("Qty").alias("qty"))
-    return g.withColumn("row_num", F.row_number().over(Window.partitionBy("ReservationID").orderBy("ReservationID")))
+    return g.withColumn("row_num", F.row_number().over(Window.partitionBy("ReservationID").orderBy("ReservationID")).cast("bigint"))
 
 
 @query("win_latest_event_json")
@@ -833,7 +833,7 @@ def q_fn_if(p: Project) -> DataFrame:
 
 
 def _days_before_today(p: Project, col: str, today) -> DataFrame:
-    return F.datediff(cal.lit_date(today), F.to_date(col))
+    return F.datediff(cal.lit_date(today), F.to_date(col)).cast("bigint")
 
 
 @query("fn_current_date")

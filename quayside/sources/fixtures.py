@@ -229,9 +229,9 @@ class Fixtures:
             (li.l_suppkey % 10).cast("string").alias("whid"),
             F.when(li.l_quantity < 25, "SP").otherwise("LP").alias("shipclass"),
             li.l_shipdate.alias("cptdatetime"),
-            F.when(li.l_partkey % 17 == 0, F.lit(None).cast("bigint"))
-             .when(li.l_returnflag == "N", F.lit(0).cast("bigint"))
-             .otherwise(F.lit(1).cast("bigint")).alias("ShippedOnTime"),
+            F.when(li.l_partkey % 17 == 0, F.lit(None).cast("int"))
+             .when(li.l_returnflag == "N", F.lit(0))
+             .otherwise(F.lit(1)).alias("ShippedOnTime"),
             F.when(li.l_partkey % 7 == 0, 1).otherwise(0).alias("performanceexclusions"),
             F.when(li.l_partkey % 5 == 0, "Other").otherwise("Standard").alias("OrderType_Performance"),
         )
