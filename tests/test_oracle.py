@@ -6,7 +6,7 @@ row count, column names and order-insensitive values.
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracle import norm
+from tools.check_oracle import STRICT_SPARK, norm
 from conftest import SF_SMALL
 
 QUERIES = E.queries()
@@ -19,6 +19,9 @@ def test_query_matches_oracle(spark, duck, key):
     rows = df.collect()
     rel = duck.sql(ORACLES[key])
     assert sorted(df.columns) == sorted(rel.columns)
+    s_types = {f.name: STRICT_SPARK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    d_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    assert s_types == d_types
     order = sorted(df.columns)
     si = [df.columns.index(c) for c in order]
     di = [rel.columns.index(c) for c in order]
