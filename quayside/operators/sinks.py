@@ -6,6 +6,8 @@
 * ``merge_upsert``      — S7/S8: keyed upsert on plain parquet: matched rows take
                           the new values of the listed columns only, the others
                           keep their first value; new keys are inserted.
+* ``merge_upsert_partitions`` — the same on a date-partitioned table, reading and
+                          replacing only the partitions the new rows touch.
 * ``register_view``     — S15: a temp view over a DataFrame.
 
 The upsert computes the merged table from the current target and the new
@@ -103,6 +105,32 @@ def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: Sequen
     return spark.read.format(fmt).load(path)
 
 
+def merge_upsert_partitions(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str],
+                            update_columns: Sequence[str], partition_by: Sequence[str],
+                            fmt: str = "parquet") -> DataFrame:
+    """S7 on a table partitioned by ``partition_by``: only partitions that receive
+    new rows are read, merged and replaced (dynamic partition overwrite).
+
+    Requires the partition columns to be determined by the key (e.g. the
+    report date is part of the metric key), so a key never moves between
+    partitions.  The touched partitions are selected with a semi join on the
+    partition values of ``updates``; the target scan is pruned to them.
+    """
+    updates = dedupe_on_key(updates, key)
+    target = read_table(spark, path, fmt)
+    if target is None:
+        insert_overwrite(updates, path, partition_by=partition_by, fmt=fmt)
+        return spark.read.format(fmt).load(path)
+    touched = updates.select(*partition_by).distinct()
+    current = target.join(touched, list(partition_by), "left_semi")
+    result = merged(current, updates.select(*target.columns), key, update_columns)
+    stage = os.path.join(checkpoint_dir(spark), "quayside-merge", uuid.uuid4().hex)
+    result.write.mode("overwrite").format(fmt).save(stage)
+    insert_overwrite(spark.read.format(fmt).load(stage).select(*target.columns), path,
+                     partition_by=partition_by, fmt=fmt)
+    return spark.read.format(fmt).load(path)
+
+
 def ci_limit(df: DataFrame, n: int | None) -> DataFrame:
     """Cap the output only in CI runs."""
     return df.limit(n) if n else df
