@@ -80,8 +80,3 @@ def zero_fallback(value: ColumnOrName, other: ColumnOrName) -> Column:
     """``CASE WHEN v = 0 THEN other ELSE v END``."""
     v = _c(value)
     return F.when(v == 0, _c(other)).otherwise(v)
-
-
-def round_half_away(x: ColumnOrName, scale: int = 0) -> Column:
-    """``ROUND(x, n)``: half away from zero (Spark ``round`` is HALF_UP on magnitude)."""
-    return F.round(_c(x), scale)

@@ -10,8 +10,6 @@ literal array.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -345,7 +343,3 @@ class Fixtures:
         return p.select(p.p_partkey.alias("truck_id"),
                         F.when(p.p_partkey % 6 == 0, F.lit(0).cast("bigint")).otherwise(size).alias("loaded_carton_count"),
                         (size + 5).alias("total_cartons"))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
