@@ -13,10 +13,14 @@ import os
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from pyspark.sql import DataFrame
+
+from quayside.functions import backfill as B
 from quayside.operators import metrics as M
 from quayside.operators import sinks
 from quayside.plans import dim_warehouse as DW
 from quayside.plans import yard_trailer as YT
+from quayside.plans.context import RunContext
 from quayside.plans.project import Project
 
 
@@ -52,9 +56,32 @@ MATERIALIZATIONS: dict[str, Materialization] = {
 }
 
 
+# Models whose incremental run emits only rows with a new record hash.
+HASH_DIFF_MODELS = {"dim_warehouse"}
+# Models whose incremental run reads only a recent window of their sources.
+LOOKBACK_MODELS = {"dim_yard_trailer"}
+
+
+def _incremental_frame(p: Project, name: str, target: DataFrame) -> DataFrame:
+    """The model as an incremental run computes it when ``target`` exists."""
+    if name in HASH_DIFF_MODELS:
+        run = p.fork()
+        run.targets[name] = target
+        return run.build(name)
+    if name in LOOKBACK_MODELS:
+        start = B.regular_6_month_backfill(p.ctx)
+        ctx = RunContext(as_of=p.ctx.as_of, hq_zone=p.ctx.hq_zone, ci_limit=p.ctx.ci_limit,
+                         params={**p.ctx.params, "visit_lookback_start": start, "event_lookback_start": start})
+        run = Project(p.spark, p.src, ctx, materialize_dir=os.path.join(p.materialize_dir, "incremental"))
+        run._built = {k: v for k, v in p._built.items() if k == "dim_warehouse"}
+        return run.build(name)
+    return p.ref(name)
+
+
 def materialize(p: Project, name: str, path: str) -> None:
     m = MATERIALIZATIONS[name]
-    df = p.ref(name)
+    target = sinks.read_table(p.spark, path) if m.kind == "merge" else None
+    df = _incremental_frame(p, name, target) if target is not None else p.ref(name)
     if m.kind == "table":
         sinks.write_table(df, path, cluster_by=list(m.cluster_by) or None)
     elif m.kind == "insert_overwrite":

@@ -74,7 +74,7 @@ def test_run_models_twice_is_idempotent(spark, tmp_dir):
     from quayside.plans.context import fixture_context
     from quayside.plans.project import Project
     from quayside.plans.run import run_models
-    names = ["dim_warehouse", "metric_fill_rate", "report_outbound", "stg_yard_utilization"]
+    names = ["dim_warehouse", "dim_yard_trailer", "metric_fill_rate", "report_outbound", "stg_yard_utilization"]
     root = os.path.join(tmp_dir, "targets")
     first = {}
     for attempt in range(2):
@@ -84,3 +84,24 @@ def test_run_models_twice_is_idempotent(spark, tmp_dir):
         if attempt == 0:
             first = snap
     assert snap == first and all(first[n] for n in ["dim_warehouse", "metric_fill_rate"])
+
+
+def test_incremental_runs_keep_unchanged_rows(spark, tmp_dir):
+    """An incremental run of the warehouse dimension re-emits only changed hashes, so
+    rows that did not change keep their modification time (S11); the trailer
+    dimension's incremental run reads the last six months only (S12)."""
+    import datetime as _dt
+
+    from quayside.plans.context import RunContext, fixture_context
+    from quayside.plans.project import Project
+    from quayside.plans.run import run_models
+    root = os.path.join(tmp_dir, "inc")
+    base = fixture_context()
+    early = RunContext(as_of=_dt.datetime(1998, 3, 30, 12), params=base.params)
+    run_models(Project.for_sf_dir(spark, "/root/testdata/sf0.001", early), ["dim_warehouse"], root)
+    run_models(Project.for_sf_dir(spark, "/root/testdata/sf0.001", base), ["dim_warehouse"], root)
+    rows = spark.read.parquet(os.path.join(root, "dim_warehouse")).collect()
+    modified = {r.dwh_modified_timestamp for r in rows}
+    created = {r.dwh_creation_timestamp for r in rows}
+    assert created == {_dt.datetime(1998, 3, 30, 12)}
+    assert modified == {_dt.datetime(1998, 3, 30, 12), _dt.datetime(1998, 6, 17, 12)}  # only changed rows moved on
