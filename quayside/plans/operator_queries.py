@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.catalog import query
+from quayside.functions import backfill as B
+from quayside.functions import calendar as cal
+from quayside.functions import scalar as S
+from quayside.operators import metrics as M
+from quayside.operators import quality as Q
+from quayside.operators import relops as R
+from quayside.operators import sinks
 from quayside.plans import dim_date as DD
+from quayside.plans import dim_warehouse as DW
+from quayside.plans import yard_utilization as YU
+from quayside.plans.context import RunContext
 from quayside.plans.project import Project
 
 
@@ -28,18 +42,6 @@ def q_gen_date_range(p: Project) -> DataFrame:
 
 
 # --- §2.1 scans, sinks, materialisation -----------------------------------------------------------
-import datetime as dt  # noqa: E402
-import os  # noqa: E402
-import uuid  # noqa: E402
-
-from quayside.functions import backfill as B  # noqa: E402
-from quayside.functions import calendar as cal  # noqa: E402
-from quayside.functions import scalar as S  # noqa: E402
-from quayside.operators import relops as R  # noqa: E402
-from quayside.operators import sinks  # noqa: E402
-from quayside.plans import dim_warehouse as DW  # noqa: E402
-from quayside.plans import yard_utilization as YU  # noqa: E402
-from quayside.plans.context import RunContext  # noqa: E402
 
 
 def _out_path(p: Project, name: str) -> str:
@@ -968,7 +970,6 @@ def q_backfill_lookback_start(p: Project) -> DataFrame:
 
 
 # --- §2.12 data-quality checks ----------------------------------------------------------------------------------
-from quayside.operators import quality as Q  # noqa: E402
 
 
 @query("dq_not_null")
@@ -1005,7 +1006,6 @@ def q_dq_suite(p: Project) -> DataFrame:
 
 
 # --- §2.13 metric dictionary ------------------------------------------------------------------------------------
-from quayside.operators import metrics as M  # noqa: E402
 
 
 @query("metric_dictionary_eval")
