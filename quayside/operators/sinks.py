@@ -13,11 +13,14 @@
 The upsert computes the merged table from the current target and the new
 rows, stages it under the session's shared checkpoint folder, and only then
 overwrites the target from the staged copy — the target is never overwritten
-while it is being read, and a failed run can be repeated.
+while it is being read.  A pending record names the stage until the copy has
+finished; if a run dies during the copy, the next upsert of that target first
+completes it from the stage, so no merge is applied to a half-written target.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from typing import Sequence
@@ -94,14 +97,46 @@ def merged(target: DataFrame | None, updates: DataFrame, key: Sequence[str],
     return j.select(*out)
 
 
+_PENDING_SCHEMA = "stage string, partition_by string, fmt string"
+
+
+def _pending_path(spark: SparkSession, path: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "quayside-merge", "pending", hashlib.md5(path.encode()).hexdigest())
+
+
+def _publish(spark: SparkSession, stage: str, path: str, partition_by: Sequence[str] | None, fmt: str) -> None:
+    """Copy a staged merge result onto the target.  A pending record names the
+    stage until the copy has finished, so a run that died half-way through
+    the copy (after the old files were removed) is completed by the next one."""
+    record = _pending_path(spark, path)
+    spark.createDataFrame([(stage, ",".join(partition_by or []), fmt)], _PENDING_SCHEMA).write.mode("overwrite").parquet(record)
+    staged = spark.read.format(fmt).load(stage)
+    if partition_by:
+        insert_overwrite(staged, path, partition_by=list(partition_by), fmt=fmt)
+    else:
+        staged.write.mode("overwrite").format(fmt).save(path)
+    spark.createDataFrame([], _PENDING_SCHEMA).write.mode("overwrite").parquet(record)
+
+
+def recover_pending(spark: SparkSession, path: str) -> bool:
+    """Finish an interrupted publish of ``path``; True if there was one."""
+    rec = read_table(spark, _pending_path(spark, path))
+    row = rec.first() if rec is not None else None  # at most one row
+    if row is None:
+        return False
+    _publish(spark, row.stage, path, [c for c in row.partition_by.split(",") if c], row.fmt)
+    return True
+
+
 def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str],
                  update_columns: Sequence[str], fmt: str = "parquet") -> DataFrame:
     """Apply ``updates`` to the table at ``path`` and return the new table."""
+    recover_pending(spark, path)
     target = read_table(spark, path, fmt)
     result = merged(target, dedupe_on_key(updates, key), key, update_columns)
     stage = os.path.join(checkpoint_dir(spark), "quayside-merge", uuid.uuid4().hex)
     result.write.mode("overwrite").format(fmt).save(stage)
-    spark.read.format(fmt).load(stage).write.mode("overwrite").format(fmt).save(path)
+    _publish(spark, stage, path, None, fmt)
     return spark.read.format(fmt).load(path)
 
 
@@ -116,6 +151,7 @@ def merge_upsert_partitions(spark: SparkSession, updates: DataFrame, path: str,
     partitions.  The touched partitions are selected with a semi join on the
     partition values of ``updates``; the target scan is pruned to them.
     """
+    recover_pending(spark, path)
     updates = dedupe_on_key(updates, key)
     target = read_table(spark, path, fmt)
     if target is None:
@@ -125,9 +161,8 @@ def merge_upsert_partitions(spark: SparkSession, updates: DataFrame, path: str,
     current = target.join(touched, list(partition_by), "left_semi")
     result = merged(current, updates.select(*target.columns), key, update_columns)
     stage = os.path.join(checkpoint_dir(spark), "quayside-merge", uuid.uuid4().hex)
-    result.write.mode("overwrite").format(fmt).save(stage)
-    insert_overwrite(spark.read.format(fmt).load(stage).select(*target.columns), path,
-                     partition_by=partition_by, fmt=fmt)
+    result.select(*target.columns).write.mode("overwrite").format(fmt).save(stage)
+    _publish(spark, stage, path, partition_by, fmt)
     return spark.read.format(fmt).load(path)
 
 

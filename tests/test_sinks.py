@@ -105,3 +105,20 @@ def test_incremental_runs_keep_unchanged_rows(spark, tmp_dir):
     created = {r.dwh_creation_timestamp for r in rows}
     assert created == {_dt.datetime(1998, 3, 30, 12)}
     assert modified == {_dt.datetime(1998, 3, 30, 12), _dt.datetime(1998, 6, 17, 12)}  # only changed rows moved on
+
+
+def test_interrupted_publish_is_completed_by_the_next_upsert(spark, tmp_dir):
+    """A run that died after the old target files were removed leaves a pending
+    record; the next upsert completes the copy before merging its own rows."""
+    path = os.path.join(tmp_dir, "t")
+    schema = "k long, v double, created string"
+    spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, "a")], schema).write.parquet(path)
+    # the earlier run: merged result staged, pending record written, copy died half-way
+    stage = os.path.join(tmp_dir, "stage")
+    spark.createDataFrame([(1, 10.0, "a"), (2, 2.0, "a"), (3, 3.0, "b")], schema).write.parquet(stage)
+    spark.createDataFrame([(stage, "", "parquet")], sinks._PENDING_SCHEMA).write.mode("overwrite").parquet(
+        sinks._pending_path(spark, path))
+    spark.createDataFrame([(2, 2.0, "a")], schema).write.mode("overwrite").parquet(path)  # half-written target
+    out = sinks.merge_upsert(spark, spark.createDataFrame([(4, 4.0, "c")], schema), path, ["k"], ["v"])
+    assert sorted(tuple(r) for r in out.collect()) == [(1, 10.0, "a"), (2, 2.0, "a"), (3, 3.0, "b"), (4, 4.0, "c")]
+    assert not sinks.recover_pending(spark, path)  # nothing left pending
