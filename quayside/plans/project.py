@@ -9,6 +9,7 @@ layers the way the reference's tables do.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 from typing import Callable
 
@@ -39,6 +40,8 @@ class Project:
         self.run_id = uuid.uuid4().hex[:12]
         self._built: dict[str, DataFrame] = {}
         self._small: dict[tuple[str, str], bool] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._locks_guard = threading.Lock()
         # previous versions of incremental targets ({{ this }}), by model name
         self.targets: dict[str, DataFrame] = {}
 
@@ -74,13 +77,18 @@ class Project:
         under the shared checkpoint folder and read back (a table, as in the
         reference): later plans scan it with column pruning and pushdown
         instead of recomputing its lineage, and the result survives executor loss."""
-        if name not in self._built:
-            df = self.build(name)
-            if self.materialize:
-                path = os.path.join(self.materialize_dir, name)
-                df.write.mode("overwrite").parquet(path)
-                df = self.spark.read.parquet(path)
-            self._built[name] = df
+        if name in self._built:
+            return self._built[name]
+        with self._locks_guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:  # concurrent runs build each model once; models form a DAG, so no lock cycle
+            if name not in self._built:
+                df = self.build(name)
+                if self.materialize:
+                    path = os.path.join(self.materialize_dir, name)
+                    df.write.mode("overwrite").parquet(path)
+                    df = self.spark.read.parquet(path)
+                self._built[name] = df
         return self._built[name]
 
     def dimension(self, name: str, *cols, source: bool = False, max_rows: int | None = None) -> DataFrame:

@@ -122,3 +122,16 @@ def test_interrupted_publish_is_completed_by_the_next_upsert(spark, tmp_dir):
     out = sinks.merge_upsert(spark, spark.createDataFrame([(4, 4.0, "c")], schema), path, ["k"], ["v"])
     assert sorted(tuple(r) for r in out.collect()) == [(1, 10.0, "a"), (2, 2.0, "a"), (3, 3.0, "b"), (4, 4.0, "c")]
     assert not sinks.recover_pending(spark, path)  # nothing left pending
+
+
+def test_concurrent_run_equals_sequential(spark, tmp_dir):
+    from quayside.plans.context import fixture_context
+    from quayside.plans.project import Project
+    from quayside.plans.run import run_models
+    names = ["metric_fill_rate", "stg_yard_utilization", "metric_throughput_variance", "report_outbound", "dim_date"]
+    out = {}
+    for threads in (1, 4):
+        p = Project.for_sf_dir(spark, "/root/testdata/sf0.001", fixture_context())
+        paths = run_models(p, names, os.path.join(tmp_dir, f"t{threads}"), threads=threads)
+        out[threads] = {n: sorted(tuple(str(v) for v in r) for r in spark.read.parquet(paths[n]).collect()) for n in names}
+    assert out[1] == out[4]
