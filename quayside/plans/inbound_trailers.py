@@ -17,7 +17,7 @@ from quayside.operators import relops as R
 from quayside.plans.project import Project, model
 
 RES = "inbound_trailer_reservation_id"
-# Subwarehouses counted as inbound on the yard.
+# Subwarehouses counted as inbound on the yard; the two SLA limits.
 INBOUND_SUBWAREHOUSES = ["%Inbound%", "%Receiv%", "%VAS%", "SubSatelliteLotRomeoville", "%Rug%"]
 ARRIVAL_SLA_HOURS = 72
 APPOINTMENT_SLA_DAYS = 1

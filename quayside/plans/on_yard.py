@@ -11,7 +11,8 @@ from quayside.operators import relops as R
 from quayside.plans.project import Project, model
 
 RES = "inbound_trailer_reservation_id"
-# Subwarehouses in scope; warehouses whose id is taken from the reservation.
+# Subwarehouses in scope; warehouses whose id is taken from the reservation;
+# the unload window in hours.
 ON_YARD_SUBWAREHOUSES = ["%SPDomesticInbound%", "%SPCGFInbound%", "%Receiv%", "%VAS%", "%SPO%"]
 RESERVATION_WAREHOUSE_SITES = [9, 18]
 WINDOW_HOURS = 48

@@ -17,7 +17,8 @@ from quayside.operators import relops as R
 from quayside.plans.project import Project, model
 
 RES = "inbound_trailer_reservation_id"
-ON_SITE_LOOKBACK_DAYS = 25  # Fixed value: arrivals older than this are not on site
+# Arrivals older than this many days are not on site; the sentinel unit count.
+ON_SITE_LOOKBACK_DAYS = 25
 SENTINEL_UNITS = 400
 
 

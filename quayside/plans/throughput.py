@@ -18,7 +18,7 @@ from quayside.functions import calendar as cal
 from quayside.operators import relops as R
 from quayside.plans.project import Project, model
 
-# Freight class labels of the outbound pivot.
+# Freight class labels of the outbound pivot; the capacity plan's lag in days.
 LP, SP_BINS = "Bulk_Picks_LP", "Bulk_Picks_SP_Bins"
 CAPACITY_LAG_DAYS = 14
 

@@ -35,7 +35,8 @@ SENTINEL_UNITS = 400
 # Subwarehouse patterns.
 XD_SUBWAREHOUSES = ["%Recei%", "%SPDomesticInbound%", "%SPCGFInbound%", "%PPXD%"]
 MEDIAN_SUBWAREHOUSES = ["%SPDomesticInbound%", "%SPCGFInbound%", "%Receiv%"]
-# Item activity codes counted as QC, path order for ties.
+# Item activity codes counted as QC; path labels (in tie-break order); the
+# JSON path of the event's unit count; the median's look-back in weeks.
 QC_ACTIVITY_CODES = [63, 6]
 PATH_ORDER = ["happy_path_yard_management", "sad_path_yard_management", "dbf_path_yard_management"]
 DEFAULT_UNITS_JSON_PATH = "$.reservationDetails.totalQuantity"

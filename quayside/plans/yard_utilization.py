@@ -23,6 +23,7 @@ WAREHOUSE_NAME_RULES = [
 SHARED_CAPACITY_SITES = [18, 9]
 SHARED_CAPACITY_SOURCE = 9
 SHARED_CAPACITY_UPLIFT = 350
+# Fixed value: the report keeps uploads from this date on (a parameter, see RunContext.params).
 DEFAULT_MIN_REPORT_DATE = dt.date(2024, 1, 1)
 
 
