@@ -240,11 +240,11 @@ def q_flags_from_compare(p: Project) -> DataFrame:
 
 @query("flag_int")
 def q_flag_int(p: Project) -> DataFrame:
-    from quayside.plans.inbound_trailers import sla_calculation
+    from quayside.plans.inbound_trailers import APPOINTMENT_SLA_DAYS, ARRIVAL_SLA_HOURS, sla_calculation
     a = sla_calculation(p)
     return a.select("inbound_reservation_id", "warehouse_id", "sum_trailer_units",
-                    R.flag_int(F.col("unload_diff_arrival") > 72).alias("out_of_arrival_72_hours"),
-                    R.flag_int(F.col("unload_diff_appt") > 1).alias("out_of_appt_1_day"))
+                    R.flag_int(F.col("unload_diff_arrival") > ARRIVAL_SLA_HOURS).alias("out_of_arrival_72_hours"),
+                    R.flag_int(F.col("unload_diff_appt") > APPOINTMENT_SLA_DAYS).alias("out_of_appt_1_day"))
 
 
 @query("case_zero_fallback")
