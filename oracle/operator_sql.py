@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracle.catalog import oracle
 from oracle.models_sql import _WH_CASE, _q
 from oracle.sql import build
+from quayside.functions.scalar import SURROGATE_NULL
 from quayside.plans import dim_warehouse as DW
 
 # --- §2.1 -------------------------------------------------------------------------------------
@@ -236,11 +237,9 @@ oracle("fn_left", "SELECT ContentRefID, left(spoid, 1) AS first_char FROM fx_con
 oracle("fn_regexp_strip_prefix", f"SELECT ReservationID, TrailerNumber, {_STRIP.format(x='TrailerNumber')} AS trailer_key FROM fx_reservation")
 oracle("fn_like", "SELECT ReservationID, subwarehouse LIKE '%Inbound%' AS is_inbound_sub, subwarehouse LIKE 'VAS' AS is_vas FROM fx_reservation")
 oracle("fn_hash_record", "SELECT warehouse_id, hash_record FROM om_dim_warehouse")
-oracle("fn_surrogate_key", """
-SELECT wms_wh_id, md5(concat(coalesce(CAST(wh_id AS VARCHAR), '_dbt_utils_surrogate_key_null_'), '-',
-  coalesce(CAST(name AS VARCHAR), '_dbt_utils_surrogate_key_null_'), '-', coalesce(CAST(city AS VARCHAR), '_dbt_utils_surrogate_key_null_'), '-',
-  coalesce(CAST(state AS VARCHAR), '_dbt_utils_surrogate_key_null_'), '-', coalesce(CAST(zip AS VARCHAR), '_dbt_utils_surrogate_key_null_'))) AS surrogate_key
-FROM fx_wh""")
+oracle("fn_surrogate_key", "SELECT wms_wh_id, md5(" + " || '-' || ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '{SURROGATE_NULL}')" for c in ("wh_id", "name", "city", "state", "zip"))
+    + ") AS surrogate_key FROM fx_wh")
 oracle("fn_json_query", "SELECT EventQueueID, CAST(json_extract_string(EventDetail, '$.k') AS BIGINT) AS total_quantity FROM fx_event")
 oracle("fn_ifnull", "SELECT wms_wh_id, coalesce(state, 'N/A') AS warehouse_state FROM fx_wh")
 oracle("fn_coalesce", "SELECT wms_wh_id, coalesce(zip, state, city) AS locality FROM fx_wh")

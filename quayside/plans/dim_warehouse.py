@@ -68,7 +68,7 @@ def _region(wh_id) -> F.Column:
 
 
 def warehouse_attributes(p: Project) -> DataFrame:
-    """The ``cte_castlegate_warehouse`` relation: one row per warehouse."""
+    """Warehouse attributes before naming defaults: one row per warehouse."""
     wh = p.source("warehouse").where(~F.col("wms_wh_id").isin(TEST_WAREHOUSES))
     site = p.dimension("site", "WarehouseID", "CampusID", source=True)
     country = p.dimension("country", "country_id", "country_long", source=True)
