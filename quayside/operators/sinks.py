@@ -33,12 +33,18 @@ from quayside.session import checkpoint_dir
 
 
 def _clustered(df: DataFrame, cluster_by: Sequence[str] | None, partition_by: Sequence[str] | None = None) -> DataFrame:
-    """Co-locate and sort rows by the clustering columns so parquet
-    min/max statistics prune well; within a date partition when partitioned."""
+    """Range-partition and sort rows by the clustering columns so each file
+    covers a narrow key range and parquet min/max statistics prune well.
+
+    A deterministic row hash is the last range key: a clustering value that
+    holds a large share of the rows is split over several tasks (and files)
+    instead of landing in one, and a retried task sees the same partitioning.
+    """
     if not cluster_by:
         return df
     keys = [*(partition_by or []), *cluster_by]
-    return df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartitionByRange(*[F.col(k) for k in keys], spread).sortWithinPartitions(*keys)
 
 
 def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:

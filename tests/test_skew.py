@@ -66,3 +66,15 @@ def test_pick_first_on_hot_key_forwards_local_winners(spark):
     plan = buf.getvalue()
     # a partial top-1 runs before the exchange, so a hot key ships one row per task
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_clustered_write_splits_a_hot_key(spark, tmp_dir):
+    """A clustering value holding a third of the rows is written by several tasks."""
+    from quayside.operators import sinks
+    df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("warehouse_id"),
+                                    F.col("id").alias("v"))
+    path = os.path.join(tmp_dir, "clustered")
+    sinks.write_table(df, path, cluster_by=["warehouse_id"])
+    back = spark.read.parquet(path)
+    files = back.where(F.col("warehouse_id") == 7).select(F.input_file_name()).distinct().count()
+    assert back.count() == 60_000 and files > 1
