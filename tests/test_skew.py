@@ -74,7 +74,15 @@ def test_clustered_write_splits_a_hot_key(spark, tmp_dir):
     df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("warehouse_id"),
                                     F.col("id").alias("v"))
     path = os.path.join(tmp_dir, "clustered")
-    sinks.write_table(df, path, cluster_by=["warehouse_id"])
+    # at this size AQE would merge every range into one partition; a small target size
+    # stands in for the large partitions of a real table
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        sinks.write_table(df, path, cluster_by=["warehouse_id"])
+    finally:
+        spark.conf.set(key, old)
     back = spark.read.parquet(path)
     files = back.where(F.col("warehouse_id") == 7).select(F.input_file_name()).distinct().count()
     assert back.count() == 60_000 and files > 1
