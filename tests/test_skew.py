@@ -74,11 +74,11 @@ def test_clustered_write_splits_a_hot_key(spark, tmp_dir):
     df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("warehouse_id"),
                                     F.col("id").alias("v"))
     path = os.path.join(tmp_dir, "clustered")
-    # at this size AQE would merge every range into one partition; a small target size
-    # stands in for the large partitions of a real table
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    # at this size AQE would merge every range into one partition; without coalescing
+    # the ranges stand in for the large partitions of a real table
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
     old = spark.conf.get(key)
-    spark.conf.set(key, "16k")
+    spark.conf.set(key, "false")
     try:
         sinks.write_table(df, path, cluster_by=["warehouse_id"])
     finally:
