@@ -28,8 +28,29 @@ SQL_DEFAULTS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    for key, value in SQL_DEFAULTS.items():
+# Sizing for a large cluster (~100 TB of input, ~1000 executors).  Input splits
+# of 256 MB keep a task's working set well inside executor memory; the first
+# shuffle of the largest fact starts at 40,000 partitions (~2.5 GB each at the
+# biggest exchange before AQE) and AQE coalesces towards 256 MB per partition,
+# so small exchanges do not pay for the large ones; skewed partitions above
+# 5× the median and 512 MB are split.  Broadcasts stay capped at 64 MB of
+# estimated size (dimensions are also row-bounded in ``bounded_broadcast``).
+CLUSTER_SIZING = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
+def configure(spark: SparkSession, cluster_sizing: bool = False) -> SparkSession:
+    """Apply the SQL settings the pipelines rely on; ``cluster_sizing`` adds the
+    partition sizing meant for the large-cluster target (not for local runs)."""
+    for key, value in {**SQL_DEFAULTS, **(CLUSTER_SIZING if cluster_sizing else {})}.items():
         spark.conf.set(key, value)
     return spark
 
