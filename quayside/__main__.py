@@ -21,7 +21,7 @@ from quayside.operators import quality as Q
 from quayside.plans.context import FIXTURE_AS_OF, FIXTURE_PARAMS, RunContext
 from quayside.plans.project import Project
 from quayside.plans.run import MATERIALIZATIONS, run_models
-from quayside.session import build_session
+from quayside.session import build_session, configure
 from quayside.sources.registry import Sources
 
 
@@ -36,12 +36,15 @@ def _args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--backfill-from", default=None)
     ap.add_argument("--threads", type=int, default=1)
     ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--cluster-sizing", action="store_true", help="apply the large-cluster partition sizing")
     return ap.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> int:
     a = _args(sys.argv[1:] if argv is None else argv)
     spark = build_session(a.master)
+    if a.cluster_sizing:
+        configure(spark, cluster_sizing=True)
     paths = dict(s.split("=", 1) for s in a.source)
     src = Sources(spark, a.sf_dir, paths=paths)
     as_of = dt.datetime.fromisoformat(a.as_of)
