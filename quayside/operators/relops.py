@@ -46,10 +46,17 @@ def anti_join(left: DataFrame, right: DataFrame, on, right_filter: Column | None
     """``LEFT JOIN r … WHERE r.key IS NULL`` as a ``left_anti`` join.
 
     Equal to the idiom whenever the tested right column is non-NULL on every
-    match; NULL left keys never match, so such rows are kept, as in SQL.
+    match; NULL left keys never match, so such rows are kept, as in SQL — and
+    they bypass the shuffle, where a NULL-heavy key would form one hot partition.
     """
     if right_filter is not None:
         right = right.where(right_filter)
+    if isinstance(on, str):
+        # NULL keys never match and would all hash to one shuffle partition:
+        # keep those rows without shuffling them
+        key = F.col(on)
+        return (left.where(key.isNotNull()).join(right.where(key.isNotNull()), on=on, how="left_anti")
+                    .unionByName(left.where(key.isNull())))
     return left.join(right, on=on, how="left_anti")
 
 
