@@ -42,22 +42,45 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def _null_salt(df: DataFrame, key: str) -> Column:
+    """0 for rows with a key; a deterministic 1..1024 spread for NULL keys.
+
+    Joined as a second equi-key against a constant 0 on the right, it leaves
+    matches unchanged, while NULL-key rows (which never match) hash to many
+    partitions instead of one; the input is read once.
+    """
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(1024)) + 1
+    return F.when(F.col(key).isNull(), spread).otherwise(F.lit(0).cast("bigint"))
+
+
 def anti_join(left: DataFrame, right: DataFrame, on, right_filter: Column | None = None) -> DataFrame:
     """``LEFT JOIN r … WHERE r.key IS NULL`` as a ``left_anti`` join.
 
     Equal to the idiom whenever the tested right column is non-NULL on every
     match; NULL left keys never match, so such rows are kept, as in SQL — and
-    they bypass the shuffle, where a NULL-heavy key would form one hot partition.
+    they are spread over partitions, where a NULL-heavy key would form one
+    hot partition.
     """
     if right_filter is not None:
         right = right.where(right_filter)
-    if isinstance(on, str):
-        # NULL keys never match and would all hash to one shuffle partition:
-        # keep those rows without shuffling them
-        key = F.col(on)
-        return (left.where(key.isNotNull()).join(right.where(key.isNotNull()), on=on, how="left_anti")
-                    .unionByName(left.where(key.isNull())))
-    return left.join(right, on=on, how="left_anti")
+    if not isinstance(on, str):
+        return left.join(right, on=on, how="left_anti")
+    l = left.withColumn("__salt", _null_salt(left, on))
+    r = right.select(F.col(on).alias("__rkey")).withColumn("__rsalt", F.lit(0).cast("bigint"))
+    cond = (l[on] == r["__rkey"]) & (l["__salt"] == r["__rsalt"])
+    return l.join(r, cond, "left_anti").drop("__salt")
+
+
+def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+    """``left LEFT JOIN right ON left_key = right_key`` where many ``left_key`` are NULL.
+
+    NULL keys never match; salted, they spread over partitions instead of all
+    hashing to one.  Same result as the plain left join.
+    """
+    l = left.withColumn("__salt", _null_salt(left, left_key))
+    r = right.withColumn("__rsalt", F.lit(0).cast("bigint"))
+    cond = (l[left_key] == r[right_key]) & (l["__salt"] == r["__rsalt"])
+    return l.join(r, cond, "left").drop("__salt", "__rsalt")
 
 
 def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:

@@ -86,3 +86,16 @@ def test_clustered_write_splits_a_hot_key(spark, tmp_dir):
     back = spark.read.parquet(path)
     files = back.where(F.col("warehouse_id") == 7).select(F.input_file_name()).distinct().count()
     assert back.count() == 60_000 and files > 1
+
+
+def test_null_heavy_keys_are_salted_not_dropped(spark):
+    """Anti and left joins on keys that are mostly NULL equal the plain joins."""
+    left = spark.range(20_000).select(F.when(F.col("id") % 4 != 0, F.lit(None)).otherwise(F.col("id") % 100).alias("k"),
+                                      F.col("id").alias("v"))
+    right = spark.range(50).select(F.col("id").alias("rk"), (F.col("id") * 10).alias("w"))
+    plain_anti = left.join(right, left.k == right.rk, "left_anti")
+    salted_anti = R.anti_join(left, right.withColumnRenamed("rk", "k"), "k")
+    assert sorted(map(tuple, plain_anti.collect())) == sorted(map(tuple, salted_anti.collect()))
+    plain_left = left.join(right, left.k == right.rk, "left")
+    salted_left = R.left_join_nullable(left, right, "k", "rk")
+    assert sorted(map(tuple, plain_left.collect())) == sorted(map(tuple, salted_left.select(*plain_left.columns).collect()))
