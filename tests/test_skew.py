@@ -93,9 +93,12 @@ def test_null_heavy_keys_are_salted_not_dropped(spark):
     left = spark.range(20_000).select(F.when(F.col("id") % 4 != 0, F.lit(None)).otherwise(F.col("id") % 100).alias("k"),
                                       F.col("id").alias("v"))
     right = spark.range(50).select(F.col("id").alias("rk"), (F.col("id") * 10).alias("w"))
+    def rows(df):
+        return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, x or 0) for x in t))
+
     plain_anti = left.join(right, left.k == right.rk, "left_anti")
     salted_anti = R.anti_join(left, right.withColumnRenamed("rk", "k"), "k")
-    assert sorted(map(tuple, plain_anti.collect())) == sorted(map(tuple, salted_anti.collect()))
+    assert rows(plain_anti) == rows(salted_anti)
     plain_left = left.join(right, left.k == right.rk, "left")
     salted_left = R.left_join_nullable(left, right, "k", "rk")
-    assert sorted(map(tuple, plain_left.collect())) == sorted(map(tuple, salted_left.select(*plain_left.columns).collect()))
+    assert rows(plain_left) == rows(salted_left.select(*plain_left.columns))
