@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe
+from quayside.llm import bpe, lattice, packing, quality_rules, simhash, token_counts, url_rules
 from quayside.llm.common import table
 
 QUERIES = {}
@@ -21,3 +21,54 @@ def query(fn):
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document and back."""
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SentencePiece token counts of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op6_lattice_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors by E8 lattice cells."""
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash near-duplicates of all documents."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base check and risk-controlled rules over every document."""
+    return quality_rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules of the contract over every page's URL."""
+    sweeps = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark), sweeps)
+
+
+ORACLES["op9_url_filters"] = r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+rules(verdict, h, p) AS (
+  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/'))
+SELECT page_id, host, path, h || p AS rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) = 1
+"""
