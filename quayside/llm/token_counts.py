@@ -39,9 +39,10 @@ class ChunkedCounter:
         return self._count_long(text.replace(META, " "))
 
     def _ends(self, span: str) -> list[int]:
-        """Byte offset in ``span`` of the end of each token."""
+        """Byte offset in ``span`` of the end of each token.  The model puts a space of its own before a text, which
+        lies before offset 0."""
         width = self.width
-        return list(accumulate(width[i] for i in self.model.encode(span)))
+        return [end - 1 for end in accumulate(width[i] for i in self.model.encode(span))]
 
     def _stable(self, text: str, left: int, right: int) -> int | None:
         """The proven stable position nearest to the middle of ``(left, right)``."""
@@ -52,35 +53,43 @@ class ChunkedCounter:
                     return at
         return None
 
+    def _from(self, text: str, begin: int, start: int, end: int) -> list[int] | None:
+        """Token ends of ``text[begin:end]`` after the boundary ``start``, relative to it; None where no token ends there.
+        Before ``start`` the encoding may differ from the whole text's, for the chunk begins anywhere."""
+        ends = self._ends(text[begin:end])
+        if start == 0:
+            return ends
+        cut = len(text[begin:start].encode())
+        at = bisect.bisect_left(ends, cut)
+        if at == len(ends) or ends[at] != cut:
+            return None
+        return [x - cut for x in ends[at + 1:]]
+
     def _count_long(self, text: str) -> int:
-        total, start, end = 0, 0, self.chunk
+        total, begin, start, end = 0, 0, 0, self.chunk
         ends = self._ends(text[:end])
         while end < len(text):
-            # ``ends``: tokens of text[start:end]; start is 0 or a stable boundary
-            overlap, splice = self.overlap, None
-            while splice is None and overlap < end - start:
-                begin = end - overlap
-                splice = self._stable(text, begin, end)
+            # ``ends`` are of the tokens after ``start``: the beginning, or a stable boundary inside the chunk begin..end
+            overlap, following = self.overlap, None
+            while following is None and overlap < end - start:
+                splice = self._stable(text, end - overlap, end)
                 if splice is not None:
-                    # the right chunk starts before the splice and must show a token end there, as the left one does
-                    following = min(len(text), begin + self.chunk)
-                    right = self._ends(text[begin:following])
-                    cut = len(text[begin:splice].encode())
+                    # the next chunk begins before the splice and must show a token end there, as this one does
+                    until = min(len(text), end + max(self.chunk - overlap, self.chunk // 2))
                     here = len(text[start:splice].encode())
-                    i, j = bisect.bisect_left(ends, here), bisect.bisect_left(right, cut)
-                    if i == len(ends) or ends[i] != here or j == len(right) or right[j] != cut:
-                        splice = None
-                if splice is None:
+                    at = bisect.bisect_left(ends, here)
+                    if at < len(ends) and ends[at] == here:
+                        following = self._from(text, end - overlap, splice, until)
+                if following is None:
                     self.widenings += 1
                     overlap *= 2
-            if splice is None:  # no stable boundary in the whole chunk: it grows
+            if following is None:  # no shared stable boundary in the whole chunk: it grows
                 self.widenings += 1
-                end = min(len(text), end + self.chunk)
-                ends = self._ends(text[start:end])
-                continue
-            total += i + 1
-            ends = [x - cut for x in right[j + 1:]]
-            start, end = splice, following
+                end = min(len(text), 2 * end - begin)  # doubles, so a text without boundaries costs twice its encoding
+                ends = self._from(text, begin, start, end)
+            else:
+                total += at + 1
+                begin, start, end, ends = end - overlap, splice, until, following
         return total + len(ends)
 
 
