@@ -120,6 +120,12 @@ class ByteBpe:
     def encode(self, text: str) -> list[int]:
         return [int(i) for ids, _ in self._parts(text) for i in ids.split(",")]
 
+    def count(self, text: str) -> int:
+        """Number of tokens of the text."""
+        n = sum([p[0].count(",") + 1 for p in self._parts(text)])
+        self.turn()
+        return n
+
     def turn(self) -> None:
         self.cache.turn()
         self.piece_ids.turn()
