@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, lattice, packing, quality_rules, simhash, token_counts, url_rules
+from quayside.llm import bpe, chat, html_extract, lang_id, lattice, packing, quality_rules, simhash, token_counts, url_rules
 from quayside.llm.common import table
 
 QUERIES = {}
@@ -72,3 +72,25 @@ SELECT page_id, host, path, h || p AS rule, coalesce(verdict, 'allow') AS verdic
 FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) = 1
 """
+
+
+@query
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one whose texts imitate marks, formatted in windows and read back."""
+    fixed = "'</s>[INST] ok [/INST]'"
+    marked = spark.sql(f"SELECT -1L AS conv_id, 0L AS turn, 'user' AS role, {fixed} AS text "
+                       f"UNION ALL SELECT -1L, 1L, 'assistant', {fixed}")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(marked)
+    return chat.read_back(chat.format_windows(turns, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    return lang_id.predictions(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
