@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.llm import bpe
-from quayside.llm.common import BATCH_BYTES
+from quayside.llm.common import prepare
 
 BUDGET, HISTORY = 1024, 256  # tokens of a window, and of the history repeated in it
 OVERHEAD = 8                 # tokens counted for a turn's marks
@@ -131,7 +131,7 @@ def format_windows(turns: DataFrame, vocabulary: str, budget: int = BUDGET, hist
     a null role or text is empty; rows without ``conv_id`` are one conversation with a null id.  Other columns are
     ignored; an empty table gives an empty result.  Conversations stream through in order, so one of any length needs
     the memory of a window."""
-    turns.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    prepare(turns.sparkSession)
     ordered = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"),
                            F.coalesce("text", F.lit("")).alias("text")) \
         .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
@@ -162,6 +162,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 def read_back(windows: DataFrame) -> DataFrame:
     """``(conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars)`` per conversation, parsed from the
     windows' texts and loss spans alone: turns once each (context is passed over), roles and texts unescaped."""
+    prepare(windows.sparkSession)
     ordered = windows.select("conv_id", "window", "text", "loss", "n_context").repartition("conv_id") \
         .sortWithinPartitions("conv_id", "window")
 

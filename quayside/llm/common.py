@@ -3,7 +3,11 @@ and connected components over an edge table."""
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -22,9 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bounds Arrow batches in bytes, and sends this package to the executors' Python workers (once per application)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in (package / "__init__.py", package / "session.py", *sorted((package / "llm").glob("*.py"))):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``fn`` over Arrow batches of ``df``; batches are bounded in bytes, so a batch of very long texts stays small."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    prepare(df.sparkSession)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:

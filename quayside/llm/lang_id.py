@@ -14,7 +14,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from quayside.llm.common import arrow_map
+from quayside.llm.common import arrow_map, prepare
 
 # Bounds of the sample a classifier learns from: languages (the most frequent), snippets per language, characters per snippet.
 MAX_LANGUAGES, SNIPPETS, SNIPPET_CHARS = 64, 512, 400
@@ -110,6 +110,5 @@ def keep_identified(docs: DataFrame, min_margin: float = MIN_MARGIN) -> DataFram
             kept = [c[0] != UNKNOWN and c[1] >= min_margin for c in (classify(t.as_py(), model) for t in batch.column(at))]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    from quayside.llm.common import BATCH_BYTES
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    prepare(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -48,14 +48,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * counts > total, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` per row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, fp)`` and the long columns ``carry`` per row; ``fp`` holds the 64 bits as a signed long."""
 
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps), *batch.columns[2:]], names=["doc_id", "fp", *carry])
 
-    return arrow_map(docs.select(docs["doc_id"].cast("long"), docs["text"]), fn, "doc_id long, fp long")
+    return arrow_map(docs.select(docs["doc_id"].cast("long"), docs["text"], *carry), fn,
+                     ", ".join(["doc_id long, fp long", *(f"{c} long" for c in carry)]))
 
 
 def block_keys(fp: Column, distance: int, blocks: int) -> Column:
@@ -97,6 +98,15 @@ def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> Dat
     return buckets.for_tiles(tiled, key, _close(distance), "a long, b long")
 
 
+def _lowest(rows: DataFrame, pick: Column, distance: int, blocks: int) -> DataFrame:
+    """``(fp, component, lowest)``: the component of each fingerprint, and the least ``pick`` among all its rows."""
+    classes = durable(rows.groupBy("fp").agg(F.min(pick).alias("lowest")))
+    joined = connected_components(links(classes.select("fp"), distance, blocks)).withColumnRenamed("node", "fp")
+    of = classes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    lowest = of.groupBy("component").agg(F.min("lowest").alias("lowest"))
+    return of.select("fp", "component").join(lowest, "component")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` per row of ``docs (doc_id, text)``; the fingerprint in 16 hex digits.
 
@@ -104,10 +114,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     ``doc_id`` reachable over links (null where a component has only null ids).  Repeated rows stay rows of their own
     and are copies of each other.  Other columns are ignored; an empty table gives an empty result."""
     rows = durable(fingerprints(docs, shingle))
-    classes = durable(rows.groupBy("fp").agg(F.min("doc_id").alias("lowest")))
-    joined = connected_components(links(classes.select("fp"), distance, blocks)).withColumnRenamed("node", "fp")
-    of = classes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    lowest = of.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    by_fp = of.join(lowest, "component").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = _lowest(rows, F.col("doc_id"), distance, blocks)
+    return rows.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                                         F.col("lowest").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """One row of ``docs`` per component, with its columns as they are: the one with the smallest non-null ``doc_id``; of
+    rows that share it, the one with the smallest hash (rows equal throughout are one); null ids come after all others."""
+    hashed = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+    keys = {"__k1": F.xxhash64(*hashed), "__k2": F.xxhash64(F.lit("second"), *hashed)}  # 128 bits name a row
+    rows = durable(fingerprints(docs.withColumns(keys), shingle, tuple(keys)))
+    pick = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *keys)
+    chosen = _lowest(rows, pick, distance, blocks).select("component", "lowest").distinct().select("lowest.__k1", "lowest.__k2")
+    return docs.withColumns(keys).join(chosen, list(keys), "left_semi").dropDuplicates(list(keys)).drop(*keys)
