@@ -145,7 +145,10 @@ def verdict(docs: DataFrame, cutoffs: DataFrame, stratum_key: Column, metrics: d
     rejected = reduce(lambda a, b: a | b, [
         F.coalesce(m > F.when(F.col("__s").isNotNull(), F.col(f"__c.c_{r}")).otherwise(F.col(f"__o.c_{r}")), F.lit(False))
         for r, m in metrics.items()])
-    return joined.withColumn(name, ~base_failed & ~rejected).drop("__s", "__c", "__any", "__o")
+    # one condition with both sides of the join in it: a filter on it stays above the join, where the features are computed
+    # columns; pushed below, it would repeat their expressions inside itself
+    passed = F.when(F.col("__s").isNull() & base_failed, F.lit(False)).when(base_failed | rejected, F.lit(False)).otherwise(F.lit(True))
+    return joined.withColumn(name, passed).drop("__s", "__c", "__any", "__o")
 
 
 def quality(documents: DataFrame, labels: DataFrame, **settings) -> DataFrame:
