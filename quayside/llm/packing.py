@@ -10,6 +10,8 @@ documents of the others are dealt out again, to ever fewer shards, so that no sh
 from __future__ import annotations
 
 import random
+import re
+import struct
 import zlib
 from functools import reduce
 
@@ -19,7 +21,8 @@ import pyarrow as pa
 import tokenizers
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quayside.llm.common import arrow_map, durable
+from quayside.llm.bpe import byte_alphabet
+from quayside.llm.common import TwoGenerationCache, arrow_map, durable
 
 CAPACITY = 2048
 SHARD_ITEMS = 4000   # documents of a shard, on average
@@ -30,37 +33,66 @@ ROUNDS = 3           # dealings of documents to shards
 WORD_KEYS = 400_000  # bound of the word cache per Python worker, in keys per generation
 
 
+# Words whose letters have no other composed form (Latin-1 letters and ASCII), and the tokenizer's pieces of such words.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
+BYTE_CHARS = byte_alphabet()
+
 # --- tokens --------------------------------------------------------------------------------------------------------
 
 class WordIds:
     """Ids of whole texts through a cache by word.
 
     The tokenizer drops white space and never merges across it, so the ids of a text are those of its words in turn.
-    Words new to the cache are encoded by the library."""
+    Words new to the cache are encoded by the library: words of plain letters, digits and ASCII marks, which its normalizer
+    only lower-cases, are cut here and go straight to its BPE model; all others take its whole way."""
 
     def __init__(self, path: str, keys: int = WORD_KEYS):
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"\Z.", re.I).search
+        self.pieces = TwoGenerationCache(self._piece, keys // 4)
         self.keys, self.young, self.old = keys, {}, {}
 
+    def _piece(self, piece: str) -> bytes:
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(BYTE_CHARS)
+        ids = [t.id for t in self.model.tokenize(piece)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, word: str) -> bytes:
+        pieces = self.pieces
+        return b"".join([pieces[p] for p in PLAIN_PIECES.findall(word.lower())])
+
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids of the text."""
-        words = text.encode().split()  # at ASCII white space only
+        data = text.encode()
+        if b"\xcc" not in data and b"\xcd" not in data and not self.added(text):
+            data = data.lower()  # as the normalizer does; no combining mark that a capital might lack a composed form with
+        words = data.split()  # at ASCII white space only
         young, old = self.young, self.old
         new = set(words).difference(young)
         if new:
-            missing = []
+            others = []
             for w in new:
                 known = old.get(w)
                 if known is None:
-                    missing.append(w)
-                else:
-                    young[w] = known
-            encodings = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            for w, e in zip(missing, encodings):
-                young[w] = np.array(e.ids, "<u4").tobytes()
+                    word = w.decode()
+                    if PLAIN.fullmatch(word) and not self.added(word):
+                        known = self._plain(word)
+                    else:
+                        others.append(w)
+                        continue
+                young[w] = known
+            if others:
+                encodings = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
+                for w, e in zip(others, encodings):
+                    young[w] = np.array(e.ids, "<u4").tobytes()
         ids = b"".join([young[w] for w in words])
+        self.pieces.turn()
         if len(young) > self.keys:
             self.old, self.young = young, {}
         return ids
