@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import bpe, chat, html_extract, lang_id, lattice, packing, quality_rules, simhash, token_counts, url_rules
 from quayside.llm.common import table
+from quayside.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
 QUERIES = {}
-ORACLES: dict[str, str] = {}
 
 
 def query(fn):
@@ -60,20 +60,6 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.rule_table(spark), sweeps)
 
 
-ORACLES["op9_url_filters"] = r"""
-WITH rest AS (
-  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-parts AS (
-  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
-rules(verdict, h, p) AS (
-  VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/'))
-SELECT page_id, host, path, h || p AS rule, coalesce(verdict, 'allow') AS verdict
-FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
-QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) = 1
-"""
-
-
 @query
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
