@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from quayside.session import checkpoint_dir
 
 # Bytes of one Arrow batch handed to Python: bounds a task's memory when texts are long.
-BATCH_BYTES = "16777216"
+BATCH_BYTES = "4194304"
 # The white space that separates words in every contract here, as Spark (Java) and Python regular expressions.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"

@@ -16,7 +16,6 @@ import zlib
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tokenizers
 from pyspark.sql import DataFrame, Window, functions as F
@@ -30,7 +29,7 @@ ISLANDS = 2          # solutions evolved side by side per shard
 EPOCHS = 2           # rounds of evolution; elites migrate in between
 CHILDREN = 4         # crossovers per island and epoch
 ROUNDS = 3           # dealings of documents to shards
-WORD_KEYS = 400_000  # bound of the word cache per Python worker, in keys per generation
+WORD_KEYS = 280_000  # bound of the word cache per Python worker, in keys per generation
 
 
 # Words whose letters have no other composed form (Latin-1 letters and ASCII), and the tokenizer's pieces of such words.
@@ -54,7 +53,7 @@ class WordIds:
         self.model = self.tokenizer.model
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added)) or r"\Z.", re.I).search
-        self.pieces = TwoGenerationCache(self._piece, keys // 4)
+        self.pieces = TwoGenerationCache(self._piece, keys // 8)
         self.keys, self.young, self.old = keys, {}, {}
 
     def _piece(self, piece: str) -> bytes:
@@ -236,25 +235,27 @@ def _epoch(state: DataFrame, capacity: int, epoch: int) -> DataFrame:
                            F.get("elites", (k + ISLANDS - 1) % ISLANDS).alias("guest")))).alias("island", "s")) \
         .select("shard", "island", "item", "length", "s.own", "s.guest")
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("item", kind="stable")
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        shard, island = key[0].as_py(), key[1].as_py()
+        rows = rows.sort_by("item")
         parents = []
-        for column in ("own", "guest"):
-            if rows[column].notna().all():
+        for column in (rows["own"], rows["guest"]):
+            if not column.null_count:
                 bins: dict = {}
-                for i, b in enumerate(rows[column].astype("int64").tolist()):
+                for i, b in enumerate(column.to_pylist()):
                     bins.setdefault(b, []).append(i)
                 parents.append(list(bins.values()))
-        best = evolve(rows["length"].tolist(), parents, capacity, CHILDREN, seed=int(key[0]) * 1000 + int(key[1]) * 10 + epoch)
-        assigned = np.empty(len(rows), "int64")
-        rooms = np.empty(len(rows), "int64")
+        best = evolve(rows["length"].to_pylist(), parents, capacity, CHILDREN, seed=shard * 1000 + island * 10 + epoch)
+        assigned, rooms = np.empty(len(rows), "int64"), np.empty(len(rows), "int64")
         for b, items in enumerate(best.bins):
             assigned[items] = b
             rooms[items] = best.room[b]
-        return pd.DataFrame({"shard": key[0], "item": rows["item"], "length": rows["length"], "island": key[1],
-                             "bin": assigned, "room": rooms, "n_bins": len(best.bins)})
+        n = len(rows)
+        return pa.table({"shard": np.full(n, shard, "int64"), "item": rows["item"], "length": rows["length"],
+                         "island": np.full(n, island, "int32"), "bin": assigned, "room": rooms,
+                         "n_bins": np.full(n, len(best.bins), "int64")})
 
-    evolved = islands.groupBy("shard", "island").applyInPandas(
+    evolved = islands.groupBy("shard", "island").applyInArrow(
         run, "shard long, item long, length long, island int, bin long, room long, n_bins long")
     # one row per item again; n_bins holds each island's number of bins
     return evolved.groupBy("shard", "item", "length").agg(
