@@ -104,7 +104,7 @@ SELECT cast(l_suppkey % 10 AS VARCHAR) AS whid, CASE WHEN l_quantity < 25 THEN '
 FROM lineitem""",
     "fx_facility_type": """
 SELECT cast(s_suppkey AS VARCHAR) AS wh_id, CASE WHEN s_suppkey % 2 = 0 THEN 'MM' ELSE 'FC' END AS FacilityType
-FROM supplier WHERE s_suppkey < 8""",
+FROM supplier""",
     "fx_tran_log": """
 SELECT l_suppkey % 10 AS warehouse_id, l_shipdate AS log_datetime_local, cast(l_quantity AS BIGINT) AS inbound_receiving_units,
        l_partkey % 3 AS freight_class_id,
@@ -119,7 +119,7 @@ SELECT w.s_suppkey AS warehouse_id, d.day AS day_of_unit_capacity,
        20 + (w.s_suppkey * 7 + k.lag) % 50 AS inbound_unit_capacity
 FROM supplier w CROSS JOIN (SELECT DISTINCT cast(o_orderdate AS DATE) AS day FROM orders) d
 CROSS JOIN (VALUES (0), (7), (14), (21), (28)) AS k(lag)
-WHERE w.s_suppkey < 10""",
+WHERE w.s_suppkey BETWEEN 0 AND 9""",
     "fx_yard_sheet": """
 SELECT o_orderkey AS External_Reference,
        CASE o_custkey % 6 WHEN 0 THEN 'Hebron DC' WHEN 1 THEN 'Perris DC' WHEN 2 THEN 'Erlanger DC' WHEN 3 THEN 'FC 13'
@@ -127,9 +127,9 @@ SELECT o_orderkey AS External_Reference,
        cast(o_orderdate + k.lag * INTERVAL '1' DAY AS DATE) AS upload_date
 FROM orders CROSS JOIN (VALUES (0),(1),(2),(3),(4),(5),(6),(7),(8),(9),(10),(11),(12),(13),(13)) AS k(lag)""",
     "fx_spot_capacity": """
-SELECT f.fcid AS FCID, w.Week, 100 + f.fcid AS Yard_Capacity
+SELECT f.fcid + 40 * w.block AS FCID, w.Week, 100 + f.fcid + 40 * w.block AS Yard_Capacity
 FROM (VALUES (5::BIGINT),(9::BIGINT),(10::BIGINT),(13::BIGINT),(30::BIGINT)) AS f(fcid)
-CROSS JOIN (SELECT cast(DATE '1995-01-01' + o_orderkey * 7 * INTERVAL '1' DAY AS DATE) AS Week FROM orders WHERE o_orderkey < 362) w""",
+CROSS JOIN (SELECT cast(DATE '1995-01-01' + (o_orderkey % 362) * 7 * INTERVAL '1' DAY AS DATE) AS Week, o_orderkey // 362 AS block FROM orders) w""",
     "fx_manifest": """
 SELECT p_partkey AS SlmTruckID, p_partkey * 10 AS slmID FROM part""",
     "fx_load_item": """
@@ -141,13 +141,13 @@ SELECT p_partkey AS SpiID, p_partkey % 50 AS SpiSpoID, p_partkey % 20 AS SpiSprI
 FROM part""",
     "fx_po": """
 SELECT p_partkey AS SpoId, p_partkey - p_partkey % 2 AS SpoParentSpoId, CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 3 END AS SpoType
-FROM part WHERE p_partkey < 50""",
+FROM part""",
     "fx_activity": """
-SELECT p_partkey AS SprID, CASE p_partkey % 3 WHEN 0 THEN 63 WHEN 1 THEN 6 ELSE 1 END AS ActivityCode FROM part WHERE p_partkey < 20""",
+SELECT p_partkey AS SprID, CASE p_partkey % 3 WHEN 0 THEN 63 WHEN 1 THEN 6 ELSE 1 END AS ActivityCode FROM part""",
     "fx_ship_manifest": """
-SELECT p_partkey AS truck_id, concat('BL', cast(p_partkey % 40 AS VARCHAR)) AS bill_of_lading_number FROM part""",
+SELECT p_partkey AS truck_id, concat('BL', cast(p_partkey % 40 + 40 * (p_partkey // 2000) AS VARCHAR)) AS bill_of_lading_number FROM part""",
     "fx_transport_unit": """
-SELECT p_partkey AS transport_unit_id, concat('BL', cast(p_partkey % 40 AS VARCHAR)) AS bill_of_lading_number,
+SELECT p_partkey AS transport_unit_id, concat('BL', cast(p_partkey % 40 + 40 * (p_partkey // 2000) AS VARCHAR)) AS bill_of_lading_number,
        CASE WHEN p_partkey % 4 <> 0 THEN TIMESTAMP '1998-06-10 00:00:00' END AS shipment_destination_unloaded_date,
        CASE WHEN p_partkey % 5 = 0 THEN 'Store' ELSE 'Warehouse' END AS shipment_destination_entity_type
 FROM part""",

@@ -1,13 +1,15 @@
 """Command line: materialise models and run the data-quality checks.
 
     python -m quayside run  --sf-dir DIR --target DIR [--models a,b] [--as-of TS] [--threads N]
-                            [--backfill-from DATE]
-    python -m quayside test --sf-dir DIR [--as-of TS]
+                            [--backfill-from DATE [--backfill-to DATE]]
+    python -m quayside test --target DIR | --sf-dir DIR [--as-of TS]
 
 ``--sf-dir`` reads the stand-in sources derived from a driver-table folder;
 ``--source name=path`` (repeatable) points a logical source at a real table
-instead.  ``--backfill-from`` runs every day from that date to ``--as-of``
-(each day's run writes its own partitions).
+instead, and then needs ``--as-of``.  ``--backfill-from`` runs every day from
+that date to ``--backfill-to`` (default: ``--as-of``); each day's run writes
+its own partitions.  ``test --target`` checks the written tables; without a
+target it checks models built from the sources.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 import sys
 
 from quayside.operators import quality as Q
@@ -32,8 +35,9 @@ def _args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--source", action="append", default=[], help="logical source = path (parquet)")
     ap.add_argument("--target", default=None)
     ap.add_argument("--models", default=",".join(MATERIALIZATIONS))
-    ap.add_argument("--as-of", default=FIXTURE_AS_OF.isoformat(sep=" "))
+    ap.add_argument("--as-of", default=None)
     ap.add_argument("--backfill-from", default=None)
+    ap.add_argument("--backfill-to", default=None)
     ap.add_argument("--threads", type=int, default=1)
     ap.add_argument("--master", default="local[*]")
     ap.add_argument("--cluster-sizing", action="store_true", help="apply the large-cluster partition sizing")
@@ -42,26 +46,33 @@ def _args(argv: list[str]) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> int:
     a = _args(sys.argv[1:] if argv is None else argv)
+    if a.as_of is None and not a.sf_dir and not (a.command == "test" and a.target):
+        raise SystemExit("--as-of is required without --sf-dir")
+    if a.command == "run" and not a.target:
+        raise SystemExit("--target is required for run")
     spark = build_session(a.master)
     if a.cluster_sizing:
         configure(spark, cluster_sizing=True)
     paths = dict(s.split("=", 1) for s in a.source)
     src = Sources(spark, a.sf_dir, paths=paths)
-    as_of = dt.datetime.fromisoformat(a.as_of)
+    as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else FIXTURE_AS_OF
     params = dict(FIXTURE_PARAMS) if a.sf_dir else {}
     if a.command == "run":
-        if not a.target:
-            raise SystemExit("--target is required for run")
         first = dt.date.fromisoformat(a.backfill_from) if a.backfill_from else as_of.date()
+        last = dt.date.fromisoformat(a.backfill_to) if a.backfill_to else as_of.date()
         day = first
-        while day <= as_of.date():  # one run per day; each writes its own partitions
+        while day <= last:  # one run per day; each writes its own partitions
             p = Project(spark, src, RunContext(as_of=dt.datetime.combine(day, as_of.time()), params=params))
             run_models(p, [m for m in a.models.split(",") if m], a.target, threads=a.threads)
             print(json.dumps({"as_of": str(p.ctx.as_of), "models": a.models.split(",")}))
             day += dt.timedelta(days=1)
     else:
-        p = Project(spark, src, RunContext(as_of=as_of, params=params))
-        frames = {c.model: p.ref(c.model) for c in Q.MODEL_CHECKS}
+        names = {c.model for c in Q.MODEL_CHECKS}
+        if a.target:
+            frames = {m: spark.read.parquet(os.path.join(a.target, m)) for m in names}
+        else:
+            p = Project(spark, src, RunContext(as_of=as_of, params=params))
+            frames = {m: p.ref(m) for m in names}
         failed = 0
         for r in Q.run_suite(Q.MODEL_CHECKS, frames).collect():  # one row per check
             status = "PASS" if r.n_violations == 0 else "FAIL"

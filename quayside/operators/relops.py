@@ -1,8 +1,8 @@
 """Relational building blocks shared by the pipelines.
 
 Each helper is a short composition of DataFrame operators; none of them
-collects data to the driver.  The only action here is the bounded row count
-in ``bounded_broadcast``, which reads at most ``max_rows + 1`` rows.
+collects data to the driver or starts a job.  Join strategies are left to
+statistics and AQE.
 """
 
 from __future__ import annotations
@@ -22,26 +22,6 @@ def _c(x: ColumnOrName) -> Column:
 
 # --- joins -------------------------------------------------------------------------------
 
-# Fixed value: dimensions above this many rows are joined by shuffle, not broadcast.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it provably holds at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early); beyond the bound the frame is returned unchanged and the join is
-    planned by size statistics / AQE (sort-merge or shuffled hash join, with
-    skew-join splitting).
-    """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def _null_salt(df: DataFrame, key: str) -> Column:
     """0 for rows with a key; a deterministic 1..1024 spread for NULL keys.
 
@@ -106,6 +86,21 @@ def pick_rank_first(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence
     return pick_first(df, keys, order, fn=F.rank)
 
 
+def discrete_median(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
+    """``PERCENTILE_DISC(value, 0.5)`` per ``key``: the smallest value whose running count reaches half.
+
+    Rows are counted per (key, value) first, so the running count sees distinct
+    values only and a hot group costs one row per value.  NULL values do not
+    count; a group of NULLs alone has the median NULL.
+    """
+    counted = df.groupBy(key, value).agg(F.count(value).alias("__n"))
+    of = Window.partitionBy(key)
+    running = F.sum("__n").over(of.orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
+    reached = counted.withColumn("__run", running).withColumn("__all", F.sum("__n").over(of))
+    return reached.groupBy(key).agg(
+        F.min(F.when((F.col("__n") > 0) & (2 * F.col("__run") >= F.col("__all")), F.col(value))).cast("double").alias(alias))
+
+
 # --- predicates ---------------------------------------------------------------------------------
 
 def like_any(col: ColumnOrName, patterns: Iterable[str]) -> Column:

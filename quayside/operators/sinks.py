@@ -10,12 +10,12 @@
                           replacing only the partitions the new rows touch.
 * ``register_view``     — S15: a temp view over a DataFrame.
 
-The upsert computes the merged table from the current target and the new
-rows, stages it under the session's shared checkpoint folder, and only then
-overwrites the target from the staged copy — the target is never overwritten
-while it is being read.  A pending record names the stage until the copy has
-finished; if a run dies during the copy, the next upsert of that target first
-completes it from the stage, so no merge is applied to a half-written target.
+The upsert stages its updates and the merged table under the session's shared
+checkpoint folder, and only then overwrites the target from the staged copy —
+the target is never overwritten while it is being read.  A pending record
+names the stage until the copy has finished; if a run dies during the copy,
+``recover_pending`` completes it, which every upsert (and every run, before it
+reads the target) calls first.  Stages are deleted once published.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from quayside.operators import relops as R
 from quayside.session import checkpoint_dir
 
 
@@ -61,16 +62,38 @@ def insert_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ("r
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``; None only where there is no such path."""
     try:
         return spark.read.format(fmt).load(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
-def dedupe_on_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """A merge cannot take one key twice; keep one row per key (repeated
-    branches of a UNION ALL produce identical rows)."""
-    return df.dropDuplicates(list(key))
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system it lies in."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key, chosen by a full order over the columns (values before
+    NULLs, the greatest first), so the choice does not depend on partitioning."""
+    order = [F.col(c).desc_nulls_last() for c in df.columns if c not in key]
+    return R.pick_first(df, list(key), order)
+
+
+def staged_updates(spark: SparkSession, updates: DataFrame, key: Sequence[str], fmt: str = "parquet") -> tuple[DataFrame, str]:
+    """``updates`` without exact repeats, written to a stage folder; an error where two
+    different rows share a key, for a merge cannot take both."""
+    stage = os.path.join(checkpoint_dir(spark), "quayside-merge", uuid.uuid4().hex)
+    updates.distinct().write.format(fmt).save(stage)
+    staged = spark.read.format(fmt).load(stage)
+    twice = staged.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"different rows share the merge key: {twice[0].asDict()}")
+    return staged, stage
 
 
 def merged(target: DataFrame | None, updates: DataFrame, key: Sequence[str],
@@ -103,25 +126,27 @@ def merged(target: DataFrame | None, updates: DataFrame, key: Sequence[str],
     return j.select(*out)
 
 
-_PENDING_SCHEMA = "stage string, partition_by string, fmt string"
+_PENDING_SCHEMA = "stage string, partition_by string, cluster_by string, fmt string"
 
 
 def _pending_path(spark: SparkSession, path: str) -> str:
     return os.path.join(checkpoint_dir(spark), "quayside-merge", "pending", hashlib.md5(path.encode()).hexdigest())
 
 
-def _publish(spark: SparkSession, stage: str, path: str, partition_by: Sequence[str] | None, fmt: str) -> None:
+def _publish(spark: SparkSession, stage: str, path: str, partition_by: Sequence[str], cluster_by: Sequence[str],
+             fmt: str) -> None:
     """Copy a staged merge result onto the target.  A pending record names the
     stage until the copy has finished, so a run that died half-way through
     the copy (after the old files were removed) is completed by the next one."""
     record = _pending_path(spark, path)
-    spark.createDataFrame([(stage, ",".join(partition_by or []), fmt)], _PENDING_SCHEMA).write.mode("overwrite").parquet(record)
+    spark.createDataFrame([(stage, ",".join(partition_by), ",".join(cluster_by), fmt)], _PENDING_SCHEMA).write.mode("overwrite").parquet(record)
     staged = spark.read.format(fmt).load(stage)
     if partition_by:
-        insert_overwrite(staged, path, partition_by=list(partition_by), fmt=fmt)
+        insert_overwrite(staged, path, partition_by=list(partition_by), cluster_by=cluster_by, fmt=fmt)
     else:
-        staged.write.mode("overwrite").format(fmt).save(path)
+        write_table(staged, path, cluster_by=cluster_by, fmt=fmt)
     spark.createDataFrame([], _PENDING_SCHEMA).write.mode("overwrite").parquet(record)
+    delete_path(spark, stage)
 
 
 def recover_pending(spark: SparkSession, path: str) -> bool:
@@ -130,25 +155,27 @@ def recover_pending(spark: SparkSession, path: str) -> bool:
     row = rec.first() if rec is not None else None  # at most one row
     if row is None:
         return False
-    _publish(spark, row.stage, path, [c for c in row.partition_by.split(",") if c], row.fmt)
+    named = [[c for c in x.split(",") if c] for x in (row.partition_by, row.cluster_by)]
+    _publish(spark, row.stage, path, *named, row.fmt)
     return True
 
 
 def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str],
-                 update_columns: Sequence[str], fmt: str = "parquet") -> DataFrame:
+                 update_columns: Sequence[str], cluster_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
     """Apply ``updates`` to the table at ``path`` and return the new table."""
     recover_pending(spark, path)
-    target = read_table(spark, path, fmt)
-    result = merged(target, dedupe_on_key(updates, key), key, update_columns)
+    new, new_stage = staged_updates(spark, updates, key, fmt)
+    result = merged(read_table(spark, path, fmt), new, key, update_columns)
     stage = os.path.join(checkpoint_dir(spark), "quayside-merge", uuid.uuid4().hex)
-    result.write.mode("overwrite").format(fmt).save(stage)
-    _publish(spark, stage, path, None, fmt)
+    result.write.format(fmt).save(stage)
+    _publish(spark, stage, path, [], cluster_by, fmt)
+    delete_path(spark, new_stage)
     return spark.read.format(fmt).load(path)
 
 
 def merge_upsert_partitions(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str],
                             update_columns: Sequence[str], partition_by: Sequence[str],
-                            fmt: str = "parquet") -> DataFrame:
+                            cluster_by: Sequence[str] = (), fmt: str = "parquet") -> DataFrame:
     """S7 on a table partitioned by ``partition_by``: only partitions that receive
     new rows are read, merged and replaced (dynamic partition overwrite).
 
@@ -158,23 +185,24 @@ def merge_upsert_partitions(spark: SparkSession, updates: DataFrame, path: str,
     partition values of ``updates``; the target scan is pruned to them.
     """
     recover_pending(spark, path)
-    updates = dedupe_on_key(updates, key)
+    new, new_stage = staged_updates(spark, updates, key, fmt)
     target = read_table(spark, path, fmt)
     if target is None:
-        insert_overwrite(updates, path, partition_by=partition_by, fmt=fmt)
-        return spark.read.format(fmt).load(path)
-    touched = updates.select(*partition_by).distinct()
-    current = target.join(touched, list(partition_by), "left_semi")
-    result = merged(current, updates.select(*target.columns), key, update_columns)
-    stage = os.path.join(checkpoint_dir(spark), "quayside-merge", uuid.uuid4().hex)
-    result.select(*target.columns).write.mode("overwrite").format(fmt).save(stage)
-    _publish(spark, stage, path, partition_by, fmt)
+        insert_overwrite(new, path, partition_by=partition_by, cluster_by=cluster_by, fmt=fmt)
+    else:
+        current = target.join(new.select(*partition_by).distinct(), list(partition_by), "left_semi")
+        result = merged(current, new.select(*target.columns), key, update_columns)
+        stage = os.path.join(checkpoint_dir(spark), "quayside-merge", uuid.uuid4().hex)
+        result.select(*target.columns).write.format(fmt).save(stage)
+        _publish(spark, stage, path, partition_by, cluster_by, fmt)
+    delete_path(spark, new_stage)
     return spark.read.format(fmt).load(path)
 
 
-def ci_limit(df: DataFrame, n: int | None) -> DataFrame:
-    """Cap the output only in CI runs."""
-    return df.limit(n) if n else df
+def ci_limit(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows in grain order, in CI runs only; for tables that are replaced
+    as a whole, never for merges or partition overwrites."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n) if n else df
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:

@@ -153,6 +153,4 @@ def dim_warehouse(p: Project) -> DataFrame:
     target = p.this("dim_warehouse")
     if target is not None:  # S11: only rows whose hash is new
         out = R.anti_join(out, target.select("hash_record"), on="hash_record")
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out

@@ -74,8 +74,6 @@ def metric_fill_rate(p: Project) -> DataFrame:
         cal.lit_ntz(p.ctx.current_datetime_hq).alias("refresh_date"),
         "cadence",
     )
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out
 
 

@@ -60,6 +60,4 @@ def metric_inbound_trailers(p: Project) -> DataFrame:
         F.coalesce("out_of_arrival_72_hours", F.lit(0)).alias("out_of_arrival_72_hours"),
         F.coalesce("out_of_appt_1_day", F.lit(0)).alias("out_of_appt_1_day"),
         F.coalesce("out_of_both_sla", F.lit(0)).alias("out_of_both_sla"))
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out

@@ -60,6 +60,4 @@ def metric_on_yard_units(p: Project) -> DataFrame:
                       "sum_trailer_units", "inbound_unit_capacity",
                       F.round(S.safe_divide(F.col("sum_trailer_units"), F.col("inbound_unit_capacity")), 1)
                       .alias("on_yard_units_metric_value")))
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out

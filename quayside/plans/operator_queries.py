@@ -22,6 +22,8 @@ from quayside.plans import dim_warehouse as DW
 from quayside.plans import yard_utilization as YU
 from quayside.plans.context import RunContext
 from quayside.plans.project import Project
+from quayside.plans.run import run_models
+from quayside.sources.registry import Sources
 
 
 # --- calendar -----------------------------------------------------------------------------
@@ -151,10 +153,10 @@ def q_audit_columns(p: Project) -> DataFrame:
 
 @query("run_limit")
 def q_run_limit(p: Project) -> DataFrame:
-    """A CI run caps the output rows (the cap is the feature; rows-only check)."""
-    q = Project(p.spark, p.src, RunContext(as_of=p.ctx.as_of, ci_limit=10, params=p.ctx.params),
-                materialize_dir=os.path.join(p.materialize_dir, "ci", uuid.uuid4().hex[:8]))
-    return q.build("metric_fill_rate")
+    """A CI run writes the first rows of a table in grain order (the cap is the feature)."""
+    path = _out_path(p, "fill_rate_ci")
+    sinks.write_table(sinks.ci_limit(p.ref("metric_fill_rate"), 10, ["warehouse_id", "ship_class", "cadence"]), path)
+    return p.spark.read.parquet(path)
 
 
 @query("view_materialization")
@@ -371,7 +373,7 @@ def q_join_left_equi(p: Project) -> DataFrame:
 def q_join_using(p: Project) -> DataFrame:
     fr = p.ref("metric_fill_rate").select("warehouse_id", "cadence", "ship_class", "fill_rate_mm")
     wh = p.ref("dim_warehouse").select("warehouse_id", "warehouse_name", "country_id")
-    return fr.join(R.bounded_broadcast(wh), "warehouse_id", "left")
+    return fr.join(wh, "warehouse_id", "left")
 
 
 @query("join_left_on_filter")
@@ -394,9 +396,10 @@ def q_join_left_on_left_filter(p: Project) -> DataFrame:
 def q_join_inner_on_filter(p: Project) -> DataFrame:
     sml = p.source("shipment_manifest")
     tu = p.source("transport_unit")
-    cond = (sml.bill_of_lading_number == tu.bill_of_lading_number) & (tu.shipment_destination_entity_type == "Warehouse")
-    return (sml.join(tu, cond).groupBy(sml.truck_id)
-               .agg(F.count(F.lit(1)).alias("n_transport_units")))
+    # units are counted per bill of lading before the join, so pairs of manifests and units are never built
+    per_bill = (tu.where(F.col("shipment_destination_entity_type") == "Warehouse")
+                  .groupBy("bill_of_lading_number").agg(F.count(F.lit(1)).alias("n")))
+    return sml.join(per_bill, "bill_of_lading_number").groupBy("truck_id").agg(F.sum("n").alias("n_transport_units"))
 
 
 @query("join_on_inequality")
@@ -433,7 +436,7 @@ def q_join_key_case(p: Project) -> DataFrame:
     cap = (p.source("spot_capacity").where((cal.week_number_sunday("Week") == cal.py_week_number_sunday(today))
                                              & (F.year("Week") == today.year))
            .select(F.col("FCID").alias("warehouse_id"), "Yard_Capacity"))
-    return sheet.join(R.bounded_broadcast(cap), "warehouse_id", "left")
+    return sheet.join(cap, "warehouse_id", "left")
 
 
 @query("join_key_split")
@@ -612,9 +615,8 @@ def q_agg_sum_plus_sum(p: Project) -> DataFrame:
 
 @query("agg_median_then_avg")
 def q_agg_median_then_avg(p: Project) -> DataFrame:
-    """Discrete median per group as a grouped percentile_disc."""
-    return p.source("content_detail").groupBy("ContentType").agg(
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY Qty)").cast("double").alias("median_qty"))
+    """Discrete median per group over counted values."""
+    return R.discrete_median(p.source("content_detail"), "ContentType", "Qty", "median_qty")
 
 
 @query("agg_on_join_fanout")
@@ -671,13 +673,11 @@ def q_win_rank_latest_ties(p: Project) -> DataFrame:
 def q_win_percentile_disc(p: Project) -> DataFrame:
     """``PERCENTILE_DISC(x, 0.5) OVER (PARTITION BY k)`` — every row carries its
     group's median.  A window would put a whole group into one task (a hot
-    group holds a third of the rows); the grouped percentile aggregates
-    partially per task (value → count maps) and the one-row-per-group result
-    is joined back, broadcast behind a row bound."""
+    group holds a third of the rows); the median is found over counted values
+    and the one-row-per-group result joined back."""
     cd = p.source("content_detail").select("ContentRefID", "ReservationID", "ContentType", "Qty")
-    med = cd.groupBy("ContentType").agg(
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY Qty)").cast("double").alias("median_qty"))
-    return cd.join(R.bounded_broadcast(med), "ContentType", "left").select(
+    med = R.discrete_median(cd, "ContentType", "Qty", "median_qty")
+    return cd.join(med, "ContentType", "left").select(
         "ContentRefID", "ReservationID", "ContentType", "Qty", "median_qty")
 
 
@@ -953,7 +953,7 @@ def q_fn_timestamp_of(p: Project) -> DataFrame:
 
 @query("backfill_window_filter")
 def q_backfill_window_filter(p: Project) -> DataFrame:
-    """B1: regular run = last 3 months; backfill from 1995 on Saturdays; a Wednesday
+    """B1: regular run = last six months; backfill from 1995 on Saturdays; a Wednesday
     run takes the backfill bounds because the condition (Saturday) is false."""
     today = p.ctx.current_date
     tl = p.source("tran_log_units")
@@ -1056,3 +1056,94 @@ def q_backfill_range(p: Project) -> DataFrame:
     from quayside.plans.fill_rate import fill_rate_for_days
     last = p.ctx.current_date
     return fill_rate_for_days(p, last - dt.timedelta(days=6), last)
+
+
+# --- runs over written targets -----------------------------------------------------------------------
+
+class _RenamedWarehouses(Sources):
+    """The stand-in sources after every warehouse was renamed."""
+
+    def get(self, name: str) -> DataFrame:
+        df = super().get(name)
+        return df.withColumn("name", F.concat("name", F.lit(" renamed"))) if name == "warehouse" else df
+
+
+def _two_runs(p: Project) -> dict[str, str]:
+    """A run, and the run after a renaming of all warehouses, into the same targets."""
+    root = os.path.join(_out_path(p, "two_runs"), uuid.uuid4().hex[:8])
+    names = ["report_outbound", "dim_warehouse", "metric_fill_rate"]
+    for sources in (Sources(p.spark, p.src.sf_dir), _RenamedWarehouses(p.spark, p.src.sf_dir)):
+        paths = run_models(Project(p.spark, sources, p.ctx), names, root)
+    return paths
+
+
+@query("incremental_two_runs")
+def q_incremental_two_runs(p: Project) -> DataFrame:
+    """The report of the second run reads the merged dimension, whose names are those of the first load."""
+    return p.spark.read.parquet(_two_runs(p)["report_outbound"])
+
+
+@query("incremental_two_runs_dimension")
+def q_incremental_two_runs_dimension(p: Project) -> DataFrame:
+    """The dimension after both runs: names kept, hashes of the renamed rows taken over."""
+    return p.spark.read.parquet(_two_runs(p)["dim_warehouse"]).select(
+        "warehouse_id", "warehouse_name", "warehouse_string_id")
+
+
+@query("merge_multi_element_visits")
+def q_merge_multi_element_visits(p: Project) -> DataFrame:
+    """Visits with several array elements multiply; the merge keeps one row per visit, the
+    greatest in a full order of its columns, whatever the partitioning."""
+    rows = p.ref("dim_yard_trailer")
+    several = rows.select("trailer_visit_id", "trailer_status", "spot_id", "load_id",
+                          F.explode(F.sequence(F.lit(1), (F.col("trailer_visit_id") % 4 + 1).cast("int"))).alias("element"))
+    updates = sinks.one_row_per_key(several, ["trailer_visit_id"])
+    path = _out_path(p, "multi_element_visits")
+    sinks.write_table(updates.limit(0), path)
+    return sinks.merge_upsert(p.spark, updates, path, ["trailer_visit_id"], ["element"], cluster_by=["trailer_visit_id"])
+
+
+# --- evidence for checks and windows -------------------------------------------------------------------
+
+@query("dq_not_null_violations")
+def q_dq_not_null_violations(p: Project) -> DataFrame:
+    """Q1 where there are violations: visits without a load."""
+    return Q.not_null(p.ref("dim_yard_trailer"), "load_id").select("trailer_visit_id")
+
+
+@query("dq_unique_violations")
+def q_dq_unique_violations(p: Project) -> DataFrame:
+    """Q2 where there are violations: reservations with several content rows."""
+    return Q.unique(p.source("content_detail"), "ReservationID")
+
+
+@query("dq_relationships_violations")
+def q_dq_relationships_violations(p: Project) -> DataFrame:
+    """Q5 where there are violations: facility types of warehouses the dimension does not hold."""
+    return Q.relationships(p.source("facility_type"), "wh_id", p.ref("dim_warehouse"), "warehouse_string_id").select(
+        "wh_id", "FacilityType")
+
+
+@query("win_qualify_row_number")
+def q_win_qualify_row_number(p: Project) -> DataFrame:
+    """``QUALIFY ROW_NUMBER() OVER (PARTITION BY trailer ORDER BY ship date DESC, load) = 1``."""
+    lm = p.source("load_master").select("trailer_number", "load_id", "actual_ship_date")
+    return R.pick_first(lm, ["trailer_number"], [F.col("actual_ship_date").desc_nulls_last(), F.col("load_id")])
+
+
+@query("event_lookback")
+def q_event_lookback(p: Project) -> DataFrame:
+    """An incremental run filters events by creation date at the scan and ranks what is left."""
+    start = B.regular_6_month_backfill(p.ctx)
+    q = Project(p.spark, p.src, RunContext(as_of=p.ctx.as_of, params={**p.ctx.params, "event_lookback_start": start}),
+                materialize_dir=os.path.join(p.materialize_dir, "events", uuid.uuid4().hex[:8]))
+    return q.build("first_reservation_event").select("ReservationID", "ActionID", "EventDate")
+
+
+@query("backfill_window_manual")
+def q_backfill_window_manual(p: Project) -> DataFrame:
+    """B1, the regular branch: the condition holds, so the run takes the last six months."""
+    today = p.ctx.current_date
+    pred = B.backfill_window(F.to_date("log_datetime_local"), B.regular_6_month_backfill(p.ctx), today,
+                             dt.date(1995, 1, 1), today, True)
+    return p.source("tran_log_units").where(pred)

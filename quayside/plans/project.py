@@ -1,9 +1,11 @@
 """Model registry and ``ref()`` resolution.
 
-A model is a function ``(project) -> DataFrame``.  ``Project.ref(name)``
-builds an upstream model once per project; by default it is materialised as
-parquet in the session's shared checkpoint folder, which cuts lineage between
-layers the way the reference's tables do.
+A model is a function ``(project) -> DataFrame``.  ``Project.ref(name)`` gives
+an upstream model once per project.  In a run with targets, a model that has
+one is its written target, after this run's merge or overwrite (a model that
+the run does not write is read as it stands).  Other models are materialised
+as parquet in the session's shared checkpoint folder, which cuts lineage
+between layers the way the reference's tables do.
 """
 
 from __future__ import annotations
@@ -39,11 +41,12 @@ class Project:
         self._materialize_dir = materialize_dir
         self.run_id = uuid.uuid4().hex[:12]
         self._built: dict[str, DataFrame] = {}
-        self._small: dict[tuple[str, str], bool] = {}
         self._locks: dict[str, threading.Lock] = {}
         self._locks_guard = threading.Lock()
         # previous versions of incremental targets ({{ this }}), by model name
         self.targets: dict[str, DataFrame] = {}
+        # set by a run: gives the target of a model, written first if the run is to write it, or None
+        self.target_of: Callable[[str], DataFrame | None] = lambda name: None
 
     @classmethod
     def for_sf_dir(cls, spark: SparkSession, sf_dir: str, ctx: RunContext | None = None, **kw) -> "Project":
@@ -55,7 +58,6 @@ class Project:
         child = Project(self.spark, self.src, self.ctx, materialize=self.materialize,
                         materialize_dir=os.path.join(self.materialize_dir, "fork-" + uuid.uuid4().hex[:8]))
         child._built = dict(self._built)
-        child._small = dict(self._small)
         return child
 
     def source(self, name: str) -> DataFrame:
@@ -83,6 +85,10 @@ class Project:
             lock = self._locks.setdefault(name, threading.Lock())
         with lock:  # concurrent runs build each model once; models form a DAG, so no lock cycle
             if name not in self._built:
+                df = self.target_of(name)
+                if df is not None:
+                    self._built[name] = df
+                    return df
                 df = self.build(name)
                 if self.materialize:
                     path = os.path.join(self.materialize_dir, name)
@@ -91,18 +97,16 @@ class Project:
                 self._built[name] = df
         return self._built[name]
 
-    def dimension(self, name: str, *cols, source: bool = False, max_rows: int | None = None) -> DataFrame:
-        """A dimension (model or source) for joining, broadcast only if it holds at
-        most ``max_rows`` rows; the bound is checked once per dimension and run."""
-        from pyspark.sql import functions as F
-
-        from quayside.operators import relops as R
+    def dimension(self, name: str, *cols, source: bool = False) -> DataFrame:
+        """Columns of a dimension (model or source) for joining; statistics and AQE decide whether it is broadcast."""
         df = self.source(name) if source else self.ref(name)
-        key = ("source" if source else "ref", name)
-        if key not in self._small:
-            self._small[key] = R.row_count_at_most(df, max_rows or R.DEFAULT_BROADCAST_ROWS)
-        out = df.select(*cols) if cols else df
-        return F.broadcast(out) if self._small[key] else out
+        return df.select(*cols) if cols else df
+
+    def drop_scratch(self) -> None:
+        """Delete the scratch tables of this run; models that were read from them are built anew when asked for."""
+        from quayside.operators.sinks import delete_path
+        delete_path(self.spark, self.materialize_dir)
+        self._built = {}
 
     def this(self, name: str) -> DataFrame | None:
         """Previous content of an incremental target, if one was registered."""

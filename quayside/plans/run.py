@@ -3,8 +3,8 @@
 The configuration mirrors the reference's model configs (SURVEY S6-S10):
 full-refresh tables, ``report_date`` insert-overwrite metrics, and keyed
 merges for the dimensions and the tall reports.  ``run_models`` builds each
-requested model through the project (upstream models once) and writes it;
-running it twice leaves the targets unchanged.
+requested model once, from the written targets of its upstream models, and
+writes it to its own; running it twice leaves the targets unchanged.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ class Materialization:
     partition_by: tuple[str, ...] = ()
     unique_key: tuple[str, ...] = ()
     update_columns: tuple[str, ...] = field(default_factory=tuple)
+    one_per_key: bool = False                   # rows multiply per key by design: one is chosen by a full order
 
 
 _METRIC = Materialization("insert_overwrite", cluster_by=("warehouse_id",), partition_by=("report_date",))
@@ -41,7 +42,7 @@ MATERIALIZATIONS: dict[str, Materialization] = {
     "dim_warehouse": Materialization("merge", unique_key=(DW.UNIQUE_KEY,), update_columns=tuple(DW.MERGE_UPDATE_COLUMNS)),
     "dim_date": Materialization("table", cluster_by=("date_actual",)),
     "dim_yard_trailer": Materialization("merge", cluster_by=("trailer_visit_id",), unique_key=(YT.UNIQUE_KEY,),
-                                        update_columns=tuple(YT.MERGE_UPDATE_COLUMNS)),
+                                        update_columns=tuple(YT.MERGE_UPDATE_COLUMNS), one_per_key=True),
     "stg_units_reservation": Materialization("table"),
     "stg_unit_snapshot": Materialization("table"),
     "stg_yard_utilization": Materialization("table"),
@@ -63,49 +64,77 @@ HASH_DIFF_MODELS = {"dim_warehouse"}
 LOOKBACK_MODELS = {"dim_yard_trailer"}
 
 
-def _incremental_frame(p: Project, name: str, target: DataFrame) -> DataFrame:
-    """The model as an incremental run computes it when ``target`` exists."""
-    if name in HASH_DIFF_MODELS:
-        run = p.fork()
-        run.targets[name] = target
-        return run.build(name)
-    if name in LOOKBACK_MODELS:
+def _frame(p: Project, name: str, target: DataFrame | None) -> DataFrame:
+    """The model as this run computes it; incrementally where ``target`` exists."""
+    if target is not None and name in HASH_DIFF_MODELS:
+        p.targets[name] = target
+    if target is not None and name in LOOKBACK_MODELS:
         start = B.regular_6_month_backfill(p.ctx)
         ctx = RunContext(as_of=p.ctx.as_of, hq_zone=p.ctx.hq_zone, ci_limit=p.ctx.ci_limit,
                          params={**p.ctx.params, "visit_lookback_start": start, "event_lookback_start": start})
-        run = Project(p.spark, p.src, ctx, materialize_dir=os.path.join(p.materialize_dir, "incremental"))
-        run._built = {k: v for k, v in p._built.items() if k == "dim_warehouse"}
-        return run.build(name)
-    return p.ref(name)
+        # the models between the sources and this one see the window only; the dimension is the written one
+        window = Project(p.spark, p.src, ctx, materialize_dir=os.path.join(p.materialize_dir, "incremental"))
+        window._built["dim_warehouse"] = p.ref("dim_warehouse")
+        return window.build(name)
+    return p.build(name)
 
 
-def materialize(p: Project, name: str, path: str) -> None:
+def materialize(p: Project, name: str, path: str) -> DataFrame:
+    """Build ``name``, write it to its target and give the target as it then is."""
     m = MATERIALIZATIONS[name]
-    target = sinks.read_table(p.spark, path) if m.kind == "merge" else None
-    df = _incremental_frame(p, name, target) if target is not None else p.ref(name)
+    target = None
+    if m.kind == "merge":
+        sinks.recover_pending(p.spark, path)  # before the target is read
+        target = sinks.read_table(p.spark, path)
+    df = _frame(p, name, target)
     if m.kind == "table":
-        sinks.write_table(df, path, cluster_by=list(m.cluster_by) or None)
+        df = sinks.ci_limit(df, p.ctx.ci_limit, df.columns)
+        sinks.write_table(df, path, cluster_by=m.cluster_by)
     elif m.kind == "insert_overwrite":
-        sinks.insert_overwrite(df, path, partition_by=list(m.partition_by), cluster_by=list(m.cluster_by) or None)
-    elif m.partition_by:
-        sinks.merge_upsert_partitions(p.spark, df, path, list(m.unique_key), list(m.update_columns), list(m.partition_by))
+        sinks.insert_overwrite(df, path, partition_by=m.partition_by, cluster_by=m.cluster_by)
     else:
-        sinks.merge_upsert(p.spark, df, path, list(m.unique_key), list(m.update_columns))
+        if m.one_per_key:
+            df = sinks.one_row_per_key(df, m.unique_key)
+        if m.partition_by:
+            sinks.merge_upsert_partitions(p.spark, df, path, m.unique_key, m.update_columns, m.partition_by, m.cluster_by)
+        else:
+            sinks.merge_upsert(p.spark, df, path, m.unique_key, m.update_columns, m.cluster_by)
+    return p.spark.read.parquet(path)
 
 
 def run_models(p: Project, names: Sequence[str], target_root: str, threads: int = 1) -> dict[str, str]:
     """Write each model to ``target_root/<name>``; returns the paths.
 
+    Every model is built once: ``ref`` of a model in ``names`` writes its target
+    first and reads it back, so kept columns and merged history reach the models
+    downstream; ``ref`` of another model that has a target reads it as it stands.
+    Scratch tables of models without a target are deleted at the end.
+
     ``threads`` > 1 submits independent models concurrently (the reference's run
     profile has the same setting); Spark interleaves their jobs, and a shared
     upstream model is still built once.
     """
     paths = {name: os.path.join(target_root, name) for name in names}
-    if threads <= 1:
-        for name in names:
-            materialize(p, name, paths[name])
-        return paths
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        for f in [pool.submit(materialize, p, name, paths[name]) for name in names]:
-            f.result()
+
+    def target_of(name: str) -> DataFrame | None:
+        if name in paths:
+            return materialize(p, name, paths[name])
+        if name in MATERIALIZATIONS:
+            path = os.path.join(target_root, name)
+            sinks.recover_pending(p.spark, path)
+            return sinks.read_table(p.spark, path)
+        return None
+
+    p.target_of = target_of
+    try:
+        if threads <= 1:
+            for name in names:
+                p.ref(name)
+        else:
+            with ThreadPoolExecutor(max_workers=threads) as pool:
+                for f in [pool.submit(p.ref, name) for name in names]:
+                    f.result()
+    finally:
+        p.target_of = lambda name: None
+        p.drop_scratch()
     return paths

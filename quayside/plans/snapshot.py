@@ -74,6 +74,4 @@ def stg_unit_snapshot(p: Project) -> DataFrame:
         F.col("subwarehouse"),
     ]
     out = j.groupBy(*keys).agg(F.sum(unit_ladder()).alias("sum_trailer_units"))
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out

@@ -108,6 +108,4 @@ def metric_throughput_variance(p: Project) -> DataFrame:
         ((day_u - day_c) / F.nullif(day_c, F.lit(0))).alias("throughput_variance_daily"),
         "ob_fc_total_units_shipped_actuals_day", "ob_fc_total_units_shipped_actuals_week",
     )
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out

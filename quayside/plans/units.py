@@ -238,9 +238,8 @@ def units_median_backup(p: Project) -> DataFrame:
     """Discrete median of recent unit totals per subwarehouse.
 
     Every row of a subwarehouse carries the same windowed median, so the
-    reference's AVG over them equals the grouped ``percentile_disc`` (A15);
-    the aggregate keeps a value→count map per group, bounded by distinct
-    values, and combines partially before the shuffle.
+    reference's AVG over them equals the grouped median (A15), found over
+    counted values.
     """
     ul = p.ref("units_logic")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
@@ -251,8 +250,7 @@ def units_median_backup(p: Project) -> DataFrame:
         & (F.col("trailer_arrival_datetime_local") < cal.lit_ntz(p.ctx.current_datetime))
         & (z("trailer_inbound_reservation_units") + z("xd_trailer_reservation_units") + z("total_trailer_units") > 0))
     x = (z("trailer_inbound_reservation_units") + z("xd_trailer_reservation_units")).alias("x")
-    return (recent.select("subwarehouse", x).groupBy("subwarehouse")
-            .agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY x)").cast("double").alias("average_subwarehouse_qty")))
+    return R.discrete_median(recent.select("subwarehouse", x), "subwarehouse", "x", "average_subwarehouse_qty")
 
 
 @model("stg_units_reservation")
@@ -264,6 +262,4 @@ def stg_units_reservation(p: Project) -> DataFrame:
         RES, "trailer_arrival_datetime_local", "subwarehouse", "trailer_qc_units",
         "trailer_inbound_reservation_units", "trailer_received_units", "xd_trailer_reservation_units",
         "average_subwarehouse_qty", "loaded_carton_count", "total_trailer_units", "is_trailer_unloaded", "path")
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out

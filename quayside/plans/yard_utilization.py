@@ -50,12 +50,10 @@ def stg_yard_utilization(p: Project) -> DataFrame:
            .where((cal.week_number_sunday("Week") == cal.py_week_number_sunday(today))
                   & (F.year("Week") == today.year))
            .select(F.col("FCID").alias("warehouse_id"), F.col("Yard_Capacity").alias("yard_capacity")))
-    j = sheet.where(F.col("warehouse_id").isNotNull()).join(R.bounded_broadcast(cap), "warehouse_id", "left")
+    j = sheet.where(F.col("warehouse_id").isNotNull()).join(cap, "warehouse_id", "left")
     out = j.groupBy("upload_date", "warehouse_id", "yard_capacity").agg(
         F.count_distinct("ReservationID").alias("amount_of_units"))
     out = out.select("upload_date", "warehouse_id", "amount_of_units", "yard_capacity")
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out
 
 
@@ -73,6 +71,4 @@ def metric_yard_utilization(p: Project) -> DataFrame:
         "report_date", "warehouse_id", "amount_of_units",
         F.when(F.col("warehouse_id").isin(SHARED_CAPACITY_SITES), F.col("c_capacity"))
          .otherwise(F.col("yard_capacity")).alias("yard_capacity"))
-    if p.ctx.ci_limit:
-        out = out.limit(p.ctx.ci_limit)
     return out

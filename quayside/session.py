@@ -34,7 +34,7 @@ SQL_DEFAULTS = {
 # biggest exchange before AQE) and AQE coalesces towards 256 MB per partition,
 # so small exchanges do not pay for the large ones; skewed partitions above
 # 5× the median and 512 MB are split.  Broadcasts stay capped at 64 MB of
-# estimated size (dimensions are also row-bounded in ``bounded_broadcast``).
+# estimated size.
 CLUSTER_SIZING = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
@@ -76,13 +76,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed) folder there; it is read from the
-    session.  Only when it is unset, as in local tests, a fresh folder under
-    the system temp directory is created and registered.
+    session.  Only when it is unset and the master is local, as in tests, a
+    fresh folder under the system temp directory is created and registered;
+    on a cluster an unset folder is an error, for executors could not share one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="quayside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

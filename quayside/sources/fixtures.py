@@ -43,6 +43,11 @@ LATEST_PLAN_UPLOAD = "2001-12-31"
 EVENT_EPOCH = "2024-01-01 00:00:00"
 
 
+def _bill(partkey: Column) -> Column:
+    """Forty bills of lading for every two thousand parts."""
+    return F.concat(F.lit("BL"), (partkey % 40 + 40 * F.floor(partkey / 2000)).cast("string"))
+
+
 class Fixtures:
     """Stand-ins keyed by the names used in FIXTURES.md (``fx_*``)."""
 
@@ -236,7 +241,7 @@ class Fixtures:
 
     def fx_facility_type(self) -> DataFrame:
         s = self.t.supplier
-        return s.where(s.s_suppkey < 8).select(
+        return s.select(
             s.s_suppkey.cast("string").alias("wh_id"),
             F.when(s.s_suppkey % 2 == 0, "MM").otherwise("FC").alias("FacilityType"))
 
@@ -263,7 +268,7 @@ class Fixtures:
         o, s = self.t.orders, self.t.supplier
         days = o.select(o.o_orderdate.cast("date").alias("day")).distinct()
         per_wh = days.select("day", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(9).cast("bigint"))).alias("wid"))
-        w = s.where(s.s_suppkey < 10).select(s.s_suppkey)
+        w = s.select(s.s_suppkey)
         j = per_wh.join(w, per_wh.wid == w.s_suppkey)
         # uploads 0/7/14/21 days before the day, plus the latest plan (lag 28) uploaded on LATEST_PLAN_UPLOAD
         j = j.select("s_suppkey", "day", F.explode(F.array(*[F.lit(x) for x in (0, 7, 14, 21, 28)])).alias("lag"))
@@ -288,10 +293,12 @@ class Fixtures:
 
     def fx_spot_capacity(self) -> DataFrame:
         o = self.t.orders
-        w = o.where(o.o_orderkey < 362).select(
-            F.date_add(F.lit("1995-01-01").cast("date"), (o.o_orderkey * 7).cast("int")).alias("Week"))
-        w = w.select("Week", F.explode(F.array(*[F.lit(x).cast("bigint") for x in (5, 9, 10, 13, 30)])).alias("FCID"))
-        return w.select("FCID", "Week", (100 + F.col("FCID")).alias("Yard_Capacity"))
+        # 362 weeks per five centres; further orders make further centres
+        w = o.select((o.o_orderkey % 362).alias("week"), F.floor(o.o_orderkey / 362).alias("block"))
+        w = w.select(F.date_add(F.lit("1995-01-01").cast("date"), (F.col("week") * 7).cast("int")).alias("Week"), "block",
+                     F.explode(F.array(*[F.lit(x).cast("bigint") for x in (5, 9, 10, 13, 30)])).alias("c"))
+        return w.select((F.col("c") + 40 * F.col("block")).alias("FCID"), "Week",
+                        (100 + F.col("c") + 40 * F.col("block")).alias("Yard_Capacity"))
 
     # --- order / purchase-order tables ------------------------------------------------------------------
     def fx_manifest(self) -> DataFrame:
@@ -314,26 +321,26 @@ class Fixtures:
     def fx_po(self) -> DataFrame:
         p = self.t.part
         k = p.p_partkey
-        return p.where(k < 50).select(
+        return p.select(
             k.alias("SpoId"), (k - k % 2).alias("SpoParentSpoId"),
             F.when(k % 3 == 0, 1).otherwise(3).alias("SpoType"))
 
     def fx_activity(self) -> DataFrame:
         p = self.t.part
         k = p.p_partkey
-        return p.where(k < 20).select(k.alias("SprID"), _case(k % 3, [(0, 63), (1, 6)], 1).alias("ActivityCode"))
+        return p.select(k.alias("SprID"), _case(k % 3, [(0, 63), (1, 6)], 1).alias("ActivityCode"))
 
     def fx_ship_manifest(self) -> DataFrame:
         p = self.t.part
         return p.select(p.p_partkey.alias("truck_id"),
-                        F.concat(F.lit("BL"), (p.p_partkey % 40).cast("string")).alias("bill_of_lading_number"))
+                        _bill(p.p_partkey).alias("bill_of_lading_number"))
 
     def fx_transport_unit(self) -> DataFrame:
         p = self.t.part
         k = p.p_partkey
         return p.select(
             k.alias("transport_unit_id"),
-            F.concat(F.lit("BL"), (k % 40).cast("string")).alias("bill_of_lading_number"),
+            _bill(k).alias("bill_of_lading_number"),
             F.when(k % 4 != 0, F.lit("1998-06-10 00:00:00").cast("timestamp_ntz")).alias("shipment_destination_unloaded_date"),
             F.when(k % 5 == 0, "Store").otherwise("Warehouse").alias("shipment_destination_entity_type"))
 

@@ -116,7 +116,7 @@ def test_interrupted_publish_is_completed_by_the_next_upsert(spark, tmp_dir):
     # the earlier run: merged result staged, pending record written, copy died half-way
     stage = os.path.join(tmp_dir, "stage")
     spark.createDataFrame([(1, 10.0, "a"), (2, 2.0, "a"), (3, 3.0, "b")], schema).write.parquet(stage)
-    spark.createDataFrame([(stage, "", "parquet")], sinks._PENDING_SCHEMA).write.mode("overwrite").parquet(
+    spark.createDataFrame([(stage, "", "", "parquet")], sinks._PENDING_SCHEMA).write.mode("overwrite").parquet(
         sinks._pending_path(spark, path))
     spark.createDataFrame([(2, 2.0, "a")], schema).write.mode("overwrite").parquet(path)  # half-written target
     out = sinks.merge_upsert(spark, spark.createDataFrame([(4, 4.0, "c")], schema), path, ["k"], ["v"])
@@ -135,3 +135,71 @@ def test_concurrent_run_equals_sequential(spark, tmp_dir):
         paths = run_models(p, names, os.path.join(tmp_dir, f"t{threads}"), threads=threads)
         out[threads] = {n: sorted(tuple(str(v) for v in r) for r in spark.read.parquet(paths[n]).collect()) for n in names}
     assert out[1] == out[4]
+
+
+def test_merge_refuses_two_different_rows_for_a_key(spark, tmp_dir):
+    import pytest
+    schema = "k long, v double"
+    path = os.path.join(tmp_dir, "t")
+    with pytest.raises(ValueError, match="merge key"):
+        sinks.merge_upsert(spark, spark.createDataFrame([(1, 1.0), (1, 2.0)], schema), path, ["k"], ["v"])
+    assert sinks.read_table(spark, path) is None
+    same = spark.createDataFrame([(1, 1.0), (1, 1.0)], schema)
+    assert sinks.merge_upsert(spark, same, path, ["k"], ["v"]).count() == 1
+
+
+def test_one_row_per_key_does_not_depend_on_partitioning(spark):
+    rows = [(k, v, None if v % 2 else "x") for k in range(20) for v in range(6)]
+    df = spark.createDataFrame(rows, "k long, v long, s string")
+    got = {tuple(sorted(map(tuple, sinks.one_row_per_key(df.repartition(n), ["k"]).collect()))) for n in (1, 3, 7)}
+    assert got == {tuple((k, 5, None) for k in range(20))}
+
+
+def test_only_a_missing_path_is_no_table(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException
+    assert sinks.read_table(spark, os.path.join(tmp_dir, "none")) is None
+    os.makedirs(os.path.join(tmp_dir, "empty"))
+    with pytest.raises(AnalysisException):
+        sinks.read_table(spark, os.path.join(tmp_dir, "empty"))
+
+
+def test_interrupted_publish_is_completed_by_the_next_run(spark, tmp_dir):
+    """The target is recovered before the run reads it for its incremental plan."""
+    from quayside.plans.context import fixture_context
+    from quayside.plans.project import Project
+    from quayside.plans.run import run_models
+    root = os.path.join(tmp_dir, "targets")
+    run = lambda: run_models(Project.for_sf_dir(spark, "/root/testdata/sf0.001", fixture_context()), ["dim_warehouse"], root)
+    path = run()["dim_warehouse"]
+    whole = sorted(map(str, spark.read.parquet(path).collect()))
+    stage = os.path.join(tmp_dir, "stage")
+    spark.read.parquet(path).write.parquet(stage)
+    half = spark.createDataFrame(spark.read.parquet(path).limit(2).collect(), spark.read.parquet(path).schema)
+    half.write.mode("overwrite").parquet(path)
+    spark.createDataFrame([(stage, "", "", "parquet")], sinks._PENDING_SCHEMA).write.mode("overwrite").parquet(
+        sinks._pending_path(spark, path))
+    run()
+    assert sorted(map(str, spark.read.parquet(path).collect())) == whole
+    assert not os.path.exists(stage)
+
+
+def test_second_run_reads_a_window_and_the_written_dimension(spark, tmp_dir, monkeypatch):
+    """The visits' second run ranks recent events only; nothing is built in full, downstream
+    models read the merged target, and no scratch table is left."""
+    from quayside.plans import project as P
+    from quayside.plans.context import fixture_context
+    from quayside.plans.run import run_models
+    P._load_models()
+    built = []
+    for name in ("first_reservation_event", "dim_yard_trailer", "dim_warehouse"):
+        monkeypatch.setitem(P.MODELS, name, lambda p, name=name, fn=P.MODELS[name]: (
+            built.append((name, p.ctx.param("event_lookback_start") is not None)), fn(p))[1])
+    root = os.path.join(tmp_dir, "targets")
+    names = ["dim_warehouse", "dim_yard_trailer", "stg_unit_snapshot"]
+    for windowed in (False, True):
+        built.clear()
+        p = P.Project.for_sf_dir(spark, "/root/testdata/sf0.001", fixture_context())
+        run_models(p, names, root)
+        assert sorted(built) == [("dim_warehouse", False), ("dim_yard_trailer", windowed), ("first_reservation_event", windowed)]
+        assert not os.path.exists(p.materialize_dir)
