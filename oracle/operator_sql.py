@@ -62,9 +62,8 @@ SELECT inbound_trailer_reservation_id, arrival_status, remaining_unload_time_hou
 FROM om_snapshot_buckets""")
 oracle("case_status_compare", """
 SELECT trailer_visit_id,
-  CASE WHEN CAST(trailer_arrival_datetime_local AS DATE) < CAST(trailer_scheduled_start_datetime_local AS DATE) THEN 'arrived_early'
-       WHEN CAST(trailer_arrival_datetime_local AS DATE) = CAST(trailer_scheduled_start_datetime_local AS DATE) THEN 'arrived_on_time'
-       WHEN CAST(trailer_arrival_datetime_local AS DATE) > CAST(trailer_scheduled_start_datetime_local AS DATE) THEN 'arrived_late' END AS arrival_status
+  ['arrived_late', 'arrived_on_time', 'arrived_early'][2 + CAST(sign(date_diff('day',
+    CAST(trailer_arrival_datetime_local AS DATE), CAST(trailer_scheduled_start_datetime_local AS DATE))) AS INTEGER)] AS arrival_status
 FROM om_dim_yard_trailer""")
 oracle("flags_from_compare", """
 SELECT trailer_visit_id, is_arrival_null_and_scheduledstart_before_refresh, is_arrival_date_equal_scheduled_date,
@@ -90,8 +89,7 @@ WHERE subwarehouse LIKE '%Inbound%' OR subwarehouse LIKE '%Receiv%' OR subwareho
 oracle("filter_inequality", "SELECT * FROM fx_po WHERE SpoId <> SpoParentSpoId")
 oracle("compare_string_numeric", """
 SELECT tl.warehouse_id, tl.log_datetime_local, fc.freight_class_number, fc.freight_class_number > '1' AS above_one,
-  CASE WHEN fc.freight_class_number = '1' THEN 'Bulk_Picks_SP_Bins' WHEN fc.freight_class_number > '1' THEN 'Bulk_Picks_LP'
-       WHEN fc.freight_class_number IS NULL THEN 'Bulk_Picks_SP_Bins' END AS Freight_Class
+  concat('Bulk_Picks_', IF(coalesce(fc.freight_class_number, '1') > '1', 'LP', 'SP_Bins')) AS Freight_Class
 FROM fx_tran_log tl JOIN fx_freight_class fc ON tl.freight_class_id = fc.freight_class_id""")
 oracle("compare_date_string", "SELECT * FROM fx_spot_capacity WHERE Week >= '2000-01-01'")
 oracle("filter_asof_on_site", "SELECT trailer_visit_id, inbound_trailer_reservation_id, trailer_arrival_datetime_local FROM om_on_site")

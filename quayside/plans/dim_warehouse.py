@@ -48,7 +48,7 @@ TEST_WAREHOUSES = [34, 36, 44, 998, 999]
 # Style id → zone whose offset from New York is recomputed each run.
 ZONE_BY_STYLE = [(2, "Europe/London"), (3, "Europe/Berlin")]
 
-# Columns a merge may update; the others keep their first value.
+# The columns a merge may update; the others keep their first value.
 MERGE_UPDATE_COLUMNS = [
     "dwh_modified_timestamp", "hash_record", "record_source", "warehouse_id", "warehouse_string_id",
     "region", "campus_id", "time_zone_hours_offset", "warehouse_city", "warehouse_state",

@@ -19,7 +19,8 @@ WINDOW_HOURS = 48
 
 
 def accountability_bucket(now_local: F.Column) -> F.Column:
-    """Two-level CASE; the early branch has no ELSE (NULL), the outer ELSE is a literal."""
+    """Two-level CASE; the early branch has no ELSE (NULL), the outer ELSE is a literal.
+    The labels are fixed values."""
     status = F.col("arrival_status")
     remaining = F.col("remaining_unload_time_hours")
     week = F.col("trailer_scheduled_start_week_date")
