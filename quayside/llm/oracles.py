@@ -41,7 +41,7 @@ tails AS (
   FROM (SELECT lang, rule, c, n_good, unnest(range(0, k_good + 1)) AS i FROM tried) GROUP BY lang, rule, c),
 chosen AS (
   SELECT lang, rule, max(c) AS c FROM (
-    SELECT lang, rule, c, k_bad / greatest(n_bad, 1) - k_good / greatest(n_good, 1) AS gain
+    SELECT lang, rule, c, k_bad / greatest(n_bad, 1) - 10 * k_good / greatest(n_good, 1) AS gain
     FROM tried JOIN tails USING (lang, rule, c)
     WHERE p <= 0.05 / 4 / (SELECT count(DISTINCT lang) FROM tried)
     QUALIFY gain > 0 AND rank() OVER (PARTITION BY lang, rule ORDER BY gain DESC) = 1) GROUP BY lang, rule),

@@ -5,7 +5,8 @@ false rejections of good documents at a cutoff are binomial; a cutoff is certifi
 a false-rejection rate of ``RISK / rules`` or more.  Per stratum and rule the cutoffs are tested in a fixed order, from
 the most lenient on, so the error level is divided by rules and strata only (Bonferroni).  Hence, with probability
 ``1 - ERROR``, no stratum loses more than ``RISK`` of its good documents to the rules together.  Of the certified cutoffs
-the one that best separates the labels is used, the most lenient of equals; without one the rule rejects nothing there.
+the one that best separates the labels is used (a false rejection weighs as much as ``COST`` right ones), the most lenient of
+equals; without one the rule rejects nothing there.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from quayside.llm.common import durable
 
 RISK = 0.05        # of a stratum's good documents, all rules together
 ERROR = 0.05       # probability that any certificate is wrong
+COST = 10          # right rejections, as a share of bad documents, that outweigh a false one, as a share of good ones
 MAX_STRATA = 64    # languages with a stratum of their own; the others share one
 OTHER = "(other)"
 # Metric -> cutoffs, ascending.  A document is rejected where its metric is over the chosen cutoff.
@@ -119,7 +121,7 @@ def fit(labelled: DataFrame, risk: float = RISK, error: float = ERROR, max_strat
         .withColumn("one", F.lit(1)).withColumn("strata", strata).where("level > 0")
     certified = steps.where(log_binomial_tail(F.col("k_good"), F.col("n_good"), risk / rules)
                             <= F.log(F.lit(error / rules) / F.col("strata")))
-    gain = F.col("k_bad") / F.greatest("n_bad", F.lit(1)) - F.col("k_good") / F.greatest("n_good", F.lit(1))
+    gain = F.col("k_bad") / F.greatest("n_bad", F.lit(1)) - COST * F.col("k_good") / F.greatest("n_good", F.lit(1))
     best = certified.withColumn("gain", gain).where("gain > 0").groupBy("stratum", "rule").agg(
         F.max(F.struct("gain", "level")).alias("best"))
     cutoff = {r: F.element_at(F.array(*map(F.lit, c)), F.col("best.level")) for r, c in CUTOFFS.items()}
