@@ -142,15 +142,16 @@ def verdict(docs: DataFrame, cutoffs: DataFrame, stratum_key: Column, metrics: d
     """``docs`` with the boolean ``name``: false where the base check failed or a rule of the stratum rejects."""
     c = F.broadcast(cutoffs.select(F.col("stratum").alias("__s"), F.struct(*[f"c_{r}" for r in CUTOFFS]).alias("__c")))
     other = F.broadcast(cutoffs.where(F.col("stratum") == OTHER).select(
-        F.lit(True).alias("__any"), F.struct(*[f"c_{r}" for r in CUTOFFS]).alias("__o")))
-    joined = docs.join(c, stratum_key == F.col("__s"), "left").join(other, F.col("__s").isNull() & F.col("__any"), "left")
+        F.col("stratum").alias("__z"), F.struct(*[f"c_{r}" for r in CUTOFFS]).alias("__o")))
+    joined = docs.join(c, stratum_key == F.col("__s"), "left")
+    joined = joined.join(other, F.when(F.col("__s").isNull(), F.lit(OTHER)) == F.col("__z"), "left")
     rejected = reduce(lambda a, b: a | b, [
         F.coalesce(m > F.when(F.col("__s").isNotNull(), F.col(f"__c.c_{r}")).otherwise(F.col(f"__o.c_{r}")), F.lit(False))
         for r, m in metrics.items()])
     # one condition with both sides of the join in it: a filter on it stays above the join, where the features are computed
     # columns; pushed below, it would repeat their expressions inside itself
     passed = F.when(F.col("__s").isNull() & base_failed, F.lit(False)).when(base_failed | rejected, F.lit(False)).otherwise(F.lit(True))
-    return joined.withColumn(name, passed).drop("__s", "__c", "__any", "__o")
+    return joined.withColumn(name, passed).drop("__s", "__c", "__z", "__o")
 
 
 def quality(documents: DataFrame, labels: DataFrame, **settings) -> DataFrame:
