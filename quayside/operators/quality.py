@@ -77,11 +77,22 @@ def violations(check: Check, frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def run_suite(checks: Sequence[Check], frames: dict[str, DataFrame]) -> DataFrame:
-    """One row per check: (check, model, columns, n_violations)."""
-    rows = [violations(c, frames).agg(F.count(F.lit(1)).alias("n_violations")).select(
+    """One row per check: (check, model, columns, n_violations).  All not-null checks of a
+    model share one scan and aggregate."""
+    null_columns: dict[str, list[str]] = {}
+    rows = []
+    for c in checks:
+        if c.kind == "not_null":
+            null_columns.setdefault(c.model, []).append(c.columns[0])
+        else:
+            rows.append(violations(c, frames).agg(F.count(F.lit(1)).alias("n_violations")).select(
                 F.lit(c.kind).alias("check"), F.lit(c.model).alias("model"),
-                F.lit(",".join(c.columns)).alias("columns"), "n_violations")
-            for c in checks]
+                F.lit(",".join(c.columns)).alias("columns"), "n_violations"))
+    for model, columns in null_columns.items():
+        counted = frames[model].agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in columns])
+        rows.append(counted.select(F.explode(F.array(*[F.struct(
+            F.lit("not_null").alias("check"), F.lit(model).alias("model"), F.lit(c).alias("columns"),
+            F.col(c).alias("n_violations")) for c in columns])).alias("r")).select("r.*"))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 

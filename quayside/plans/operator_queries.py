@@ -629,7 +629,8 @@ def q_agg_lag_capacity(p: Project) -> DataFrame:
     from quayside.plans.throughput import capacity
     today = p.ctx.current_date
     yday = today - dt.timedelta(days=1)
-    return capacity(p, today, yday, cal.py_week_to_date_window(yday))[1]
+    lagged = "sum_ib_unit_capacity_daily_lag2"
+    return capacity(p, today, yday, cal.py_week_to_date_window(yday)).where(F.col(lagged).isNotNull()).select("warehouse_id", lagged)
 
 
 # --- §2.5 windows ------------------------------------------------------------------------------------

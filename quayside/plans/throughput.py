@@ -3,19 +3,17 @@
 The reference scans the transaction log twice and the capacity view twice;
 here each is scanned once with a pushed-down date range, and the daily and
 week-to-date figures are conditional sums of one aggregate per warehouse.
-All seven inputs of the final chain of left joins are then one row per
-warehouse.
+All inputs of the final left joins are then one row per warehouse.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import calendar as cal
-from quayside.operators import relops as R
 from quayside.plans.project import Project, model
 
 # Freight class labels of the outbound pivot; the capacity plan's lag in days.
@@ -38,23 +36,28 @@ def received(p: Project, yday: dt.date, wtd: tuple[dt.date, dt.date]) -> DataFra
         _sum_if(day == cal.lit_date(yday), "inbound_receiving_units").alias("inbound_receiving_units_daily"))
 
 
-def capacity(p: Project, today: dt.date, yday: dt.date, wtd: tuple[dt.date, dt.date]) -> tuple[DataFrame, DataFrame]:
-    cap = p.source("receiving_capacity")
+def capacity(p: Project, today: dt.date, yday: dt.date, wtd: tuple[dt.date, dt.date]) -> DataFrame:
+    """Planned receiving units per warehouse from one scan of the capacity view: of each (warehouse,
+    day), the newest upload (W6, ties kept) counts for the week to date, and the newest one of the
+    Sunday week two weeks before this one for yesterday's lagged figure (A17)."""
     lo, hi = wtd
-    # Newest upload per (warehouse, day), ties kept; only the days the sums need
-    in_wtd = cap.where(F.col("day_of_unit_capacity").between(cal.lit_date(lo), cal.lit_date(hi)))
-    latest = R.pick_rank_first(in_wtd, ["warehouse_id", "day_of_unit_capacity"], [F.col("upload_date").desc()])
-    wtd_daily = latest.groupBy(F.col("warehouse_id").cast("bigint").alias("warehouse_id")).agg(
-        F.sum("inbound_unit_capacity").alias("sum_ib_unit_capacity_wtd"),
-        _sum_if(F.col("day_of_unit_capacity") == cal.lit_date(yday), "inbound_unit_capacity").alias("sum_ib_unit_capacity_daily"))
-    # Newest plan uploaded in the Sunday week two weeks before this one, for yesterday
     lag_week = cal.py_week_start_sunday(today) - dt.timedelta(days=CAPACITY_LAG_DAYS)
-    lag2 = cap.where((F.col("day_of_unit_capacity") == cal.lit_date(yday))
-                     & F.col("upload_date").between(cal.lit_date(lag_week), cal.lit_date(lag_week + dt.timedelta(days=6))))
-    lag2 = R.pick_rank_first(lag2, ["warehouse_id", "day_of_unit_capacity"], [F.col("upload_date").desc()])
-    lag2 = lag2.groupBy(F.col("warehouse_id").cast("bigint").alias("warehouse_id")).agg(
-        F.sum("inbound_unit_capacity").alias("sum_ib_unit_capacity_daily_lag2"))
-    return wtd_daily, lag2
+    day, upload = F.col("day_of_unit_capacity"), F.col("upload_date")
+    is_yday = day == cal.lit_date(yday)
+    in_wtd = day.between(cal.lit_date(lo), cal.lit_date(hi))
+    in_lag = is_yday & upload.between(cal.lit_date(lag_week), cal.lit_date(lag_week + dt.timedelta(days=6)))
+    # uploads are summed first, so the newest one is found among few rows per warehouse and day
+    per_upload = (p.source("receiving_capacity").where(in_wtd | in_lag)
+                  .groupBy("warehouse_id", "day_of_unit_capacity", "upload_date")
+                  .agg(F.sum("inbound_unit_capacity").alias("units")))
+    of = Window.partitionBy("warehouse_id", "day_of_unit_capacity")
+    newest = (per_upload.withColumn("newest", F.max(F.when(in_wtd, upload)).over(of))
+                        .withColumn("newest_lag", F.max(F.when(in_lag, upload)).over(of)))
+    current = in_wtd & upload.eqNullSafe(F.col("newest"))
+    return newest.groupBy(F.col("warehouse_id").cast("bigint").alias("warehouse_id")).agg(
+        _sum_if(current, "units").alias("sum_ib_unit_capacity_wtd"),
+        _sum_if(current & is_yday, "units").alias("sum_ib_unit_capacity_daily"),
+        _sum_if(in_lag & (upload == F.col("newest_lag")), "units").alias("sum_ib_unit_capacity_daily_lag2"))
 
 
 def shipped(p: Project, today: dt.date, yday: dt.date) -> DataFrame:
@@ -74,12 +77,9 @@ def shipped(p: Project, today: dt.date, yday: dt.date) -> DataFrame:
     pivot = (fine.withColumn("Freight_Class", label)
                  .groupBy("warehouse_id", "date").pivot("Freight_Class", [LP, SP_BINS]).agg(F.sum("BulkPick_Units")))
     day, week = F.col("date") == cal.lit_date(yday), F.col("date").between(cal.lit_date(week_start), cal.lit_date(today))
-    daily = (pivot.where(day).groupBy("warehouse_id")
-             .agg((F.sum(LP) + F.sum(SP_BINS)).cast("double").alias("ob_fc_total_units_shipped_actuals_day")))
-    weekly = (pivot.where(week).groupBy("warehouse_id")
-              .agg((F.sum(LP) + F.sum(SP_BINS)).cast("double").alias("ob_fc_total_units_shipped_actuals_week")))
-    return (daily.select(F.col("warehouse_id").cast("bigint").alias("warehouse_id"), "ob_fc_total_units_shipped_actuals_day"),
-            weekly.select(F.col("warehouse_id").cast("bigint").alias("warehouse_id"), "ob_fc_total_units_shipped_actuals_week"))
+    total = lambda when: (_sum_if(when, LP) + _sum_if(when, SP_BINS)).cast("double")
+    return pivot.groupBy(F.col("warehouse_id").cast("bigint").alias("warehouse_id")).agg(
+        total(day).alias("ob_fc_total_units_shipped_actuals_day"), total(week).alias("ob_fc_total_units_shipped_actuals_week"))
 
 
 @model("metric_throughput_variance")
@@ -88,10 +88,8 @@ def metric_throughput_variance(p: Project) -> DataFrame:
     yday = today - dt.timedelta(days=1)
     wtd = cal.py_week_to_date_window(yday)  # the week of yesterday
     a = received(p, yday, wtd)
-    cap, lag2 = capacity(p, today, yday, wtd)
-    daily, weekly = shipped(p, today, yday)
-    j = (a.join(cap, "warehouse_id", "left").join(daily, "warehouse_id", "left")
-          .join(weekly, "warehouse_id", "left").join(lag2, "warehouse_id", "left"))
+    j = (a.join(capacity(p, today, yday, wtd), "warehouse_id", "left")
+          .join(shipped(p, today, yday), "warehouse_id", "left"))
     wtd_u, day_u = F.col("inbound_receiving_units_wtd"), F.col("inbound_receiving_units_daily")
     wtd_c, day_c = F.col("sum_ib_unit_capacity_wtd"), F.col("sum_ib_unit_capacity_daily")
     out = j.select(
