@@ -32,7 +32,8 @@ class Materialization:
     partition_by: tuple[str, ...] = ()
     unique_key: tuple[str, ...] = ()
     update_columns: tuple[str, ...] = field(default_factory=tuple)
-    one_per_key: bool = False                   # rows multiply per key by design: one is chosen by a full order
+    # rows can share a key by design (visits per array element; metrics of warehouses without a name): one is chosen by a full order
+    one_per_key: bool = False
 
 
 _METRIC = Materialization("insert_overwrite", cluster_by=("warehouse_id",), partition_by=("report_date",))
@@ -52,9 +53,9 @@ MATERIALIZATIONS: dict[str, Materialization] = {
     "metric_throughput_variance": _METRIC,
     "metric_yard_utilization": _METRIC,
     "report_inbound": Materialization("merge", partition_by=("time_base_date",), unique_key=("surrogate_key", "time_base_date"),
-                                      update_columns=tuple(M.MERGE_UPDATE_COLUMNS)),
+                                      update_columns=tuple(M.MERGE_UPDATE_COLUMNS), one_per_key=True),
     "report_outbound": Materialization("merge", partition_by=("time_base_date",), unique_key=("surrogate_key", "time_base_date"),
-                                       update_columns=tuple(M.MERGE_UPDATE_COLUMNS)),
+                                       update_columns=tuple(M.MERGE_UPDATE_COLUMNS), one_per_key=True),
 }
 
 
