@@ -48,13 +48,13 @@ def stack_branches(grouped: DataFrame, dims: Sequence[str], branches: Sequence[M
     return exploded.select(*dims, "m.*")
 
 
-def tall_rows(df: DataFrame, as_of) -> DataFrame:
-    """K2: add the surrogate key and audit columns, in the tall column order."""
+def tall_rows(df: DataFrame, as_of, also: Sequence[str] = ()) -> DataFrame:
+    """K2: add the surrogate key and audit columns, in the tall column order, then the columns ``also``."""
     ts = cal.lit_ntz(as_of)
     return df.select(
         S.surrogate_key(KEY_COLUMNS).alias("surrogate_key"),
         ts.alias("dwh_creation_timestamp"), ts.alias("dwh_modified_timestamp"),
-        *KEY_COLUMNS, "metric_numerator", "metric_denominator")
+        *KEY_COLUMNS, "metric_numerator", "metric_denominator", *also)
 
 
 @dataclass(frozen=True)

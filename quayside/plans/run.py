@@ -20,6 +20,7 @@ from quayside.functions import backfill as B
 from quayside.operators import metrics as M
 from quayside.operators import sinks
 from quayside.plans import dim_warehouse as DW
+from quayside.plans import reporting as RP
 from quayside.plans import yard_trailer as YT
 from quayside.plans.context import RunContext
 from quayside.plans.project import Project
@@ -32,11 +33,11 @@ class Materialization:
     partition_by: tuple[str, ...] = ()
     unique_key: tuple[str, ...] = ()
     update_columns: tuple[str, ...] = field(default_factory=tuple)
-    # rows can share a key by design (visits per array element; metrics of warehouses without a name): one is chosen by a full order
-    one_per_key: bool = False
+    one_per_key: bool = False                   # rows multiply per key by design: one is chosen by a full order
 
 
 _METRIC = Materialization("insert_overwrite", cluster_by=("warehouse_id",), partition_by=("report_date",))
+_REPORT_KEY = ("surrogate_key", "time_base_date", *RP.ROW_KEY)
 
 # How each model is materialised.
 MATERIALIZATIONS: dict[str, Materialization] = {
@@ -52,10 +53,10 @@ MATERIALIZATIONS: dict[str, Materialization] = {
     "metric_on_yard_units": _METRIC,
     "metric_throughput_variance": _METRIC,
     "metric_yard_utilization": _METRIC,
-    "report_inbound": Materialization("merge", partition_by=("time_base_date",), unique_key=("surrogate_key", "time_base_date"),
-                                      update_columns=tuple(M.MERGE_UPDATE_COLUMNS), one_per_key=True),
-    "report_outbound": Materialization("merge", partition_by=("time_base_date",), unique_key=("surrogate_key", "time_base_date"),
-                                       update_columns=tuple(M.MERGE_UPDATE_COLUMNS), one_per_key=True),
+    "report_inbound": Materialization("merge", partition_by=("time_base_date",), unique_key=_REPORT_KEY,
+                                      update_columns=tuple(M.MERGE_UPDATE_COLUMNS)),
+    "report_outbound": Materialization("merge", partition_by=("time_base_date",), unique_key=_REPORT_KEY,
+                                       update_columns=tuple(M.MERGE_UPDATE_COLUMNS)),
 }
 
 
@@ -77,7 +78,7 @@ def _frame(p: Project, name: str, target: DataFrame | None) -> DataFrame:
         window = Project(p.spark, p.src, ctx, materialize_dir=os.path.join(p.materialize_dir, "incremental"))
         window._built["dim_warehouse"] = p.ref("dim_warehouse")
         return window.build(name)
-    return p.build(name)
+    return RP.KEYED[name](p) if name in RP.KEYED else p.build(name)
 
 
 def materialize(p: Project, name: str, path: str) -> DataFrame:

@@ -203,3 +203,27 @@ def test_second_run_reads_a_window_and_the_written_dimension(spark, tmp_dir, mon
         run_models(p, names, root)
         assert sorted(built) == [("dim_warehouse", False), ("dim_yard_trailer", windowed), ("first_reservation_event", windowed)]
         assert not os.path.exists(p.materialize_dir)
+
+
+def test_reports_keep_every_warehouse_without_a_name(spark, tmp_dir):
+    """Warehouses the dimension does not name share a surrogate key, as do facility types of one warehouse: all their rows are written."""
+    from quayside.plans.context import fixture_context
+    from quayside.plans.project import Project
+    from quayside.plans.run import run_models
+    ctx = fixture_context()
+    root = os.path.join(tmp_dir, "targets")
+    for add in (0, 1):  # the second run updates the rows of the first
+        p = Project.for_sf_dir(spark, "/root/testdata/sf0.001", ctx)
+        p._built["metric_yard_utilization"] = spark.createDataFrame(
+            [(ctx.report_date, w, u + add, 50) for w, u in ((998, 5), (999, 7), (34, 7))],
+            "report_date date, warehouse_id long, amount_of_units long, yard_capacity long")
+        p._built["metric_fill_rate"] = spark.createDataFrame(
+            [(w, "SP", ft, ctx.report_date, r + add, "daily") for w, ft, r in
+             ((998, None, 0.5), (999, None, 0.25), (34, None, 0.25), (1, "MM", 0.75), (1, "FC", 0.5))],
+            "warehouse_id long, ship_class string, is_middle_mile string, report_date date, fill_rate_mm double, cadence string")
+        paths = run_models(p, ["report_inbound", "report_outbound"], root)
+        inbound = spark.read.parquet(paths["report_inbound"]).where("metric_id = '174'").collect()
+        assert sorted((r.warehouse_id, r.metric_numerator) for r in inbound) == [(34, 7.0 + add), (998, 5.0 + add), (999, 7.0 + add)]
+        outbound = spark.read.parquet(paths["report_outbound"]).where("metric_id = '310'").collect()
+        assert sorted((r.warehouse_id, r.is_middle_mile or "", r.metric_numerator) for r in outbound) == [
+            (1, "FC", 0.5 + add), (1, "MM", 0.75 + add), (34, "", 0.25 + add), (998, "", 0.5 + add), (999, "", 0.25 + add)]
