@@ -42,6 +42,19 @@ CHROME_NAMES = {
     "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "toolbar", "share", "sharing", "social",
     "related", "recommended", "comment", "comments", "disqus", "respond", "replies", "pagination", "pager", "login", "search",
     "disclaimer", "skip"}
+# Inside an article only whole class or id tokens count, and not the words that text sections are named by as well.
+ARTICLE_CHROME = CHROME_NAMES - {
+    "alert", "banner", "comment", "consent", "cookie", "cookies", "disclaimer", "gdpr", "login", "menu", "menus", "modal", "navigation",
+    "notification", "overlay", "promotion", "recommended", "related", "replies", "respond", "search", "share", "sharing", "skip",
+    "social", "subscription", "toolbar", "widget", "widgets"} | {
+    f"{a}{j}{b}" for j in "-_" for a, b in (
+        ("ad", "banner"), ("ad", "container"), ("ad", "slot"), ("ad", "unit"), ("ad", "wrapper"), ("alert", "banner"), ("breadcrumb", "nav"), ("comment", "form"),
+        ("comment", "list"), ("comments", "area"), ("comments", "section"), ("consent", "banner"), ("cookie", "banner"),
+        ("cookie", "bar"), ("cookie", "consent"), ("cookie", "notice"), ("gdpr", "banner"), ("login", "form"), ("nav", "bar"),
+        ("nav", "links"), ("nav", "menu"), ("newsletter", "form"), ("newsletter", "signup"), ("popup", "overlay"), ("post", "navigation"), ("recommended", "posts"),
+        ("related", "articles"), ("related", "links"), ("related", "posts"), ("search", "bar"), ("search", "box"), ("search", "form"),
+        ("share", "bar"), ("share", "buttons"), ("share", "links"), ("side", "bar"), ("skip", "link"), ("social", "buttons"),
+        ("social", "links"), ("social", "share"), ("subscribe", "form"), ("site", "footer"), ("site", "nav"), ("site", "navigation"))}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
@@ -82,8 +95,13 @@ def _kind(tag: str, attrs: str, above: int) -> int:
         elif role == "main" and above == OPEN:
             kind = MAIN
         if tag not in ("html", "body", "main") and tag not in HEADINGS:
-            names = set(_NAMES.findall(found.get("class", "") + " " + found.get("id", "")))
-            if names & (CHROME_NAMES if tag != "article" else {"comment", "comments", "ad", "advert", "promo", "sponsored"}):
+            named = found.get("class", "") + " " + found.get("id", "")
+            if above in (ARTICLE, HEADER):
+                # "comment" marks code in lines of text, readers' words elsewhere
+                names, chrome = set(named.split()), ARTICLE_CHROME if tag in INLINE else ARTICLE_CHROME | {"comment"}
+            else:
+                names, chrome = set(_NAMES.findall(named)), CHROME_NAMES
+            if names & (chrome if tag != "article" else {"comment", "comments", "ad", "advert", "promo", "sponsored"}):
                 return CHROME
     return kind
 

@@ -183,6 +183,17 @@ def test_page_texts(spark):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+def test_article_text_named_by_common_words_stays():
+    text = lambda inside: html_extract.Page(f"<article><p>a</p>{inside}<p>z</p></article>").settled
+    for inside in ('<section id="related-work">t</section>', '<div id="search-and-rescue">t</div>', '<p class="social-history">t</p>',
+                   '<table class="widgets-sold"><tr><td>t</table>', '<span class="menu-item">t</span>', '<section id="search">t</section>',
+                   '<p class="ad-hoc">t</p>', '<code><span class="token comment">t</span></code>'):
+        assert text(inside) == "a t z", inside
+    for inside in ('<div class="ad">t</div>', '<div class="box cookie-notice">t</div>', '<div class="share-bar">t</div>', '<p class="notice">t</p>',
+                   '<div class="comment">t</div>', '<section id="comments">t</section>', '<div class="related-posts">t</div>'):
+        assert text(inside) == "a z", inside
+
+
 def unmarked_site(rng, n):
     """Pages without any marking: three repeated lines around texts of their own."""
     words = [a + b + c for a in "bdfgk" for b in "aeiou" for c in ("rn", "st", "ll", "m", "x")]
