@@ -1,12 +1,17 @@
-"""Main text of web pages: markup regions, and a host suffix array for what markup does not settle.
+"""Main text of web pages: markup regions, and repeated passages of the host for what markup does not settle.
 
 1. A page is scanned into text blocks.  Tags, roles and class names mark regions: menus, headers, footers, sidebars, notices,
    adverts, forms, comments (never text of the page), articles (always), and the rest, which markup leaves open.
-2. The token streams of a host's pages outside articles are concatenated and their suffixes sorted (prefix doubling) as
-   far as a run of ``RUN`` tokens.  Neighbours that agree that far are repeats.  A run that occurs on enough distinct pages
-   of the host is boilerplate.  Pages are sorted in batches wherever they are read; runs found are counted over the whole
-   host by a grouping, so no host is gathered in one task.
-3. On pages without an article, tokens covered by boilerplate runs are removed and the unique runs kept.
+2. Two kinds of passages are looked for in the token streams of a host's pages outside articles: stretches of ``RUN`` tokens
+   or more anywhere, and whole blocks in a row that have ``BLOCK`` tokens or more together.  One that occurs on enough
+   distinct pages of the host is boilerplate.
+   A stretch of ``RUN`` tokens or more occurs on so many pages exactly where all its windows of ``RUN`` tokens do, so the
+   maximal repeats of that length cover the same tokens as the repeated windows; these are counted, and no longest common
+   prefixes are needed.  The same holds for whole blocks and the shortest rows of blocks from each block on and up to
+   each block.  Suffixes of a batch, wherever it is read, are ranked as far as ``RUN`` tokens (prefix doubling), which
+   names its windows; all batches' windows are counted over the host by a grouping, so a passage on pages of different
+   batches is found and no host is gathered in one task.
+3. On pages without an article, tokens covered by boilerplate are removed and the rest kept.
 
 Text inside an article stays whole, also where other pages repeat it: pages that quote or copy each other keep their text.
 """
@@ -24,8 +29,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from quayside.llm.common import arrow_map, durable
 
-RUN = 5              # tokens of a run; block ends count as tokens
-MIN_PAGES = 3        # distinct page streams of the host that hold a boilerplate run, at least,
+RUN = 20             # tokens of a repeated stretch, at least; block ends count as tokens
+BLOCK = 6            # tokens of repeated whole blocks in a row, at least, their ends counted
+MIN_PAGES = 3        # distinct page streams of the host that hold a boilerplate passage, at least,
 MIN_SHARE = 0.1      # and this share of the host's distinct streams
 BATCH_TOKENS = 400_000  # tokens sorted at once
 
@@ -178,8 +184,8 @@ def blocks(source: str) -> list[tuple[int, str]]:
 
 
 class Page:
-    """A scanned page: ``settled`` text where an article is marked, else the blocks left open, and the stream for the host's
-    suffix array (blocks outside articles)."""
+    """A scanned page: ``settled`` text where an article is marked, else the blocks left open, and the stream in which the
+    host's repeats are looked for (blocks outside articles)."""
 
     def __init__(self, source: str):
         found = blocks(source)
@@ -220,31 +226,61 @@ def run_classes(tokens: np.ndarray, run: int) -> np.ndarray:
     return rank
 
 
-def _host_runs(pages: list[tuple[str, str, Page]], run: int) -> Iterator[tuple[str, int, int, str | None, int]]:
-    """``(host, run hash, stream hash, key, position)`` of each distinct run of each page of a batch; ``key`` only for pages
-    whose open blocks await the verdict (then every occurrence in them)."""
+def block_rows(ends: list[int], least: int) -> set[tuple[int, int]]:
+    """``(begin, end)`` of the shortest rows of whole blocks with ``least`` tokens, from each block on and up to each block.
+    ``ends`` has where each block ends, the first beginning at 0; any row of ``least`` tokens is covered by such rows in it."""
+    found = set()
+    begins = [0, *ends]
+    last = 0
+    for first, begin in enumerate(begins[:-1]):
+        last = max(last, first)
+        while last < len(ends) and ends[last] - begin < least:
+            last += 1
+        if last == len(ends):
+            break
+        found.add((begin, ends[last]))
+    first = 0
+    for k, end in enumerate(ends):
+        while first < k and end - begins[first + 1] >= least:
+            first += 1
+        if end - begins[first] >= least:
+            found.add((begins[first], end))
+    return found
+
+
+def _host_runs(pages: list[tuple[str, str, Page]], run: int) -> Iterator[tuple[str, int, int, str | None, int, int]]:
+    """``(host, passage hash, stream hash, key, position, tokens)`` of each distinct window and row of blocks of each page of a
+    batch; ``key`` only for pages whose open blocks await the verdict (then every occurrence in them)."""
     numbers: dict = {}
     tokens: list[int] = []
     words: list[bytes] = []
     bounds = []
     for n, (host, _, page) in enumerate(pages):
         lo = len(tokens)
+        ends = []
         for block in page.stream:
             for w in block.split(" "):
                 tokens.append(numbers.setdefault((host, w), len(numbers)))
                 words.append(w.encode())
             tokens.append(numbers.setdefault((host, None), len(numbers)))
             words.append(b"\n")
-        bounds.append((lo, len(tokens), sum(b.count(" ") + 2 for b in page.open)))
+            ends.append(len(tokens) - lo)
+        bounds.append((lo, len(tokens), sum(b.count(" ") + 2 for b in page.open), ends))
         tokens.append(-1 - n)  # ends the page: no run spans it
         words.append(b"")
     classes = run_classes(np.array(tokens, np.int64), run)
     hashes: dict[int, int] = {}
-    for (host, key, page), (lo, hi, open_until) in zip(pages, bounds):
-        if hi - lo < run:
-            continue
+    for (host, key, page), (lo, hi, open_until, ends) in zip(pages, bounds):
         stream = xxhash.xxh64_intdigest(b" ".join(words[lo:hi])) - (1 << 63)
-        last = hi - run + 1
+        seen = set()
+        for begin, end in block_rows(ends, BLOCK):
+            waits = key is not None and begin < open_until
+            digest = xxhash.xxh64_intdigest(b"\n" + b" ".join(words[lo + begin:lo + end])) - (1 << 63)
+            if digest in seen and not waits:
+                continue
+            seen.add(digest)
+            yield host, digest, stream, key if waits else None, begin, end - begin
+        last = max(lo, hi - run + 1)
         seen = set()
         for at, c in enumerate(classes[lo:last].tolist()):
             waits = key is not None and at < open_until
@@ -254,7 +290,7 @@ def _host_runs(pages: list[tuple[str, str, Page]], run: int) -> Iterator[tuple[s
             digest = hashes.get(c)
             if digest is None:
                 digest = hashes[c] = xxhash.xxh64_intdigest(b" ".join(words[lo + at:lo + at + run])) - (1 << 63)
-            yield host, digest, stream, key if waits else None, at
+            yield host, digest, stream, key if waits else None, at, run
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str | None, str, str]]:
@@ -268,7 +304,7 @@ def _key(host: str, source: str) -> str:
 
 
 def boilerplate(pages: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """``(key, covered)``: for pages with open blocks, the token positions of their open blocks that boilerplate runs cover."""
+    """``(key, covered)``: for pages with open blocks, ``(at, n)`` of the passages of boilerplate that begin in them."""
 
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         found, held, size = [], [], 0
@@ -280,25 +316,25 @@ def boilerplate(pages: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, mi
                 found.extend(_host_runs(held, run))
                 held, size = [], 0
         found.extend(_host_runs(held, run) if held else ())
-        columns = list(zip(*found)) if found else [()] * 5
-        types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32())
+        columns = list(zip(*found)) if found else [()] * 6
+        types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
-                                          names=["host", "run", "stream", "key", "at"])
+                                          names=["host", "run", "stream", "key", "at", "n"])
 
-    runs = durable(arrow_map(pages, scan, "host string, run long, stream long, key string, at int"))
+    runs = durable(arrow_map(pages, scan, "host string, run long, stream long, key string, at int, n int"))
     streams = runs.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("streams"))
     counted = runs.select("host", "run", "stream").distinct().groupBy("host", "run").agg(F.count("*").alias("n")) \
         .where(F.col("n") >= min_pages)
     common = counted.join(streams, "host").where(F.col("n") >= min_share * F.col("streams")).select("host", "run")
-    return runs.where("key is not null").select("host", "run", "key", "at").distinct().join(common, ["host", "run"]) \
-        .groupBy("key").agg(F.collect_set("at").alias("covered"))
+    return runs.where("key is not null").select("host", "run", "key", "at", "n").distinct().join(common, ["host", "run"]) \
+        .groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("covered"))
 
 
-def _without(blocks_: list[str], covered: list[int], run: int) -> tuple[str, int]:
-    """Text of blocks without the tokens of the covered runs, and how many tokens went."""
+def _without(blocks_: list[str], covered: list[dict]) -> tuple[str, int]:
+    """Text of blocks without the tokens of the covered passages, and how many tokens went."""
     gone = set()
-    for at in covered:
-        gone.update(range(at, at + run))
+    for c in covered:
+        gone.update(range(c["at"], c["at"] + c["n"]))
     kept, at = [], 0
     for block in blocks_:
         for w in block.split(" "):
@@ -314,7 +350,7 @@ def _without(blocks_: list[str], covered: list[int], run: int) -> tuple[str, int
 
 def extract(pages: DataFrame, run: int = RUN) -> DataFrame:
     """``(page_id, url, text, n_chars, n_removed)`` per row of ``pages (page_id, url, html)``; ``n_removed`` counts tokens
-    that the host's suffix array showed to be boilerplate.
+    that the host's repeats showed to be boilerplate.
 
     Null html is empty text; a null or host-less URL belongs to the host without a name; null ids and repeated rows stay,
     one row out per row in; broken or cut-off markup is read as far as it goes.  Where all of a page's open text repeats, the
@@ -332,7 +368,7 @@ def extract(pages: DataFrame, run: int = RUN) -> DataFrame:
                                           names=["page_id", "url", "text", "key", "open"])
 
     def finish(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [_without(b, c or [], run) for b, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        texts = [_without(b, c or []) for b, c in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([t for t, _ in texts], pa.string()),
                                            pa.array([n for _, n in texts], pa.int64())],
                                           names=["page_id", "url", "text", "n_removed"])

@@ -219,6 +219,35 @@ def test_suffix_array_removes_what_a_host_repeats(spark):
     assert got[0].n_removed == 18
 
 
+def test_common_phrases_stay_and_long_passages_go(spark):
+    """A short phrase in sentences of a page's own stays; a long passage inside blocks, and short blocks in a row, go."""
+    rng = random.Random(12)
+    _, texts = unmarked_site(rng, 12)
+    passage = " ".join(f"p{k}" for k in range(25))
+    rows, want = [], []
+    for i, text in enumerate(texts):
+        said = f"{text} at the end of the day {text[::-1]}"
+        long = f" {passage} and{i}" if i < 3 else ""
+        rows.append((i, "http://small.org/%d" % i, f"<ul><li>Home<li>News<li>About us</ul><p>{said}{long}</p>"))
+        want.append(said + (f" and{i}" if i < 3 else ""))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
+    assert [got[i] for i in range(12)] == want
+
+
+def test_block_rows_cover_every_long_enough_row():
+    rng = random.Random(2)
+    for _ in range(50):
+        sizes = [rng.randint(2, 8) for _ in range(rng.randint(0, 9))]
+        ends = [sum(sizes[:k + 1]) for k in range(len(sizes))]
+        rows, begins = html_extract.block_rows(ends, 6), [0, *ends]
+        assert all(b in begins and e in ends and e - b >= 6 for b, e in rows)
+        for i in range(len(ends)):
+            for j in range(i, len(ends)):
+                inside = {t for b, e in rows if begins[i] <= b and e <= ends[j] for t in range(b, e)}
+                assert inside == (set(range(begins[i], ends[j])) if ends[j] - begins[i] >= 6 else set())
+
+
 def test_run_classes_are_equal_runs():
     import numpy as np
     rng = random.Random(1)
