@@ -31,8 +31,7 @@ from quayside.llm.common import arrow_map, durable
 
 RUN = 20             # tokens of a repeated stretch, at least; block ends count as tokens
 BLOCK = 6            # tokens of repeated whole blocks in a row, at least, their ends counted
-MIN_PAGES = 3        # distinct page streams of the host that hold a boilerplate passage, at least,
-MIN_SHARE = 0.1      # and this share of the host's distinct streams
+MIN_PAGES = 3        # distinct page streams of the host that hold a boilerplate passage, at least, however large the host
 BATCH_TOKENS = 400_000  # tokens sorted at once
 
 CHROME, OPEN, MAIN, ARTICLE, HEADER = 0, 1, 2, 3, 4  # HEADER: a header inside an article, of which headings count
@@ -303,7 +302,7 @@ def _key(host: str, source: str) -> str:
     return xxhash.xxh3_128_hexdigest(f"{host}\n{source}".encode())
 
 
-def boilerplate(pages: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def boilerplate(pages: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES) -> DataFrame:
     """``(key, covered)``: for pages with open blocks, ``(at, n)`` of the passages of boilerplate that begin in them."""
 
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -322,10 +321,8 @@ def boilerplate(pages: DataFrame, run: int = RUN, min_pages: int = MIN_PAGES, mi
                                           names=["host", "run", "stream", "key", "at", "n"])
 
     runs = durable(arrow_map(pages, scan, "host string, run long, stream long, key string, at int, n int"))
-    streams = runs.select("host", "stream").distinct().groupBy("host").agg(F.count("*").alias("streams"))
-    counted = runs.select("host", "run", "stream").distinct().groupBy("host", "run").agg(F.count("*").alias("n")) \
-        .where(F.col("n") >= min_pages)
-    common = counted.join(streams, "host").where(F.col("n") >= min_share * F.col("streams")).select("host", "run")
+    common = runs.select("host", "run", "stream").distinct().groupBy("host", "run").agg(F.count("*").alias("n")) \
+        .where(F.col("n") >= min_pages).select("host", "run")
     return runs.where("key is not null").select("host", "run", "key", "at", "n").distinct().join(common, ["host", "run"]) \
         .groupBy("key").agg(F.collect_set(F.struct("at", "n")).alias("covered"))
 

@@ -235,6 +235,17 @@ def test_common_phrases_stay_and_long_passages_go(spark):
     assert [got[i] for i in range(12)] == want
 
 
+def test_passage_on_one_percent_of_a_large_host_goes(spark):
+    rng = random.Random(13)
+    _, texts = unmarked_site(rng, 500)
+    advert = "<div>Buy the best garden chairs of this year now</div>"
+    df = spark.createDataFrame([(i, "http://large.org/%d" % i, f"<p>{t}</p>{advert if i % 100 == 0 else ''}") for i, t in enumerate(texts)],
+                               "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r for r in html_extract.extract(df).collect()}
+    assert [got[i].text for i in range(500)] == texts
+    assert [i for i in range(500) if got[i].n_removed] == [0, 100, 200, 300, 400]
+
+
 def test_block_rows_cover_every_long_enough_row():
     rng = random.Random(2)
     for _ in range(50):
