@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -61,6 +62,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as parquet to the shared checkpoint folder and read back: joins with it are planned by its size."""
+    path = f"{checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class TwoGenerationCache(dict):
     """``cache[key]`` computes a missing value with ``make``; at most two generations of ``limit`` keys stay in memory.
 

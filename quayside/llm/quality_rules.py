@@ -1,12 +1,16 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame functions only.
 
-Each rule rejects documents whose metric is over a cutoff.  On the labelled documents of a stratum (a language), the
-false rejections of good documents at a cutoff are binomial; a cutoff is certified where the exact binomial test rejects
-a false-rejection rate of ``RISK / rules`` or more.  Per stratum and rule the cutoffs are tested in a fixed order, from
-the most lenient on, so the error level is divided by rules and strata only (Bonferroni).  Hence, with probability
-``1 - ERROR``, no stratum loses more than ``RISK`` of its good documents to the rules together.  Of the certified cutoffs
-the one that best separates the labels is used (a false rejection weighs as much as ``COST`` right ones), the most lenient of
-equals; without one the rule rejects nothing there.
+Each rule rejects documents whose metric is over a cutoff; a stratum (a language) has one cutoff per rule or none, a
+joint cutoff.  On the labelled documents of a stratum, the false rejections of good documents by the rules together are
+binomial; a joint cutoff is certified where the exact binomial test rejects a false-rejection rate of ``RISK`` or more.
+Half of a stratum's error is spent on a path fixed beforehand, from the most lenient joint cutoff to the strictest: along it
+rejections only grow, so the test of its first joint cutoff over ``RISK`` is the only one that can go wrong.  The other half
+covers every joint cutoff: whenever one over ``RISK`` passes, so does a most lenient one of those over ``RISK``; none of
+these is stricter than another, so there are at most ``WIDTH`` of them (the largest rank of a product of chains), and
+the half is divided by that.  The error is divided by the strata that have good labels enough to certify anything.
+Hence, with probability ``1 - ERROR``, no stratum loses more than ``RISK`` of its good documents to the rules together.  Of the
+certified joint cutoffs the one that best separates the labels is used (a false rejection weighs as much as ``COST`` right
+ones), the most lenient of equals; without one the rules reject nothing there.
 """
 
 from __future__ import annotations
@@ -15,13 +19,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quayside.llm.common import durable
+from quayside.llm.common import durable, stored
 
 RISK = 0.05        # of a stratum's good documents, all rules together
 ERROR = 0.05       # probability that any certificate is wrong
 COST = 10          # right rejections, as a share of bad documents, that outweigh a false one, as a share of good ones
-MAX_STRATA = 64    # languages with a stratum of their own; the others share one
-OTHER = "(other)"
+OTHER = "(other)"  # the stratum of languages that are pooled on request
 # Metric -> cutoffs, ascending.  A document is rejected where its metric is over the chosen cutoff.
 CUTOFFS = {
     "symbol_ratio": [0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 1.0, 2.0],
@@ -32,7 +35,31 @@ CUTOFFS = {
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 SPACES = r"[\x20\x09-\x0D]"
 SYMBOLS = "#*$%&|<>"
-POSITION_BITS = 24  # positions of words in a sort key; more words than 2^24 do not fit a Spark string's array
+# Level of a joint cutoff per rule: from 1, the strictest cutoff, to one more than there are cutoffs, none.
+LEVELS = {r: len(c) + 1 for r, c in CUTOFFS.items()}
+
+
+def _width() -> int:
+    """Most joint cutoffs of which none is stricter than another: the largest number that share a sum of levels."""
+    by_sum = {0: 1}
+    for n in LEVELS.values():
+        by_sum = {t: sum(by_sum.get(t - k, 0) for k in range(n)) for t in range(max(by_sum) + n)}
+    return max(by_sum.values())
+
+
+def _path() -> list[tuple[int, ...]]:
+    """The fixed path: the rules are tightened in turn, a cutoff at a time."""
+    at, path = dict(LEVELS), []
+    while max(at.values()) > 1:
+        for r in at:
+            if at[r] > 1:
+                at[r] -= 1
+                path.append(tuple(at.values()))
+    return path
+
+
+WIDTH, PATH = _width(), _path()
+POSITION_BITS = 31  # positions of words in a sort key: any index of an array
 
 
 def _repeat_positions(words: str, packed: str) -> Column:
@@ -96,37 +123,61 @@ def log_binomial_tail(k: Column, n: Column, risk: float) -> Column:
     return F.when(k == 0, first).when(k > risk * n, F.lit(0.0)).otherwise(summed)
 
 
-def fit(labelled: DataFrame, risk: float = RISK, error: float = ERROR, max_strata: int = MAX_STRATA) -> DataFrame:
-    """Certified cutoffs: ``(stratum, c_<rule>...)``, null where a rule rejects nothing.  ``labelled`` has ``stratum_key``
-    (null allowed), ``good`` (boolean) and the metrics.  Strata beyond the ``max_strata`` best labelled share one; the
-    result has at most ``max_strata + 1`` rows."""
-    own = (labelled.where("stratum_key is not null").groupBy("stratum_key").agg(F.count("*").alias("n"))
-           .orderBy(F.desc("n"), "stratum_key").limit(max_strata).select(F.col("stratum_key").alias("own")))
-    rows = labelled.join(F.broadcast(own), F.col("stratum_key") == F.col("own"), "left")
-    rules = len(CUTOFFS)
+def most_false(n: Column, risk: float, log_error: Column) -> Column:
+    """The largest k of which ``log_binomial_tail(k, n, risk)`` is at most ``log_error``; -1 where there is none."""
+    odds = F.log(F.lit(risk / (1 - risk)))
+    first = n * F.log(F.lit(1 - risk))
 
-    def level(rule: str) -> Column:  # how many of the cutoffs the metric is over
+    def step(s: Column, i: Column) -> Column:
+        term = s["term"] + F.log((n - i + 1) / i) + odds
+        high, low = F.greatest(term, s["total"]), F.least(term, s["total"])
+        total = high + F.log1p(F.exp(low - high))
+        return F.struct(term.alias("term"), total.alias("total"), F.when(total <= log_error, i).otherwise(s["k"]).alias("k"))
+
+    start = F.struct(first.alias("term"), first.alias("total"), F.lit(0).cast("long").alias("k"))
+    most = F.floor(n * risk)
+    return F.when(first > log_error, F.lit(-1).cast("long")).when(most < 1, F.lit(0).cast("long")).otherwise(
+        F.aggregate(F.sequence(F.lit(1).cast("long"), most), start, step)["k"])
+
+
+def fit(labelled: DataFrame, risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """Certified cutoffs: ``(stratum, c_<rule>...)``, null where a rule rejects nothing; strata that reject nothing
+    are left out.  ``labelled`` has ``stratum_key`` (null is a stratum too), ``good`` (boolean) and the metrics."""
+    rows = labelled.withColumnRenamed("stratum_key", "stratum")
+    rules = list(CUTOFFS)
+
+    def over(rule: str) -> Column:  # of how many cutoffs the metric is over; rejected at levels up to that
         return reduce(lambda a, c: a + (F.col(rule) > c).cast("int"), CUTOFFS[rule], F.lit(0))
 
-    levels = F.array(*[F.struct(F.lit(r).alias("rule"), level(r).alias("level")) for r in CUTOFFS])
-    counts = rows.select(F.coalesce("own", F.lit(OTHER)).alias("stratum"), "good", F.explode(levels).alias("l")) \
-        .groupBy("stratum", "l.rule", "l.level").agg(F.count(F.when(F.col("good"), 1)).alias("good"),
-                                                     F.count(F.when(~F.col("good"), 1)).alias("bad"))
-    # at most (max_strata + 1) x rules x cutoffs rows from here on
-    of = Window.partitionBy("stratum", "rule")
-    over = of.orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
-    strata = F.size(F.collect_set("stratum").over(Window.partitionBy("one")))
-    steps = counts.withColumn("n_good", F.sum("good").over(of)).withColumn("n_bad", F.sum("bad").over(of)) \
-        .withColumn("k_good", F.sum("good").over(over)).withColumn("k_bad", F.sum("bad").over(over)) \
-        .withColumn("one", F.lit(1)).withColumn("strata", strata).where("level > 0")
-    certified = steps.where(log_binomial_tail(F.col("k_good"), F.col("n_good"), risk / rules)
-                            <= F.log(F.lit(error / rules) / F.col("strata")))
+    # a document is kept at a joint cutoff where each level is above its own: it is counted at the least such level per rule
+    counts = rows.select("stratum", "good", *[(over(r) + 1).alias(r) for r in rules]).groupBy("stratum", *rules).agg(
+        F.count(F.when(F.col("good"), 1)).alias("good"), F.count(F.when(~F.col("good"), 1)).alias("bad"))
+    counts = durable(counts)
+    totals = counts.groupBy("stratum").agg(F.sum("good").alias("n_good"), F.sum("bad").alias("n_bad")) \
+        .where(F.col("n_good") * F.log(F.lit(1 - risk)) <= F.log(F.lit(error / 2)))
+    strata = F.count("*").over(Window.partitionBy("one"))  # one row per stratum that can be certified
+    totals = totals.withColumn("one", F.lit(1)).withColumn("each", F.log(F.lit(error / 2) / strata)) \
+        .withColumn("on_path", most_false(F.col("n_good"), risk, F.col("each"))) \
+        .withColumn("anywhere", most_false(F.col("n_good"), risk, F.col("each") - F.log(F.lit(float(WIDTH))))).where("on_path >= 0")
+    cells = totals.select("stratum")
+    for r in rules:
+        cells = cells.withColumn(r, F.explode(F.sequence(F.lit(1), F.lit(LEVELS[r]))))
+    found = counts.select(F.col("stratum").alias("s"), *[F.col(r).alias(f"at_{r}") for r in rules], "good", "bad")
+    same = reduce(lambda a, r: a & (F.col(r) == F.col(f"at_{r}")), rules, F.col("stratum").eqNullSafe(F.col("s")))
+    kept = cells.join(found, same, "left").select("stratum", *rules, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("good", "bad")])
+    for r in rules:  # running sums along each rule in turn: all documents kept at the joint cutoff
+        along = Window.partitionBy("stratum", *[x for x in rules if x != r]).orderBy(r).rowsBetween(Window.unboundedPreceding, 0)
+        kept = kept.withColumn("good", F.sum("good").over(along)).withColumn("bad", F.sum("bad").over(along))
+    t = totals.withColumnRenamed("stratum", "s")
+    steps = kept.join(t, F.col("stratum").eqNullSafe(F.col("s"))) \
+        .withColumn("k_good", F.col("n_good") - F.col("good")).withColumn("k_bad", F.col("n_bad") - F.col("bad"))
+    here = F.concat_ws(",", *[F.col(r).cast("string") for r in rules]).isin([",".join(map(str, p)) for p in PATH])
+    certified = steps.where(F.col("k_good") <= F.when(here, F.col("on_path")).otherwise(F.col("anywhere")))
     gain = F.col("k_bad") / F.greatest("n_bad", F.lit(1)) - COST * F.col("k_good") / F.greatest("n_good", F.lit(1))
-    best = certified.withColumn("gain", gain).where("gain > 0").groupBy("stratum", "rule").agg(
-        F.max(F.struct("gain", "level")).alias("best"))
-    cutoff = {r: F.element_at(F.array(*map(F.lit, c)), F.col("best.level")) for r, c in CUTOFFS.items()}
-    return best.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, cutoff[r])).alias(f"c_{r}") for r in CUTOFFS]) \
-        .join(counts.select("stratum").distinct(), "stratum", "right")
+    lenience = reduce(lambda a, r: a + F.col(r), rules, F.lit(0))
+    best = certified.withColumn("gain", gain).where("gain > 0").groupBy("stratum").agg(
+        F.max(F.struct("gain", lenience.alias("lenience"), *rules)).alias("best"))
+    return best.select("stratum", *[F.get(F.array(*map(F.lit, CUTOFFS[r])), F.col(f"best.{r}") - 1).alias(f"c_{r}") for r in rules])
 
 
 def calibrate(documents: DataFrame, labels: DataFrame, **settings) -> DataFrame:
@@ -140,41 +191,47 @@ def calibrate(documents: DataFrame, labels: DataFrame, **settings) -> DataFrame:
 def verdict(docs: DataFrame, cutoffs: DataFrame, stratum_key: Column, metrics: dict[str, Column], base_failed: Column,
             name: str) -> DataFrame:
     """``docs`` with the boolean ``name``: false where the base check failed or a rule of the stratum rejects."""
-    c = F.broadcast(cutoffs.select(F.col("stratum").alias("__s"), F.struct(*[f"c_{r}" for r in CUTOFFS]).alias("__c")))
-    other = F.broadcast(cutoffs.where(F.col("stratum") == OTHER).select(
-        F.col("stratum").alias("__z"), F.struct(*[f"c_{r}" for r in CUTOFFS]).alias("__o")))
-    joined = docs.join(c, stratum_key == F.col("__s"), "left")
-    joined = joined.join(other, F.when(F.col("__s").isNull(), F.lit(OTHER)) == F.col("__z"), "left")
-    rejected = reduce(lambda a, b: a | b, [
-        F.coalesce(m > F.when(F.col("__s").isNotNull(), F.col(f"__c.c_{r}")).otherwise(F.col(f"__o.c_{r}")), F.lit(False))
-        for r, m in metrics.items()])
+    c = cutoffs.select(F.col("stratum").alias("__s"), F.struct(*[f"c_{r}" for r in CUTOFFS]).alias("__c"))
+    joined = docs.join(c, stratum_key.eqNullSafe(F.col("__s")), "left")
+    rejected = reduce(lambda a, b: a | b, [F.coalesce(m > F.col(f"__c.c_{r}"), F.lit(False)) for r, m in metrics.items()])
     # one condition with both sides of the join in it: a filter on it stays above the join, where the features are computed
     # columns; pushed below, it would repeat their expressions inside itself
-    passed = F.when(F.col("__s").isNull() & base_failed, F.lit(False)).when(base_failed | rejected, F.lit(False)).otherwise(F.lit(True))
-    return joined.withColumn(name, passed).drop("__s", "__c", "__z", "__o")
+    passed = F.when(F.col("__c").isNull() & base_failed, F.lit(False)).when(base_failed | rejected, F.lit(False)).otherwise(F.lit(True))
+    return joined.withColumn(name, passed).drop("__s", "__c")
+
+
+def pooled(rows: DataFrame, labels: DataFrame, max_strata: int | None, doc_id: str, key: str) -> DataFrame:
+    """``rows`` as they are, or, with ``max_strata``, with ``OTHER`` for the ``key`` of all but that many best labelled strata."""
+    if max_strata is None:
+        return rows
+    known = labels.where("quality is not null").select(F.col("doc_id").alias(doc_id)).distinct()
+    own = rows.where(F.col(key).isNotNull()).join(known, doc_id, "left_semi").groupBy(key).agg(F.count("*").alias("n")) \
+        .orderBy(F.desc("n"), key).limit(max_strata).select(F.col(key).alias("__own"))
+    return rows.join(durable(own), F.col(key) == F.col("__own"), "left").withColumn(key, F.coalesce("__own", F.lit(OTHER))).drop("__own")
 
 
-def quality(documents: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+def quality(documents: DataFrame, labels: DataFrame, max_strata: int | None = 64, **settings) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)`` and the metrics, per
     row of ``documents (doc_id, text, lang)``.
 
-    A null text has no words (and fails the base check).  A null or rare language belongs to the stratum of the others.
+    A null text has no words (and fails the base check).  Every language is a stratum, also the null one (with
+    ``max_strata``, all but so many best labelled share one); where no joint cutoff is certified, only the base check rejects.
     Null ids have no label; repeated rows are judged alike, each a row of its own.  Without labels only the base check
     rejects.  Other columns are ignored; an empty table gives an empty result."""
     base = features(documents.select(F.col("doc_id").cast("long"), "text", F.col("lang").alias("stratum_key")))
-    rows = durable(base.select("doc_id", "stratum_key", "__f.*"))
-    cutoffs = durable(calibrate(rows, labels, **settings))
+    rows = pooled(durable(base.select("doc_id", "stratum_key", "__f.*")), labels, max_strata, "doc_id", "stratum_key")
+    cutoffs = stored(calibrate(rows, labels, **settings))
     judged = verdict(rows, cutoffs, F.col("stratum_key"), {r: F.col(r) for r in CUTOFFS}, F.col("base_failed"), "kept")
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "kept", *CUTOFFS)
 
 
-def keep_good(documents: DataFrame, labels: DataFrame, **settings) -> DataFrame:
+def keep_good(documents: DataFrame, labels: DataFrame, max_strata: int | None = 64, **settings) -> DataFrame:
     """The rows of ``documents`` that ``quality`` keeps, with their columns as they are."""
     whole = documents.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__id"),
                              F.col("text").alias("__text"), F.col("lang").alias("__lang"))
-    judged = features(whole, "__text")
+    judged = pooled(features(whole, "__text"), labels, max_strata, "__id", "__lang")
     sample = judged.select(F.col("__id").alias("doc_id"), F.col("__lang").alias("stratum_key"), "__f.*")
-    cutoffs = durable(calibrate(sample, labels, **settings))
+    cutoffs = stored(calibrate(sample, labels, **settings))
     kept = verdict(judged, cutoffs, F.col("__lang"), {r: F.col(f"__f.{r}") for r in CUTOFFS}, F.col("__f.base_failed"), "__kept")
     return kept.where("__kept").select("__row.*")

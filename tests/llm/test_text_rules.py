@@ -77,6 +77,48 @@ def test_cutoffs_hold_the_risk(spark):
     assert {r.kept for r in shared.collect() if "$$$" in rows[r.doc_id][1]} == {False}
 
 
+def metric_rows(stratum, good, bad, junk, **clean):
+    """Labelled rows of metrics: ``good`` and ``bad`` documents, the bad ones with the metrics ``junk``."""
+    base = {"symbol_ratio": 0.0, "bang_ratio": 0.0, "dup_line_ratio": 0.0, "mean_word_chars": 5.0, **clean}
+    return [(stratum, k < good, *({**base, **(junk if k >= good else {})}[m] for m in quality_rules.CUTOFFS)) for k in range(good + bad)]
+
+
+METRICS = "stratum_key string, good boolean, symbol_ratio double, bang_ratio double, dup_line_ratio double, mean_word_chars double"
+
+
+def test_joint_cutoffs_need_few_labels(spark):
+    """The rules of a stratum share one risk: 321 good labels in one of four languages certify a clear separation, with long
+    words of good documents in the way of the fixed path too; 60 do not among four."""
+    rows = []
+    for lang, n in (("es", 321), ("de", 120), ("fr", 321), ("xx", 60)):
+        rows += metric_rows(lang, n, 32, {"symbol_ratio": 0.35}, **({"mean_word_chars": 40.0} if lang == "fr" else {}))
+    got = {r.stratum: r for r in quality_rules.fit(spark.createDataFrame(rows, METRICS)).collect()}
+    assert got["es"].c_symbol_ratio == 0.3 and got["fr"].c_symbol_ratio == 0.3 and got["fr"].c_mean_word_chars is None
+    assert got["de"].c_symbol_ratio == 0.3 and "xx" not in got
+
+
+def test_joint_certificates_hold_the_risk_together(spark):
+    """Good documents that several rules reject a little each count together: no certificate lets them all through."""
+    rows = []
+    for m, at in (("symbol_ratio", 3.0), ("bang_ratio", 2.0), ("dup_line_ratio", 0.9), ("mean_word_chars", 50.0)):
+        rows += metric_rows("en", 0, 100, {m: at}) + [("en", True, *r[2:]) for r in metric_rows("en", 0, 20, {m: at})]
+    rows += metric_rows("en", 920, 0, {})
+    got = quality_rules.fit(spark.createDataFrame(rows, METRICS)).collect()
+    assert len(got) == 1 and 1 <= sum(c is not None for c in got[0][1:]) <= 2  # 20 of 1000 each: four together are 0.08
+
+
+@pytest.mark.parametrize("n,log_error", [(10, -3.0), (59, -3.0), (100, -3.0), (321, -10.8), (5000, -9.0), (100, -4.7)])
+def test_most_false_is_the_last_that_passes(spark, n, log_error):
+    from pyspark.sql import functions as F
+    tails = [math.log(sum(math.comb(n, i) * 0.05 ** i * 0.95 ** (n - i) for i in range(k + 1))) for k in range(n // 20 + 1)] if n < 1000 else None
+    got = spark.range(1).select(quality_rules.most_false(F.lit(n).cast("long"), 0.05, F.lit(log_error))).first()[0]
+    if tails:
+        assert got == max((k for k, t in enumerate(tails) if t <= log_error), default=-1)
+    else:
+        tail = lambda k: spark.range(1).select(quality_rules.log_binomial_tail(F.lit(k).cast("long"), F.lit(n).cast("long"), 0.05)).first()[0]
+        assert tail(got) <= log_error < tail(got + 1)
+
+
 # --- languages -----------------------------------------------------------------------------------------------------
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["ster", "öm", "gren", "ung"], "cc": ["éau", "lle", "oi", "ment"]}
