@@ -210,7 +210,7 @@ def pooled(rows: DataFrame, labels: DataFrame, max_strata: int | None, doc_id: s
     return rows.join(durable(own), F.col(key) == F.col("__own"), "left").withColumn(key, F.coalesce("__own", F.lit(OTHER))).drop("__own")
 
 
-def quality(documents: DataFrame, labels: DataFrame, max_strata: int | None = 64, **settings) -> DataFrame:
+def quality(documents: DataFrame, labels: DataFrame, max_strata: int | None = None, **settings) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept)`` and the metrics, per
     row of ``documents (doc_id, text, lang)``.
 
@@ -226,7 +226,7 @@ def quality(documents: DataFrame, labels: DataFrame, max_strata: int | None = 64
                          "kept", *CUTOFFS)
 
 
-def keep_good(documents: DataFrame, labels: DataFrame, max_strata: int | None = 64, **settings) -> DataFrame:
+def keep_good(documents: DataFrame, labels: DataFrame, max_strata: int | None = None, **settings) -> DataFrame:
     """The rows of ``documents`` that ``quality`` keeps, with their columns as they are."""
     whole = documents.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__id"),
                              F.col("text").alias("__text"), F.col("lang").alias("__lang"))

@@ -119,6 +119,28 @@ def test_most_false_is_the_last_that_passes(spark, n, log_error):
         assert tail(got) <= log_error < tail(got + 1)
 
 
+def test_every_language_is_a_stratum(spark):
+    """A language beyond the 64 best labelled keeps its own cutoffs: its long words are no reason to lose its good documents."""
+    rows = []
+    for k in range(70):
+        junk = {"mean_word_chars": 40.0} if k < 69 else {"symbol_ratio": 3.0}
+        rows += metric_rows(f"l{k:02}", 301 if k < 69 else 300, 10, junk, **({"mean_word_chars": 40.0} if k == 69 else {}))
+    got = {r.stratum: r for r in quality_rules.fit(spark.createDataFrame(rows, METRICS)).collect()}
+    assert len(got) == 70
+    assert got["l69"].c_mean_word_chars is None and got["l69"].c_symbol_ratio == 2.0
+    assert all(got[f"l{k:02}"].c_mean_word_chars == 30.0 for k in range(69))
+    long = lambda: " ".join(rng.choice("abcdef") * 40 + str(rng.randint(0, 999)) for _ in range(60))
+    plain = lambda: " ".join("word" + str(rng.randint(0, 999)) for _ in range(60))
+    rng = random.Random(5)
+    docs = [(f"l{k:02}", "x", 1) for k in range(64) for _ in range(170)]  # 64 better labelled languages
+    docs += [(f"l{k}", plain() if i < 150 else long(), int(i < 150)) for k in range(64, 69) for i in range(165)]
+    docs += [("l69", long(), 1)] * 10
+    df = spark.createDataFrame([(i, text, lang) for i, (lang, text, _) in enumerate(docs)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, q) for i, (_, _, q) in enumerate(docs)], "doc_id long, quality int")
+    judged = quality_rules.quality(df, labels).where(f"doc_id >= {len(docs) - 10}").collect()
+    assert [r.kept for r in judged] == [True] * 10
+
+
 # --- languages -----------------------------------------------------------------------------------------------------
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["ster", "öm", "gren", "ung"], "cc": ["éau", "lle", "oi", "ment"]}
