@@ -14,10 +14,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from quayside.llm.common import arrow_map, prepare
+from quayside.llm.common import arrow_map, prepare, stored
 
-# Bounds of the sample a classifier learns from: languages (the most frequent), snippets per language, characters per snippet.
-MAX_LANGUAGES, SNIPPETS, SNIPPET_CHARS = 64, 512, 400
+# Bounds of the sample a classifier learns from: snippets per language and of all languages, characters per snippet.  Every
+# language is learned: with more than MODEL_SNIPPETS / SNIPPETS (64) of them, each has fewer snippets, one at least.
+SNIPPETS, MODEL_SNIPPETS, SNIPPET_CHARS = 512, 64 * 512, 400
 LEVEL, BLOCK = 6, 1 << 15
 MIN_MARGIN = 0.003
 UNKNOWN = "und"
@@ -30,20 +31,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame) -> dict[str, bytes]:
-    """Dictionary content per language, from training rows ``(doc_id, text, lang)``: null texts and languages are
+    """Dictionary content for every language of the training rows ``(doc_id, text, lang)``: null texts and languages are
     passed over.  The sample is bounded (see the constants above), chosen by hash, and gathered on the driver."""
     rows = docs.where("text is not null and lang is not null and length(text) > 0").select(
         "lang", "text", F.xxhash64("doc_id", "text").alias("h"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.pmod("h", F.lit(1 << 30))).alias("least")))
+    languages = counts.count()
+    if not languages:
         return {}
-    # about four times the snippets wanted pass the hash filter, whatever the number of rows
-    share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, 4 * SNIPPETS / r["n"]))])
-    passed = rows.where(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
+    snippets_each = max(1, min(SNIPPETS, MODEL_SNIPPETS // languages))
+    # about four times the snippets wanted pass the hash filter, whatever the number of rows, and of each language one at least
+    share = F.least(F.lit(1.0), F.lit(float(4 * snippets_each)) / F.col("n"))
+    hashed = F.pmod("h", F.lit(1 << 30))
+    passed = rows.join(counts, "lang").where((hashed < share * (1 << 30)) | (hashed == F.col("least")))
     start = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - SNIPPET_CHARS, F.lit(0)) + 1) + 1
     snippets = passed.select("lang", "h", F.substring("text", start.cast("int"), F.lit(SNIPPET_CHARS)).alias("s"))
     first = Window.partitionBy("lang").orderBy("h", "s")
-    chosen = snippets.withColumn("k", F.row_number().over(first)).where(F.col("k") <= SNIPPETS).collect()
+    chosen = snippets.withColumn("k", F.row_number().over(first)).where(F.col("k") <= snippets_each).collect()
     found: dict[str, list] = {}
     for r in sorted(chosen, key=lambda r: (r["lang"], r["k"])):
         found.setdefault(r["lang"], []).append(r["s"])

@@ -175,6 +175,21 @@ def test_languages(spark):
     assert [(r.lang_pred, r.accepted) for r in nothing.collect()] == [("und", False)]
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = random.Random(14)
+    names = [f"l{k:02}" for k in range(70)]
+    syllables = {name: ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(6)] for name in names}
+    text = lambda name: " ".join("".join(rng.choices(syllables[name], k=2)) for _ in range(40))
+    rows = [(len(names) * i + k, text(name), name) for k, name in enumerate(names) for i in range(8 if k < 64 else 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.learn(df)
+    assert sorted(model) == names
+    asked = spark.createDataFrame([(k, text(name)) for k, name in enumerate(names)], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in lang_id.identify(asked, model).collect()} == dict(enumerate(names))
+    monkeypatch.setattr(lang_id, "MODEL_SNIPPETS", 10)  # the total bound shortens the samples, not the list of languages
+    assert sorted(lang_id.learn(df)) == names
+
+
 def test_prediction_ignores_lang_source_and_id(spark):
     rng = random.Random(4)
     texts = [sentence(rng, lang, 40) for lang in ("aa", "bb", "cc")]
