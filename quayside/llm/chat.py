@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.llm import bpe
-from quayside.llm.common import prepare
+from quayside.llm.common import arrow_map, prepare
 
 BUDGET, HISTORY = 1024, 256  # tokens of a window, and of the history repeated in it
 OVERHEAD = 8                 # tokens counted for a turn's marks
@@ -40,8 +40,11 @@ def unescape(text: str) -> str:
 
 def write_turn(role: str, text: str) -> tuple[str, int, int]:
     """The formatted turn, and where its text begins and ends in it."""
-    head = f"<|{escape(role)}|>\n"
-    body = escape(text)
+    return _escaped_turn(escape(role), escape(text))
+
+
+def _escaped_turn(role: str, body: str) -> tuple[str, int, int]:
+    head = f"<|{role}|>\n"
     return head + body + END, len(head), len(head) + len(body)
 
 
@@ -61,15 +64,15 @@ class Conversation:
     conv_id: int | None
     budget: int
     history: int
-    system: tuple[str, str, int] | None = None
-    recent: deque = field(default_factory=deque)  # turns before the window: (role, text, tokens)
+    system: tuple[str, tuple, int] | None = None
+    recent: deque = field(default_factory=deque)  # turns before the window: (role, formatted turn, tokens)
     new: list = field(default_factory=list)
     used: int = 0
     seen: int = 0
     number: int = 0
 
-    def add(self, role: str, text: str, tokens: int) -> Iterator[tuple]:
-        turn = (role, text, tokens + OVERHEAD)
+    def add(self, role: str, written: tuple[str, int, int], tokens: int) -> Iterator[tuple]:
+        turn = (role, written, tokens + OVERHEAD)
         if self.new and self.used + turn[2] > self.budget:
             yield self.window()
         if not self.new and self.seen:
@@ -99,8 +102,7 @@ class Conversation:
             kept = sum(t[2] for t in context)
             context += self._context(self.budget - kept - self.new[0][2])
         parts, spans, at = [], [], 0
-        for k, (role, text, _) in enumerate(context + self.new):
-            written, lo, hi = write_turn(role, text)
+        for k, (role, (written, lo, hi), _) in enumerate(context + self.new):
             if role == "assistant" and k >= len(context):
                 spans.append({"start": at + lo, "end": at + hi})
             parts.append(written)
@@ -129,24 +131,35 @@ def format_windows(turns: DataFrame, vocabulary: str, budget: int = BUDGET, hist
     ``loss`` holds the spans of ``text`` to train on, ``n_context`` the leading turns that repeat.  A turn longer than the
     budget has a window for itself.  Turns are ordered by ``turn``, then role and text (ties, repeated rows: each a turn; null first);
     a null role or text is empty; rows without ``conv_id`` are one conversation with a null id.  Other columns are
-    ignored; an empty table gives an empty result.  Conversations stream through in order, so one of any length needs
-    the memory of a window."""
-    prepare(turns.sparkSession)
-    ordered = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"),
-                           F.coalesce("text", F.lit("")).alias("text")) \
-        .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
+    ignored; an empty table gives an empty result.  Turns are counted and escaped where they are read; conversations then
+    stream through in order, so one of any length needs the memory of a window."""
+    rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"),
+                           F.coalesce("text", F.lit("")).alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
         count = bpe.loaded(vocabulary).count
+        roles, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+        changed = [[e if e != x else None for x, e in zip(xs, map(escape, xs))] for xs in (roles, texts)]  # few are
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array([count(r) + count(t) for r, t in zip(roles, texts)], pa.int64()),
+             *(pa.array(c, pa.string()) for c in changed)],
+            names=["conv_id", "turn", "role", "text", "tokens", "escaped_role", "escaped_text"])
+
+    ordered = arrow_map(rows, counted, "conv_id long, turn long, role string, text string, tokens long, escaped_role string, "
+                                       "escaped_text string") \
+        .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text") \
+        .select("conv_id", "role", F.coalesce("escaped_role", "role"), F.coalesce("escaped_text", "text"), "tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: Conversation | None = None
         for batch in batches:
             out: list[tuple] = []
-            for conv_id, role, text in zip(*(c.to_pylist() for c in batch.columns)):
+            for conv_id, role, escaped_role, escaped_text, tokens in zip(*(c.to_pylist() for c in batch.columns)):
                 if now is None or conv_id != now.conv_id:
                     if now is not None:
                         out.append(now.window())
                     now = Conversation(conv_id, budget, history)
-                out.extend(now.add(role, text, count(role) + count(text)))
+                out.extend(now.add(role, _escaped_turn(escaped_role, escaped_text), tokens))
             if out:
                 yield _batch(out)
         if now is not None:

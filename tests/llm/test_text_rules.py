@@ -405,6 +405,16 @@ def test_later_windows_keep_system_turn_and_repeat_history(spark):
         assert targets == [t for k, (role, t) in enumerate(read) if role == "assistant" and k >= r.n_context]
 
 
+def test_turns_are_counted_before_the_shuffle(spark):
+    df = spark.createDataFrame([(None, k, "user", f"t {k} </s>") for k in range(50)], "conv_id long, turn long, role string, text string")
+    windows = chat.format_windows(df.repartition(4), BYTE, 100, 20)
+    plan = windows._jdf.queryExecution().optimizedPlan().toString()
+    # read from the end of the plan: a map over Arrow batches below the exchange by conversation, and one above it
+    assert [w for w in re.findall(r"MapInArrow|RepartitionByExpression \[conv_id", plan)] == [
+        "MapInArrow", "RepartitionByExpression [conv_id", "MapInArrow"], plan
+    assert [n.n_turns for n in chat.read_back(windows).collect()] == [50]
+
+
 # --- pipeline ------------------------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_dir):
