@@ -24,28 +24,41 @@ metrics AS (
          n_dup_lines / greatest(n_lines, 1) AS dup_line_ratio, word_chars / greatest(n_words, 1) AS mean_word_chars
   FROM base),
 known AS (SELECT doc_id, min(quality) >= 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
-cutoffs(rule, c) AS (
-  SELECT 'symbol_ratio', unnest([0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 1.0, 2.0]::DOUBLE[])
-  UNION ALL SELECT 'bang_ratio', unnest([0.05, 0.1, 0.2, 0.3, 0.5, 1.0, 1.5]::DOUBLE[])
-  UNION ALL SELECT 'dup_line_ratio', unnest([0.1, 0.2, 0.3, 0.4, 0.5, 0.7]::DOUBLE[])
-  UNION ALL SELECT 'mean_word_chars', unnest([8.0, 10.0, 12.0, 15.0, 20.0, 30.0]::DOUBLE[])),
-long AS (UNPIVOT (SELECT doc_id, lang, symbol_ratio, bang_ratio, dup_line_ratio, mean_word_chars FROM metrics)
-         ON symbol_ratio, bang_ratio, dup_line_ratio, mean_word_chars INTO NAME rule VALUE x),
+joint AS (  -- a joint cutoff: a cutoff per rule, or none (infinity), the strictest first
+  SELECT i, j, k, l, symbol[i] AS c1, bang[j] AS c2, dup[k] AS c3, long_words[l] AS c4
+  FROM (SELECT [0.02, 0.05, 0.1, 0.2, 0.3, 0.5, 1.0, 2.0, 'infinity'::DOUBLE] AS symbol,
+               [0.05, 0.1, 0.2, 0.3, 0.5, 1.0, 1.5, 'infinity'::DOUBLE] AS bang,
+               [0.1, 0.2, 0.3, 0.4, 0.5, 0.7, 'infinity'::DOUBLE] AS dup,
+               [8.0, 10.0, 12.0, 15.0, 20.0, 30.0, 'infinity'::DOUBLE] AS long_words),
+       range(1, 10) AS a(i), range(1, 9) AS b(j), range(1, 8) AS c(k), range(1, 8) AS d(l)),
+path AS (  -- round n of the fixed path tightens each rule by one cutoff, in the order of the rules
+  SELECT DISTINCT greatest(9 - n, 1) AS i, greatest(8 - n + (q < 2)::INT, 1) AS j,
+         greatest(7 - n + (q < 3)::INT, 1) AS k, greatest(7 - n + (q < 4)::INT, 1) AS l
+  FROM range(1, 9) AS r(n), range(1, 5) AS t(q)),
+apart AS (SELECT max(n) AS width FROM (SELECT count(*) AS n FROM joint GROUP BY i + j + k + l)),
+judged AS (SELECT metrics.*, good FROM metrics JOIN known USING (doc_id)),
+strata AS (
+  SELECT lang, count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_bad FROM judged GROUP BY lang
+  HAVING pow(1 - 0.05, n_good) <= 0.05 / 2),
 tried AS (
-  SELECT lang, rule, c, count(*) FILTER (good) AS n_good, count(*) FILTER (NOT good) AS n_bad,
-         count(*) FILTER (good AND x > c) AS k_good, count(*) FILTER (NOT good AND x > c) AS k_bad
-  FROM long JOIN known USING (doc_id) JOIN cutoffs USING (rule) GROUP BY lang, rule, c),
-tails AS (
-  SELECT lang, rule, c, sum(exp(lgamma(n_good + 1) - lgamma(i + 1) - lgamma(n_good - i + 1)
-                                + i * ln(0.05 / 4) + (n_good - i) * ln(1 - 0.05 / 4))) AS p
-  FROM (SELECT lang, rule, c, n_good, unnest(range(0, k_good + 1)) AS i FROM tried) GROUP BY lang, rule, c),
+  SELECT s.lang, n_good, n_bad, i, j, k, l, c1, c2, c3, c4, count(*) FILTER (good) AS k_good, count(*) FILTER (NOT good) AS k_bad
+  FROM strata s JOIN judged m ON m.lang IS NOT DISTINCT FROM s.lang
+  JOIN joint ON symbol_ratio > c1 OR bang_ratio > c2 OR dup_line_ratio > c3 OR mean_word_chars > c4
+  GROUP BY ALL),
+tails AS (  -- probability of so few false rejections, were the rate 0.05
+  SELECT n_good, k_good, sum(exp(lgamma(n_good + 1) - lgamma(x + 1) - lgamma(n_good - x + 1)
+                                 + x * ln(0.05) + (n_good - x) * ln(1 - 0.05))) AS p
+  FROM (SELECT n_good, k_good, unnest(range(0, k_good + 1)) AS x FROM (SELECT DISTINCT n_good, k_good FROM tried))
+  GROUP BY n_good, k_good),
 chosen AS (
-  SELECT lang, rule, max(c) AS c FROM (
-    SELECT lang, rule, c, k_bad / greatest(n_bad, 1) - 10 * k_good / greatest(n_good, 1) AS gain
-    FROM tried JOIN tails USING (lang, rule, c)
-    WHERE p <= 0.05 / 4 / (SELECT count(DISTINCT lang) FROM tried)
-    QUALIFY gain > 0 AND rank() OVER (PARTITION BY lang, rule ORDER BY gain DESC) = 1) GROUP BY lang, rule),
-rejected AS (SELECT DISTINCT doc_id FROM long JOIN chosen USING (lang, rule) WHERE x > c)
+  SELECT t.lang, c1, c2, c3, c4, k_bad / greatest(n_bad, 1) - 10 * k_good / greatest(n_good, 1) AS gain
+  FROM tried t JOIN tails USING (n_good, k_good) LEFT JOIN path h ON (h.i, h.j, h.k, h.l) = (t.i, t.j, t.k, t.l)
+  WHERE p <= 0.05 / 2 / (SELECT count(*) FROM strata) / (CASE WHEN h.i IS NULL THEN (SELECT width FROM apart) ELSE 1 END)
+  QUALIFY gain > 0 AND row_number() OVER (
+    PARTITION BY t.lang ORDER BY gain DESC, t.i + t.j + t.k + t.l DESC, t.i DESC, t.j DESC, t.k DESC, t.l DESC) = 1),
+rejected AS (
+  SELECT DISTINCT doc_id FROM metrics m JOIN chosen c ON m.lang IS NOT DISTINCT FROM c.lang
+  WHERE symbol_ratio > c1 OR bang_ratio > c2 OR dup_line_ratio > c3 OR mean_word_chars > c4)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND r.doc_id IS NULL AS kept, symbol_ratio, bang_ratio, dup_line_ratio, mean_word_chars
 FROM metrics m LEFT JOIN rejected r ON r.doc_id = m.doc_id
