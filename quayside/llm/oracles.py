@@ -90,4 +90,33 @@ FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC NULLS LAST) = 1
 """
 
-ORACLES = {"op2_quality_rules": QUALITY, "op6_lattice_near_dedup": VECTORS, "op9_url_filters": URLS}
+MIX = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+copies AS (SELECT *, (row_number() OVER (PARTITION BY doc_id, source, size) - 1) // 1024 AS part FROM docs),
+keyed AS (
+  SELECT doc_id, source, size, md5(concat_ws(':', coalesce(doc_id::VARCHAR, ''), size::VARCHAR, part::VARCHAR)) AS key FROM copies),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS most,
+         1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM docs GROUP BY source),
+everything AS (SELECT sum(source_size)::BIGINT AS words FROM sources),
+-- with the sources under a bound of words per weight at their most, the level of the others
+levels AS (
+  SELECT b.most / b.weight AS bound, words - coalesce(sum(s.most) FILTER (s.most / s.weight < b.most / b.weight), 0) AS free,
+         sum(s.weight) FILTER (s.most / s.weight >= b.most / b.weight) AS weights
+  FROM sources b, sources s, everything GROUP BY b.most / b.weight, words),
+settled AS (SELECT * FROM levels WHERE free / weights <= bound ORDER BY bound LIMIT 1),
+budgets AS (
+  SELECT source, source_size, CASE WHEN most / weight < bound THEN most::DOUBLE
+                                   ELSE (weight * free)::BIGINT::DOUBLE / weights::DOUBLE END AS target FROM sources, settled),
+placed AS (
+  SELECT k.*, source_size, target, floor(target + 0.5)::BIGINT AS budget,
+         coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM keyed k JOIN budgets b ON k.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, source, size, source_size, target,
+       (CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size
+             + least(greatest(budget % source_size - before, 0), size) END)::BIGINT AS taken
+FROM placed
+"""
+
+ORACLES = {"op2_quality_rules": QUALITY, "op6_lattice_near_dedup": VECTORS, "op9_url_filters": URLS, "op11_source_mixing": MIX}

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, chat, html_extract, lang_id, lattice, packing, quality_rules, simhash, token_counts, url_rules
+from quayside.llm import bpe, chat, html_extract, lang_id, lattice, mixing, packing, quality_rules, simhash, token_counts, \
+    url_rules
 from quayside.llm.common import table
 from quayside.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
@@ -80,3 +81,9 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents that are not held out."""
     return lang_id.predictions(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
+@query
+def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document in a mix of all sources by the weights 1, 2, 3 in turn."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
