@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import bpe, chat, html_extract, lang_id, lattice, mixing, packing, quality_rules, simhash, token_counts, \
-    url_rules
+    url_rules, whitening
 from quayside.llm.common import table
 from quayside.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
@@ -87,3 +87,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document in a mix of all sources by the weights 1, 2, 3 in turn."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 16 whitening components of every usable vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
