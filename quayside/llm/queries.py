@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import bpe, chat, html_extract, lang_id, lattice, mixing, packing, quality_rules, simhash, token_counts, \
-    url_rules, whitening
+    turn_repair, url_rules, whitening
 from quayside.llm.common import table
 from quayside.llm.oracles import ORACLES  # noqa: F401  (registered with the queries)
 
@@ -93,3 +93,10 @@ def op11_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Up to 16 whitening components of every usable vector."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation with faults planted by hash, repaired by the cheapest edits."""
+    conversations = table(spark, sf_dir, "conversations")
+    return turn_repair.repair_report(turn_repair.damage(conversations), conversations)
