@@ -34,20 +34,21 @@ SELECT o_orderkey AS ReservationID, o_custkey % 10 AS WarehouseID,
        o_custkey AS CarrierID,
        concat(CASE WHEN o_custkey % 2 = 0 THEN 'TR-' ELSE '' END, cast(o_custkey AS VARCHAR)) AS TrailerNumber,
        o_custkey % 7 AS siteID,
-       o_orderdate AS ScheduledStartDate, o_orderstatus <> 'P' AS IsInbound, o_custkey % 13 = 0 AS IsTerminated
+       (CASE WHEN o_orderkey % 40 = 7 THEN TIMESTAMP '1998-06-14' + (o_custkey % 7) * INTERVAL '1' DAY ELSE o_orderdate END) AS ScheduledStartDate, o_orderstatus <> 'P' AS IsInbound, o_custkey % 13 = 0 AS IsTerminated
 FROM orders""",
     "fx_event": """
 SELECT event_id AS EventQueueID, user_id AS ReservationID,
        CASE event_type WHEN 'click' THEN 28 WHEN 'view' THEN 29 ELSE 30 END AS ActionID,
-       o_orderdate + to_seconds(date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) // 10) AS EventDate,
-       o_orderdate + to_seconds(date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) // 10) AS CreatedDate,
+       (CASE WHEN o_orderkey % 40 = 7 THEN TIMESTAMP '1998-06-14' + (o_custkey % 7) * INTERVAL '1' DAY ELSE o_orderdate END) + to_seconds(date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) // 10) AS EventDate,
+       (CASE WHEN o_orderkey % 40 = 7 THEN TIMESTAMP '1998-06-14' + (o_custkey % 7) * INTERVAL '1' DAY ELSE o_orderdate END) + to_seconds(date_diff('second', TIMESTAMP '2024-01-01 00:00:00', ts) // 10) AS CreatedDate,
        props AS EventDetail
 FROM events JOIN orders ON user_id = o_orderkey""",
     "fx_event_queue": """
 SELECT event_id AS ID FROM events""",
     "fx_content": """
 SELECT l_orderkey * 2 + CASE WHEN l_partkey % 10 = 7 THEN 1 ELSE 0 END AS ContentRefID, l_orderkey AS ReservationID,
-       cast(l_quantity AS BIGINT) AS Qty, 1 + l_partkey % 3 AS ContentType, l_returnflag = 'R' AS IsContentRefDetailDeleted,
+       CASE WHEN l_orderkey % 53 = 0 AND l_partkey % 3 = 0 THEN CASE WHEN l_linenumber = 1 THEN 400::BIGINT ELSE 0::BIGINT END
+            ELSE cast(l_quantity AS BIGINT) END AS Qty, 1 + l_partkey % 3 AS ContentType, l_returnflag = 'R' AS IsContentRefDetailDeleted,
        concat(CASE WHEN l_suppkey % 10 = 0 THEN 'M' ELSE '' END, cast(l_partkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR)) AS spoid,
        l_partkey * 10 AS SpiID, concat('BOL', cast(l_orderkey AS VARCHAR)) AS BolNumber
 FROM lineitem""",
@@ -58,43 +59,44 @@ SELECT o_orderkey, o_orderkey * 2 + 1 FROM orders WHERE o_orderkey % 15 <> 0 AND
     "fx_load_master": """
 SELECT o_orderkey AS load_id, CASE WHEN o_orderkey % 3 = 0 THEN concat('BOL', cast(o_orderkey AS VARCHAR)) END AS reference_number,
        cast(o_custkey AS VARCHAR) AS trailer_number,
-       o_orderdate + (o_orderkey % 5 - 2) * INTERVAL '1' DAY AS actual_ship_date
+       (CASE WHEN o_orderkey % 40 = 7 THEN TIMESTAMP '1998-06-14' + (o_custkey % 7) * INTERVAL '1' DAY ELSE o_orderdate END) + (o_orderkey % 5 - 2) * INTERVAL '1' DAY AS actual_ship_date
 FROM orders WHERE o_orderkey % 2 = 0""",
     "fx_journey": """
 SELECT o_orderkey AS loadId,
-       CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate + 30 * INTERVAL '1' HOUR END AS shipperGateOutTimestamp
+       CASE WHEN o_orderkey % 5 <> 0 THEN (CASE WHEN o_orderkey % 40 = 7 THEN TIMESTAMP '1998-06-14' + (o_custkey % 7) * INTERVAL '1' DAY ELSE o_orderdate END) + 30 * INTERVAL '1' HOUR END AS shipperGateOutTimestamp
 FROM orders WHERE o_orderkey % 2 = 0""",
     "fx_visit_flat": """
 SELECT o_orderkey AS trailer_visit_id, o_orderkey AS res_id,
-       CASE WHEN o_orderkey % 11 <> 0 THEN o_orderdate + ((o_custkey*7+o_orderkey) % 97 - 36) * INTERVAL '1' HOUR END AS arrival,
-       CASE WHEN o_orderkey % 3 <> 0 THEN o_orderdate + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 400) * INTERVAL '1' HOUR END AS unload_complete,
-       CASE WHEN o_orderkey % 4 <> 0 THEN o_orderdate + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 700) * INTERVAL '1' HOUR END AS depart
-FROM orders""",
-    # one-element arrays, empty where the value is NULL
+       CASE WHEN o_orderkey % 11 <> 0 THEN d + ((o_custkey*7+o_orderkey) % 97 - 36) * INTERVAL '1' HOUR END AS arrival,
+       CASE WHEN o_orderkey % 3 <> 0 THEN d + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 400) * INTERVAL '1' HOUR END AS unload_complete,
+       CASE WHEN o_orderkey % 4 <> 0 THEN d + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 700) * INTERVAL '1' HOUR END AS depart
+FROM (SELECT *, (CASE WHEN o_orderkey % 40 = 7 THEN TIMESTAMP '1998-06-14' + (o_custkey % 7) * INTERVAL '1' DAY ELSE o_orderdate END) AS d FROM orders)""",
+    # arrays of one element, empty where the value is NULL, and some of three
     "fx_visit": """
-SELECT o_orderkey AS trailer_visit_id, o_orderdate AS event_created_timestamp,
+SELECT o_orderkey AS trailer_visit_id, d AS event_created_timestamp,
        [o_custkey % 7] AS site_id,
        [concat('Site-', cast(o_custkey % 7 AS VARCHAR))] AS site,
        [o_custkey] AS trailer_id,
        [concat(CASE WHEN o_custkey % 2 = 0 THEN 'TR-' ELSE '' END, cast(o_custkey AS VARCHAR))] AS trailer_number,
-       [o_orderstatus] AS trailer_status,
+       CASE WHEN o_orderkey % 8 = 5 THEN [o_orderstatus, 'Q', NULL] ELSE [o_orderstatus] END AS trailer_status,
        [o_orderpriority] AS trailer_type,
        [o_custkey % 4] AS campus_id,
        [concat('Campus-', cast(o_custkey % 4 AS VARCHAR))] AS campus,
-       [o_orderkey % 100] AS spot_id,
+       CASE WHEN o_orderkey % 4 = 1 THEN [o_orderkey % 100, o_orderkey % 100 + 100, o_orderkey % 100 + 200] ELSE [o_orderkey % 100] END AS spot_id,
        [o_orderkey % 3] AS spot_type_id,
        [CASE o_orderkey % 3 WHEN 0 THEN 'Door' WHEN 1 THEN 'Yard' ELSE 'Offsite' END] AS spot_type,
        [o_orderkey % 3 = 2] AS is_spot_offsite,
        [o_orderkey % 17 = 0] AS is_trailer_lost,
        [o_orderkey] AS trailer_reservation_id,
-       CASE WHEN o_orderkey % 4 = 1 THEN [o_orderkey - 1] ELSE []::BIGINT[] END AS trailer_unload_reservation_id,
-       [o_custkey % 10] AS facility_id,
-       CASE WHEN o_orderkey % 11 <> 0 THEN [o_orderdate + ((o_custkey*7+o_orderkey) % 97 - 36) * INTERVAL '1' HOUR] ELSE []::TIMESTAMP[] END AS trailer_arrival_date,
-       CASE WHEN o_orderkey % 3 <> 0 THEN [o_orderdate + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 400) * INTERVAL '1' HOUR] ELSE []::TIMESTAMP[] END AS trailer_unload_complete_date,
-       CASE WHEN o_orderkey % 6 <> 0 THEN [o_orderdate + INTERVAL '2' HOUR] ELSE []::TIMESTAMP[] END AS trailer_load_complete_date,
-       CASE WHEN o_orderkey % 4 <> 0 THEN [o_orderdate + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 700) * INTERVAL '1' HOUR] ELSE []::TIMESTAMP[] END AS trailer_depart_date,
-       CASE WHEN o_custkey % 13 = 0 THEN [o_orderdate] ELSE []::TIMESTAMP[] END AS trailer_reservation_cancelled_date
-FROM orders""",
+       CASE WHEN o_orderkey % 64 = 33 THEN [o_orderkey - 1, o_orderkey - 33, o_orderkey]
+            WHEN o_orderkey % 4 = 1 THEN [o_orderkey - 1] ELSE []::BIGINT[] END AS trailer_unload_reservation_id,
+       CASE WHEN o_orderkey % 23 <> 0 THEN [o_custkey % 10] ELSE []::BIGINT[] END AS facility_id,
+       CASE WHEN o_orderkey % 11 <> 0 THEN [d + ((o_custkey*7+o_orderkey) % 97 - 36) * INTERVAL '1' HOUR] ELSE []::TIMESTAMP[] END AS trailer_arrival_date,
+       CASE WHEN o_orderkey % 3 <> 0 THEN [d + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 400) * INTERVAL '1' HOUR] ELSE []::TIMESTAMP[] END AS trailer_unload_complete_date,
+       CASE WHEN o_orderkey % 6 <> 0 THEN [d + INTERVAL '2' HOUR] ELSE []::TIMESTAMP[] END AS trailer_load_complete_date,
+       CASE WHEN o_orderkey % 4 <> 0 THEN [d + ((o_custkey*7+o_orderkey) % 97 - 36 + o_orderkey % 700) * INTERVAL '1' HOUR] ELSE []::TIMESTAMP[] END AS trailer_depart_date,
+       CASE WHEN o_custkey % 13 = 0 THEN [d] ELSE []::TIMESTAMP[] END AS trailer_reservation_cancelled_date
+FROM (SELECT *, (CASE WHEN o_orderkey % 40 = 7 THEN TIMESTAMP '1998-06-14' + (o_custkey % 7) * INTERVAL '1' DAY ELSE o_orderdate END) AS d FROM orders)""",
     "fx_fill_rate": """
 SELECT cast(l_suppkey % 10 AS VARCHAR) AS whid, CASE WHEN l_quantity < 25 THEN 'SP' ELSE 'LP' END AS shipclass,
        l_shipdate AS cptdatetime,

@@ -62,8 +62,10 @@ SELECT inbound_trailer_reservation_id, arrival_status, remaining_unload_time_hou
 FROM om_snapshot_buckets""")
 oracle("case_status_compare", """
 SELECT trailer_visit_id,
-  ['arrived_late', 'arrived_on_time', 'arrived_early'][2 + CAST(sign(date_diff('day',
-    CAST(trailer_arrival_datetime_local AS DATE), CAST(trailer_scheduled_start_datetime_local AS DATE))) AS INTEGER)] AS arrival_status
+  CASE WHEN CAST(trailer_arrival_datetime_local AS DATE) < CAST(trailer_scheduled_start_datetime_local AS DATE) THEN 'arrived_early'
+       WHEN CAST(trailer_arrival_datetime_local AS DATE) = CAST(trailer_scheduled_start_datetime_local AS DATE) THEN 'arrived_on_time'
+       WHEN CAST(trailer_arrival_datetime_local AS DATE) > CAST(trailer_scheduled_start_datetime_local AS DATE) THEN 'arrived_late'
+  END AS arrival_status
 FROM om_dim_yard_trailer""")
 oracle("flags_from_compare", """
 SELECT trailer_visit_id, is_arrival_null_and_scheduledstart_before_refresh, is_arrival_date_equal_scheduled_date,
@@ -287,7 +289,9 @@ SELECT log_datetime_local,
   CAST(CAST(log_datetime_local AS DATE) - 1 - CAST(dayofweek(CAST(log_datetime_local AS DATE) - 1) AS INTEGER) - 1 + 7 AS DATE) AS wtd_end
 FROM fx_tran_log""")
 oracle("fn_date_of", "SELECT loadId, CAST(shipperGateOutTimestamp AS DATE) AS gate_out_day FROM fx_journey")
-oracle("fn_timestamp_of", "SELECT loadId, CAST(CAST(shipperGateOutTimestamp AS VARCHAR) AS TIMESTAMP) AS gate_out FROM fx_journey")
+oracle("fn_timestamp_of", """
+SELECT loadId, epoch_us(timezone('UTC', shipperGateOutTimestamp)) AS gate_out_micros,
+       timezone('America/New_York', timezone('UTC', shipperGateOutTimestamp)) AS gate_out_new_york FROM fx_journey""")
 
 # --- §2.11 backfill ------------------------------------------------------------------------------------
 oracle("backfill_window_filter", "SELECT * FROM fx_tran_log WHERE CAST(log_datetime_local AS DATE) BETWEEN DATE '1995-01-01' AND {TODAY}")
@@ -363,7 +367,14 @@ oracle("backfill_range", "\nUNION ALL\n".join(f"SELECT * FROM ({build('SELECT *
 oracle("incremental_two_runs", "SELECT * FROM om_report_outbound")
 oracle("incremental_two_runs_dimension", "SELECT warehouse_id, warehouse_name, warehouse_string_id FROM om_dim_warehouse")
 oracle("merge_multi_element_visits", """
-SELECT trailer_visit_id, trailer_status, spot_id, load_id, CAST(trailer_visit_id % 4 + 1 AS INTEGER) AS element FROM om_dim_yard_trailer""")
+SELECT trailer_visit_id, CAST(((s - 1) * len(spot_id) + t - 1) * n_unload + u - 1 AS BIGINT) AS visit_element,
+       trailer_status[s] AS trailer_status, spot_id[t] AS spot_id,
+       CASE WHEN trailer_visit_id % 3 <> 0 THEN TIMESTAMP '1998-01-01' ELSE {AS_OF} END AS dwh_creation_timestamp
+FROM (SELECT *, unnest(range(1, n_unload + 1)) AS u FROM (
+  SELECT *, unnest(range(1, len(spot_id) + 1)) AS t FROM (
+    SELECT trailer_visit_id, trailer_status, spot_id, greatest(len(trailer_unload_reservation_id), 1) AS n_unload,
+           unnest(range(1, len(trailer_status) + 1)) AS s
+    FROM fx_visit JOIN om_dim_warehouse w ON w.warehouse_id = facility_id[1])))""")
 
 # --- evidence for checks and windows ------------------------------------------------------------------------
 oracle("dq_not_null_violations", "SELECT trailer_visit_id FROM om_dim_yard_trailer WHERE load_id IS NULL")
@@ -381,4 +392,5 @@ FROM fx_reservation r JOIN fx_event e ON e.ReservationID = r.ReservationID
 JOIN om_dim_warehouse w ON w.warehouse_id = r.WarehouseID
 WHERE CAST(e.CreatedDate AS DATE) >= {TODAY} - INTERVAL 6 MONTH
 QUALIFY row_number() OVER (PARTITION BY r.ReservationID, e.ActionID ORDER BY e.EventDate, e.EventQueueID) = 1""")
-oracle("backfill_window_manual", "SELECT * FROM fx_tran_log WHERE CAST(log_datetime_local AS DATE) BETWEEN {TODAY} - INTERVAL 6 MONTH AND {TODAY}")
+oracle("backfill_window_manual", "SELECT * FROM fx_tran_log WHERE CAST(log_datetime_local AS DATE) BETWEEN DATE '1996-02-01' AND DATE '1996-03-31'")
+oracle("backfill_window_regular", "SELECT * FROM fx_tran_log WHERE CAST(log_datetime_local AS DATE) BETWEEN {TODAY} - INTERVAL 6 MONTH AND {TODAY}")

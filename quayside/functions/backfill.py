@@ -37,6 +37,11 @@ def backfill_window(time_value: Column, regular_run_start, regular_run_end, regu
     return time_value.between(lo, hi)
 
 
+def manual_bounds(ctx) -> dict:
+    """The manual override of a run (``manual_backfill``, ``backfill_start``, ``backfill_end`` in its parameters)."""
+    return {k: ctx.param(k) for k in ("manual_backfill", "backfill_start", "backfill_end")}
+
+
 def regular_14_day_backfill(ctx) -> dt.date:
     """B2: 28 days back on the first of a month that falls on a Sunday, 14 days
     back when it is 20:00-23:59 in New York, else 7 days back."""

@@ -154,16 +154,23 @@ def is_false(c: ColumnOrName) -> Column:
 
 # --- arrays -----------------------------------------------------------------------------------------
 
-def explode_all_outer(df: DataFrame, array_cols: Sequence[tuple[str, str]]) -> DataFrame:
+def explode_all_outer(df: DataFrame, array_cols: Sequence[tuple[str, str]], index: str | None = None) -> DataFrame:
     """Chained ``LEFT JOIN UNNEST(arr) AS alias`` (``LATERAL VIEW OUTER``).
 
     Several unnests in one FROM clause form the per-row product of the arrays;
-    an empty or NULL array contributes one NULL.  Each ``explode_outer`` is a
-    ``Generate`` node that pipelines inside the scan stage: no shuffle.
+    an empty or NULL array contributes one NULL.  Each ``posexplode_outer`` is a
+    ``Generate`` node that pipelines inside the scan stage: no shuffle.  ``index`` names
+    a column that numbers the combinations of a row from 0, the last array's elements changing first.
     """
-    out = df
+    out = df.withColumn(index, F.lit(0).cast("bigint")) if index else df
     for array_col, alias in array_cols:
-        out = out.withColumn(alias, F.explode_outer(F.col(array_col)))
+        kept = [c for c in out.columns if c != index]
+        if index:
+            out = out.select("*", F.posexplode_outer(array_col).alias("__at", alias))
+            number = F.col(index) * F.greatest(F.size(array_col), F.lit(1)) + F.coalesce("__at", F.lit(0))
+            out = out.select(*kept, alias, number.alias(index))
+        else:
+            out = out.withColumn(alias, F.explode_outer(F.col(array_col)))
     return out.drop(*[a for a, _ in array_cols if a not in {al for _, al in array_cols}])
 
 

@@ -25,6 +25,18 @@ def _days(ts: Column, n: Column) -> Column:
     return F.timestamp_add("DAY", n.cast("bigint"), ts)
 
 
+def _yard_day(o: DataFrame) -> F.Column:
+    """The day of a reservation and its visit: the order date, but for every fortieth key a day of the week of the
+    stand-ins' ``as_of``, so every kind of arrival is on the yard then."""
+    return F.when(o.o_orderkey % 40 == 7, F.timestamp_add("DAY", (o.o_custkey % 7).cast("bigint"), F.lit("1998-06-14").cast("timestamp_ntz"))) \
+        .otherwise(o.o_orderdate)
+
+
+def _three_or(cond: F.Column, elements: list, otherwise: F.Column) -> F.Column:
+    """An array of three elements where ``cond`` holds."""
+    return F.when(cond, F.array(*elements)).otherwise(otherwise)
+
+
 def _one_or_empty(x: Column, elem: T.DataType) -> Column:
     """One-element array, or an empty array when ``x`` is NULL."""
     return F.when(x.isNull(), F.array().cast(T.ArrayType(elem))).otherwise(F.array(x))
@@ -113,17 +125,17 @@ class Fixtures:
             c.alias("CarrierID"),
             F.concat(F.when(c % 2 == 0, F.lit("TR-")).otherwise(F.lit("")), c.cast("string")).alias("TrailerNumber"),
             (c % 7).alias("siteID"),
-            o.o_orderdate.alias("ScheduledStartDate"),
+            _yard_day(o).alias("ScheduledStartDate"),
             (o.o_orderstatus != "P").alias("IsInbound"),
             (c % 13 == 0).alias("IsTerminated"),
         )
 
     def fx_event(self) -> DataFrame:
-        """Reservation events.  Each event is placed after its reservation's order
-        date by its offset into January 2024, compressed tenfold (0-3 days), so
+        """Reservation events.  Each event is placed after its reservation's
+        day by its offset into January 2024, compressed tenfold (0-3 days), so
         events sit next to the reservation they belong to."""
         e, o = self.t.events, self.t.orders
-        j = e.join(o.select("o_orderkey", "o_orderdate"), e.user_id == o.o_orderkey)
+        j = e.join(o.select("o_orderkey", _yard_day(o).alias("o_orderdate")), e.user_id == o.o_orderkey)
         offset = F.floor(F.timestamp_diff("SECOND", F.lit(EVENT_EPOCH).cast("timestamp_ntz"), e.ts) / 10)
         when = F.timestamp_add("SECOND", offset.cast("bigint"), F.col("o_orderdate"))
         return j.select(
@@ -144,7 +156,8 @@ class Fixtures:
         return li.select(
             (li.l_orderkey * 2 + F.when(li.l_partkey % 10 == 7, 1).otherwise(0)).alias("ContentRefID"),
             li.l_orderkey.alias("ReservationID"),
-            li.l_quantity.cast("bigint").alias("Qty"),
+            F.when((li.l_orderkey % 53 == 0) & (li.l_partkey % 3 == 0), F.when(li.l_linenumber == 1, 400).otherwise(0))
+             .otherwise(li.l_quantity).cast("bigint").alias("Qty"),
             (1 + li.l_partkey % 3).alias("ContentType"),
             (li.l_returnflag == "R").alias("IsContentRefDetailDeleted"),
             F.concat(F.when(li.l_suppkey % 10 == 0, F.lit("M")).otherwise(F.lit("")),
@@ -169,7 +182,7 @@ class Fixtures:
             k.alias("load_id"),
             F.when(k % 3 == 0, F.concat(F.lit("BOL"), k.cast("string"))).alias("reference_number"),
             o.o_custkey.cast("string").alias("trailer_number"),
-            _days(o.o_orderdate, k % 5 - 2).alias("actual_ship_date"),
+            _days(_yard_day(o), k % 5 - 2).alias("actual_ship_date"),
         )
 
     def fx_journey(self) -> DataFrame:
@@ -177,12 +190,12 @@ class Fixtures:
         k = o.o_orderkey
         return o.where(k % 2 == 0).select(
             k.alias("loadId"),
-            F.when(k % 5 != 0, _hours(o.o_orderdate, F.lit(30))).alias("shipperGateOutTimestamp"))
+            F.when(k % 5 != 0, _hours(_yard_day(o), F.lit(30))).alias("shipperGateOutTimestamp"))
 
     # --- trailer visits (arrays) ----------------------------------------------------------------
     def fx_visit_flat(self) -> DataFrame:
         o = self.t.orders
-        k, c, d = o.o_orderkey, o.o_custkey, o.o_orderdate
+        k, c, d = o.o_orderkey, o.o_custkey, _yard_day(o)
         base = (c * 7 + k) % 97 - 36
         return o.select(
             k.alias("trailer_visit_id"),
@@ -195,7 +208,7 @@ class Fixtures:
     def fx_visit(self) -> DataFrame:
         """``tbl_yard_trailer_visit``: one row per visit, 21 attribute arrays."""
         o = self.t.orders
-        k, c, d = o.o_orderkey, o.o_custkey, o.o_orderdate
+        k, c, d = o.o_orderkey, o.o_custkey, _yard_day(o)
         base = (c * 7 + k) % 97 - 36
         L, S, B, TS = T.LongType(), T.StringType(), T.BooleanType(), T.TimestampNTZType()
         one = _one_or_empty
@@ -206,18 +219,18 @@ class Fixtures:
             one(F.concat(F.lit("Site-"), (c % 7).cast("string")), S).alias("site"),
             one(c, L).alias("trailer_id"),
             one(F.concat(F.when(c % 2 == 0, F.lit("TR-")).otherwise(F.lit("")), c.cast("string")), S).alias("trailer_number"),
-            one(o.o_orderstatus, S).alias("trailer_status"),
+            _three_or(k % 8 == 5, [o.o_orderstatus, F.lit("Q"), F.lit(None).cast(S)], one(o.o_orderstatus, S)).alias("trailer_status"),
             one(o.o_orderpriority, S).alias("trailer_type"),
             one(c % 4, L).alias("campus_id"),
             one(F.concat(F.lit("Campus-"), (c % 4).cast("string")), S).alias("campus"),
-            one(k % 100, L).alias("spot_id"),
+            _three_or(k % 4 == 1, [k % 100, k % 100 + 100, k % 100 + 200], one(k % 100, L)).alias("spot_id"),
             one(k % 3, L).alias("spot_type_id"),
             one(_case(k % 3, [(0, "Door"), (1, "Yard")], "Offsite"), S).alias("spot_type"),
             one(k % 3 == 2, B).alias("is_spot_offsite"),
             one(k % 17 == 0, B).alias("is_trailer_lost"),
             one(k, L).alias("trailer_reservation_id"),
-            one(F.when(k % 4 == 1, k - 1), L).alias("trailer_unload_reservation_id"),
-            one(c % 10, L).alias("facility_id"),
+            _three_or(k % 64 == 33, [k - 1, k - 33, k], one(F.when(k % 4 == 1, k - 1), L)).alias("trailer_unload_reservation_id"),
+            one(F.when(k % 23 != 0, c % 10), L).alias("facility_id"),
             one(F.when(k % 11 != 0, _hours(d, base)), TS).alias("trailer_arrival_date"),
             one(F.when(k % 3 != 0, _hours(d, base + k % 400)), TS).alias("trailer_unload_complete_date"),
             one(F.when(k % 6 != 0, _hours(d, F.lit(2))), TS).alias("trailer_load_complete_date"),
