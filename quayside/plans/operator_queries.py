@@ -946,8 +946,10 @@ def q_fn_date_of(p: Project) -> DataFrame:
 
 @query("fn_timestamp_of")
 def q_fn_timestamp_of(p: Project) -> DataFrame:
-    jr = p.source("journey")
-    return jr.select("loadId", F.col("shipperGateOutTimestamp").cast("string").cast("timestamp_ntz").alias("gate_out"))
+    """TIMESTAMP(x) reads a wall-clock value as an instant (UTC), which a zone's wall clock shows."""
+    instant = F.col("shipperGateOutTimestamp").cast("timestamp")
+    return p.source("journey").select("loadId", F.unix_micros(instant).alias("gate_out_micros"),
+                                      F.from_utc_timestamp(instant, "America/New_York").cast("timestamp_ntz").alias("gate_out_new_york"))
 
 
 # --- §2.11 backfill windows --------------------------------------------------------------------------------
@@ -1094,15 +1096,19 @@ def q_incremental_two_runs_dimension(p: Project) -> DataFrame:
 
 @query("merge_multi_element_visits")
 def q_merge_multi_element_visits(p: Project) -> DataFrame:
-    """Visits with several array elements multiply; the merge keeps one row per visit, the
-    greatest in a full order of its columns, whatever the partitioning."""
-    rows = p.ref("dim_yard_trailer")
-    several = rows.select("trailer_visit_id", "trailer_status", "spot_id", "load_id",
-                          F.explode(F.sequence(F.lit(1), (F.col("trailer_visit_id") % 4 + 1).cast("int"))).alias("element"))
-    updates = sinks.one_row_per_key(several, ["trailer_visit_id"])
+    """Visits with several array elements keep a row per combination, named by its number.  The earlier target has
+    other states, and combinations that the visits no longer have; the merge updates the first and removes the second."""
+    from quayside.plans import yard_trailer as YT
+    rows = YT.keyed_visits(p)
+    kept = [*YT.UNIQUE_KEY, "trailer_status", "spot_id", "dwh_creation_timestamp"]
     path = _out_path(p, "multi_element_visits")
-    sinks.write_table(updates.limit(0), path)
-    return sinks.merge_upsert(p.spark, updates, path, ["trailer_visit_id"], ["element"], cluster_by=["trailer_visit_id"])
+    before = rows.where("trailer_visit_id % 3 <> 0").select(*kept).withColumns({
+        "trailer_status": F.lit("before"), "dwh_creation_timestamp": cal.lit_ntz(dt.datetime(1998, 1, 1)),
+        "visit_element": F.explode(F.array("visit_element", F.col("visit_element") + 100))})
+    sinks.delete_path(p.spark, path)
+    sinks.merge_upsert(p.spark, before, path, YT.UNIQUE_KEY, YT.MERGE_UPDATE_COLUMNS, ["trailer_visit_id"], group_key=YT.GROUP_KEY)
+    return sinks.merge_upsert(p.spark, rows.select(*kept), path, YT.UNIQUE_KEY, YT.MERGE_UPDATE_COLUMNS, ["trailer_visit_id"],
+                              group_key=YT.GROUP_KEY)
 
 
 # --- evidence for checks and windows -------------------------------------------------------------------
@@ -1142,10 +1148,21 @@ def q_event_lookback(p: Project) -> DataFrame:
     return q.build("first_reservation_event").select("ReservationID", "ActionID", "EventDate")
 
 
-@query("backfill_window_manual")
-def q_backfill_window_manual(p: Project) -> DataFrame:
+@query("backfill_window_regular")
+def q_backfill_window_regular(p: Project) -> DataFrame:
     """B1, the regular branch: the condition holds, so the run takes the last six months."""
     today = p.ctx.current_date
     pred = B.backfill_window(F.to_date("log_datetime_local"), B.regular_6_month_backfill(p.ctx), today,
                              dt.date(1995, 1, 1), today, True)
     return p.source("tran_log_units").where(pred)
+
+
+@query("backfill_window_manual")
+def q_backfill_window_manual(p: Project) -> DataFrame:
+    """B1, the manual branch: a run with both bounds set takes them, whatever the condition says."""
+    today = p.ctx.current_date
+    ctx = RunContext(as_of=p.ctx.as_of, params={**p.ctx.params, "manual_backfill": True,
+                                                "backfill_start": dt.date(1996, 2, 1), "backfill_end": dt.date(1996, 3, 31)})
+    pred = B.backfill_window(F.to_date("log_datetime_local"), B.regular_6_month_backfill(ctx), today,
+                             dt.date(1995, 1, 1), today, True, **B.manual_bounds(ctx))
+    return p.source("tran_log_units").where(pred)

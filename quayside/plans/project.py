@@ -97,6 +97,12 @@ class Project:
                 self._built[name] = df
         return self._built[name]
 
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written once as a scratch table of this run and read back."""
+        path = os.path.join(self.materialize_dir, f"{name}-{uuid.uuid4().hex[:8]}")
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     def dimension(self, name: str, *cols, source: bool = False) -> DataFrame:
         """Columns of a dimension (model or source) for joining; statistics and AQE decide whether it is broadcast."""
         df = self.source(name) if source else self.ref(name)

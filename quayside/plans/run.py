@@ -16,13 +16,12 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 
-from quayside.functions import backfill as B
 from quayside.operators import metrics as M
 from quayside.operators import sinks
 from quayside.plans import dim_warehouse as DW
+from quayside.plans import propagation as PG
 from quayside.plans import reporting as RP
 from quayside.plans import yard_trailer as YT
-from quayside.plans.context import RunContext
 from quayside.plans.project import Project
 
 
@@ -33,7 +32,8 @@ class Materialization:
     partition_by: tuple[str, ...] = ()
     unique_key: tuple[str, ...] = ()
     update_columns: tuple[str, ...] = field(default_factory=tuple)
-    one_per_key: bool = False                   # rows multiply per key by design: one is chosen by a full order
+    group_key: tuple[str, ...] = ()             # rows of a group that a run does not emit again are removed
+    target_only: tuple[str, ...] = ()           # key columns that the target has beside the model's
 
 
 _METRIC = Materialization("insert_overwrite", cluster_by=("warehouse_id",), partition_by=("report_date",))
@@ -43,8 +43,9 @@ _REPORT_KEY = ("surrogate_key", "time_base_date", *RP.ROW_KEY)
 MATERIALIZATIONS: dict[str, Materialization] = {
     "dim_warehouse": Materialization("merge", unique_key=(DW.UNIQUE_KEY,), update_columns=tuple(DW.MERGE_UPDATE_COLUMNS)),
     "dim_date": Materialization("table", cluster_by=("date_actual",)),
-    "dim_yard_trailer": Materialization("merge", cluster_by=("trailer_visit_id",), unique_key=(YT.UNIQUE_KEY,),
-                                        update_columns=tuple(YT.MERGE_UPDATE_COLUMNS), one_per_key=True),
+    "dim_yard_trailer": Materialization("merge", cluster_by=("trailer_visit_id",), unique_key=YT.UNIQUE_KEY,
+                                        update_columns=tuple(YT.MERGE_UPDATE_COLUMNS), group_key=YT.GROUP_KEY,
+                                        target_only=("visit_element",)),
     "stg_units_reservation": Materialization("table"),
     "stg_unit_snapshot": Materialization("table"),
     "stg_yard_utilization": Materialization("table"),
@@ -60,25 +61,33 @@ MATERIALIZATIONS: dict[str, Materialization] = {
 }
 
 
+# Models whose rows are keyed by more columns than they show.
+KEYED = {**RP.KEYED, "dim_yard_trailer": YT.keyed_visits}
 # Models whose incremental run emits only rows with a new record hash.
 HASH_DIFF_MODELS = {"dim_warehouse"}
-# Models whose incremental run reads only a recent window of their sources.
-LOOKBACK_MODELS = {"dim_yard_trailer"}
+# Models whose later runs recompute only what changed, from a state kept beside the targets.
+PROPAGATED_MODELS = {"dim_yard_trailer"}
 
 
 def _frame(p: Project, name: str, target: DataFrame | None) -> DataFrame:
     """The model as this run computes it; incrementally where ``target`` exists."""
     if target is not None and name in HASH_DIFF_MODELS:
         p.targets[name] = target
-    if target is not None and name in LOOKBACK_MODELS:
-        start = B.regular_6_month_backfill(p.ctx)
-        ctx = RunContext(as_of=p.ctx.as_of, hq_zone=p.ctx.hq_zone, ci_limit=p.ctx.ci_limit,
-                         params={**p.ctx.params, "visit_lookback_start": start, "event_lookback_start": start})
-        # the models between the sources and this one see the window only; the dimension is the written one
-        window = Project(p.spark, p.src, ctx, materialize_dir=os.path.join(p.materialize_dir, "incremental"))
-        window._built["dim_warehouse"] = p.ref("dim_warehouse")
-        return window.build(name)
-    return RP.KEYED[name](p) if name in RP.KEYED else p.build(name)
+    return KEYED[name](p) if name in KEYED else p.build(name)
+
+
+def _propagated(p: Project, name: str, path: str, target: DataFrame | None) -> None:
+    """Merge what changed since the last run, or, without its state, all rows, into the target at ``path``."""
+    m = MATERIALIZATIONS[name]
+    parent, table = os.path.split(path.rstrip("/"))
+    state = PG.State(p, os.path.join(parent, "_state", table))
+    found = None if target is None else PG.incremental(p, state, target)
+    if found is None:
+        (rows, keep), visits = PG.full(p, state), None
+    else:
+        rows, visits, keep = found
+    sinks.merge_upsert(p.spark, rows, path, m.unique_key, m.update_columns, m.cluster_by, group_key=m.group_key, groups=visits)
+    keep()
 
 
 def materialize(p: Project, name: str, path: str) -> DataFrame:
@@ -88,6 +97,9 @@ def materialize(p: Project, name: str, path: str) -> DataFrame:
     if m.kind == "merge":
         sinks.recover_pending(p.spark, path)  # before the target is read
         target = sinks.read_table(p.spark, path)
+    if name in PROPAGATED_MODELS:
+        _propagated(p, name, path, target)
+        return p.spark.read.parquet(path)
     df = _frame(p, name, target)
     if m.kind == "table":
         df = sinks.ci_limit(df, p.ctx.ci_limit, df.columns)
@@ -95,12 +107,10 @@ def materialize(p: Project, name: str, path: str) -> DataFrame:
     elif m.kind == "insert_overwrite":
         sinks.insert_overwrite(df, path, partition_by=m.partition_by, cluster_by=m.cluster_by)
     else:
-        if m.one_per_key:
-            df = sinks.one_row_per_key(df, m.unique_key)
         if m.partition_by:
             sinks.merge_upsert_partitions(p.spark, df, path, m.unique_key, m.update_columns, m.partition_by, m.cluster_by)
         else:
-            sinks.merge_upsert(p.spark, df, path, m.unique_key, m.update_columns, m.cluster_by)
+            sinks.merge_upsert(p.spark, df, path, m.unique_key, m.update_columns, m.cluster_by, group_key=m.group_key)
     return p.spark.read.parquet(path)
 
 
@@ -120,12 +130,14 @@ def run_models(p: Project, names: Sequence[str], target_root: str, threads: int
 
     def target_of(name: str) -> DataFrame | None:
         if name in paths:
-            return materialize(p, name, paths[name])
-        if name in MATERIALIZATIONS:
+            df = materialize(p, name, paths[name])
+        elif name in MATERIALIZATIONS:
             path = os.path.join(target_root, name)
             sinks.recover_pending(p.spark, path)
-            return sinks.read_table(p.spark, path)
-        return None
+            df = sinks.read_table(p.spark, path)
+        else:
+            return None
+        return df if df is None else df.drop(*MATERIALIZATIONS[name].target_only)
 
     p.target_of = target_of
     try:

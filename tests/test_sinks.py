@@ -184,24 +184,24 @@ def test_interrupted_publish_is_completed_by_the_next_run(spark, tmp_dir):
     assert not os.path.exists(stage)
 
 
-def test_second_run_reads_a_window_and_the_written_dimension(spark, tmp_dir, monkeypatch):
-    """The visits' second run ranks recent events only; nothing is built in full, downstream
+def test_second_run_builds_no_model_of_the_visits_again(spark, tmp_dir, monkeypatch):
+    """The visits' second run recomputes dirty keys only; nothing is built in full, downstream
     models read the merged target, and no scratch table is left."""
     from quayside.plans import project as P
     from quayside.plans.context import fixture_context
     from quayside.plans.run import run_models
     P._load_models()
     built = []
-    for name in ("first_reservation_event", "dim_yard_trailer", "dim_warehouse"):
-        monkeypatch.setitem(P.MODELS, name, lambda p, name=name, fn=P.MODELS[name]: (
-            built.append((name, p.ctx.param("event_lookback_start") is not None)), fn(p))[1])
+    for name in ("first_reservation_event", "load_reservation_match", "load_gate_out", "dim_yard_trailer", "dim_warehouse"):
+        monkeypatch.setitem(P.MODELS, name, lambda p, name=name, fn=P.MODELS[name]: (built.append(name), fn(p))[1])
     root = os.path.join(tmp_dir, "targets")
     names = ["dim_warehouse", "dim_yard_trailer", "stg_unit_snapshot"]
-    for windowed in (False, True):
+    models = ["dim_warehouse", "first_reservation_event", "load_gate_out", "load_reservation_match"]
+    for expected in (models, ["dim_warehouse"]):
         built.clear()
         p = P.Project.for_sf_dir(spark, "/root/testdata/sf0.001", fixture_context())
         run_models(p, names, root)
-        assert sorted(built) == [("dim_warehouse", False), ("dim_yard_trailer", windowed), ("first_reservation_event", windowed)]
+        assert sorted(built) == expected
         assert not os.path.exists(p.materialize_dir)
 
 
