@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from oracle.catalog import oracle
+from oracle.catalog import ORACLES, oracle
 from oracle.models_sql import _WH_CASE, _q
-from oracle.sql import build
+from oracle.sql import FRAGMENTS, build, build_runs
 from quayside.functions.scalar import SURROGATE_NULL
 from quayside.plans import dim_warehouse as DW
 
@@ -363,6 +363,14 @@ import datetime as _dt  # noqa: E402
 _runs = [(_dt.datetime(1998, 6, 17, 12) - _dt.timedelta(days=i)).strftime("%Y-%m-%d %H:%M:%S") for i in range(7)]
 oracle("backfill_range", "\nUNION ALL\n".join(f"SELECT * FROM ({build('SELECT * FROM om_metric_fill_rate', as_of=r)})" for r in _runs))
 
+_STAY = ["om_on_site", "om_stg_unit_snapshot", "om_sla_rows", "om_sla_flags", "om_metric_inbound_trailers", "om_snapshot_buckets",
+         "om_yard_buckets", "om_metric_on_yard_units"]
+_THROUGHPUT = [n for n in FRAGMENTS if n.startswith("om_") and n not in _STAY]
+ORACLES["range_inbound_trailers"] = build_runs("om_metric_inbound_trailers", _STAY, _runs)
+ORACLES["range_on_yard_units"] = build_runs("om_metric_on_yard_units", _STAY, _runs)
+for _key, _name in (("range_throughput_variance", "om_metric_throughput_variance"), ("range_yard_utilization", "om_metric_yard_utilization")):
+    ORACLES[_key] = build_runs(_name, _THROUGHPUT, _runs)
+
 # --- runs over written targets: the second run renames every warehouse, the first load's names stay --------
 oracle("incremental_two_runs", "SELECT * FROM om_report_outbound")
 oracle("incremental_two_runs_dimension", "SELECT warehouse_id, warehouse_name, warehouse_string_id FROM om_dim_warehouse")

@@ -68,3 +68,26 @@ def build(final_sql: str, as_of: str | None = None) -> str:
         return render(final_sql, as_of)
     ctes = ",\n".join(f"{n} AS ({FRAGMENTS[n]}\n)" for n in order)
     return render(f"WITH {ctes}\n{final_sql}", as_of)
+
+
+def build_runs(name: str, daily: list[str], runs: list[str]) -> str:
+    """UNION ALL of fragment ``name`` over several runs: the fragments in ``daily`` are rendered for each run's instant, all
+    others for the fixed one (tables that stand as they are while metrics are run for other days)."""
+    needed: list[str] = []
+
+    def visit(n: str) -> None:
+        for dep in _refs(FRAGMENTS[n]):
+            if dep != n:
+                visit(dep)
+        if n not in needed:
+            needed.append(n)
+
+    visit(name)
+    ctes = [f"{n} AS ({render(FRAGMENTS[n])}\n)" for n in needed if n not in daily]
+    for k, run in enumerate(runs):
+        for n in [n for n in needed if n in daily]:
+            sql = render(FRAGMENTS[n], run)
+            for d in daily:
+                sql = re.sub(rf"\b{d}\b", f"{d}_{k}", sql)
+            ctes.append(f"{n}_{k} AS ({sql}\n)")
+    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(f"SELECT * FROM {name}_{k}" for k in range(len(runs)))

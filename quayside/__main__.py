@@ -2,13 +2,15 @@
 
     python -m quayside run  --sf-dir DIR --target DIR [--models a,b] [--as-of TS] [--threads N]
                             [--backfill-from DATE [--backfill-to DATE]]
+    python -m quayside backfill --sf-dir DIR --target DIR --backfill-from DATE [--backfill-to DATE] [--models a,b]
     python -m quayside test --target DIR | --sf-dir DIR [--as-of TS]
 
 ``--sf-dir`` reads the stand-in sources derived from a driver-table folder;
 ``--source name=path`` (repeatable) points a logical source at a real table
 instead, and then needs ``--as-of``.  ``--backfill-from`` runs every day from
 that date to ``--backfill-to`` (default: ``--as-of``); each day's run writes
-its own partitions.  ``test --target`` checks the written tables; without a
+its own partitions.  ``backfill`` writes the ``report_date`` metrics of all run days from
+that date on in one pass per metric, over the written targets of their upstream models.  ``test --target`` checks the written tables; without a
 target it checks models built from the sources.
 """
 
@@ -23,18 +25,19 @@ import sys
 from quayside.operators import quality as Q
 from quayside.plans.context import FIXTURE_AS_OF, FIXTURE_PARAMS, RunContext
 from quayside.plans.project import Project
-from quayside.plans.run import MATERIALIZATIONS, run_models
+from quayside.plans.range_runs import RANGE_RUNS
+from quayside.plans.run import MATERIALIZATIONS, backfill_metrics, run_models
 from quayside.session import build_session, configure
 from quayside.sources.registry import Sources
 
 
 def _args(argv: list[str]) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="quayside")
-    ap.add_argument("command", choices=["run", "test"])
+    ap.add_argument("command", choices=["run", "backfill", "test"])
     ap.add_argument("--sf-dir", default=None)
     ap.add_argument("--source", action="append", default=[], help="logical source = path (parquet)")
     ap.add_argument("--target", default=None)
-    ap.add_argument("--models", default=",".join(MATERIALIZATIONS))
+    ap.add_argument("--models", default=None)
     ap.add_argument("--as-of", default=None)
     ap.add_argument("--backfill-from", default=None)
     ap.add_argument("--backfill-to", default=None)
@@ -48,8 +51,11 @@ def main(argv: list[str] | None = None) -> int:
     a = _args(sys.argv[1:] if argv is None else argv)
     if a.as_of is None and not a.sf_dir and not (a.command == "test" and a.target):
         raise SystemExit("--as-of is required without --sf-dir")
-    if a.command == "run" and not a.target:
-        raise SystemExit("--target is required for run")
+    if a.command != "test" and not a.target:
+        raise SystemExit(f"--target is required for {a.command}")
+    if a.command == "backfill" and not a.backfill_from:
+        raise SystemExit("--backfill-from is required for backfill")
+    models = [m for m in (a.models or ",".join(RANGE_RUNS if a.command == "backfill" else MATERIALIZATIONS)).split(",") if m]
     spark = build_session(a.master)
     if a.cluster_sizing:
         configure(spark, cluster_sizing=True)
@@ -63,9 +69,16 @@ def main(argv: list[str] | None = None) -> int:
         day = first
         while day <= last:  # one run per day; each writes its own partitions
             p = Project(spark, src, RunContext(as_of=dt.datetime.combine(day, as_of.time()), params=params))
-            run_models(p, [m for m in a.models.split(",") if m], a.target, threads=a.threads)
-            print(json.dumps({"as_of": str(p.ctx.as_of), "models": a.models.split(",")}))
+            run_models(p, models, a.target, threads=a.threads)
+            print(json.dumps({"as_of": str(p.ctx.as_of), "models": models}))
             day += dt.timedelta(days=1)
+    elif a.command == "backfill":
+        first = dt.date.fromisoformat(a.backfill_from)
+        last = dt.date.fromisoformat(a.backfill_to) if a.backfill_to else as_of.date()
+        bounds = {"manual_backfill": True, "backfill_start": first, "backfill_end": last}
+        p = Project(spark, src, RunContext(as_of=as_of, params={**params, **bounds}))
+        backfill_metrics(p, models, a.target)
+        print(json.dumps({"first": str(first), "last": str(last), "models": models}))
     else:
         names = {c.model for c in Q.MODEL_CHECKS}
         if a.target:

@@ -1061,6 +1061,36 @@ def q_backfill_range(p: Project) -> DataFrame:
     return fill_rate_for_days(p, last - dt.timedelta(days=6), last)
 
 
+def _range(p: Project, name: str, days: int = 7) -> DataFrame:
+    from quayside.plans.range_runs import RANGE_RUNS
+    last = p.ctx.current_date
+    return RANGE_RUNS[name](p, last - dt.timedelta(days=days - 1), last)
+
+
+@query("range_inbound_trailers")
+def q_range_inbound_trailers(p: Project) -> DataFrame:
+    """M16 over seven run days from one sweep of the visits' stays."""
+    return _range(p, "metric_inbound_trailers")
+
+
+@query("range_on_yard_units")
+def q_range_on_yard_units(p: Project) -> DataFrame:
+    """M17 over seven run days from one sweep of the visits' stays."""
+    return _range(p, "metric_on_yard_units")
+
+
+@query("range_throughput_variance")
+def q_range_throughput_variance(p: Project) -> DataFrame:
+    """M18 over seven run days, one scan per input."""
+    return _range(p, "metric_throughput_variance")
+
+
+@query("range_yard_utilization")
+def q_range_yard_utilization(p: Project) -> DataFrame:
+    """M14 and M19 over seven run days, one scan per input."""
+    return _range(p, "metric_yard_utilization")
+
+
 # --- runs over written targets -----------------------------------------------------------------------
 
 class _RenamedWarehouses(Sources):

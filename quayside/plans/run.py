@@ -16,10 +16,12 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 
+from quayside.functions import backfill as B
 from quayside.operators import metrics as M
 from quayside.operators import sinks
 from quayside.plans import dim_warehouse as DW
 from quayside.plans import propagation as PG
+from quayside.plans import range_runs as RR
 from quayside.plans import reporting as RP
 from quayside.plans import yard_trailer as YT
 from quayside.plans.project import Project
@@ -114,6 +116,34 @@ def materialize(p: Project, name: str, path: str) -> DataFrame:
     return p.spark.read.parquet(path)
 
 
+def backfill_metrics(p: Project, names: Sequence[str], target_root: str) -> dict[str, str]:
+    """Write the report dates of the run's manual bounds (``backfill_start`` to ``backfill_end``, run days) of each metric
+    in one pass per metric, over the written targets of its upstream models as they stand."""
+    bounds = B.manual_bounds(p.ctx)
+    if not all(bounds.values()):
+        raise ValueError("a backfill needs manual_backfill, backfill_start and backfill_end among the run's parameters")
+
+    def target_of(name: str) -> DataFrame | None:
+        if name not in MATERIALIZATIONS:
+            return None
+        path = os.path.join(target_root, name)
+        sinks.recover_pending(p.spark, path)
+        df = sinks.read_table(p.spark, path)
+        return df if df is None else df.drop(*MATERIALIZATIONS[name].target_only)
+
+    p.target_of = target_of
+    try:
+        rows = RR.rows_of_range(p, list(names), bounds["backfill_start"], bounds["backfill_end"])
+        paths = {name: os.path.join(target_root, name) for name in names}
+        for name, df in rows.items():
+            m = MATERIALIZATIONS[name]
+            sinks.insert_overwrite(df, paths[name], partition_by=m.partition_by, cluster_by=m.cluster_by)
+    finally:
+        p.target_of = lambda name: None
+        p.drop_scratch()
+    return paths
+
+
 def run_models(p: Project, names: Sequence[str], target_root: str, threads: int = 1) -> dict[str, str]:
     """Write each model to ``target_root/<name>``; returns the paths.
 
