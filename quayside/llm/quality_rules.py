@@ -230,7 +230,8 @@ def keep_good(documents: DataFrame, labels: DataFrame, max_strata: int | None =
     """The rows of ``documents`` that ``quality`` keeps, with their columns as they are."""
     whole = documents.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__id"),
                              F.col("text").alias("__text"), F.col("lang").alias("__lang"))
-    judged = pooled(features(whole, "__text"), labels, max_strata, "__id", "__lang")
+    # rows and features are written once: the calibration reads the features of the labelled ones, the verdict those of all
+    judged = stored(features(pooled(whole, labels, max_strata, "__id", "__lang"), "__text").drop("__text"))
     sample = judged.select(F.col("__id").alias("doc_id"), F.col("__lang").alias("stratum_key"), "__f.*")
     cutoffs = stored(calibrate(sample, labels, **settings))
     kept = verdict(judged, cutoffs, F.col("__lang"), {r: F.col(f"__f.{r}") for r in CUTOFFS}, F.col("__f.base_failed"), "__kept")
