@@ -7,7 +7,8 @@
 
 ``--sf-dir`` reads the stand-in sources derived from a driver-table folder;
 ``--source name=path`` (repeatable) points a logical source at a real table
-instead, and then needs ``--as-of``.  ``--backfill-from`` runs every day from
+instead, ``--database curated=prod_curated`` all declared sources of a database at the catalogue's tables;
+both need ``--as-of``.  ``--backfill-from`` runs every day from
 that date to ``--backfill-to`` (default: ``--as-of``); each day's run writes
 its own partitions.  ``backfill`` writes the ``report_date`` metrics of all run days from
 that date on in one pass per metric, over the written targets of their upstream models.  ``test --target`` checks the written tables; without a
@@ -35,7 +36,8 @@ def _args(argv: list[str]) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="quayside")
     ap.add_argument("command", choices=["run", "backfill", "test"])
     ap.add_argument("--sf-dir", default=None)
-    ap.add_argument("--source", action="append", default=[], help="logical source = path (parquet)")
+    ap.add_argument("--source", action="append", default=[], help="logical source = path (parquet), or table:database.table")
+    ap.add_argument("--database", action="append", default=[], help="declared database = database of the catalogue")
     ap.add_argument("--target", default=None)
     ap.add_argument("--models", default=None)
     ap.add_argument("--as-of", default=None)
@@ -60,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cluster_sizing:
         configure(spark, cluster_sizing=True)
     paths = dict(s.split("=", 1) for s in a.source)
-    src = Sources(spark, a.sf_dir, paths=paths)
+    src = Sources(spark, a.sf_dir, paths=paths, databases=dict(d.split("=", 1) for d in a.database))
     as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else FIXTURE_AS_OF
     params = dict(FIXTURE_PARAMS) if a.sf_dir else {}
     if a.command == "run":

@@ -34,6 +34,7 @@ from pyspark.sql.utils import AnalysisException
 
 from quayside.operators import relops as R
 from quayside.session import checkpoint_dir
+from quayside.sources.declared import SchemaError, check
 
 
 def _clustered(df: DataFrame, cluster_by: Sequence[str] | None, partition_by: Sequence[str] | None = None) -> DataFrame:
@@ -229,9 +230,11 @@ def touched_files(target: DataFrame, updates: DataFrame, key: Sequence[str], clu
 
 
 def _same_columns(target: DataFrame, updates: DataFrame, path: str) -> None:
+    """Refuse a table that lacks columns of the updates, or has them with other types."""
     missing = [c for c in updates.columns if c not in target.columns]
     if missing:
-        raise ValueError(f"the table at {path} was written without the columns {missing}; write it anew")
+        raise SchemaError(f"the table at {path} was written without the columns {missing}; write it anew")
+    check(f"the table at {path}", target.schema, updates.schema)
 
 
 def merge_upsert(spark: SparkSession, updates: DataFrame, path: str, key: Sequence[str],

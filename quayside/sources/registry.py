@@ -1,7 +1,7 @@
 """Source registry: logical source name → DataFrame.
 
-In production every logical source is a table or parquet folder named in a
-``{name: path}`` mapping.  Against the driver's test data each source is the
+In production every logical source is a declared table of a database (``declared.py``), or a
+table or parquet folder named in a ``{name: path}`` mapping.  Against the driver's test data each source is the
 stand-in of ``fixtures.py`` derived from the driver tables.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.sources.declared import DECLARED, check
 from quayside.sources.fixtures import Fixtures
 from quayside.sources.tables import Tables
 
@@ -48,14 +49,18 @@ STAND_INS = {
 
 
 class Sources:
-    """``source(name)``: one DataFrame per logical source."""
+    """``source(name)``: one DataFrame per logical source, with the declared columns (``declared.check``).
+
+    A source is read from its entry in ``paths`` (a folder, or ``table:database.table``), else, with ``databases``, from
+    the declared table of the database given for its declared one, else from the stand-ins of ``sf_dir``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
-                 paths: dict[str, str] | None = None, fmt: str = "parquet"):
+                 paths: dict[str, str] | None = None, fmt: str = "parquet", databases: dict[str, str] | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
         self.paths = dict(paths or {})
         self.fmt = fmt
+        self.databases = dict(databases or {})
         self.tables = Tables(spark, sf_dir) if sf_dir else None
         self._fx = Fixtures(self.tables) if self.tables else None
 
@@ -63,11 +68,19 @@ class Sources:
         return self.get(name)
 
     def get(self, name: str) -> DataFrame:
+        declared = DECLARED.get(name)
         if name in self.paths:  # S1/S3: declared or external table scan
-            return self.spark.read.format(self.fmt).load(self.paths[name])
-        if self._fx is None or name not in STAND_INS:
-            raise KeyError(f"no path or stand-in for source {name!r}")
-        return getattr(self._fx, STAND_INS[name])()
+            where = self.paths[name]
+            df = self.spark.table(where[len("table:"):]) if where.startswith("table:") else self.spark.read.format(self.fmt).load(where)
+        elif declared is not None and declared.database in self.databases:
+            df = self.spark.table(f"{self.databases[declared.database]}.{declared.table}")
+        elif self._fx is None or name not in STAND_INS:
+            raise KeyError(f"no path, database or stand-in for source {name!r}")
+        else:
+            return getattr(self._fx, STAND_INS[name])()
+        if declared is not None:
+            check(f"source {name}", df.schema, declared.schema())
+        return df
 
     def names(self) -> list[str]:
         return sorted(set(STAND_INS) | set(self.paths))
