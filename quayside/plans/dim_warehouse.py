@@ -1,7 +1,7 @@
 """M1 ``dim_warehouse``: conformed warehouse dimension with a record hash.
 
 Inputs are small (one row per warehouse); every join is a left join on the
-warehouse key, planned as broadcast hash joins behind a row bound.
+warehouse key, planned by statistics and AQE (broadcast hash joins at this size).
 """
 
 from __future__ import annotations
