@@ -73,7 +73,8 @@ class TwoGenerationCache(dict):
     """``cache[key]`` computes a missing value with ``make``; at most two generations of ``limit`` keys stay in memory.
 
     ``turn()`` between documents retires the young generation when it is full; a retired key that is asked for
-    again moves back.  Keys met often therefore stay, and memory is bounded whatever the vocabulary."""
+    again moves back.  Keys met often therefore stay.  The bound is in keys, not bytes, and between documents: within
+    one, every distinct key stays."""
 
     def __init__(self, make: Callable, limit: int):
         super().__init__()
@@ -100,8 +101,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of the undirected ``edges (a, b)``; ``component`` is the smallest node reachable.
 
     Alternating large-star and small-star rounds: in each, the neighbours of a node are linked to the smallest of
-    them.  A round is one grouping by node and one join; rows never exceed the edges, and no component is gathered
-    in one place.  Both round results are checkpointed in the shared folder.  Edges with a null end are ignored."""
+    them.  A round is one grouping by node and one join; rows never exceed the edges.  The edges of one centre meet in
+    one task, so a component with a large share of the nodes is one task's share of a round.  Both round results are checkpointed in the shared folder.  Edges with a null end are ignored."""
     e = (edges.where("a is not null and b is not null and a <> b")
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     e = durable(e)
