@@ -27,7 +27,7 @@ PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\
 UNICODE_SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029,
                                   0x202F, 0x205F, 0x3000]))
 CHUNKS = re.compile(f"[{UNICODE_SPACE}]*[^{UNICODE_SPACE}]+|[{UNICODE_SPACE}]+")
-# Bounds of the caches per Python worker, in keys per generation (two generations of each are kept).
+# Bounds of the caches per Python worker, in keys of at most 64 characters per generation (two generations of each are kept).
 CHUNK_KEYS, PIECE_KEYS = 350_000, 150_000
 
 
@@ -122,13 +122,7 @@ class ByteBpe:
 
     def count(self, text: str) -> int:
         """Number of tokens of the text."""
-        n = sum([p[0].count(",") + 1 for p in self._parts(text)])
-        self.turn()
-        return n
-
-    def turn(self) -> None:
-        self.cache.turn()
-        self.piece_ids.turn()
+        return sum([p[0].count(",") + 1 for p in self._parts(text)])
 
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.token_bytes[i] for i in ids])
@@ -141,7 +135,6 @@ class ByteBpe:
         parts = self._parts(text)
         ids = ",".join([p[0] for p in parts])
         back = b"".join([p[1] for p in parts]).decode("utf-8", "replace")
-        self.turn()
         return (ids.count(",") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
                 hashlib.sha256(back.encode()).hexdigest())
 
@@ -165,7 +158,6 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     def fn(batch: pa.RecordBatch) -> pa.RecordBatch:
         bpe = loaded(vocabulary)
         ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
-        bpe.turn()
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([bpe.decode(x) for x in ids], pa.string())],
             names=["doc_id", "ids", "decoded"])

@@ -20,6 +20,8 @@ BATCH_BYTES = "4194304"
 # The white space that separates words in every contract here, as Spark (Java) and Python regular expressions.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
+# The longest key a cache keeps, in characters (or bytes, for keys of bytes).
+LONGEST_KEY = 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,25 +74,25 @@ def stored(df: DataFrame) -> DataFrame:
 class TwoGenerationCache(dict):
     """``cache[key]`` computes a missing value with ``make``; at most two generations of ``limit`` keys stay in memory.
 
-    ``turn()`` between documents retires the young generation when it is full; a retired key that is asked for
-    again moves back.  Keys met often therefore stay.  The bound is in keys, not bytes, and between documents: within
-    one, every distinct key stays."""
+    A full young generation retires when the next key is missed, also in the midst of a document; a retired key that is asked for again moves
+    back.  Keys met often therefore stay.  Keys longer than ``LONGEST_KEY`` characters are computed each time and never kept, so where a value is at most
+    in proportion to its key, the bytes are bounded by the number of keys as well."""
 
     def __init__(self, make: Callable, limit: int):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
+        if len(key) > LONGEST_KEY:
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        self[key] = value
-        return value
-
-    def turn(self) -> None:
-        if len(self) > self.limit:
+        if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
+        self[key] = value
+        return value
 
 
 def same(a: Column, b: Column) -> Column:
