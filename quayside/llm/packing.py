@@ -1,19 +1,22 @@
 """Packing of tokenized documents into as few fixed-size sequences as possible by a grouping genetic algorithm.
 
-A solution is a set of bins (sequences).  Crossover injects whole well-filled bins of one parent into the other, removes
-the bins that hold duplicates of injected documents, and puts the displaced documents into the fullest bins they fit in
-(best fit).  Documents are dealt to shards of bounded size; each shard is evolved on several islands at once, and after
+A solution is a set of bins (sequences).  Crossover injects whole well-filled bins of one parent into the other and removes
+the bins that hold duplicates of injected documents, and a few of the emptiest.  Displaced documents first change places with one or two
+documents of a bin where that fills the bin better; what is displaced then goes into the fullest bins it fits in (best fit).
+A shard that best fit alone packs as tightly as its tokens allow does not evolve.  Documents are dealt to shards of bounded size; each shard is evolved on several islands at once, and after
 each epoch the best solution of an island migrates to the next one.  The best solution's full bins are then settled; the
 documents of the others are dealt out again, to ever fewer shards, so that no shard leaves its own half-empty bins.
 """
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 import struct
 import zlib
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +24,17 @@ import tokenizers
 from pyspark.sql import DataFrame, Window, functions as F
 
 from quayside.llm.bpe import byte_alphabet
-from quayside.llm.common import TwoGenerationCache, arrow_map, durable
+from quayside.llm.common import LONGEST_KEY, TwoGenerationCache, arrow_map, durable
 
 CAPACITY = 2048
 SHARD_ITEMS = 4000   # documents of a shard, on average
 ISLANDS = 2          # solutions evolved side by side per shard
 EPOCHS = 2           # rounds of evolution; elites migrate in between
-CHILDREN = 4         # crossovers per island and epoch
+POPULATION = 8       # solutions of an island
+CHILDREN = 8         # crossovers per island and epoch
 ROUNDS = 3           # dealings of documents to shards
 WORD_KEYS = 400_000  # bound of the word cache per Python worker, in keys per generation
+SLICE_WORDS = 50_000 # words of a text looked up at once; what a slice adds to the cache beyond its bound
 
 
 # Words whose letters have no other composed form (Latin-1 letters and ASCII), and the tokenizer's pieces of such words.
@@ -72,6 +77,10 @@ class WordIds:
         if b"\xcc" not in data and b"\xcd" not in data and not self.added(text):
             data = data.lower()  # as the normalizer does; no combining mark that a capital might lack a composed form with
         words = data.split()  # at ASCII white space only
+        return b"".join([self._slice(words[k:k + SLICE_WORDS]) for k in range(0, len(words), SLICE_WORDS)])
+
+    def _slice(self, words: list[bytes]) -> bytes:
+        """Ids of some words; what is new joins the young generation, long words only until they are looked up."""
         young, old = self.young, self.old
         new = set(words).difference(young)
         if new:
@@ -91,7 +100,9 @@ class WordIds:
                 for w, e in zip(others, encodings):
                     young[w] = np.array(e.ids, "<u4").tobytes()
         ids = b"".join([young[w] for w in words])
-        self.pieces.turn()
+        for w in new:
+            if len(w) > LONGEST_KEY:
+                del young[w]
         if len(young) > self.keys:
             self.old, self.young = young, {}
         return ids
@@ -171,56 +182,108 @@ class Packing:
         return len(self.bins), -sum((self.capacity - r) ** 2 for r in self.room)
 
 
+def best_change(sizes: list[int], limit: int, least: int) -> tuple[int, tuple[int, ...]]:
+    """The one or two positions of ``sizes`` (ascending) with the greatest sum over ``least`` and up to ``limit``; none: ``least, ()``."""
+    found: tuple[int, ...] = ()
+    end = bisect.bisect_right(sizes, limit)
+    if end and sizes[end - 1] > least:
+        least, found = sizes[end - 1], (end - 1,)
+    low, high = 0, end - 1
+    while low < high and least < limit:
+        both = sizes[low] + sizes[high]
+        if both > limit:
+            high -= 1
+            continue
+        if both > least:
+            least, found = both, (low, high)
+        low += 1
+    return least, found
+
+
+def exchange(bins: list[list[int]], displaced: list[int], sizes: list[int], capacity: int) -> list[int]:
+    """Displaced items after they changed places, one or two for one or two, with items of ``bins`` where a bin is fuller then."""
+    free = sorted(displaced, key=sizes.__getitem__)
+    waiting = [sizes[i] for i in free]
+    for items in bins:
+        room = capacity - sum([sizes[i] for i in items])
+        while room and free:
+            gain, outs, ins = 0, (), ()
+            for some in (*combinations(items, 1), *combinations(items, 2)):
+                held = sum([sizes[i] for i in some])
+                reached, found = best_change(waiting, held + room, held + gain)
+                if found:
+                    gain, outs, ins = reached - held, some, found
+                    if gain == room:
+                        break
+            if not gain:
+                break
+            room -= gain
+            for k in reversed(ins):
+                items.append(free.pop(k))
+                waiting.pop(k)
+            for i in outs:
+                items.remove(i)
+                k = bisect.bisect_left(waiting, sizes[i])
+                waiting.insert(k, sizes[i])
+                free.insert(k, i)
+    return free
+
+
 def crossover(one: Packing, other: Packing, rng: random.Random) -> Packing:
     """A child of ``other`` with whole well-filled bins of ``one``."""
     child = Packing(one.sizes, one.capacity)
-    order = sorted(range(len(one.bins)), key=one.room.__getitem__)
-    full = order[:max(1, rng.randint(len(order) // 3, max(len(order) // 3, 9 * len(order) // 10)))]
-    injected = [one.bins[b] for b in full if rng.random() < 0.9 or one.room[b] == 0]
+    filled = sorted(range(len(one.bins)), key=one.room.__getitem__)[:max(1, 2 * len(one.bins) // 3)]
+    n = rng.randint(1, max(1, len(filled) // 2))
+    first = rng.randint(0, len(filled) - n)
+    bins = [list(one.bins[b]) for b in filled[first:first + n]]
     taken = bytearray(len(one.sizes))
-    for items in injected:
-        child.add_bin(list(items))
+    for items in bins:
         for i in items:
             taken[i] = 1
+    emptiest = set(sorted(range(len(other.bins)), key=other.room.__getitem__)[-3:])
     displaced = []
     for b, items in enumerate(other.bins):
-        free = [i for i in items if not taken[i]]
-        if len(free) == len(items) and other.room[b] <= other.capacity // 50:
-            child.add_bin(list(items))
+        left = [i for i in items if not taken[i]]
+        if len(left) == len(items) and b not in emptiest:
+            bins.append(left)
         else:
-            displaced.extend(free)
+            displaced.extend(left)
+    displaced = exchange(bins, displaced, one.sizes, one.capacity)
+    for items in bins:
+        child.add_bin(items)
     child.best_fit(displaced)
     return child
 
 
 def evolve(sizes: list[int], parents: list[list[list[int]]], capacity: int, children: int, seed: int) -> Packing:
-    """The best packing after ``children`` crossovers among ``parents`` (lists of bins) and two fresh packings."""
+    """The best packing after ``children`` crossovers among ``parents`` (lists of bins), the best-fit packing where there are none, and
+    packings of which a random half is packed first."""
     rng = random.Random(seed)
+    least = -(-sum(sizes) // capacity)
     population = []
     for bins in parents:
         p = Packing(sizes, capacity)
         for items in bins:
             p.add_bin(list(items))
         population.append(p)
-    while len(population) < 2:
+    while len(population) < POPULATION:
+        if any(len(p.bins) == least for p in population):
+            break
         p = Packing(sizes, capacity)
         items = list(range(len(sizes)))
-        if population:  # a second kind: a random half packed first
+        if population:
             rng.shuffle(items)
             p.best_fit(items[: len(items) // 2])
             items = items[len(items) // 2:]
         p.best_fit(items)
         population.append(p)
-    least = -(-sum(sizes) // capacity)
     for _ in range(children):
         population.sort(key=Packing.fitness)
         if len(population[0].bins) == least:
             break
-        one, other = rng.sample(population, 2)
-        population.append(crossover(one, other, rng))
-        if len(population) > 4:
-            population.sort(key=Packing.fitness)
-            population.pop()
+        child = crossover(*rng.sample(population, 2), rng)
+        if child.fitness() < population[-1].fitness():
+            population[-1] = child
     return min(population, key=Packing.fitness)
 
 
