@@ -11,7 +11,8 @@ instead, ``--database curated=prod_curated`` all declared sources of a database
 both need ``--as-of``.  ``--backfill-from`` runs every day from
 that date to ``--backfill-to`` (default: ``--as-of``); each day's run writes
 its own partitions.  ``backfill`` writes the ``report_date`` metrics of all run days from
-that date on in one pass per metric, over the written targets of their upstream models.  ``test --target`` checks the written tables; without a
+that date on in one pass per metric, over the written targets of their upstream models.  Both print a line for each
+row check (not null, accepted values) of what they wrote, counted during the write.  ``test --target`` checks the written tables; without a
 target it checks models built from the sources.
 """
 
@@ -49,6 +50,14 @@ def _args(argv: list[str]) -> argparse.Namespace:
     return ap.parse_args(argv)
 
 
+def _report(results: list[dict]) -> int:
+    """One PASS/FAIL line per check; the number that failed."""
+    for r in results:
+        status = "PASS" if r["n_violations"] == 0 else "FAIL"
+        print(f"{status} {r['check']} {r['model']}({r['columns']}) violations={r['n_violations']}")
+    return sum(r["n_violations"] != 0 for r in results)
+
+
 def main(argv: list[str] | None = None) -> int:
     a = _args(sys.argv[1:] if argv is None else argv)
     if a.as_of is None and not a.sf_dir and not (a.command == "test" and a.target):
@@ -72,6 +81,7 @@ def main(argv: list[str] | None = None) -> int:
         while day <= last:  # one run per day; each writes its own partitions
             p = Project(spark, src, RunContext(as_of=dt.datetime.combine(day, as_of.time()), params=params))
             run_models(p, models, a.target, threads=a.threads)
+            _report(p.write_checks)
             print(json.dumps({"as_of": str(p.ctx.as_of), "models": models}))
             day += dt.timedelta(days=1)
     elif a.command == "backfill":
@@ -80,6 +90,7 @@ def main(argv: list[str] | None = None) -> int:
         bounds = {"manual_backfill": True, "backfill_start": first, "backfill_end": last}
         p = Project(spark, src, RunContext(as_of=as_of, params={**params, **bounds}))
         backfill_metrics(p, models, a.target)
+        _report(p.write_checks)
         print(json.dumps({"first": str(first), "last": str(last), "models": models}))
     else:
         names = {c.model for c in Q.MODEL_CHECKS}
@@ -88,11 +99,7 @@ def main(argv: list[str] | None = None) -> int:
         else:
             p = Project(spark, src, RunContext(as_of=as_of, params=params))
             frames = {m: p.ref(m) for m in names}
-        failed = 0
-        for r in Q.run_suite(Q.MODEL_CHECKS, frames).collect():  # one row per check
-            status = "PASS" if r.n_violations == 0 else "FAIL"
-            failed += status == "FAIL"
-            print(f"{status} {r.check} {r.model}({r.columns}) violations={r.n_violations}")
+        failed = _report([r.asDict() for r in Q.run_suite(Q.MODEL_CHECKS, frames).collect()])  # one row per check
         spark.stop()
         return 1 if failed else 0
     spark.stop()

@@ -1,7 +1,8 @@
 """Data-quality checks as Spark jobs that return violating rows.
 
 A check passes when it returns no rows.  ``run_suite`` evaluates many checks
-as one union of small aggregates: one job, one row per check.
+as one union of small aggregates: one job, one row per check.  ``WriteChecks``
+counts the violations of a model's row checks while its rows are written.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -26,10 +27,14 @@ def unique(df: DataFrame, column: str) -> DataFrame:
 
 def accepted_values(df: DataFrame, column: str, values: Sequence, allow_null: bool = False) -> DataFrame:
     """Q3: rows whose value is outside ``values``."""
+    return df.where(_outside(column, values, allow_null))
+
+
+def _outside(column: str, values: Sequence, allow_null: bool) -> Column:
     ok = F.col(column).isin(list(values))
     if allow_null:
         ok = ok | F.col(column).isNull()
-    return df.where(~F.coalesce(ok, F.lit(False)))
+    return ~F.coalesce(ok, F.lit(False))
 
 
 def compound_unique(df: DataFrame, columns: Sequence[str], ignore_nulls: bool = False) -> DataFrame:
@@ -96,6 +101,37 @@ def run_suite(checks: Sequence[Check], frames: dict[str, DataFrame]) -> DataFram
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
+class WriteChecks:
+    """The checks of a model that look at one row at a time, counted by the tasks that write the rows.
+
+    ``watch`` goes on the rows as the last step before the write, above every
+    exchange: each written partition counts once, whatever is tried again or
+    sampled below.  The target is not read for it.
+    """
+
+    def __init__(self, model: str, checks: Sequence[Check] | None = None):
+        declared = MODEL_CHECKS if checks is None else checks
+        self.checks = [c for c in declared if c.model == model and c.kind in ("not_null", "accepted_values")]
+        self._watched: Observation | None = None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        if not self.checks:
+            return df
+        self._watched = Observation()
+        violated = [F.col(c.columns[0]).isNull() if c.kind == "not_null" else _outside(c.columns[0], c.values, c.allow_null)
+                    for c in self.checks]
+        return df.observe(self._watched, F.count(F.lit(1)).alias("n_rows"),
+                          *[F.count(F.when(v, 1)).alias(f"check_{k}") for k, v in enumerate(violated)])
+
+    def results(self) -> list[dict]:
+        """After the write, one entry per check, named as in ``run_suite``, with the number of rows written."""
+        if self._watched is None:
+            return []
+        seen = self._watched.get
+        return [{"check": c.kind, "model": c.model, "columns": ",".join(c.columns), "n_violations": seen[f"check_{k}"],
+                 "n_rows": seen["n_rows"]} for k, c in enumerate(self.checks)]
+
+
 # The checks declared on the models (grains of SURVEY §1.4).
 MODEL_CHECKS = [
     Check("compound_unique", "metric_fill_rate", ("warehouse_id", "report_date", "cadence", "ship_class")),

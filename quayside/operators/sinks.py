@@ -26,7 +26,7 @@ from __future__ import annotations
 import hashlib
 import os
 import uuid
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,15 +52,21 @@ def _clustered(df: DataFrame, cluster_by: Sequence[str] | None, partition_by: Se
     return df.repartitionByRange(*[F.col(k) for k in keys], spread).sortWithinPartitions(*keys)
 
 
-def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    """``materialized='table'`` — replace the target."""
-    _clustered(df, cluster_by).write.mode("overwrite").format(fmt).save(path)
+def _as_is(df: DataFrame) -> DataFrame:
+    return df
+
+
+def write_table(df: DataFrame, path: str, cluster_by: Sequence[str] | None = None, fmt: str = "parquet",
+                watch: Callable[[DataFrame], DataFrame] = _as_is) -> None:
+    """``materialized='table'`` — replace the target.  ``watch`` sees the rows as they are written."""
+    watch(_clustered(df, cluster_by)).write.mode("overwrite").format(fmt).save(path)
 
 
 def insert_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ("report_date",),
-                     cluster_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:
-    """Only partitions present in ``df`` are replaced; the others survive."""
-    (_clustered(df, cluster_by, partition_by).write.mode("overwrite")
+                     cluster_by: Sequence[str] | None = None, fmt: str = "parquet",
+                     watch: Callable[[DataFrame], DataFrame] = _as_is) -> None:
+    """Only partitions present in ``df`` are replaced; the others survive.  ``watch`` as for ``write_table``."""
+    (watch(_clustered(df, cluster_by, partition_by)).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by).format(fmt).save(path))
 

@@ -45,6 +45,8 @@ class Project:
         self._locks_guard = threading.Lock()
         # previous versions of incremental targets ({{ this }}), by model name
         self.targets: dict[str, DataFrame] = {}
+        # results of the row checks counted while a run wrote its models
+        self.write_checks: list[dict] = []
         # set by a run: gives the target of a model, written first if the run is to write it, or None
         self.target_of: Callable[[str], DataFrame | None] = lambda name: None
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 
 from quayside.functions import backfill as B
 from quayside.operators import metrics as M
+from quayside.operators import quality as Q
 from quayside.operators import sinks
 from quayside.plans import dim_warehouse as DW
 from quayside.plans import propagation as PG
@@ -103,16 +104,18 @@ def materialize(p: Project, name: str, path: str) -> DataFrame:
         _propagated(p, name, path, target)
         return p.spark.read.parquet(path)
     df = _frame(p, name, target)
+    checks = Q.WriteChecks(name)
     if m.kind == "table":
         df = sinks.ci_limit(df, p.ctx.ci_limit, df.columns)
-        sinks.write_table(df, path, cluster_by=m.cluster_by)
+        sinks.write_table(df, path, cluster_by=m.cluster_by, watch=checks.watch)
     elif m.kind == "insert_overwrite":
-        sinks.insert_overwrite(df, path, partition_by=m.partition_by, cluster_by=m.cluster_by)
+        sinks.insert_overwrite(df, path, partition_by=m.partition_by, cluster_by=m.cluster_by, watch=checks.watch)
     else:
         if m.partition_by:
             sinks.merge_upsert_partitions(p.spark, df, path, m.unique_key, m.update_columns, m.partition_by, m.cluster_by)
         else:
             sinks.merge_upsert(p.spark, df, path, m.unique_key, m.update_columns, m.cluster_by, group_key=m.group_key)
+    p.write_checks.extend(checks.results())
     return p.spark.read.parquet(path)
 
 
@@ -136,8 +139,9 @@ def backfill_metrics(p: Project, names: Sequence[str], target_root: str) -> dict
         rows = RR.rows_of_range(p, list(names), bounds["backfill_start"], bounds["backfill_end"])
         paths = {name: os.path.join(target_root, name) for name in names}
         for name, df in rows.items():
-            m = MATERIALIZATIONS[name]
-            sinks.insert_overwrite(df, paths[name], partition_by=m.partition_by, cluster_by=m.cluster_by)
+            m, checks = MATERIALIZATIONS[name], Q.WriteChecks(name)
+            sinks.insert_overwrite(df, paths[name], partition_by=m.partition_by, cluster_by=m.cluster_by, watch=checks.watch)
+            p.write_checks.extend(checks.results())
     finally:
         p.target_of = lambda name: None
         p.drop_scratch()
@@ -154,7 +158,8 @@ def run_models(p: Project, names: Sequence[str], target_root: str, threads: int
 
     ``threads`` > 1 submits independent models concurrently (the reference's run
     profile has the same setting); Spark interleaves their jobs, and a shared
-    upstream model is still built once.
+    upstream model is still built once.  ``p.write_checks`` then holds what the row
+    checks of the written models counted during the writes.
     """
     paths = {name: os.path.join(target_root, name) for name in names}
 
