@@ -86,19 +86,14 @@ def pick_rank_first(df: DataFrame, keys: Sequence[ColumnOrName], order: Sequence
     return pick_first(df, keys, order, fn=F.rank)
 
 
-def discrete_median(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """``PERCENTILE_DISC(value, 0.5)`` per ``key``: the smallest value whose running count reaches half.
+def newest(df: DataFrame, column: str) -> DataFrame:
+    """Rows with the greatest ``column`` (no row where all are NULL).
 
-    Rows are counted per (key, value) first, so the running count sees distinct
-    values only and a hot group costs one row per value.  NULL values do not
-    count; a group of NULLs alone has the median NULL.
+    The maximum is a scalar subquery in the filter, so on a table partitioned by
+    ``column`` it becomes a partition filter and the scan opens the newest
+    partition's files only; the maximum itself reads no data columns.
     """
-    counted = df.groupBy(key, value).agg(F.count(value).alias("__n"))
-    of = Window.partitionBy(key)
-    running = F.sum("__n").over(of.orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0))
-    reached = counted.withColumn("__run", running).withColumn("__all", F.sum("__n").over(of))
-    return reached.groupBy(key).agg(
-        F.min(F.when((F.col("__n") > 0) & (2 * F.col("__run") >= F.col("__all")), F.col(value))).cast("double").alias(alias))
+    return df.where(F.col(column) == df.agg(F.max(column)).scalar())
 
 
 # --- predicates ---------------------------------------------------------------------------------

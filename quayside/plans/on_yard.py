@@ -50,10 +50,9 @@ def metric_on_yard_units(p: Project) -> DataFrame:
                     ).agg(F.sum("sum_trailer_units").alias("sum_trailer_units"))
 
     cap = p.source("receiving_capacity")
-    latest = cap.agg(F.max("upload_date").alias("upload_date"))  # one row: broadcast is size-proven
     day = cal.lit_date(p.ctx.report_date)
-    cap_day = (cap.where(F.col("day_of_unit_capacity") == day)
-                  .join(F.broadcast(latest), "upload_date")
+    # the newest upload of all days, not of this day
+    cap_day = (R.newest(cap, "upload_date").where(F.col("day_of_unit_capacity") == day)
                   .select("warehouse_id", "inbound_unit_capacity"))
     out = (acc.where(F.col("sum_trailer_units").isNotNull())
               .join(cap_day, "warehouse_id")  # LEFT JOIN then INNER JOIN on its column = inner (J17)

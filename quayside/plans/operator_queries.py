@@ -16,6 +16,7 @@ from quayside.functions import scalar as S
 from quayside.operators import metrics as M
 from quayside.operators import quality as Q
 from quayside.operators import relops as R
+from quayside.operators.percentiles import discrete_percentile
 from quayside.operators import sinks
 from quayside.plans import dim_date as DD
 from quayside.plans import dim_warehouse as DW
@@ -494,9 +495,7 @@ def q_join_left_then_inner(p: Project) -> DataFrame:
 
 @query("join_scalar_max")
 def q_join_scalar_max(p: Project) -> DataFrame:
-    cap = p.source("receiving_capacity")
-    latest = cap.agg(F.max("upload_date").alias("upload_date"))
-    return cap.join(F.broadcast(latest), "upload_date").select("warehouse_id", "day_of_unit_capacity", "inbound_unit_capacity")
+    return R.newest(p.source("receiving_capacity"), "upload_date").select("warehouse_id", "day_of_unit_capacity", "inbound_unit_capacity")
 
 
 @query("join_star_chain")
@@ -613,10 +612,15 @@ def q_agg_sum_plus_sum(p: Project) -> DataFrame:
         (F.sum("Bulk_Picks_LP") + F.sum("Bulk_Picks_SP_Bins")).alias("fc_total_units_shipped_actuals"))
 
 
+def _median_qty(p: Project) -> DataFrame:
+    return discrete_percentile(p.source("content_detail"), "ContentType", "Qty", "median_qty",
+                               store=lambda df: p.stage("median_values", df))
+
+
 @query("agg_median_then_avg")
 def q_agg_median_then_avg(p: Project) -> DataFrame:
     """Discrete median per group over counted values."""
-    return R.discrete_median(p.source("content_detail"), "ContentType", "Qty", "median_qty")
+    return _median_qty(p)
 
 
 @query("agg_on_join_fanout")
@@ -674,10 +678,10 @@ def q_win_rank_latest_ties(p: Project) -> DataFrame:
 def q_win_percentile_disc(p: Project) -> DataFrame:
     """``PERCENTILE_DISC(x, 0.5) OVER (PARTITION BY k)`` — every row carries its
     group's median.  A window would put a whole group into one task (a hot
-    group holds a third of the rows); the median is found over counted values
+    group holds a third of the rows); the median is found over counted values in ranges
     and the one-row-per-group result joined back."""
     cd = p.source("content_detail").select("ContentRefID", "ReservationID", "ContentType", "Qty")
-    med = R.discrete_median(cd, "ContentType", "Qty", "median_qty")
+    med = _median_qty(p)
     return cd.join(med, "ContentType", "left").select(
         "ContentRefID", "ReservationID", "ContentType", "Qty", "median_qty")
 

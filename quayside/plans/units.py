@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from quayside.functions import calendar as cal
 from quayside.functions import scalar as S
 from quayside.operators import relops as R
+from quayside.operators.percentiles import discrete_percentile
 from quayside.plans.project import Project, model
 
 RES = "inbound_trailer_reservation_id"
@@ -239,7 +240,7 @@ def units_median_backup(p: Project) -> DataFrame:
 
     Every row of a subwarehouse carries the same windowed median, so the
     reference's AVG over them equals the grouped median (A15), found over
-    counted values.
+    counted values in ranges.
     """
     ul = p.ref("units_logic")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
@@ -250,7 +251,8 @@ def units_median_backup(p: Project) -> DataFrame:
         & (F.col("trailer_arrival_datetime_local") < cal.lit_ntz(p.ctx.current_datetime))
         & (z("trailer_inbound_reservation_units") + z("xd_trailer_reservation_units") + z("total_trailer_units") > 0))
     x = (z("trailer_inbound_reservation_units") + z("xd_trailer_reservation_units")).alias("x")
-    return R.discrete_median(recent.select("subwarehouse", x), "subwarehouse", "x", "average_subwarehouse_qty")
+    return discrete_percentile(recent.select("subwarehouse", x), "subwarehouse", "x", "average_subwarehouse_qty",
+                               store=lambda df: p.stage("units_median_values", df))
 
 
 @model("stg_units_reservation")
