@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from quayside.catalog import query
 from quayside.functions import backfill as B
 from quayside.functions import calendar as cal
 from quayside.functions import scalar as S
+from quayside.operators import metric_dictionary as MD
 from quayside.operators import metrics as M
 from quayside.operators import quality as Q
 from quayside.operators import relops as R
@@ -1023,6 +1025,13 @@ def q_metric_dictionary_eval(p: Project) -> DataFrame:
     return daily.unionByName(weekly)
 
 
+@query("metric_dictionary_planned")
+def q_metric_dictionary_planned(p: Project) -> DataFrame:
+    """K1: the dictionary file's metrics, variations and final aggregations, one pass per model and level."""
+    metrics = MD.load(Path(__file__).with_name("metric_dictionary.yml"))
+    return MD.evaluate_all(metrics, p.ref, ["warehouse_id"])
+
+
 @query("metric_tall_row")
 def q_metric_tall_row(p: Project) -> DataFrame:
     return p.build("report_outbound")
