@@ -1,7 +1,7 @@
 """Chat formatting in budgeted windows.
 
-A conversation is written as one or more windows of whole turns.  Prefix sums of the turns' tokens choose how many new turns
-fit a window's budget; later windows start with the system turn and a limited history of repeated turns.  The loss mask
+A conversation is written as one or more windows of whole turns.  Prefix sums of the turns' tokens, computed in ranges, choose the
+spans of new turns; later windows start with the system turn and a limited history of repeated turns.  The loss mask
 covers the assistant texts of new turns only, so each target is trained on once.
 
 Template: ``<|role|>`` newline text ``</s>`` newline per turn.  Inside roles and texts a backslash is doubled and one is put
@@ -12,15 +12,14 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import deque
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from quayside.llm import bpe
-from quayside.llm.common import arrow_map, prepare
+from quayside.llm.common import arrow_map, prepare, stored
+from quayside.llm.ordered import running_sums
 
 BUDGET, HISTORY = 1024, 256  # tokens of a window, and of the history repeated in it
 OVERHEAD = 8                 # tokens counted for a turn's marks
@@ -40,11 +39,7 @@ def unescape(text: str) -> str:
 
 def write_turn(role: str, text: str) -> tuple[str, int, int]:
     """The formatted turn, and where its text begins and ends in it."""
-    return _escaped_turn(escape(role), escape(text))
-
-
-def _escaped_turn(role: str, body: str) -> tuple[str, int, int]:
-    head = f"<|{role}|>\n"
+    head, body = f"<|{escape(role)}|>\n", escape(text)
     return head + body + END, len(head), len(head) + len(body)
 
 
@@ -58,118 +53,103 @@ def read_turns(window: str) -> Iterator[tuple[str, str]]:
         at = end + len(END)
 
 
-@dataclass
-class Conversation:
-    """Windows of one conversation whose turns come one by one; holds one window and the history at a time."""
-    conv_id: int | None
-    budget: int
-    history: int
-    system: tuple[str, tuple, int] | None = None
-    recent: deque = field(default_factory=deque)  # turns before the window: (role, formatted turn, tokens)
-    new: list = field(default_factory=list)
-    used: int = 0
-    seen: int = 0
-    number: int = 0
-
-    def add(self, role: str, written: tuple[str, int, int], tokens: int) -> Iterator[tuple]:
-        turn = (role, written, tokens + OVERHEAD)
-        if self.new and self.used + turn[2] > self.budget:
-            yield self.window()
-        if not self.new and self.seen:
-            kept = (self.system[2] if self.system else 0)
-            self.used = kept + sum(t[2] for t in self._context(self.budget - kept - turn[2]))
-        self.new.append(turn)
-        self.used += turn[2]
-        if not self.seen and role == "system":
-            self.system = turn
-        self.seen += 1
-
-    def _context(self, room: int) -> list[tuple]:
-        """The latest turns before the window within the history and the room."""
-        taken, room = [], min(room, self.history)
-        for turn in reversed(self.recent):
-            if turn[2] > room:
-                break
-            room -= turn[2]
-            taken.append(turn)
-        return taken[::-1]
-
-    def window(self) -> tuple:
-        context = []
-        if self.number:
-            if self.system:
-                context.append(self.system)
-            kept = sum(t[2] for t in context)
-            context += self._context(self.budget - kept - self.new[0][2])
-        parts, spans, at = [], [], 0
-        for k, (role, (written, lo, hi), _) in enumerate(context + self.new):
-            if role == "assistant" and k >= len(context):
-                spans.append({"start": at + lo, "end": at + hi})
-            parts.append(written)
-            at += len(written)
-        row = (self.conv_id, self.number, "".join(parts), spans, len(context),
-               sum(t[2] for t in context + self.new))
-        for turn in self.new:
-            if turn is not self.system:
-                self.recent.append(turn)
-        total = sum(t[2] for t in self.recent)
-        while self.recent and total > self.history:
-            total -= self.recent.popleft()[2]
-        self.new, self.used, self.number = [], 0, self.number + 1
-        return row
-
-
-WINDOWS = ("conv_id long, window long, text string, loss array<struct<start:long,end:long>>, n_context long, n_tokens long")
-_TYPES = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
-          pa.int64(), pa.int64())
-_NAMES = ["conv_id", "window", "text", "loss", "n_context", "n_tokens"]
+ORDER_HEAD = 64  # first characters of a text that order turns of one number and role, before its hash
+
+
+def _written() -> list:
+    """The formatted turn of counted rows: its text, where the turn's text begins and ends in it, its length."""
+    head = F.concat(F.lit("<|"), F.coalesce("escaped_role", "role"), F.lit("|>\n"))
+    body = F.coalesce("escaped_text", "text")
+    lo, size = F.char_length(head), F.char_length(body)
+    return [F.concat(head, body, F.lit(END)).alias("written"), lo.cast("long").alias("lo"), (lo + size).cast("long").alias("hi"),
+            (lo + size + len(END)).cast("long").alias("len")]
+
+
+def _placed(counted: DataFrame, budget: int, history: int) -> DataFrame:
+    """Every turn ``id`` with its place ``k`` and the tokens ``p`` before it in its conversation, and its window: the place
+    ``window`` and tokens ``p0`` where that begins, the tokens ``new`` of its new turns, and the system turn kept in it.
+
+    Prefix sums alone place turns: a conversation's tokens are cut into steps, and a turn belongs to the step where it
+    begins; one that reaches over the step's end too far for the budget has a window for itself."""
+    slim = counted.select("cid", "turn", "role", F.substring("text", 1, ORDER_HEAD).alias("head"), F.xxhash64("text").alias("h1"),
+                          F.xxhash64(F.lit("second"), "text").alias("h2"), "id", "cost")
+    order = [F.col("cid"), F.col("turn").asc_nulls_first(), *map(F.col, ("role", "head", "h1", "h2", "id"))]
+    sums = stored(running_sums(slim, order, {"at": F.col("cost"), "n": F.lit(1)}).select("cid", "id", "role", "cost", "at", "n"))
+    first = sums.groupBy("cid").agg(F.min("at").alias("at0"), F.min("n").alias("n0"),
+                                    F.min_by(F.struct("role", "cost", "id"), "n").alias("f"))
+    first = first.select("cid", "at0", "n0", F.when(F.col("f.role") == "system", F.col("f.id")).alias("system"),
+                         F.when(F.col("f.role") == "system", F.col("f.cost")).otherwise(0).alias("kept"))
+    room = F.lit(budget) - F.col("kept")
+    step = F.greatest(room - history, F.floor(room / 2), F.lit(1))
+    turns = sums.join(first, "cid").select("cid", "id", "cost", "system", "kept", (F.col("at") - F.col("at0")).alias("p"),
+                                           (F.col("n") - F.col("n0")).alias("k"), step.alias("step"))
+    turns = turns.withColumn("cell", F.expr("p div step"))
+    over = F.col("p") + F.col("cost") - F.col("cell") * F.col("step") > F.when(F.col("cell") > 0, room).otherwise(budget)
+    together = Window.partitionBy("cid", "cell", "over")
+    return turns.withColumn("over", over).select(
+        "cid", "id", "cost", "system", "kept", "p", "k", F.min("k").over(together).alias("window"),
+        F.min("p").over(together).alias("p0"), F.sum("cost").over(together).alias("new"))
+
+
+def _members(placed: DataFrame, budget: int, history: int) -> DataFrame:
+    """``(cid, window, id, k, context, cost)``: the new turns of every window, the system turn of all but the first, and the
+    latest turns before a window whose tokens fit the history and the window."""
+    shape = ("cid", "window", "id", "k", "context", "cost")
+    new = placed.withColumn("context", F.lit(False)).select(*shape)
+    starts = placed.where("k = window and k > 0").select(
+        "cid", "window", "p0", "system", "kept", F.least(F.lit(history), F.lit(budget) - F.col("kept") - F.col("new")).alias("room"))
+    system = starts.where("system is not null").select(
+        "cid", "window", F.col("system").alias("id"), F.lit(0).cast("long").alias("k"), F.lit(True).alias("context"),
+        F.col("kept").alias("cost"))
+    # a window and its history begin in the same or in neighbouring stretches of as many tokens as the history has
+    stretch = f"div {max(history, 1)}"
+    before = placed.where("system is null or k > 0").select(
+        "cid", "id", "k", "p", "cost", F.explode(F.expr(f"array(p {stretch}, p {stretch} + 1)")).alias("stretch"))
+    past = starts.where("room > 0").withColumn("stretch", F.expr(f"p0 {stretch}")).join(before, ["cid", "stretch"]) \
+        .where("k < window and p0 - p <= room").withColumn("context", F.lit(True)).select(*shape)
+    return new.unionByName(system).unionByName(past)
+
+
+# Loss spans of a window's parts in order: a running place, and the spans of new assistant texts.
+_SPANS = """aggregate(parts, named_struct('at', 0L, 'spans', cast(array() as array<struct<start:bigint,end:bigint>>)),
+    (a, x) -> named_struct('at', a.at + x.len, 'spans', if(x.role = 'assistant' and not x.context,
+        concat(a.spans, array(named_struct('start', a.at + x.lo, 'end', a.at + x.hi))), a.spans)), a -> a.spans)"""
 
 
 def format_windows(turns: DataFrame, vocabulary: str, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Windows ``(conv_id, window, text, loss, n_context, n_tokens)`` of ``turns (conv_id, turn, role, text)``.
 
-    ``loss`` holds the spans of ``text`` to train on, ``n_context`` the leading turns that repeat.  A turn longer than the
-    budget has a window for itself.  Turns are ordered by ``turn``, then role and text (ties, repeated rows: each a turn; null first);
-    a null role or text is empty; rows without ``conv_id`` are one conversation with a null id.  Other columns are
-    ignored; an empty table gives an empty result.  Turns are counted and escaped where they are read; conversations then
-    stream through in order, so one of any length needs the memory of a window."""
+    ``window`` is the place of the window's first new turn in its conversation, ``loss`` holds the spans of ``text`` to train on,
+    ``n_context`` the leading turns that repeat.  A window has at most ``budget`` tokens, but for one whose only new turn does not
+    fit beside the system turn.  Turns are ordered by ``turn``, then role, the text's first characters and its hash (ties, repeated
+    rows: each a turn; null first); a null role or text is empty; rows without ``conv_id`` are one conversation with a null id.
+    Other columns are ignored; an empty table gives an empty result.
+
+    Turns are counted and escaped where they are read and written once.  Sums run over ranges of slim rows, so a conversation
+    of any length, or all rows without an id, is spread over tasks; only the turns of one window meet."""
     rows = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"),
-                           F.coalesce("text", F.lit("")).alias("text"))
+                        F.coalesce("text", F.lit("")).alias("text"))
 
-    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
-        count = bpe.loaded(vocabulary).count
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        tokens = bpe.loaded(vocabulary).count
         roles, texts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         changed = [[e if e != x else None for x, e in zip(xs, map(escape, xs))] for xs in (roles, texts)]  # few are
         return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array([count(r) + count(t) for r, t in zip(roles, texts)], pa.int64()),
+            [*batch.columns, pa.array([tokens(r) + tokens(t) + OVERHEAD for r, t in zip(roles, texts)], pa.int64()),
              *(pa.array(c, pa.string()) for c in changed)],
-            names=["conv_id", "turn", "role", "text", "tokens", "escaped_role", "escaped_text"])
-
-    ordered = arrow_map(rows, counted, "conv_id long, turn long, role string, text string, tokens long, escaped_role string, "
-                                       "escaped_text string") \
-        .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text") \
-        .select("conv_id", "role", F.coalesce("escaped_role", "role"), F.coalesce("escaped_text", "text"), "tokens")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: Conversation | None = None
-        for batch in batches:
-            out: list[tuple] = []
-            for conv_id, role, escaped_role, escaped_text, tokens in zip(*(c.to_pylist() for c in batch.columns)):
-                if now is None or conv_id != now.conv_id:
-                    if now is not None:
-                        out.append(now.window())
-                    now = Conversation(conv_id, budget, history)
-                out.extend(now.add(role, _escaped_turn(escaped_role, escaped_text), tokens))
-            if out:
-                yield _batch(out)
-        if now is not None:
-            yield _batch([now.window()])
-
-    return ordered.mapInArrow(run, WINDOWS)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TYPES)], names=_NAMES)
+            names=["conv_id", "turn", "role", "text", "cost", "escaped_role", "escaped_text"])
+
+    counted = arrow_map(rows, count, "conv_id long, turn long, role string, text string, cost long, escaped_role string, "
+                                     "escaped_text string")
+    counted = stored(counted.withColumn("cid", F.coalesce(F.col("conv_id").cast("string"), F.lit(""))).drop("conv_id")
+                     .withColumn("id", F.monotonically_increasing_id()))
+    placed = stored(_placed(counted, budget, history))
+    parts = _members(placed, budget, history).join(counted.select("id", "role", *_written()), "id")
+    part = F.struct("k", "role", "context", "written", "lo", "hi", "len")
+    windows = parts.groupBy("cid", "window").agg(F.array_sort(F.collect_list(part)).alias("parts"),
+                                                 F.count_if("context").alias("n_context"), F.sum("cost").alias("n_tokens"))
+    return windows.select(F.nullif("cid", F.lit("")).cast("long").alias("conv_id"), "window",
+                          F.array_join("parts.written", "").alias("text"), F.expr(_SPANS).alias("loss"), "n_context", "n_tokens")
 
 
 def read_back(windows: DataFrame) -> DataFrame:

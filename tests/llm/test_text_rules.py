@@ -6,10 +6,11 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from quayside.llm import chat, html_extract, lang_id, quality_rules, url_rules
+from quayside.llm import bpe, chat, html_extract, lang_id, quality_rules, url_rules
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -405,14 +406,69 @@ def test_later_windows_keep_system_turn_and_repeat_history(spark):
         assert targets == [t for k, (role, t) in enumerate(read) if role == "assistant" and k >= r.n_context]
 
 
-def test_turns_are_counted_before_the_shuffle(spark):
-    df = spark.createDataFrame([(None, k, "user", f"t {k} </s>") for k in range(50)], "conv_id long, turn long, role string, text string")
+def _windows_by_hand(turns, budget, history):
+    """Windows of one conversation's ordered (role, text, tokens): (start, context places, new places)."""
+    kept = turns[0][2] if turns[0][0] == "system" else 0
+    step = max(budget - kept - history, (budget - kept) // 2, 1)
+    groups, at, starts = {}, 0, []
+    for k, (*_, tokens) in enumerate(turns):
+        cell = at // step
+        groups.setdefault((cell, at + tokens - cell * step > budget - (kept if cell else 0)), []).append(k)
+        starts.append(at)
+        at += tokens
+    made = []
+    for new in groups.values():
+        context, room = [], min(history, budget - kept - sum(turns[k][2] for k in new))
+        for k in range(new[0] - 1, 0 if kept else -1, -1):
+            if turns[k][2] > room:
+                break
+            room -= turns[k][2]
+            context.insert(0, k)
+        made.append((new[0], ([0] if kept and new[0] else []) + context, new))
+    return sorted(made)
+
+
+@pytest.mark.parametrize("budget, history", [(150, 70), (60, 0), (40, 200), (1, 1)])
+def test_windows_by_prefix_sums_equal_those_by_hand(spark, budget, history):
+    rng = random.Random(budget)
+    convs = {c: [("system" if k == 0 and c % 2 else ["user", "assistant"][k % 2], rng.choice(["", "</s> a", "b " * rng.randint(1, 60)]))
+                 for k in range(rng.choice([1, 3, 30, 90]))] for c in range(8)}
+    rows = [(c or None, k, *t) for c, turns in convs.items() for k, t in enumerate(turns)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    count = bpe.loaded(BYTE).count
+    expected = []
+    for c, turns in convs.items():
+        sized = [(role, text, count(role) + count(text) + chat.OVERHEAD) for role, text in turns]
+        for start, context, new in _windows_by_hand(sized, budget, history):
+            text, loss = "", []
+            for k in context + new:
+                written, lo, hi = chat.write_turn(*turns[k])
+                if k in new and turns[k][0] == "assistant":
+                    loss.append((len(text) + lo, len(text) + hi))
+                text += written
+            expected.append((c, start, text, loss, len(context), sum(sized[k][2] for k in context + new)))
+            assert expected[-1][-1] <= budget or len(new) == 1
+    got = [(r.conv_id or 0, r.window, r.text, [tuple(s) for s in r.loss], r.n_context, r.n_tokens)
+           for r in chat.format_windows(df, BYTE, budget, history).collect()]
+    assert sorted(got) == sorted(expected)
+
+
+def test_a_hot_conversation_is_spread_over_tasks(spark):
+    df = spark.range(6000).selectExpr("cast(null as long) as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role",
+                                      "concat('turn ', id, ' </s>') as text")
     windows = chat.format_windows(df.repartition(4), BYTE, 100, 20)
-    plan = windows._jdf.queryExecution().optimizedPlan().toString()
-    # read from the end of the plan: a map over Arrow batches below the exchange by conversation, and one above it
-    assert [w for w in re.findall(r"MapInArrow|RepartitionByExpression \[conv_id", plan)] == [
-        "MapInArrow", "RepartitionByExpression [conv_id", "MapInArrow"], plan
-    assert [n.n_turns for n in chat.read_back(windows).collect()] == [50]
+    plan = windows._jdf.queryExecution().toString()
+    assert "hashpartitioning(cid" in plan and "hashpartitioning(conv_id" not in plan
+    assert "MapInArrow" not in plan  # counted once, before
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows are few
+    try:
+        spread = windows.withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(spread) > 1 and max(r["count"] for r in spread) < sum(r["count"] for r in spread) / 2
+    back = chat.read_back(windows).collect()
+    assert [(r.conv_id, r.n_turns) for r in back] == [(None, 6000)]
 
 
 # --- pipeline ------------------------------------------------------------------------------------------------------
