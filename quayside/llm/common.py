@@ -99,33 +99,53 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+# A key with more rows than this, and more than the ``HOT_KEYS``-th part of all, is hot; its rows are dealt to ``SALTS`` parts.
+HOT_ROWS, HOT_KEYS, SALTS = 1000, 50_000, 64
+
+
+def join_dealt(rows: DataFrame, small: DataFrame, key: str, spread: str, n_rows: int, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """``rows`` joined with ``small``, which has one row per ``key`` and in ``__n`` the number of ``rows`` of that key; in all ``n_rows``.
+
+    Rows of a hot key are dealt to parts by a hash of ``spread`` before they meet it, so no key is one task's.  At most
+    ``hot_keys`` keys can be hot, so their list is broadcast whatever the input's size (fewer where keys are wide)."""
+    bar = max(HOT_ROWS, -(-n_rows // hot_keys))
+    hot = F.broadcast(small.where(F.col("__n") > bar).select(key, F.lit(True).alias("__hot")))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0).cast("long"))
+    salts = F.when(F.col("__n") > bar, F.expr(f"sequence(0L, {SALTS - 1}L)")).otherwise(F.expr("array(0L)"))
+    dealt = small.withColumn("__salt", F.explode(salts)).drop("__n")
+    return rows.join(hot, key, "left").withColumn("__salt", salt).drop("__hot").join(dealt, [key, "__salt"]).drop("__salt")
+
+
+def join_lowest(rows: DataFrame, key: str, spread: str, least: Column, n_rows: int) -> DataFrame:
+    """``rows`` with ``m``, the least ``least`` among the rows of the same ``key``, aggregated before the shuffle; see ``join_dealt``."""
+    low = rows.groupBy(key).agg(F.min(least).alias("m"), F.count(F.lit(1)).alias("__n"))
+    return join_dealt(rows, low, key, spread, n_rows)
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of the undirected ``edges (a, b)``; ``component`` is the smallest node reachable.
 
     Alternating large-star and small-star rounds: in each, the neighbours of a node are linked to the smallest of
-    them.  A round is one grouping by node and one join; rows never exceed the edges.  The edges of one centre meet in
-    one task, so a component with a large share of the nodes is one task's share of a round.  Both round results are checkpointed in the shared folder.  Edges with a null end are ignored."""
+    them.  Rows never exceed the edges.  The edges of a hot centre are dealt to several tasks (``join_lowest``), so a component with a large
+    share of the nodes is no single task's.  Both round results are checkpointed in the shared folder.  Edges with a null end are ignored."""
     e = (edges.where("a is not null and b is not null and a <> b")
          .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     e = durable(e)
-    seen = None
+    seen, rows = None, e.count()
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: neighbours larger than the node hang on the smallest of the neighbourhood
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
-        # small star: smaller neighbours and the node itself hang on the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        small = (joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        e = durable(small)
+        large = (join_lowest(both, "u", "v", F.least("u", "v"), 2 * rows).where("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        # small star: smaller neighbours and the node itself hang on the smallest of them; rows are no more than before
+        small = join_lowest(large, "u", "v", F.col("v"), rows).select(
+            F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s"))
+        e = durable(small.select("s.u", "s.v").where("u <> v").distinct())
         now = e.agg(F.count("*").alias("n"), F.sum(F.hash("u", "v").cast("decimal(30,0)")).alias("h"),
                     F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("x")).first()
         if now == seen:
             break
-        seen = now
+        seen, rows = now, now.n
     else:
         raise RuntimeError("connected components did not settle")
     # settled: a forest of stars (every edge hangs a node on its component's smallest node)

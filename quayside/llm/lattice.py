@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.llm import buckets
-from quayside.llm.common import arrow_map, connected_components, durable
+from quayside.llm.common import arrow_map, connected_components, durable, join_dealt, join_lowest
 
+HOT_VECTORS = 2000  # vectors that may be broadcast
 THRESHOLD = 0.95
 TABLES, PROBES = 8, 4
 # Standard deviation of projected coordinates, in units of the lattice: at cosine 0.95 a pair meets in one table with a
@@ -172,10 +173,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     of = (classes.join(counts, "class_id", "left")
           .join(joined.withColumnRenamed("node", "class_id"), "class_id", "left")
           .withColumn("component", F.coalesce("component", "class_id")))
-    lowest = of.groupBy("component").agg(F.min("lowest").alias("component_id"))
-    by_vector = of.join(lowest, "component").select(
-        "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
-    linked = valid.join(by_vector, "embedding").select("vec_id", "n_links", "component_id")
+    size = classes.agg(F.count(F.lit(1)).alias("classes"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).first()  # one row
+    by_vector = join_lowest(of, "component", "class_id", F.col("lowest"), size.classes).select(
+        "embedding", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("m").alias("component_id"),
+        F.col("copies").alias("__n"))
+    linked = join_dealt(valid, by_vector, "embedding", "vec_id", size.rows, HOT_VECTORS).select("vec_id", "n_links", "component_id")
     alone = rows.where(~F.coalesce(sound, F.lit(False))).select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

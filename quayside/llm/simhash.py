@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quayside.llm import buckets
-from quayside.llm.common import arrow_map, connected_components, durable
+from quayside.llm.common import arrow_map, connected_components, durable, join_dealt, join_lowest
 
 BITS = 64
 SHINGLE, DISTANCE = 4, 4
@@ -99,12 +99,11 @@ def links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> Dat
 
 
 def _lowest(rows: DataFrame, pick: Column, distance: int, blocks: int) -> DataFrame:
-    """``(fp, component, lowest)``: the component of each fingerprint, and the least ``pick`` among all its rows."""
-    classes = durable(rows.groupBy("fp").agg(F.min(pick).alias("lowest")))
+    """``(fp, lowest, __n)``: of each fingerprint, the least ``pick`` among all rows of its component, and its own number of rows."""
+    classes = durable(rows.groupBy("fp").agg(F.min(pick).alias("lowest"), F.count(F.lit(1)).alias("__n")))
     joined = connected_components(links(classes.select("fp"), distance, blocks)).withColumnRenamed("node", "fp")
     of = classes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    lowest = of.groupBy("component").agg(F.min("lowest").alias("lowest"))
-    return of.select("fp", "component").join(lowest, "component")
+    return join_lowest(of, "component", "fp", F.col("lowest"), classes.count()).select("fp", F.col("m").alias("lowest"), "__n")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
@@ -115,8 +114,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     and are copies of each other.  Other columns are ignored; an empty table gives an empty result."""
     rows = durable(fingerprints(docs, shingle))
     found = _lowest(rows, F.col("doc_id"), distance, blocks)
-    return rows.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                                         F.col("lowest").alias("component_id"))
+    return join_dealt(rows, found, "fp", "doc_id", rows.count()).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("lowest").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
@@ -126,5 +125,5 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE,
     keys = {"__k1": F.xxhash64(*hashed), "__k2": F.xxhash64(F.lit("second"), *hashed)}  # 128 bits name a row
     rows = durable(fingerprints(docs.withColumns(keys), shingle, tuple(keys)))
     pick = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *keys)
-    chosen = _lowest(rows, pick, distance, blocks).select("component", "lowest").distinct().select("lowest.__k1", "lowest.__k2")
+    chosen = _lowest(rows, pick, distance, blocks).select("lowest").distinct().select("lowest.__k1", "lowest.__k2")
     return docs.withColumns(keys).join(chosen, list(keys), "left_semi").dropDuplicates(list(keys)).drop(*keys)

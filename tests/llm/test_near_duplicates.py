@@ -5,8 +5,9 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from quayside.llm import buckets, lattice, simhash
+from quayside.llm import buckets, common, lattice, simhash
 from quayside.llm.common import connected_components
 
 
@@ -33,6 +34,42 @@ def test_components(spark, edges):
     assert got == reachable(nodes, [e for e in edges if e[0] != e[1]])
 
 
+HOT = [[(0, i) for i in range(1, 40)], [(i, 99) for i in range(40)], [(i % 3, i) for i in range(3, 60)] + [(i, i + 100) for i in range(60)]]
+
+
+@pytest.mark.parametrize("edges", HOT)
+def test_components_with_hot_centres(spark, edges, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 3)  # every centre is dealt
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r.node: r.component for r in connected_components(df).collect()}
+    assert got == reachable({n for e in edges for n in e}, edges)
+
+
+def test_rows_of_a_hot_key_meet_it_in_many_tasks(spark):
+    rows = spark.range(20_000).selectExpr("if(id % 4 = 0, id, -1) as u", "id as v")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = common.join_lowest(rows, "u", "v", F.col("v"), 20_000).withColumn("task", F.spark_partition_id())
+        got = joined.groupBy("task").agg(F.count("*").alias("n"), F.sum(F.when(F.col("u") == -1, F.col("m") - 1)).alias("off")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r.n for r in got) == 20_000 and max(r.n for r in got) < 6000  # the hot key alone has 15,000
+    assert all(r.off == 0 for r in got if r.off is not None)
+
+
+def test_dealt_copies_keep_their_classes(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    texts = ["a b c d e f"] * 9 + [None, "", " "] + ["x y z w " * 3] * 4 + ["only once in all of this"]
+    docs = spark.createDataFrame(list(enumerate(texts, 10)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert got == {**{k: 10 for k in range(10, 19)}, **{k: 19 for k in (19, 20, 21)}, **{k: 22 for k in range(22, 26)}, 26: 26}
+    vectors = spark.createDataFrame([(k, [1.0, float(k % 3 == 0) * 5]) for k in range(12)], "vec_id long, embedding array<double>")
+    rows = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in lattice.near_duplicates(vectors).collect()}
+    assert rows == {k: (3, 0, k == 0) if k % 3 == 0 else (7, 1, k == 1) for k in range(12)}
+
+
 def brute_fingerprint(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate({c: c + 32 for c in range(65, 91)}))
     if not words:
