@@ -39,7 +39,8 @@ def lit_ntz(ts: dt.datetime) -> Column:
 
 def utc_to_zone(ts: ColumnOrName, zone: str) -> Column:
     """``DATETIME(ts, zone)``: an instant stored as UTC wall time → local wall time."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts).cast("timestamp_ntz"))
+    # both casts keep the wall time in the session's zone, which is UTC; the zone is looked up once, not per row
+    return F.from_utc_timestamp(_c(ts).cast("timestamp_ntz").cast("timestamp"), zone).cast("timestamp_ntz")
 
 
 def add_hours(ts: ColumnOrName, hours: ColumnOrName | int) -> Column:

@@ -63,6 +63,18 @@ def left_join_nullable(left: DataFrame, right: DataFrame, left_key: str, right_k
     return l.join(r, cond, "left").drop("__salt", "__rsalt")
 
 
+def lookup_join(left: DataFrame, dim: DataFrame, key: str, dim_key: str, how: str = "inner", keys: DataFrame | None = None) -> DataFrame:
+    """``left JOIN dim ON key = dim_key`` (``inner`` or ``left``) where few values of ``key`` hold most rows of ``left``.
+
+    Shuffled by such a key, the rows of ``left`` would meet in as many tasks as there are values.  Only the rows of ``dim``
+    that ``left`` names are broadcast, so ``left`` stays where it is; ``keys`` are rows to read the named values from
+    (by default ``left``).  Same result as the plain join.
+    """
+    used = (left if keys is None else keys).select(F.col(key).alias("__used")).distinct()
+    named = F.broadcast(dim.join(used, dim[dim_key] == used["__used"], "left_semi"))
+    return left.join(named, key if key == dim_key else F.col(key) == F.col(dim_key), how)
+
+
 def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on=on, how="left_semi")
 

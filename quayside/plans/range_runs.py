@@ -65,7 +65,7 @@ def snapshot_for_days(p: Project, first: dt.date, last: dt.date) -> DataFrame:
         RES, F.col("trailer_arrival_datetime_local").alias("ur_arrival"), "trailer_inbound_reservation_units",
         "xd_trailer_reservation_units", "average_subwarehouse_qty", "subwarehouse")
     dw = p.dimension("dim_warehouse", "warehouse_id", "time_zone_hours_offset")
-    j = yt.join(ur, RES).join(dw, "warehouse_id", "left")
+    j = R.lookup_join(yt.join(ur, RES), dw, "warehouse_id", "warehouse_id", "left", keys=yt)
     came = F.to_date("yt_arrival")
     until = [F.date_add(F.to_date(c), 1) for c in ("depart", "unload")]  # New York's day is the run's or the one before
     stay = F.least(F.date_add(came, SN.ON_SITE_LOOKBACK_DAYS), *until)   # nulls do not count

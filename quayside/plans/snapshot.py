@@ -56,7 +56,7 @@ def stg_unit_snapshot(p: Project) -> DataFrame:
         RES, F.col("trailer_arrival_datetime_local").alias("ur_arrival"), "trailer_inbound_reservation_units",
         "xd_trailer_reservation_units", "average_subwarehouse_qty", "subwarehouse")
     dw = p.dimension("dim_warehouse", "warehouse_id", "time_zone_hours_offset")
-    j = yt.join(ur, RES).join(dw, "warehouse_id", "left")
+    j = R.lookup_join(yt.join(ur, RES), dw, "warehouse_id", "warehouse_id", "left", keys=yt)
 
     ur_day, sched_day = F.to_date("ur_arrival"), F.to_date("sched")
     status = (F.when(ur_day < sched_day, "arrived_early")
