@@ -22,6 +22,7 @@ from quayside.operators.percentiles import discrete_percentile
 from quayside.operators import sinks
 from quayside.plans import dim_date as DD
 from quayside.plans import dim_warehouse as DW
+from quayside.plans import throughput as TV
 from quayside.plans import yard_utilization as YU
 from quayside.plans.context import RunContext
 from quayside.plans.project import Project
@@ -588,7 +589,9 @@ def _freight_fine(p: Project) -> DataFrame:
     fc = p.dimension("freight_class", source=True)
     num = F.col("freight_class_number")
     label = F.when(num == "1", "Bulk_Picks_SP_Bins").when(num > "1", "Bulk_Picks_LP").when(num.isNull(), "Bulk_Picks_SP_Bins")
-    fine = tl.join(fc, "freight_class_id").groupBy("warehouse_id", F.to_date("log_datetime_local").alias("date"), num).agg(
+    # summed per class id before the classes join: the log is not shuffled by its few ids
+    per_id = tl.groupBy("warehouse_id", F.to_date("log_datetime_local").alias("date"), "freight_class_id").agg(*TV.pick_sums())
+    fine = per_id.join(fc, "freight_class_id").groupBy("warehouse_id", "date", num).agg(
         (F.sum("bulk_pick_units") + F.sum("bins_pick_units")).alias("BulkPick_Units"))
     return fine.select("warehouse_id", "date", label.alias("Freight_Class"), "BulkPick_Units")
 

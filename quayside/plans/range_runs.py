@@ -167,8 +167,8 @@ def throughput_variance_for_days(p: Project, first: dt.date, last: dt.date) -> D
     number = F.col("freight_class_number")
     label = F.when(number == "1", TV.SP_BINS).when(number > "1", TV.LP).when(number.isNull(), TV.SP_BINS)
     fine = (p.source("tran_log_units_freight").where(_between("log_datetime_local", min(lo, first - dt.timedelta(days=6)), last))
-            .join(p.dimension("freight_class", source=True), "freight_class_id")
-            .groupBy(warehouse, F.to_date("log_datetime_local").alias("day"), number)
+            .groupBy(warehouse, F.to_date("log_datetime_local").alias("day"), "freight_class_id").agg(*TV.pick_sums())
+            .join(p.dimension("freight_class", source=True), "freight_class_id").groupBy("warehouse_id", "day", number)
             .agg((F.sum("bulk_pick_units") + F.sum("bins_pick_units")).alias("units")).withColumn("label", label))
     # the day counts for its own week's runs so far, and for the next day's run as yesterday
     out = _tagged(fine, day, F.greatest(saturday, F.date_add(day, 1)), (first, last))

@@ -21,6 +21,11 @@ LP, SP_BINS = "Bulk_Picks_LP", "Bulk_Picks_SP_Bins"
 CAPACITY_LAG_DAYS = 14
 
 
+def pick_sums() -> list[F.Column]:
+    """The freight log's two pick sums, under their columns' names."""
+    return [F.sum(c).alias(c) for c in ("bulk_pick_units", "bins_pick_units")]
+
+
 def _sum_if(cond: F.Column, c: str) -> F.Column:
     return F.sum(F.when(cond, F.col(c)))
 
@@ -68,11 +73,13 @@ def shipped(p: Project, today: dt.date, yday: dt.date) -> DataFrame:
     lo = min(yday, week_start)
     rows = tl.where((F.col("log_datetime_local") >= cal.lit_ntz(dt.datetime.combine(lo, dt.time())))
                     & (F.col("log_datetime_local") < cal.lit_ntz(dt.datetime.combine(today + dt.timedelta(days=1), dt.time()))))
-    j = rows.join(fc, "freight_class_id")
+    date = F.to_date("log_datetime_local").alias("date")
+    # summed per class id before the classes join: the log is not shuffled by its few ids
+    j = rows.groupBy("warehouse_id", date, "freight_class_id").agg(*pick_sums()).join(fc, "freight_class_id")
     num = F.col("freight_class_number")
     label = (F.when(num == "1", SP_BINS).when(num > "1", LP).when(num.isNull(), SP_BINS))
     # grouped by the finer freight class number first, as written
-    fine = j.groupBy("warehouse_id", F.to_date("log_datetime_local").alias("date"), num).agg(
+    fine = j.groupBy("warehouse_id", "date", num).agg(
         (F.sum("bulk_pick_units") + F.sum("bins_pick_units")).alias("BulkPick_Units"))
     pivot = (fine.withColumn("Freight_Class", label)
                  .groupBy("warehouse_id", "date").pivot("Freight_Class", [LP, SP_BINS]).agg(F.sum("BulkPick_Units")))

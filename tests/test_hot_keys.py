@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import calendar as cal
 from quayside.operators import relops as R
+from quayside.plans import operator_queries as OQ
 from quayside.plans import yard_trailer as YT
 
 
@@ -76,6 +77,20 @@ def test_reservations_are_not_shuffled_by_warehouse(spark, no_small_joins):
     assert named == {k: None if k % 2 else "zero" for k in range(6)}
 
 
+def test_freight_log_is_summed_before_its_classes_join(spark, no_small_joins):
+    day = dt.datetime(1998, 6, 1, 5)
+    log = spark.createDataFrame([(1, day, 0, 3, 0), (1, day, 0, 4, None), (1, day, 2, None, 5), (1, day, None, 9, 9), (1, day, 1, 1, 2),
+                                 (1, day, 3, 7, 0), (2, None, 1, None, None)],
+                                "warehouse_id bigint, log_datetime_local timestamp_ntz, freight_class_id bigint, bulk_pick_units bigint, bins_pick_units bigint")
+    classes = spark.createDataFrame([(0, "1"), (1, "2"), (2, None), (3, "1")], "freight_class_id bigint, freight_class_number string")
+    fine = OQ._freight_fine(Given(tran_log_units_freight=log, freight_class=classes))
+    of = optimized(fine)
+    assert "Aggregate" in of[of.index("Join"):]
+    d = day.date()
+    assert rows(fine) == sorted([(1, d, "Bulk_Picks_SP_Bins", 14), (1, d, "Bulk_Picks_SP_Bins", None), (1, d, "Bulk_Picks_LP", 3),
+                                 (2, None, "Bulk_Picks_LP", None)], key=repr)
+
+
 def test_wall_time_of_a_zone_looks_the_zone_up_once(spark):
     times = [dt.datetime(1998, 4, 5, 6, 59), dt.datetime(1998, 4, 5, 7), dt.datetime(1998, 10, 25, 5, 30), dt.datetime(1998, 10, 25, 6, 30),
              dt.datetime(1883, 11, 18, 17, 0, 1), dt.datetime(1500, 1, 1), dt.datetime(1998, 1, 1, 0, 0, 0, 123456), None]
