@@ -141,6 +141,12 @@ def _truck_key(c: str = "CleanSpoID"):
     return F.col(c).try_cast("bigint")
 
 
+def _by_truck(lines: DataFrame) -> DataFrame:
+    """``lines`` to be joined by truck: they grow with the reservations, and the size of their (well compressed) files would
+    have them broadcast through the driver."""
+    return lines.hint("merge")
+
+
 def loaded_cartons(p: Project) -> DataFrame:
     """Cartons per reservation: smallest count over its linked trucks."""
     base = p.ref("units_base").where(F.col("ContentType").isin(2, 3)).select(RES, _truck_key().alias("truck"))
@@ -149,7 +155,7 @@ def loaded_cartons(p: Project) -> DataFrame:
     per_truck = tv.groupBy(F.col("truck_id").alias("truck")).agg(
         F.min(S.zero_fallback("loaded_carton_count", "total_cartons")).alias("loaded_carton_count"))
     truck_count = trucks.join(per_truck, "truck", "left")
-    return base.join(truck_count, "truck").groupBy(RES).agg(F.min("loaded_carton_count").alias("loaded_carton_count"))
+    return _by_truck(base).join(truck_count, "truck").groupBy(RES).agg(F.min("loaded_carton_count").alias("loaded_carton_count"))
 
 
 def received_units(p: Project) -> DataFrame:
@@ -161,7 +167,7 @@ def received_units(p: Project) -> DataFrame:
     sml = p.source("shipment_manifest").select(F.col("truck_id").alias("truck"), "bill_of_lading_number")
     per_truck = sml.join(per_bol, "bill_of_lading_number").groupBy("truck").agg(
         F.sum("n_rows").alias("n_rows"), F.sum("n_ids").alias("n_ids"))
-    j = base.join(per_truck, "truck")
+    j = _by_truck(base).join(per_truck, "truck")
     # COUNT(x IS NOT NULL) counts every joined row; COUNT(id) only non-NULL ids
     return j.groupBy(RES).agg(
         F.sum(F.col("n_rows") * F.col("w")).alias("trailer_received_qty"),
@@ -201,7 +207,7 @@ def xd_units(p: Project) -> DataFrame:
     per_truck = (slm.join(sli, "SliSlmID").join(spi, "SpiID").join(spo, "SpiSpoID")
                  .groupBy("truck").agg(F.sum("SpiReceivedQty").alias("rcv"), F.sum("SpiQty").alias("qty"),
                                        F.count(F.lit(1)).alias("n")))
-    j = base.join(per_truck, "truck")
+    j = _by_truck(base).join(per_truck, "truck")
     return j.groupBy(RES).agg(F.sum(F.col("rcv") * F.col("w")).alias("xd_received_units"),
                               F.sum(F.col("qty") * F.col("w")).alias("xd_trailer_reservation_units"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quayside.functions import calendar as cal
 from quayside.operators import relops as R
 from quayside.plans import operator_queries as OQ
+from quayside.plans import units as U
 from quayside.plans import yard_trailer as YT
 
 
@@ -91,6 +92,16 @@ def test_freight_log_is_summed_before_its_classes_join(spark, no_small_joins):
                                  (2, None, "Bulk_Picks_LP", None)], key=repr)
 
 
+def test_content_lines_are_not_broadcast_by_truck(spark):
+    base = spark.createDataFrame([(1, "10", 2, 2), (1, "x", 2, 1), (2, "10", 3, 1), (3, None, 2, 1)],
+                                 "inbound_trailer_reservation_id bigint, CleanSpoID string, ContentType int, w bigint")
+    trucks = spark.createDataFrame([(10,), (11,)], "SlmTruckID bigint")
+    volume = spark.createDataFrame([(10, 0, 6), (10, 4, 9)], "truck_id bigint, loaded_carton_count bigint, total_cartons bigint")
+    loaded = U.loaded_cartons(Given(units_base=base, shipping_load_manifest=trucks, truckload_volume=volume))
+    assert "strategy=merge" in optimized(loaded)
+    assert rows(loaded) == [(1, 4), (2, 4)]
+
+
 def test_wall_time_of_a_zone_looks_the_zone_up_once(spark):
     times = [dt.datetime(1998, 4, 5, 6, 59), dt.datetime(1998, 4, 5, 7), dt.datetime(1998, 10, 25, 5, 30), dt.datetime(1998, 10, 25, 6, 30),
              dt.datetime(1883, 11, 18, 17, 0, 1), dt.datetime(1500, 1, 1), dt.datetime(1998, 1, 1, 0, 0, 0, 123456), None]
