@@ -175,6 +175,8 @@ def run_models(p: Project, names: Sequence[str], target_root: str, threads: int
         return df if df is None else df.drop(*MATERIALIZATIONS[name].target_only)
 
     p.target_of = target_of
+    for name in names:
+        p._built.pop(name, None)  # built before the run, not written by it
     try:
         if threads <= 1:
             for name in names:
