@@ -1,6 +1,7 @@
 """Token operators against the libraries they agree with, by exact round trip and by brute force."""
 import hashlib
 import random
+import sys
 import zlib
 from collections import defaultdict
 
@@ -72,6 +73,44 @@ def test_cache_is_bounded_within_a_document_and_keeps_no_long_keys():
         assert max(map(len, [*cache, *cache.old])) <= 64
 
 
+def calls_into_c(work):
+    """Calls of built-in functions and methods that ``work`` makes."""
+    calls = []
+    sys.setprofile(lambda frame, event, arg: event == "c_call" and calls.append(1))
+    try:
+        work()
+    finally:
+        sys.setprofile(None)
+    return len(calls)
+
+
+def test_new_pieces_take_few_rank_lookups():
+    """A stale entry costs no lookup, and the pairs of the first bytes are looked up together."""
+    b, rng = bpe.ByteBpe(BYTE), random.Random(9)
+    pieces = ["".join(rng.choices("etaoinshrdlu", k=9)).encode() for _ in range(500)]
+    want = tokenizers.Tokenizer.from_file(BYTE).encode_batch([p.decode() for p in pieces], add_special_tokens=False)
+    got = []
+    assert calls_into_c(lambda: got.extend([b.encode_piece(p) for p in pieces])) <= 27 * len(pieces)
+    assert got == [e.ids for e in want]
+
+
+def test_known_chunks_are_joined_without_work_per_token():
+    b, text = bpe.ByteBpe(BYTE), "unreadable 中文 x1, " * 400
+    want = b.digest(text)
+    got = []
+    assert calls_into_c(lambda: got.append(b.digest(text))) < 60
+    assert got == [want] and b.count(text) == want[0]
+    assert all(type(v) is bytes for v in [*b.cache.values(), *b.piece_ids.values()])
+
+
+@pytest.mark.parametrize("text", [*ODD, "é中😀" * 50, "a<|endoftext|>" * 9])
+def test_digest_in_spans_of_ids(monkeypatch, text):
+    want = bpe.loaded(BYTE).digest(text)
+    monkeypatch.setattr(bpe, "SPAN_IDS", 1)  # a character of several tokens is decoded across spans
+    assert bpe.loaded(BYTE).digest(text) == want
+    assert want[2] == hashlib.sha256(text.encode()).hexdigest()
+
+
 def test_word_cache_is_bounded_within_a_document(monkeypatch, word_tokenizer):
     monkeypatch.setattr(packing, "SLICE_WORDS", 50)
     words = packing.WordIds(WORD, keys=100)
