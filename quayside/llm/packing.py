@@ -82,8 +82,9 @@ class WordIds:
     def _slice(self, words: list[bytes]) -> bytes:
         """Ids of some words; what is new joins the young generation, long words only until they are looked up."""
         young, old = self.young, self.old
-        new = set(words).difference(young)
-        if new:
+        ids = [*map(young.get, words)]
+        if None in ids:
+            new = {w for w, known in zip(words, ids) if known is None}
             others = []
             for w in new:
                 known = old.get(w)
@@ -99,13 +100,13 @@ class WordIds:
                 encodings = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
                 for w, e in zip(others, encodings):
                     young[w] = np.array(e.ids, "<u4").tobytes()
-        ids = b"".join([young[w] for w in words])
-        for w in new:
-            if len(w) > LONGEST_KEY:
-                del young[w]
-        if len(young) > self.keys:
-            self.old, self.young = young, {}
-        return ids
+            ids = [*map(young.__getitem__, words)]
+            for w in new:
+                if len(w) > LONGEST_KEY:
+                    del young[w]
+            if len(young) > self.keys:
+                self.old, self.young = young, {}
+        return b"".join(ids)
 
 
 _LOADED: dict[str, WordIds] = {}

@@ -111,6 +111,20 @@ def test_digest_in_spans_of_ids(monkeypatch, text):
     assert want[2] == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_known_words_are_looked_up_once(word_tokenizer):
+    hashed = []
+
+    class Word(bytes):
+        def __hash__(self):
+            hashed.append(1)
+            return bytes.__hash__(self)
+
+    words, some = packing.WordIds(WORD), [b"alpha", b"beta.", "ü中".encode()] * 50
+    want = words._slice(some)
+    assert words._slice([Word(w) for w in some]) == want and len(hashed) == len(some)
+    assert np.frombuffer(want, "<u4").tolist() == word_tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids
+
+
 def test_word_cache_is_bounded_within_a_document(monkeypatch, word_tokenizer):
     monkeypatch.setattr(packing, "SLICE_WORDS", 50)
     words = packing.WordIds(WORD, keys=100)
